@@ -15,6 +15,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voxledger.functions.arrays import floor_div, index_product, linear_index, product
 from voxledger.operators.joins import salted_join
@@ -25,6 +26,14 @@ BLOCKS = (
     "shape array<bigint>, dtype string, payload binary"
 )
 
+_BOX = T.StructType(
+    [
+        T.StructField("origin", T.ArrayType(T.LongType())),
+        T.StructField("shape", T.ArrayType(T.LongType())),
+        T.StructField("payload", T.BinaryType()),
+    ]
+)
+
 
 def _dtype(name: str) -> np.dtype:
     return np.dtype(name).newbyteorder("<")
@@ -99,13 +108,13 @@ def decode_raw(df: DataFrame) -> DataFrame:
     return df.withColumns({"error": F.when(wrong, text), "payload": F.when(~wrong, F.col("payload"))})
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def pack_values(values: pd.Series, dtype: pd.Series) -> pd.Series:
     """Bytes of a value list."""
     return pd.Series([np.asarray(v).astype(_dtype(t)).tobytes() for v, t in zip(values, dtype)], dtype=object)
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def _pack_sparse(offsets: pd.Series, values: pd.Series, shape: pd.Series, dtype: pd.Series) -> pd.Series:
     out = []
     for o, v, s, t in zip(offsets, values, shape, dtype):
@@ -288,7 +297,7 @@ def _pieces(row: dict, chunk: list[int]):
         }
 
 
-@F.pandas_udf("origin array<bigint>, shape array<bigint>, payload binary")
+@F.pandas_udf(_BOX)
 def _assemble(parts: pd.Series, dtype: pd.Series) -> pd.DataFrame:
     """Put non-overlapping pieces together into their bounding box."""
     out = []

@@ -1,4 +1,4 @@
-"""Record building, updates, naming and field mapping."""
+"""Record building, updates, merging and field mapping."""
 
 from __future__ import annotations
 
@@ -7,13 +7,20 @@ import json
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voxledger import contract
 from voxledger.functions import variants as V
+from voxledger.functions.stages import replace_fields, struct_of
 from voxledger.functions.text import base_name
 
 
 # ---- building ---------------------------------------------------------------
+# A record under construction is a dict from dotted field to column; it becomes
+# one struct at the end, so the plan holds each field once.
+Fields = dict[str, Column]
+
+
 def new_record(
     source: Column,
     source_id: Column,
@@ -21,52 +28,21 @@ def new_record(
     record_id: Column | None = None,
     now: Column | None = None,
     run: dict[str, str] | None = None,
-) -> Column:
-    """A new record struct: given or random id, pending, created and updated now."""
+) -> Fields:
+    """Fields of a new record: given or random id, pending, created and updated now."""
     clock = now if now is not None else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
-    fields = [
-        (F.coalesce(record_id, F.uuid()) if record_id is not None else F.uuid()).alias("id"),
-        source.alias("source"),
-        source_id.alias("source_id"),
-        F.lit("pending").alias("status"),
-        clock.alias("created_at"),
-        clock.alias("updated_at"),
-        F.struct(
-            F.lit(None).cast("double").alias("percentage"), F.lit(None).cast("string").alias("current_step")
-        ).alias("progress"),
-        F.struct(
-            F.lit(None).cast("string").alias("message"),
-            F.lit(None).cast("string").alias("traceback"),
-            F.lit(None).cast("bigint").alias("retry_count"),
-        ).alias("error"),
-        F.struct(
-            F.struct(
-                description.alias("description"),
-                F.lit(None).cast("array<bigint>").alias("volume_shape"),
-                F.lit(None).cast("array<double>").alias("voxel_size_nm"),
-                F.lit(None).cast("string").alias("data_type"),
-                F.lit(None).cast("string").alias("imaging_start_date"),
-            ).alias("core"),
-            F.struct(
-                F.lit(None).cast("bigint").alias("file_size_bytes"),
-                F.lit(None).cast("string").alias("sha256"),
-                F.lit(None).cast("array<double>").alias("dimensions_nm"),
-            ).alias("technical"),
-            F.struct(
-                F.lit(None).cast("string").alias("download_url"),
-                F.lit(None).cast("string").alias("internal_zarr_path"),
-            ).alias("provenance"),
-        ).alias("metadata"),
-        F.struct(
-            F.lit(None).cast("string").alias("volume"),
-            F.lit(None).cast("string").alias("raw"),
-            F.lit(None).cast("string").alias("metadata"),
-            F.create_map().cast("map<string,string>").alias("additional"),
-        ).alias("files"),
-    ]
-    if run is not None:
-        fields.append(F.struct(*[F.lit(v).alias(k) for k, v in run.items()]).alias("ci_metadata"))
-    return F.struct(*fields)
+    fields = {
+        "id": F.coalesce(record_id, F.uuid()) if record_id is not None else F.uuid(),
+        "source": source,
+        "source_id": source_id,
+        "status": F.lit("pending"),
+        "created_at": clock,
+        "updated_at": clock,
+        "metadata.core.description": description,
+    }
+    for name, value in (run or {}).items():
+        fields[f"ci_metadata.{name}"] = F.lit(value).cast("string")
+    return fields
 
 
 def run_provenance(environ: dict[str, str]) -> dict[str, str] | None:
@@ -76,153 +52,190 @@ def run_provenance(environ: dict[str, str]) -> dict[str, str] | None:
     return {**{k: environ.get(v) for k, v in contract.RUN_FIELDS.items()}, "processing_environment": "github_actions"}
 
 
-def set_path(record: Column, path: str, value: Column) -> Column:
-    """Set a dotted field, keeping the rest of the struct."""
-    return record.withField(path, value)
+def _technical(values: dict[str, Column]) -> Fields:
+    """Shape, voxel size and type belong to core; size, hash and the rest to technical."""
+    core = {"volume_shape", "voxel_size_nm", "data_type"}
+    return {f"metadata.{'core' if k in core else 'technical'}.{k}": v for k, v in values.items()}
 
 
-def keep_old(record: Column, **new: Column) -> Column:
-    """Set fields (``a__b`` for ``a.b``), leaving old values where the new one is NULL."""
-    for name, value in new.items():
-        path = name.replace("__", ".")
-        old = record
-        for part in path.split("."):
-            old = old[part]
-        record = record.withField(path, F.coalesce(value, old))
-    return record
+def _files(paths: dict[str, Column]) -> Fields:
+    return {f"files.{k}": v for k, v in paths.items()}
 
 
-def add_technical(record: Column, **values: Column) -> Column:
-    """Shape, voxel size and type go to core; size, hash and the rest to technical."""
-    core = {"volume_shape", "voxel_size_nm", "data_type"}
-    return keep_old(
-        record,
-        **{f"metadata__{'core' if k in core else 'technical'}__{k}": v for k, v in values.items()},
-    )
+def to_record(fields: Fields) -> Column:
+    return struct_of(fields)
+
+
+# ---- updates of a record column ------------------------------------------------
+def current(df: DataFrame, path: str) -> Column:
+    """The old value of a dotted field, NULL where the struct has no such field."""
+    kind = df.schema["record"].dataType
+    for part in path.split("."):
+        if not isinstance(kind, T.StructType) or part not in kind.names:
+            return F.lit(None)
+        kind = kind[part].dataType
+    return F.col(f"record.{path}")
+
+
+def set_paths(df: DataFrame, changes: Fields) -> DataFrame:
+    """Set dotted fields of ``record``, creating parents."""
+    return replace_fields(df, "record", changes)
+
+
+def keep_old(df: DataFrame, changes: Fields) -> DataFrame:
+    """Set dotted fields where the new value is given, else leave the old one."""
+    return set_paths(df, {path: F.coalesce(value, current(df, path)) for path, value in changes.items()})
 
 
-def add_files(record: Column, additional: Column | None = None, **paths: Column) -> Column:
+def add_technical(df: DataFrame, **values: Column) -> DataFrame:
+    return keep_old(df, _technical(values))
+
+
+def add_files(df: DataFrame, additional: Column | None = None, **paths: Column) -> DataFrame:
     """File paths; extra paths update the ``additional`` map key by key, last wins."""
-    record = keep_old(record, **{f"files__{k}": v for k, v in paths.items()})
-    if additional is None:
-        return record
-    old = record["files"]["additional"]
-    kept = F.map_filter(old, lambda k, _: ~F.array_contains(F.map_keys(additional), k))
-    return record.withField("files.additional", F.map_concat(kept, additional))
+    changes = {p: F.coalesce(v, current(df, p)) for p, v in _files(paths).items()}
+    if additional is not None:
+        old = F.coalesce(current(df, "files.additional").cast("map<string,string>"), F.create_map().cast("map<string,string>"))
+        kept = F.map_filter(old, lambda k, _: ~F.array_contains(F.map_keys(additional), k))
+        changes["files.additional"] = F.map_concat(kept, additional)
+    return set_paths(df, changes)
 
 
 def update_status(
-    record: Column,
+    df: DataFrame,
     status: Column,
     now: Column,
     percentage: Column | None = None,
     step: Column | None = None,
     message: Column | None = None,
     traceback: Column | None = None,
-) -> Column:
+) -> DataFrame:
     """One status change; the error part only moves on ``failed`` and is never cleared."""
     failed = status == "failed"
-    old = record["error"]
-    truthy = lambda c: F.when(failed & (c != ""), c)
-    out = record.withField("status", status).withField("updated_at", now)
-    out = keep_old(
-        out,
-        **{
-            k: v
-            for k, v in {"progress__percentage": percentage, "progress__current_step": step}.items()
-            if v is not None
-        },
-    )
-    changes = {
-        "error__retry_count": F.when(failed, F.coalesce(old["retry_count"], F.lit(0).cast("bigint")) + 1),
-        "error__message": truthy(message) if message is not None else None,
-        "error__traceback": truthy(traceback) if traceback is not None else None,
+    count = current(df, "error.retry_count").cast("bigint")
+    changes: Fields = {
+        "status": status,
+        "updated_at": now,
+        "error.retry_count": F.when(failed, F.coalesce(count, F.lit(0).cast("bigint")) + 1).otherwise(count),
     }
-    return keep_old(out, **{k: v for k, v in changes.items() if v is not None})
+    for path, value in {"progress.percentage": percentage, "progress.current_step": step}.items():
+        if value is not None:
+            changes[path] = F.coalesce(value, current(df, path))
+    for path, value in {"error.message": message, "error.traceback": traceback}.items():
+        if value is not None:
+            changes[path] = F.coalesce(F.when(failed & (value != ""), value), current(df, path))
+    return set_paths(df, changes)
 
 
 # ---- records of the five sources ---------------------------------------------
 def slice_record(df: DataFrame, entry: str, title: str, file: str, server: str, now: Column) -> DataFrame:
     """Record per downloaded slice file of an archive entry."""
     label = F.coalesce(F.col(title), F.concat(F.lit(contract.SLICE_TITLE), F.col(entry)))
-    record = new_record(F.lit("ebi"), F.col(entry), label, F.col("record_id"), now)
-    record = add_files(record, volume=F.col("volume_path"), raw=F.col(file), metadata=F.col("metadata_path"))
     url = F.concat(
         F.lit(f"ftp://{server}{contract.ARCHIVE_ROOT}"), F.col(entry), F.lit("/data/"), base_name(F.col(file))
     )
-    record = record.withField("metadata.provenance.download_url", url)
-    record = add_technical(
-        record, volume_shape=F.col("shape"), data_type=F.lit("uint8"),
-        file_size_bytes=F.col("bytes"), sha256=F.col("sha256"),
+    technical = {
+        "volume_shape": F.col("shape"), "data_type": F.lit("uint8"),
+        "file_size_bytes": F.col("bytes"), "sha256": F.col("sha256"),
+    }
+    paths = {"volume": F.col("volume_path"), "raw": F.col(file), "metadata": F.col("metadata_path")}
+    return df.withColumn(
+        "record",
+        to_record(
+            {
+                **new_record(F.lit("ebi"), F.col(entry), label, F.col("record_id"), now),
+                **_technical(technical), **_files(paths),
+                "metadata.provenance.download_url": url, "status": F.lit("complete"),
+            }
+        ),
     )
-    return df.withColumn("record", update_status(record, F.lit("complete"), now))
 
 
 def image_record(df: DataFrame, now: Column) -> DataFrame:
     """Record per image of an image server."""
     number = F.col("image_id").cast("string")
     label = F.coalesce(F.when(F.col("name") != "", F.col("name")), F.concat(F.lit(contract.IMAGE_TITLE), number))
-    record = new_record(F.lit("idr"), F.concat(F.lit("IDR-"), number), label, F.col("record_id"), now)
-    record = add_files(record, volume=F.col("volume_path"), metadata=F.col("metadata_path"))
-    record = record.withField("metadata.provenance.download_url", F.col("url"))
-    record = add_technical(
-        record, volume_shape=F.col("shape"), data_type=F.col("dtype"),
-        file_size_bytes=F.col("bytes"), sha256=F.col("sha256"),
+    technical = {
+        "volume_shape": F.col("shape"), "data_type": F.col("dtype"),
+        "file_size_bytes": F.col("bytes"), "sha256": F.col("sha256"),
+    }
+    paths = {"volume": F.col("volume_path"), "metadata": F.col("metadata_path")}
+    return df.withColumn(
+        "record",
+        to_record(
+            {
+                **new_record(F.lit("idr"), F.concat(F.lit("IDR-"), number), label, F.col("record_id"), now),
+                **_technical(technical), **_files(paths),
+                "metadata.provenance.download_url": F.col("url"), "status": F.lit("complete"),
+            }
+        ),
     )
-    return df.withColumn("record", update_status(record, F.lit("complete"), now))
 
 
 def section_record(df: DataFrame, now: Column) -> DataFrame:
     """Record of the single tissue section; it carries no hash."""
-    label = F.lit(contract.SECTION_TITLE)
-    record = new_record(F.lit("epfl"), F.col("source_id"), label, F.col("record_id"), now)
-    record = add_technical(
-        record, volume_shape=F.col("shape"), voxel_size_nm=F.col("voxel_size_nm"),
-        data_type=F.col("dtype"), file_size_bytes=F.col("bytes"),
+    technical = {
+        "volume_shape": F.col("shape"), "voxel_size_nm": F.col("voxel_size_nm"),
+        "data_type": F.col("dtype"), "file_size_bytes": F.col("bytes"),
+    }
+    paths = {"volume": F.col("volume_path"), "raw": F.col("raw_path"), "metadata": F.col("metadata_path")}
+    return df.withColumn(
+        "record",
+        to_record(
+            {
+                **new_record(F.lit("epfl"), F.col("source_id"), F.lit(contract.SECTION_TITLE), F.col("record_id"), now),
+                **_technical(technical), **_files(paths),
+                "metadata.provenance.download_url": F.col("url"), "status": F.lit("complete"),
+            }
+        ),
     )
-    record = add_files(record, volume=F.col("volume_path"), raw=F.col("raw_path"), metadata=F.col("metadata_path"))
-    record = record.withField("metadata.provenance.download_url", F.col("url"))
-    return df.withColumn("record", update_status(record, F.lit("complete"), now))
 
 
 def crop_record(df: DataFrame, now: Column) -> DataFrame:
     """Record of a crop, with its bounds, origin and size as extra metadata."""
     origin = F.array_join(F.transform("origin", lambda x: x.cast("string")), ", ")
     label = F.format_string(contract.CROP_TITLE, origin)
-    record = new_record(F.lit("flyem"), F.col("source_id"), label, F.col("record_id"), now)
-    record = add_technical(
-        record, volume_shape=F.col("size"), data_type=F.col("dtype"), file_size_bytes=F.col("bytes")
+    technical = {"volume_shape": F.col("size"), "data_type": F.col("dtype"), "file_size_bytes": F.col("bytes")}
+    paths = {"volume": F.col("volume_path"), "metadata": F.col("metadata_path")}
+    return df.withColumn(
+        "record",
+        to_record(
+            {
+                **new_record(F.lit("flyem"), F.col("source_id"), label, F.col("record_id"), now),
+                **_technical(technical), **_files(paths),
+                "metadata.provenance.download_url": F.col("url"), "status": F.lit("complete"),
+                "additional_metadata.dataset_bounds": F.array("start", "stop"),
+                "additional_metadata.crop_origin": F.col("origin"),
+                "additional_metadata.crop_size": F.col("size"),
+            }
+        ),
     )
-    record = add_files(record, volume=F.col("volume_path"), metadata=F.col("metadata_path"))
-    record = record.withField("metadata.provenance.download_url", F.col("url"))
-    extra = F.struct(
-        F.array("start", "stop").alias("dataset_bounds"), F.col("origin").alias("crop_origin"), F.col("size").alias("crop_size")
-    )
-    record = update_status(record, F.lit("complete"), now).withField("additional_metadata", extra)
-    return df.withColumn("record", record)
 
 
 def array_record(df: DataFrame, now: Column) -> DataFrame:
     """Stub record of one stored array; absent extents become zero."""
-    label = F.format_string(contract.ARRAY_TITLE, F.col("array_name"))
-    record = new_record(F.lit("openorganelle"), F.col("dataset_id"), label, F.col("record_id"), now)
-    record = add_files(record, volume=F.col("volume_path"), metadata=F.col("metadata_path"))
     d = F.col("dimensions")
     zero = lambda c: F.coalesce(c.cast("double"), F.lit(0.0))
-    record = add_technical(
-        record, voxel_size_nm=F.col("voxel_size_nm"),
-        dimensions_nm=F.when(d.isNotNull(), F.array(zero(d["x"]), zero(d["y"]), zero(d["z"]))),
-    )
-    record = record.withField("metadata.provenance.download_url", F.col("url"))
-    record = record.withField(
-        "metadata.provenance.internal_zarr_path", F.concat_ws("/", F.col("internal_path"), F.col("array_name"))
-    )
-    record = record.withField("metadata.core.imaging_start_date", F.lit(contract.IMAGING_START))
-    record = update_status(record, F.lit("saving-data"), now)
-    record = record.withField(
-        "local_paths", F.struct(F.col("volume_path").alias("volume"), F.col("metadata_path").alias("metadata"))
+    technical = {
+        "voxel_size_nm": F.col("voxel_size_nm"),
+        "dimensions_nm": F.when(d.isNotNull(), F.array(zero(d["x"]), zero(d["y"]), zero(d["z"]))),
+    }
+    paths = {"volume": F.col("volume_path"), "metadata": F.col("metadata_path")}
+    label = F.format_string(contract.ARRAY_TITLE, F.col("array_name"))
+    return df.withColumn(
+        "record",
+        to_record(
+            {
+                **new_record(F.lit("openorganelle"), F.col("dataset_id"), label, F.col("record_id"), now),
+                **_technical(technical), **_files(paths),
+                "metadata.provenance.download_url": F.col("url"),
+                "metadata.provenance.internal_zarr_path": F.concat_ws("/", F.col("internal_path"), F.col("array_name")),
+                "metadata.core.imaging_start_date": F.lit(contract.IMAGING_START),
+                "status": F.lit("saving-data"),
+                "local_paths.volume": F.col("volume_path"), "local_paths.metadata": F.col("metadata_path"),
+            }
+        ),
     )
-    return df.withColumn("record", record)
 
 
 # ---- open documents -----------------------------------------------------------
@@ -233,7 +246,7 @@ def _merge(base, extra):
     return extra
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def deep_merge(base: pd.Series, extra: pd.Series) -> pd.Series:
     """Deep merge of two JSON objects given as text; keys come out sorted."""
     merged = [

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from voxledger import contract
 from voxledger.contract import Field
 from voxledger.functions import variants as V
+from voxledger.functions.stages import computed_once
 
 VIOLATION = "struct<depth:int,weak:int,pos:int,item:int,path:string,keyword:string,message:string>"
 
@@ -28,7 +29,7 @@ def parse_records(files: DataFrame, roots: list[str] | None = None) -> DataFrame
     ``load_error`` holds the text for files that are not JSON, are not an
     object, or whose source cannot be used as a key.
     """
-    df = files.withColumn("v", F.try_parse_json("value"))
+    df = computed_once(files, "v", F.try_parse_json("value"))
     df = df.withColumns(
         {
             "parsed": F.col("v").isNotNull(),
@@ -273,12 +274,9 @@ def add_violations(records: DataFrame, strict_formats: bool = False) -> DataFram
     rules.walk(contract.RECORD, "", 0)
     helper = [*rules.leaves, *rules.types]
     every = F.concat(F.array_compact(F.array(*rules.single)), *rules.repeated)
-    return (
-        records.withColumns(rules.leaves)
-        .withColumns(rules.types)
-        .withColumn("violations", F.when(F.col("load_error").isNull(), every).otherwise(_none()))
-        .drop(*helper)
-    )
+    typed = records.withColumns(rules.leaves).withColumns(rules.types)
+    found = F.when(F.col("load_error").isNull(), every).otherwise(_none())
+    return computed_once(typed, "violations", found).drop(*helper)
 
 
 def add_verdict(checked: DataFrame) -> DataFrame:

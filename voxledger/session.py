@@ -30,6 +30,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
         .appName("voxledger")
         .config("spark.sql.shuffle.partitions", shuffle_partitions)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.adaptive.enabled", "true")
         .getOrCreate()

@@ -8,8 +8,6 @@ first in document order.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -97,186 +95,172 @@ def _type_word(type_name: Column) -> Column:
 
 
 # ---- rules -----------------------------------------------------------------
-class _Rules:
-    """Collects leaf columns and rule expressions while walking the contract."""
+# Rules are written as SQL text: the whole set is a few hundred expressions, and
+# one parse is far cheaper than building each through the Column API.
+def _quote(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    def __init__(self, strict_formats: bool):
-        self.strict_formats = strict_formats
-        self.leaves: dict[str, Column] = {}
-        self.types: dict[str, Column] = {}
-        self.single: list[Column] = []
-        self.repeated: list[Column] = []
-        self.pos = 0
 
-    def hit(self, failed: Column, depth: int, path: str, keyword: str, message: Column, weak: int = 0) -> None:
-        self.pos += 1
-        self.single.append(F.when(failed, _violation(depth, weak, self.pos, F.lit(-1), F.lit(path), keyword, message)))
+def _text(value: str) -> str:
+    return f"try_variant_get({value}, '$', 'string')"
 
-    def walk(self, field: Field, path: str, depth: int) -> None:
-        name = f"_n{len(self.leaves)}"
-        self.leaves[name] = V.leaf(F.col("v"), path)
-        self.types[f"{name}t"] = F.schema_of_variant(name)
-        value, kind = F.col(name), F.col(f"{name}t")
-        if field.one_of:
-            matches = [_fits(branch, value, kind) for branch in field.one_of]
-            good = reduce(lambda a, b: a + b, (F.coalesce(m, F.lit(False)).cast("int") for m in matches))
-            self.hit(
-                value.isNotNull() & (good != 1), depth, path, "oneOf",
-                F.concat(_shown(value, kind), F.lit(" is not valid under any of the given schemas")), weak=1,
-            )
-            return
-        right = _has_kind(field.kind, value, kind)
-        self.hit(
-            value.isNotNull() & ~right, depth, path, "type",
-            F.concat(_shown(value, kind), F.lit(f" is not of type '{field.kind}'")),
-        )
-        if field.kind == "object":
-            for child in field.children:
-                if child.required:
-                    child_path = f"{path}.{child.name}".lstrip(".")
-                    self.hit(
-                        right & V.leaf(F.col("v"), child_path).isNull(), depth, path, "required",
-                        F.lit(f"'{child.name}' is a required property"),
-                    )
-            for child in field.children:
-                self.walk(child, f"{path}.{child.name}".lstrip("."), depth + 1)
-            return
-        for keyword, failed, message in _scalar_rules(field, value, kind, self.strict_formats):
-            self.hit(right & failed, depth, path, keyword, message)
-        if field.kind == "array":
-            items = V.elements(value)
-            self.pos += 1
-            self.repeated.append(
-                F.when(right, _item_violations(field.items, items, path, depth + 1, self.pos)).otherwise(_none())
-            )
-            self.pos += 1
-            if field.min_items is not None:
-                self.hit(
-                    right & (F.size(items) < field.min_items), depth, path, "minItems",
-                    F.concat(_shown(value, kind), F.lit(" is too short")),
-                )
-            if field.max_items is not None:
-                self.hit(
-                    right & (F.size(items) > field.max_items), depth, path, "maxItems",
-                    F.concat(_shown(value, kind), F.lit(" is too long")),
-                )
+
+def _number(value: str) -> str:
+    return f"try_variant_get({value}, '$', 'double')"
 
 
-def _violation(depth, weak, pos, item, path, keyword, message) -> Column:
-    return F.struct(
-        F.lit(depth).alias("depth"), F.lit(weak).alias("weak"), F.lit(pos).alias("pos"), item.alias("item"),
-        path.alias("path"), F.lit(keyword).alias("keyword"), message.alias("message"),
-    ).cast(VIOLATION)
+def _shown(value: str, kind: str) -> str:
+    """A value as it appears in messages: text quoted, the rest as JSON."""
+    return f"CASE WHEN {kind} = 'STRING' THEN concat('\\'', {_text(value)}, '\\'') ELSE to_json({value}) END"
 
 
-def _none() -> Column:
-    return F.array().cast(f"array<{VIOLATION}>")
+def _is_number(kind: str) -> str:
+    return f"({kind} IN ('BIGINT', 'DOUBLE', 'FLOAT') OR startswith({kind}, 'DECIMAL'))"
 
 
-def _shown(value: Column, kind: Column) -> Column:
-    """A value as it appears in messages: text quoted, the rest as JSON."""
-    return F.when(kind == "STRING", F.concat(F.lit("'"), V.as_text(value), F.lit("'"))).otherwise(F.to_json(value))
-
-
-def _has_kind(kind: str, value: Column, type_name: Column) -> Column:
-    if kind == "object":
-        ok = V.is_object(value)
-    elif kind == "array":
-        ok = type_name.startswith("ARRAY")
-    elif kind == "string":
-        ok = type_name == "STRING"
-    elif kind == "number":
-        ok = V.is_number(type_name)
-    else:
-        as_double = F.try_variant_get(value, "$", "double")
-        ok = V.is_number(type_name) & (as_double == F.floor(as_double))
-    return F.coalesce(ok, F.lit(False))
-
-
-def _scalar_rules(field: Field, value: Column, kind: Column, strict_formats: bool) -> list[tuple[str, Column, Column]]:
-    """(keyword, failed, message) for the value rules, in contract order."""
+def _has_kind(expected: str, value: str, kind: str) -> str:
+    ok = {
+        "object": f"try_variant_get({value}, '$', 'struct<_:variant>') IS NOT NULL",
+        "array": f"startswith({kind}, 'ARRAY')",
+        "string": f"{kind} = 'STRING'",
+        "number": _is_number(kind),
+        "integer": f"{_is_number(kind)} AND {_number(value)} = floor({_number(value)})",
+    }[expected]
+    return f"coalesce({ok}, false)"
+
+
+def _value_rules(field: Field, value: str, kind: str, strict_formats: bool = False) -> list[tuple[str, str, str]]:
+    """(keyword, failed, message end) of the value rules, in contract order."""
     out = []
-    shown = _shown(value, kind)
-    as_text = V.as_text(value)
-    as_double = F.try_variant_get(value, "$", "double")
     if field.enum:
         allowed = ", ".join(f"'{x}'" for x in field.enum)
-        out.append(("enum", ~as_text.isin(*field.enum), F.concat(shown, F.lit(f" is not one of [{allowed}]"))))
+        listed = ", ".join(_quote(x) for x in field.enum)
+        out.append(("enum", f"{_text(value)} NOT IN ({listed})", f" is not one of [{allowed}]"))
     if field.min_length is not None:
-        out.append(("minLength", F.length(as_text) < field.min_length, F.concat(shown, F.lit(" is too short"))))
+        out.append(("minLength", f"length({_text(value)}) < {field.min_length}", " is too short"))
     if field.pattern:
-        out.append(
-            ("pattern", ~as_text.rlike(field.pattern), F.concat(shown, F.lit(f" does not match '{field.pattern}'")))
-        )
+        out.append(("pattern", f"NOT rlike({_text(value)}, {_quote(field.pattern)})", f" does not match '{field.pattern}'"))
     if field.low is not None:
-        out.append(("minimum", as_double < field.low, F.concat(shown, F.lit(f" is less than the minimum of {field.low}"))))
+        out.append(("minimum", f"{_number(value)} < {field.low}", f" is less than the minimum of {field.low}"))
     if field.high is not None:
-        out.append(
-            ("maximum", as_double > field.high, F.concat(shown, F.lit(f" is greater than the maximum of {field.high}")))
-        )
+        out.append(("maximum", f"{_number(value)} > {field.high}", f" is greater than the maximum of {field.high}"))
     if strict_formats and field.format:
-        bad = ~as_text.rlike(contract.FORMAT_PATTERNS[field.format])
-        if field.format == "date-time":
-            bad = bad | F.try_to_timestamp(F.upper(as_text)).isNull()
-        if field.format == "date":
-            bad = bad | F.try_to_timestamp(as_text).isNull()
-        out.append(("format", bad, F.concat(shown, F.lit(f" is not a '{field.format}'"))))
+        bad = f"NOT rlike({_text(value)}, {_quote(contract.FORMAT_PATTERNS[field.format])})"
+        if field.format in ("date-time", "date"):
+            bad += f" OR try_to_timestamp(upper({_text(value)})) IS NULL"
+        out.append(("format", f"({bad})", f" is not a '{field.format}'"))
     return out
 
 
-def _item_violations(item: Field, items: Column, path: str, depth: int, pos: int) -> Column:
-    """One violation per failing rule of each array element."""
-
-    def check(value: Column, index: Column) -> Column:
-        kind = F.schema_of_variant(value)
-        right = _has_kind(item.kind, value, kind)
-        where = F.concat(F.lit(f"{path}["), index.cast("string"), F.lit("]"))
-        rules = [
-            F.when(
-                ~right,
-                _violation(
-                    depth, 0, pos, index, where, "type",
-                    F.concat(_shown(value, kind), F.lit(f" is not of type '{item.kind}'")),
-                ),
-            )
-        ]
-        for keyword, failed, message in _scalar_rules(item, value, kind, False):
-            rules.append(F.when(right & failed, _violation(depth, 0, pos + 1, index, where, keyword, message)))
-        return F.array_compact(F.array(*rules))
-
-    return F.flatten(F.transform(items, check))
-
-
-def _fits(field: Field, value: Column, kind: Column) -> Column:
+def _fits(field: Field, value: str, kind: str) -> str:
     """True where a value satisfies one branch of an alternative."""
     if field.kind == "array":
-        items = V.elements(value)
-        sized = F.size(items).between(field.min_items, field.max_items)
-        return kind.startswith("ARRAY") & sized & F.forall(items, lambda x: _scalar_fits(field.items, x))
-    ok = V.is_object(value)
+        items = f"try_variant_get({value}, '$', 'array<variant>')"
+        return (
+            f"startswith({kind}, 'ARRAY') AND size({items}) BETWEEN {field.min_items} AND {field.max_items}"
+            f" AND forall({items}, x -> {_scalar_fits(field.items, 'x')})"
+        )
+    parts = [_has_kind("object", value, kind)]
     for child in field.children:
-        inner = V.leaf(value, child.name)
-        ok = ok & (inner.isNull() | _scalar_fits(child, inner))
-    return ok
+        inner = f"try_variant_get({value}, '$.{child.name}', 'variant')"
+        parts.append(f"({inner} IS NULL OR {_scalar_fits(child, inner)})")
+    return " AND ".join(parts)
+
+
+def _scalar_fits(field: Field, value: str) -> str:
+    kind = f"schema_of_variant({value})"
+    rules = [f"NOT ({failed})" for _, failed, _ in _value_rules(field, value, kind)]
+    return f"coalesce({' AND '.join([_has_kind(field.kind, value, kind), *rules])}, false)"
+
+
+def _violation(depth: int, weak: int, pos: int, path: str, keyword: str, message: str, item: str = "-1") -> str:
+    return (
+        f"named_struct('depth', {depth}, 'weak', {weak}, 'pos', {pos}, 'item', {item}, 'path', {path},"
+        f" 'keyword', {_quote(keyword)}, 'message', {message})"
+    )
+
+
+class _Rules:
+    """Leaf columns and rule expressions, collected by walking the contract."""
+
+    def __init__(self, strict_formats: bool):
+        self.strict_formats = strict_formats
+        self.leaves: list[str] = []
+        self.types: list[str] = []
+        self.single: list[str] = []
+        self.repeated: list[str] = []
+        self.names: list[str] = []
+        self.pos = 0
 
+    def hit(self, failed: str, depth: int, path: str, keyword: str, message: str, weak: int = 0) -> None:
+        self.pos += 1
+        row = _violation(depth, weak, self.pos, _quote(path), keyword, message)
+        self.single.append(f"CASE WHEN {failed} THEN {row} END")
 
-def _scalar_fits(field: Field, value: Column) -> Column:
-    kind = F.schema_of_variant(value)
-    ok = _has_kind(field.kind, value, kind)
-    for _, failed, _ in _scalar_rules(field, value, kind, False):
-        ok = ok & ~failed
-    return F.coalesce(ok, F.lit(False))
+    def walk(self, field: Field, path: str, depth: int) -> None:
+        value = f"_n{len(self.leaves)}"
+        kind = f"{value}t"
+        self.names += [value, kind]
+        self.leaves.append(f"try_variant_get(v, '{V.step(path)}', 'variant') AS {value}")
+        self.types.append(f"schema_of_variant({value}) AS {kind}")
+        ending = lambda text: f"concat({_shown(value, kind)}, {_quote(text)})"
+        if field.one_of:
+            matches = " + ".join(f"CAST(coalesce({_fits(b, value, kind)}, false) AS INT)" for b in field.one_of)
+            self.hit(
+                f"{value} IS NOT NULL AND ({matches}) <> 1", depth, path, "oneOf",
+                ending(" is not valid under any of the given schemas"), weak=1,
+            )
+            return
+        right = _has_kind(field.kind, value, kind)
+        self.hit(f"{value} IS NOT NULL AND NOT {right}", depth, path, "type", ending(f" is not of type '{field.kind}'"))
+        if field.kind == "object":
+            inside = lambda child: f"{path}.{child.name}".lstrip(".")
+            for child in field.children:
+                if child.required:
+                    absent = f"try_variant_get(v, '{V.step(inside(child))}', 'variant') IS NULL"
+                    self.hit(
+                        f"{right} AND {absent}", depth, path, "required", _quote(f"'{child.name}' is a required property")
+                    )
+            for child in field.children:
+                self.walk(child, inside(child), depth + 1)
+            return
+        for keyword, failed, text in _value_rules(field, value, kind, self.strict_formats):
+            self.hit(f"{right} AND {failed}", depth, path, keyword, ending(text))
+        if field.kind == "array":
+            items = f"try_variant_get({value}, '$', 'array<variant>')"
+            self.items(field.items, items, right, path, depth + 1)
+            for keyword, failed, text in (
+                ("minItems", field.min_items and f"size({items}) < {field.min_items}", " is too short"),
+                ("maxItems", field.max_items and f"size({items}) > {field.max_items}", " is too long"),
+            ):
+                if failed:
+                    self.hit(f"{right} AND {failed}", depth, path, keyword, ending(text))
+
+    def items(self, item: Field, items: str, right: str, path: str, depth: int) -> None:
+        """One violation per failing rule of each array element."""
+        kind = "schema_of_variant(x)"
+        good = _has_kind(item.kind, "x", kind)
+        where = f"concat({_quote(path + '[')}, i, ']')"
+        checks = [("type", f"NOT {good}", f" is not of type '{item.kind}'")]
+        checks += [(k, f"{good} AND {failed}", text) for k, failed, text in _value_rules(item, "x", kind)]
+        rows = []
+        for keyword, failed, text in checks:
+            self.pos += 1
+            message = f"concat({_shown('x', kind)}, {_quote(text)})"
+            rows.append(f"CASE WHEN {failed} THEN {_violation(depth, 0, self.pos, where, keyword, message, 'i')} END")
+        per_item = f"flatten(transform({items}, (x, i) -> array_compact(array({', '.join(rows)}))))"
+        self.repeated.append(f"CASE WHEN {right} THEN {per_item} ELSE array() END")
 
 
 def add_violations(records: DataFrame, strict_formats: bool = False) -> DataFrame:
     """Add ``violations``: every broken rule of each loaded record."""
     rules = _Rules(strict_formats)
     rules.walk(contract.RECORD, "", 0)
-    helper = [*rules.leaves, *rules.types]
-    every = F.concat(F.array_compact(F.array(*rules.single)), *rules.repeated)
-    typed = records.withColumns(rules.leaves).withColumns(rules.types)
-    found = F.when(F.col("load_error").isNull(), every).otherwise(_none())
-    return computed_once(typed, "violations", found).drop(*helper)
+    parts = [f"array_compact(array({', '.join(rules.single)}))", *rules.repeated]
+    every = ", ".join(f"CAST({part} AS array<{VIOLATION}>)" for part in parts)
+    found = f"CASE WHEN load_error IS NULL THEN concat({every}) ELSE CAST(array() AS array<{VIOLATION}>) END"
+    typed = records.selectExpr("*", *rules.leaves).selectExpr("*", *rules.types)
+    return computed_once(typed, "violations", F.expr(found)).drop(*rules.names)
 
 
 def add_verdict(checked: DataFrame) -> DataFrame:

@@ -21,6 +21,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core when the input has fewer splits than cores.
+
+    Large inputs have many splits and are left where they lie.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def pick(values: list[str], index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index % len(values) + 1).cast("int"))
 
@@ -28,7 +37,7 @@ def pick(values: list[str], index: Column) -> Column:
 # ---- record files ------------------------------------------------------------
 def record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON record file per document, with faults chosen by ``doc_id % 29``."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars"))
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     return as_record_files(docs.join(labels, "doc_id", "left"))
 

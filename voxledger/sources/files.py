@@ -14,9 +14,19 @@ from voxledger.functions.text import base_name
 RECORD_FILES = "file string, dir string, fname string, mtime timestamp, value string"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _hadoop(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, hadoop_path = _hadoop(spark, path)
+    return system.exists(hadoop_path)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    system, hadoop_path = _hadoop(spark, path)
+    return system.getFileStatus(hadoop_path).isDirectory()
 
 
 def read_record_files(spark: SparkSession, roots: list[str], recursive: bool = True, name_glob: str | None = None) -> DataFrame:
@@ -27,7 +37,7 @@ def read_record_files(spark: SparkSession, roots: list[str], recursive: bool = T
     """
     frames = []
     for root in roots:
-        if not _exists(spark, root):
+        if not path_exists(spark, root):
             continue
         reader = spark.read.option("recursiveFileLookup", str(recursive).lower())
         if name_glob:

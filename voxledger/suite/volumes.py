@@ -65,7 +65,7 @@ def inventory(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("SELECT event_id, event_id // 500 || ',' || event_id % 500 // 25 || ',' || event_id % 25 AS coords, event_id AS back FROM events")
 def linear_index_round_trip(spark: SparkSession, sf: str) -> DataFrame:
-    e = T.event_voxels(spark, sf).withColumn("ids", F.col("coords"))
+    e = T.event_voxels(spark, sf)
     back = linear_index(F.col("coords"), F.array(F.lit(1), F.lit(T.PLANE[0]), F.lit(T.PLANE[1])))
     return e.select(back.alias("event_id"), text_of(F.col("coords")).alias("coords"), back.alias("back"))
 

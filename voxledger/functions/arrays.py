@@ -11,11 +11,12 @@ def product(values: Column) -> Column:
 
 
 def ceil_div(a: Column, b: Column) -> Column:
-    return F.floor((a + b - 1) / b).cast("bigint")
+    return F.call_function("div", a + b - 1, b)
 
 
 def floor_div(a: Column, b: Column) -> Column:
-    return F.floor(a / b).cast("bigint")
+    """Whole quotient of non-negative numbers."""
+    return F.call_function("div", a, b)
 
 
 def cells(shape: Column, chunks: Column) -> Column:

@@ -7,7 +7,7 @@ box overlap, and strides are taken before anything is shuffled.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import product as cross
 
 import numpy as np
@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from voxledger.functions.arrays import floor_div, index_product, linear_index, product
 from voxledger.operators.joins import salted_join
@@ -44,35 +45,40 @@ def _array(row: dict) -> np.ndarray:
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    """Rows as dicts, one at a time, so a batch of large payloads is not copied whole."""
+    """Rows as dicts.  Batches are bounded in rows and bytes by the session settings."""
     for batch in batches:
         names = batch.schema.names
-        for i in range(batch.num_rows):
-            yield {name: batch.column(c)[i].as_py() for c, name in enumerate(names)}
+        for values in zip(*(column.to_pylist() for column in batch.columns)):
+            yield dict(zip(names, values))
 
 
-def _emit(rows: Iterator[dict], schema: pa.Schema, limit_bytes: int = 1 << 26, limit_rows: int = 4096):
+def _emit(rows: Iterator[dict], schema: pa.Schema, limit_bytes: int = 1 << 26, limit_rows: int = 8192):
     """Group output rows into record batches bounded by rows and payload bytes."""
-    held, size = [], 0
+    held = {name: [] for name in schema.names}
+    count = size = 0
     for row in rows:
-        held.append(row)
+        for name, column in held.items():
+            column.append(row[name])
         size += len(row.get("payload") or b"")
-        if size >= limit_bytes or len(held) >= limit_rows:
-            yield pa.RecordBatch.from_pylist(held, schema)
-            held, size = [], 0
-    if held:
-        yield pa.RecordBatch.from_pylist(held, schema)
+        count += 1
+        if size >= limit_bytes or count >= limit_rows:
+            yield pa.RecordBatch.from_pydict(held, schema)
+            held = {name: [] for name in schema.names}
+            count = size = 0
+    if count:
+        yield pa.RecordBatch.from_pydict(held, schema)
 
 
-def _map(df: DataFrame, fn, ddl: str) -> DataFrame:
+def _map(df: DataFrame, fn: Callable[[dict], Iterable[dict]], ddl: str) -> DataFrame:
     """Apply a row-to-rows function over Arrow batches."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
-
-    schema = to_arrow_schema(_parse_datatype_string(ddl))
+    schema = _arrow_schema(ddl)
     return df.mapInArrow(lambda batches: _emit((out for row in _rows(batches) for out in fn(row)), schema), ddl)
 
 
+def _arrow_schema(ddl: str) -> pa.Schema:
+    return to_arrow_schema(T.StructType.fromDDL(ddl))
+
+
 # ---- building blocks -----------------------------------------------------------
 def byte_blocks(df: DataFrame, dataset_id: Column, payload: Column, block_bytes: int, array_name: str = "raw") -> DataFrame:
     """Cut each binary value into uint8 blocks of one axis, without leaving the JVM."""
@@ -225,11 +231,8 @@ def histogram(blocks: DataFrame, low: float, high: float, bins: int) -> DataFram
 
 def voxels(blocks: DataFrame) -> DataFrame:
     """Voxel rows (coords, value) of a block table, vectorised per block."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
-
     ddl = "dataset_id string, array_name string, level int, coords array<bigint>, value double"
-    schema = to_arrow_schema(_parse_datatype_string(ddl))
+    schema = _arrow_schema(ddl)
 
     def run(batches):
         for row in _rows(batches):
@@ -456,20 +459,26 @@ def tree_digest(blocks: DataFrame, fan_in: int = 1024) -> DataFrame:
     """A hash tree over block hashes in block order, for arrays of any size.
 
     Each round joins up to ``fan_in`` neighbouring hashes, so no group grows
-    with the array.  The number of rounds follows from the largest grid.
+    with the array.  An array takes rounds until one hash is left (at least
+    one), so its digest does not depend on the other arrays.
     """
     arrays = inventory(blocks).select(*KEY, F.zip_with("shape", "chunks", lambda d, c: F.ceil(d / c)).alias("grid"))
+    arrays = arrays.withColumn("left", product(F.col("grid").cast("array<bigint>")))
+    most = arrays.agg(F.max("left")).first()[0] or 1
     hashes = salted_join(block_digests(blocks), arrays, KEY, F.col("idx"))
-    level = hashes.select(*KEY, linear_index(F.col("idx"), F.col("grid")).alias("pos"), "sha256")
-    most = arrays.agg(F.max(product(F.col("grid").cast("array<bigint>")))).first()[0] or 1
-    rounds, reach = 1, fan_in
-    while reach < most:
-        rounds, reach = rounds + 1, reach * fan_in
-    for _ in range(rounds):
-        level = level.groupBy(*KEY, F.floor(F.col("pos") / fan_in).cast("bigint").alias("up")).agg(
+    level = hashes.select(*KEY, "left", linear_index(F.col("idx"), F.col("grid")).alias("pos"), "sha256")
+    step, reach = 0, 1
+    while step == 0 or reach < most:
+        joined = F.sha2(F.array_join("h.sha256", ""), 256)
+        finished = (F.col("left") == 1) & F.lit(step > 0)
+        level = level.groupBy(*KEY, "left", F.floor(F.col("pos") / fan_in).cast("bigint").alias("up")).agg(
             F.array_sort(F.collect_list(F.struct("pos", "sha256"))).alias("h")
         )
-        level = level.select(*KEY, F.col("up").alias("pos"), F.sha2(F.array_join("h.sha256", ""), 256).alias("sha256"))
+        level = level.select(
+            *KEY, F.ceil(F.col("left") / fan_in).cast("bigint").alias("left"), F.col("up").alias("pos"),
+            F.when(finished, F.col("h")[0]["sha256"]).otherwise(joined).alias("sha256"),
+        )
+        step, reach = step + 1, reach * fan_in
     return level.select(*KEY, F.col("sha256").alias("tree_sha256"))
 
 

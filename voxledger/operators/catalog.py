@@ -137,17 +137,14 @@ def valid_sample(results: DataFrame, n: int = 5) -> DataFrame:
 
 def processing_seconds(records: DataFrame) -> DataFrame:
     """Seconds from creation to update; unusable timestamps are skipped."""
+    timed = records.where("load_error IS NULL").select("file", "source", _seconds().alias("seconds"))
+    return timed.where("seconds IS NOT NULL")
+
+
+def _seconds() -> Column:
     created, updated = V.as_text(F.col("v"), "created_at"), V.as_text(F.col("v"), "updated_at")
-    both = records.where("load_error IS NULL").select(
-        "file", "source", created.alias("created"), updated.alias("updated")
-    )
-    micros = F.unix_micros(parse_iso(F.col("updated"))) - F.unix_micros(parse_iso(F.col("created")))
-    same_kind = has_zone(F.col("created")) == has_zone(F.col("updated"))
-    return (
-        both.withColumn("seconds", F.when(same_kind, micros / F.lit(1e6)))
-        .where("seconds IS NOT NULL")
-        .select("file", "source", "seconds")
-    )
+    micros = F.unix_micros(parse_iso(updated)) - F.unix_micros(parse_iso(created))
+    return F.when(has_zone(created) == has_zone(updated), micros / F.lit(1e6))
 
 
 def latest_per_source(files: DataFrame, *carry: str, key: str = "source") -> DataFrame:
@@ -177,16 +174,41 @@ def valid_share(latest: DataFrame) -> DataFrame:
 
 
 def processing_summary(results: DataFrame) -> DataFrame:
-    """(section, name, value) rows: totals, status and source counts, errors, times."""
-    status = counts_by(results, "status").select(F.lit("status").alias("section"), F.col("status").alias("name"), F.col("files").cast("double").alias("value"))
-    source = counts_by(results, "source").select(F.lit("source").alias("section"), F.col("source").alias("name"), F.col("files").cast("double").alias("value"))
-    totals = results.agg(F.count(F.lit(1)).alias("total_files"), F.count_if(~F.col("valid")).alias("validation_errors"))
-    total = totals.selectExpr("stack(2, 'total_files', total_files, 'validation_errors', validation_errors) AS (name, value)")
-    total = total.select(F.lit("run").alias("section"), "name", F.col("value").cast("double").alias("value"))
-    times = processing_seconds(results).agg(F.count("seconds").alias("n"), F.sum("seconds").alias("s"))
-    times = times.selectExpr("stack(2, 'count', CAST(n AS DOUBLE), 'seconds', CAST(s AS DOUBLE)) AS (name, value)")
-    times = times.select(F.lit("times").alias("section"), "name", "value")
-    return total.unionByName(status).unionByName(source).unionByName(times)
+    """(section, name, value) rows: totals, status and source counts, errors, times.
+
+    All sections come from one pass with grouping sets.
+    """
+    loaded = F.col("load_error").isNull()
+    field = lambda name: F.coalesce(V.as_text(F.col("v"), name), F.lit("unknown"))
+    rows = results.select(
+        field("status").alias("status"), field("source").alias("given"), loaded.alias("loaded"), "valid",
+        F.when(loaded, _seconds()).alias("seconds"),
+    )
+    sets = rows.groupingSets([["status"], ["given"], []], "status", "given").agg(
+        F.grouping_id().alias("g"),
+        F.count_if("loaded").alias("loaded"),
+        F.count(F.lit(1)).alias("files"),
+        F.count_if(~F.col("valid")).alias("invalid"),
+        F.count("seconds").alias("timed"),
+        F.sum("seconds").alias("seconds"),
+    )
+
+    def row(section: str, name, value: str):
+        named = name if not isinstance(name, str) else F.lit(name)
+        return F.struct(F.lit(section).alias("section"), named.alias("name"), F.col(value).cast("double").alias("value"))
+
+    shown = (
+        F.when(F.col("g") == 1, F.array(row("status", F.col("status"), "loaded")))
+        .when(F.col("g") == 2, F.array(row("source", F.col("given"), "loaded")))
+        .otherwise(
+            F.array(
+                row("run", "total_files", "files"), row("run", "validation_errors", "invalid"),
+                row("times", "count", "timed"), row("times", "seconds", "seconds"),
+            )
+        )
+    )
+    # Groups that only unloaded files fall into are not status or source counts.
+    return sets.where("g = 3 OR loaded > 0").select(F.inline(shown))
 
 
 def error_classes(checked: DataFrame) -> DataFrame:

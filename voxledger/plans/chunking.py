@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxledger import contract
-from voxledger.functions.arrays import cells, product
+from voxledger.functions.arrays import ceil_div, cells, product
 
 MIB = 1048576
 
@@ -167,27 +167,22 @@ def axis_offsets(dim: Column, chunk: Column) -> Column:
     )
 
 
-def chunk_grid(arrays: DataFrame, chunks: str = "chunks", spread: bool = True) -> DataFrame:
+def chunk_grid(arrays: DataFrame, chunks: str = "chunks") -> DataFrame:
     """One row per chunk of three-axis arrays: ``idx``, ``origin``, ``size``.
 
     The first axis is expanded and then spread over tasks, so the grid of one
     huge array is not produced by a single task.
     """
-    axis = lambda i: F.posexplode(axis_offsets(F.col("shape")[i], F.col(chunks)[i]))
-    keep = [c for c in arrays.columns]
-    out = arrays.select(*keep, axis(0).alias("_i0", "_s0"))
-    if spread:
-        out = out.repartition(F.xxhash64("array_name", "_i0"))
-    for n in (1, 2):
-        done = [c for c in out.columns if c not in keep]
-        out = out.select(*keep, *done, axis(n).alias(f"_i{n}", f"_s{n}"))
-    part = lambda f: F.array(*[F.col(f"_s{n}")[f] for n in range(3)])
-    return out.select(
-        *keep,
-        F.array(*[F.col(f"_i{n}") for n in range(3)]).alias("idx"),
-        part("start").alias("origin"),
-        part("size").alias("size"),
-    )
+    keep = list(arrays.columns)
+    dim = lambda n: F.col("shape")[n]
+    step = lambda n: F.col(chunks)[n]
+    axis = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), ceil_div(dim(n), step(n)) - 1)).alias(f"i{n}")
+    out = arrays.select(*keep, axis(0)).repartition(F.xxhash64("array_name", "i0"))
+    out = out.select(*keep, "i0", axis(1)).select(*keep, "i0", "i1", axis(2))
+    index = [F.col(f"i{n}") for n in range(3)]
+    origin = [index[n] * step(n) for n in range(3)]
+    size = [F.least(step(n), dim(n) - origin[n]) for n in range(3)]
+    return out.select(*keep, F.array(*index).alias("idx"), F.array(*origin).alias("origin"), F.array(*size).alias("size"))
 
 
 def pyramid_levels(shape: Column, itemsize: Column, chunk_mb: int, factor: int = 4, max_levels: int = 10) -> Column:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -11,18 +13,37 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # A record that repeats a key keeps the last value, as a JSON loader does.
     "spark.sql.variant.allowDuplicateKeys": "true",
-    # Payload rows are up to several MB each, so Arrow batches stay short.
+    # Payload rows are up to several MB each, so Arrow batches are bounded in bytes.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
 }
 
 
+_SHIPPED: set[str] = set()
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings every operator relies on."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    _ship_package(spark)
     return spark
 
 
+def _ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per context."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="voxledger-")) / "voxledger.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
 def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A single-machine session for tests and the bench."""
     spark = (

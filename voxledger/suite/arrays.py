@@ -151,7 +151,7 @@ def chunk_grid(spark: SparkSession, sf: str) -> DataFrame:
     grid = P.chunk_grid(arrays)
     return grid.groupBy("array_name").agg(
         F.count(F.lit(1)).alias("blocks"),
-        F.sum(product(F.col("size"))).alias("voxels"),
+        F.sum(F.col("size")[0] * F.col("size")[1] * F.col("size")[2]).alias("voxels"),
         F.max(F.col("origin")[0]).alias("last_z"),
         F.max_by(F.col("size")[2], F.col("origin")[2]).alias("last_width"),
     )

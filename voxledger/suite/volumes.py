@@ -109,12 +109,16 @@ def block_sha(spark: SparkSession, sf: str) -> DataFrame:
 @register(
     f"""WITH {_TEXT}, h AS (SELECT doc_id, n, hex(b) AS hx FROM t),
         p AS (SELECT doc_id, hx, unnest(range(0, n, 1024)) AS o FROM h),
-        b AS (SELECT doc_id, o, sha256(unhex(substr(hx, 2 * o + 1, 2048))) AS s FROM p),
-        g AS (SELECT doc_id, o // 8192 AS g, sha256(string_agg(s, '' ORDER BY o)) AS s FROM b GROUP BY ALL)
-        SELECT CAST(doc_id AS VARCHAR) AS dataset_id, sha256(string_agg(s, '' ORDER BY g)) AS tree_sha256 FROM g GROUP BY doc_id"""
+        b AS (SELECT doc_id, o // 1024 AS o, sha256(unhex(substr(hx, 2 * o + 1, 2048))) AS s FROM p),
+        g AS (SELECT doc_id, o // 8 AS o, sha256(string_agg(s, '' ORDER BY o)) AS s FROM b GROUP BY doc_id, o // 8),
+        g2 AS (SELECT doc_id, o // 8 AS o, CASE WHEN max(n) = 1 THEN min(s) ELSE sha256(string_agg(s, '' ORDER BY o)) END AS s
+               FROM (SELECT *, count(*) OVER (PARTITION BY doc_id) AS n FROM g) GROUP BY doc_id, o // 8),
+        g3 AS (SELECT doc_id, CASE WHEN max(n) = 1 THEN min(s) ELSE sha256(string_agg(s, '' ORDER BY o)) END AS s
+               FROM (SELECT *, count(*) OVER (PARTITION BY doc_id) AS n FROM g2) GROUP BY doc_id)
+        SELECT CAST(doc_id AS VARCHAR) AS dataset_id, s AS tree_sha256 FROM g3"""
 )
 def tree_digest(spark: SparkSession, sf: str) -> DataFrame:
-    """Hash tree with eight children per node; two rounds reach 64 blocks."""
+    """Hash tree with eight children per node; three rounds reach 512 blocks."""
     return B.tree_digest(T.text_blocks(spark, sf), fan_in=8).select("dataset_id", "tree_sha256")
 
 

@@ -42,7 +42,7 @@ def unravel(index: Column, shape: list[Column]) -> list[Column]:
     out, rest = [], index.cast("bigint")
     for size in reversed(shape[1:]):
         out.append((rest % size).cast("bigint"))
-        rest = F.floor(rest / size).cast("bigint")
+        rest = floor_div(rest, size)
     out.append(rest)
     return out[::-1]
 

@@ -84,7 +84,7 @@ def byte_blocks(df: DataFrame, dataset_id: Column, payload: Column, block_bytes:
     """Cut each binary value into uint8 blocks of one axis, without leaving the JVM."""
     size = F.octet_length("payload").cast("bigint")
     whole = df.select(dataset_id.cast("string").alias("dataset_id"), payload.alias("payload")).where(size > 0)
-    starts = F.sequence(F.lit(0).cast("bigint"), F.floor((size - 1) / block_bytes).cast("bigint"))
+    starts = F.sequence(F.lit(0).cast("bigint"), floor_div(size - 1, F.lit(block_bytes)))
     rows = whole.select("dataset_id", "payload", size.alias("total"), F.explode(starts).alias("i"))
     start = F.col("i") * block_bytes
     return rows.select(
@@ -471,7 +471,7 @@ def tree_digest(blocks: DataFrame, fan_in: int = 1024) -> DataFrame:
     while step == 0 or reach < most:
         joined = F.sha2(F.array_join("h.sha256", ""), 256)
         finished = (F.col("left") == 1) & F.lit(step > 0)
-        level = level.groupBy(*KEY, "left", F.floor(F.col("pos") / fan_in).cast("bigint").alias("up")).agg(
+        level = level.groupBy(*KEY, "left", floor_div(F.col("pos"), F.lit(fan_in)).alias("up")).agg(
             F.array_sort(F.collect_list(F.struct("pos", "sha256"))).alias("h")
         )
         level = level.select(
@@ -485,7 +485,7 @@ def tree_digest(blocks: DataFrame, fan_in: int = 1024) -> DataFrame:
 # ---- byte ranges ------------------------------------------------------------------------
 def byte_ranges(files: DataFrame, chunk_bytes: int) -> DataFrame:
     """Fixed-size ranges (inclusive ends) that cover each file of ``total`` bytes."""
-    last = F.floor((F.col("total") - 1) / chunk_bytes).cast("bigint")
+    last = floor_div(F.col("total") - 1, F.lit(chunk_bytes))
     rows = files.where("total > 0").select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("chunk_id"))
     start = F.col("chunk_id") * chunk_bytes
     return rows.withColumns(
@@ -510,4 +510,4 @@ def batch_number(arrays: DataFrame, blocks: DataFrame, size: int) -> DataFrame:
     grid = arrays.select(*KEY, F.zip_with("shape", "chunks", lambda d, c: F.ceil(d / c)).alias("_g"))
     position = linear_index(F.col("idx"), F.col("_g"))
     numbered = salted_join(blocks, grid, KEY, F.col("idx")).withColumn("position", position)
-    return numbered.withColumn("batch", F.floor(F.col("position") / size).cast("bigint")).drop("_g")
+    return numbered.withColumn("batch", floor_div(F.col("position"), F.lit(size))).drop("_g")

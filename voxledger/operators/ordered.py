@@ -13,6 +13,8 @@ from math import ceil, sqrt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from voxledger.functions.arrays import floor_div
+
 
 def span_width(df: DataFrame, order: str) -> int:
     """Span width that balances spans per key and rows per span.
@@ -39,7 +41,7 @@ def running(
     ``inclusive``.
     """
     width = width or span_width(df, order)
-    rows = df.withColumn("_span", F.floor(F.col(order) / width).cast("bigint"))
+    rows = df.withColumn("_span", floor_div(F.col(order), F.lit(width)))
     rows = rows.withColumns({f"_m_{name}": value for name, value in measures.items()})
     totals = rows.groupBy(*keys, "_span").agg(*[F.sum(f"_m_{n}").alias(f"_t_{n}") for n in measures])
     before = Window.partitionBy(*keys).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
@@ -61,7 +63,7 @@ def running(
 def previous(df: DataFrame, keys: list[str], order: str, values: dict[str, str], width: int | None = None) -> DataFrame:
     """The previous row's values per key by a unique integer order column."""
     width = width or span_width(df, order)
-    rows = df.withColumn("_span", F.floor(F.col(order) / width).cast("bigint"))
+    rows = df.withColumn("_span", floor_div(F.col(order), F.lit(width)))
     last = F.max_by(F.struct(*values.values()), F.col(order))
     ends = rows.groupBy(*keys, "_span").agg(last.alias("_last"))
     over_spans = Window.partitionBy(*keys).orderBy("_span")

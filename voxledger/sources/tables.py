@@ -201,29 +201,36 @@ def json_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---- volumes ---------------------------------------------------------------------
-PLANE = (20, 25)  # y, x extent of the event volume
+PLANE = (10, 25)  # y, x extent of the event volumes
+VOLUMES = 4
 
 
 def event_voxels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One uint8 voxel per event: ``event_id`` is the C-order position."""
-    from voxledger.functions.arrays import unravel
+    """One uint8 voxel per event, dealt to four volumes in C order of ``event_id``."""
+    from voxledger.functions.arrays import floor_div, unravel
 
     e = table(spark, sf_dir, "events").select("event_id", "props")
     value = F.get_json_object("props", "$.k").cast("int") % 256
-    coords = unravel(F.col("event_id"), [F.lit(0), F.lit(PLANE[0]), F.lit(PLANE[1])])
+    position = floor_div(F.col("event_id"), F.lit(VOLUMES))
+    coords = unravel(position, [F.lit(0), F.lit(PLANE[0]), F.lit(PLANE[1])])
     return e.select(
-        F.lit("events").alias("dataset_id"), F.lit("s0").alias("array_name"), F.lit(0).alias("level"),
-        F.array(*coords).alias("coords"), value.alias("value"),
+        F.concat(F.lit("e"), (F.col("event_id") % VOLUMES).cast("string")).alias("dataset_id"),
+        F.lit("s0").alias("array_name"), F.lit(0).alias("level"), F.array(*coords).alias("coords"), value.alias("value"),
+        "event_id",
     )
 
 
+def event_depth(spark: SparkSession, sf_dir: str) -> int:
+    """Planes per event volume."""
+    last = table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0]
+    return last // VOLUMES // (PLANE[0] * PLANE[1]) + 1
+
+
 def event_blocks(spark: SparkSession, sf_dir: str, chunk: tuple[int, int, int] = (8, 8, 8)) -> DataFrame:
-    """The event volume as blocks; its first axis grows with the table."""
+    """The event volumes as blocks; their first axis grows with the table."""
     from voxledger.operators.blocks import blocks_from_voxels
 
-    last = table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0]
-    depth = last // (PLANE[0] * PLANE[1]) + 1
-    shape = [F.lit(n).cast("bigint") for n in (depth, *PLANE)]
+    shape = [F.lit(n).cast("bigint") for n in (event_depth(spark, sf_dir), *PLANE)]
     return blocks_from_voxels(event_voxels(spark, sf_dir), shape, list(chunk), "uint8")
 
 

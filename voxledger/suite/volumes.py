@@ -25,10 +25,11 @@ def register(sql: str | None = None):
     return add
 
 
-# Voxels of the event volume: event_id is the C-order position in planes of 20 x 25.
+# Voxels of the event volumes: event_id % 4 is the volume, event_id // 4 the
+# C-order position in planes of 10 x 25.
 _VOX = """
 vox AS (
-  SELECT event_id, event_id // 500 AS z, event_id % 500 // 25 AS y, event_id % 25 AS x,
+  SELECT event_id, 'e' || event_id % 4 AS ds, event_id // 4 // 250 AS z, event_id // 4 % 250 // 25 AS y, event_id // 4 % 25 AS x,
          CAST(json_extract_string(props, '$.k') AS BIGINT) % 256 AS v FROM events
 )"""
 _TEXT = "t AS (SELECT doc_id, encode(text) AS b, octet_length(encode(text)) AS n FROM documents)"
@@ -36,23 +37,23 @@ _TEXT = "t AS (SELECT doc_id, encode(text) AS b, octet_length(encode(text)) AS n
 
 # ---- building and inventory ------------------------------------------------------
 @register(
-    f"""WITH {_VOX} SELECT z // 8 || ',' || y // 8 || ',' || x // 8 AS idx, count(*) AS voxels, sum(v) AS total
-        FROM vox GROUP BY 1"""
+    f"""WITH {_VOX} SELECT ds AS dataset_id, z // 8 || ',' || y // 8 || ',' || x // 8 AS idx, count(*) AS voxels, sum(v) AS total
+        FROM vox GROUP BY ALL"""
 )
 def raw_decode(spark: SparkSession, sf: str) -> DataFrame:
     """Blocks packed from voxel rows, decoded again and summed per block."""
     blocks = B.decode_raw(T.event_blocks(spark, sf)).where("error IS NULL")
     stats = B.voxels(blocks)
     idx = F.transform("coords", lambda c: F.floor(c / 8).cast("bigint"))
-    return stats.groupBy(text_of(idx).alias("idx")).agg(
+    return stats.groupBy("dataset_id", text_of(idx).alias("idx")).agg(
         F.count(F.lit(1)).alias("voxels"), F.sum("value").cast("bigint").alias("total")
     )
 
 
 @register(
     f"""WITH {_VOX}, {_TEXT}
-        SELECT 'events' AS dataset_id, (max(z) + 1) || ',20,25' AS shape, 'uint8' AS dtype,
-               (max(z) // 8 + 1) * 12 AS blocks, (max(z) + 1) * 500 AS nbytes FROM vox
+        SELECT ds AS dataset_id, (max(z) + 1) || ',10,25' AS shape, 'uint8' AS dtype,
+               (max(z) // 8 + 1) * 8 AS blocks, (max(z) + 1) * 250 AS nbytes FROM vox GROUP BY ds
         UNION ALL SELECT CAST(doc_id AS VARCHAR), CAST(n AS VARCHAR), 'uint8', (n + 1023) // 1024, n FROM t WHERE n > 0
         UNION ALL SELECT 'v' || vec_id, '4,4,4', 'float32', 1, 256 FROM embeddings"""
 )
@@ -63,11 +64,10 @@ def inventory(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("dataset_id", text_of(F.col("shape")).alias("shape"), "dtype", "blocks", "nbytes")
 
 
-@register("SELECT event_id, event_id // 500 || ',' || event_id % 500 // 25 || ',' || event_id % 25 AS coords, event_id AS back FROM events")
+@register(f"WITH {_VOX} SELECT event_id, z || ',' || y || ',' || x AS coords, event_id // 4 AS position FROM vox")
 def linear_index_round_trip(spark: SparkSession, sf: str) -> DataFrame:
-    e = T.event_voxels(spark, sf)
     back = linear_index(F.col("coords"), F.array(F.lit(1), F.lit(T.PLANE[0]), F.lit(T.PLANE[1])))
-    return e.select(back.alias("event_id"), text_of(F.col("coords")).alias("coords"), back.alias("back"))
+    return T.event_voxels(spark, sf).select("event_id", text_of(F.col("coords")).alias("coords"), back.alias("position"))
 
 
 # ---- statistics --------------------------------------------------------------------
@@ -82,13 +82,9 @@ def vol_stats(spark: SparkSession, sf: str) -> DataFrame:
     return stats.select("dataset_id", "voxels", *[F.round(c, 6).alias(c) for c in ("mean", "low", "high")], "nbytes")
 
 
-@register(
-    f"""WITH {_VOX}, padded AS (SELECT v FROM vox UNION ALL SELECT 0 FROM (SELECT max(z) + 1 AS d FROM vox),
-          LATERAL (SELECT unnest(range((d * 500 - (SELECT count(*) FROM vox))::BIGINT))))
-        SELECT CAST(v // 16 AS INTEGER) AS bin, count(*) AS n FROM padded GROUP BY 1"""
-)
+@register(f"WITH {_VOX} SELECT ds AS dataset_id, v // 16 AS bin, count(*) AS n FROM vox GROUP BY ALL")
 def vol_hist(spark: SparkSession, sf: str) -> DataFrame:
-    return B.histogram(T.event_blocks(spark, sf), 0, 256, 16).select("bin", "n")
+    return B.histogram(T.event_blocks(spark, sf), 0, 256, 16).select("dataset_id", "bin", "n")
 
 
 @register(f"WITH {_TEXT} SELECT CAST(doc_id AS VARCHAR) AS dataset_id, n AS nbytes, sha256(b) AS sha256 FROM t WHERE n > 0")
@@ -124,33 +120,33 @@ def tree_digest(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- stride, pyramid, rechunk --------------------------------------------------------
 @register(
-    f"""WITH {_VOX} SELECT z // 3 AS z, count(*) AS voxels, sum(v) AS total FROM vox
-        WHERE z % 3 = 0 AND y % 3 = 0 AND x % 3 = 0 GROUP BY 1"""
+    f"""WITH {_VOX} SELECT ds AS dataset_id, z // 3 AS z, count(*) AS voxels, sum(v) AS total FROM vox
+        WHERE z % 3 = 0 AND y % 3 = 0 AND x % 3 = 0 GROUP BY ALL"""
 )
 def stride(spark: SparkSession, sf: str) -> DataFrame:
     small = B.voxels(B.stride(T.event_blocks(spark, sf), 3))
-    return small.groupBy(F.col("coords")[0].alias("z")).agg(
+    return small.groupBy("dataset_id", F.col("coords")[0].alias("z")).agg(
         F.count(F.lit(1)).alias("voxels"), F.sum("value").cast("bigint").alias("total")
     )
 
 
 @register(
     f"""WITH {_VOX}, l(level, f) AS (VALUES (1, 2), (2, 4), (3, 8))
-        SELECT level, f AS downsample_factor, count(*) AS voxels, round(avg(v), 6) AS mean, (max(z) // f + 1) || ',' || (max(y) // f + 1) || ',' || (max(x) // f + 1) AS shape
-        FROM vox, l WHERE z % f = 0 AND y % f = 0 AND x % f = 0 GROUP BY level, f"""
+        SELECT ds AS dataset_id, level, f AS downsample_factor, count(*) AS voxels, round(avg(v), 6) AS mean, (max(z) // f + 1) || ',' || (max(y) // f + 1) || ',' || (max(x) // f + 1) AS shape
+        FROM vox, l WHERE z % f = 0 AND y % f = 0 AND x % f = 0 GROUP BY ds, level, f"""
 )
 def pyramid(spark: SparkSession, sf: str) -> DataFrame:
     levels = B.pyramid(T.event_blocks(spark, sf), 3, factor=2)
     stats = B.volume_stats(levels).join(B.inventory(levels).select(*B.KEY, "shape"), B.KEY)
     factor = F.pow(F.lit(2.0), F.col("level")).cast("bigint")
     return stats.select(
-        "level", factor.alias("downsample_factor"), "voxels", F.round("mean", 6).alias("mean"), text_of(F.col("shape")).alias("shape")
+        "dataset_id", "level", factor.alias("downsample_factor"), "voxels", F.round("mean", 6).alias("mean"), text_of(F.col("shape")).alias("shape")
     )
 
 
 @register(
-    f"""WITH {_VOX} SELECT 'level_' || 2 AS name, 2 AS final_level, 4 AS total_reduction_factor, round(avg(v), 6) AS global_mean
-        FROM vox WHERE z % 4 = 0 AND y % 4 = 0 AND x % 4 = 0"""
+    f"""WITH {_VOX} SELECT ds AS dataset_id, 'level_' || 2 AS name, 2 AS final_level, 4 AS total_reduction_factor, round(avg(v), 6) AS global_mean
+        FROM vox WHERE z % 4 = 0 AND y % 4 = 0 AND x % 4 = 0 GROUP BY ds"""
 )
 def pyramid_record(spark: SparkSession, sf: str) -> DataFrame:
     levels = B.pyramid(T.event_blocks(spark, sf), 2, factor=2, keep_all=False)
@@ -161,43 +157,43 @@ def pyramid_record(spark: SparkSession, sf: str) -> DataFrame:
         F.col("mean").alias("global_mean"),
     )
     record = P.pyramid_record(described).select("*", F.explode("pyramid_levels").alias("name", "entry"))
-    return record.select("name", "final_level", "total_reduction_factor", F.round("entry.global_mean", 6).alias("global_mean"))
+    return record.select("dataset_id", "name", "final_level", "total_reduction_factor", F.round("entry.global_mean", 6).alias("global_mean"))
 
 
 @register(
-    f"""WITH {_VOX} SELECT z // 5 || ',' || y // 7 || ',' || x // 6 AS idx, sum(v) AS total,
+    f"""WITH {_VOX} SELECT ds AS dataset_id, z // 5 || ',' || y // 7 || ',' || x // 6 AS idx, sum(v) AS total,
                (z // 5 * 5) || ',' || (y // 7 * 7) || ',' || (x // 6 * 6) AS origin FROM vox GROUP BY ALL"""
 )
 def rechunk(spark: SparkSession, sf: str) -> DataFrame:
     moved = B.rechunk(T.event_blocks(spark, sf), [5, 7, 6])
     stats = B._map(
-        moved, lambda r: [{"idx": r["idx"], "origin": r["origin"], "total": int(B._array(r).sum())}],
-        "idx array<bigint>, origin array<bigint>, total bigint",
+        moved, lambda r: [{"dataset_id": r["dataset_id"], "idx": r["idx"], "origin": r["origin"], "total": int(B._array(r).sum())}],
+        "dataset_id string, idx array<bigint>, origin array<bigint>, total bigint",
     )
-    return stats.select(text_of(F.col("idx")).alias("idx"), "total", text_of(F.col("origin")).alias("origin"))
+    return stats.select("dataset_id", text_of(F.col("idx")).alias("idx"), "total", text_of(F.col("origin")).alias("origin"))
 
 
 # ---- crops -----------------------------------------------------------------------------
 _REQ = """
 req AS (
-  SELECT c_custkey, (c_custkey * 7) % (SELECT max(event_id) // 500 + 1 FROM events) AS z, (c_custkey * 5) % 20 AS y, (c_custkey * 3) % 25 AS x
+  SELECT c_custkey, 'e' || c_custkey % 4 AS ds, (c_custkey * 7) % (SELECT max(event_id) // 4 // 250 + 1 FROM events) AS z,
+         (c_custkey * 5) % 10 AS y, (c_custkey * 3) % 25 AS x
   FROM customer
 )"""
 
 
 def _points(spark: SparkSession, sf: str) -> DataFrame:
-    last = T.table(spark, sf, "events").agg(F.max("event_id")).first()[0]
-    depth, c = last // 500 + 1, F.col("c_custkey")
-    return T.table(spark, sf, "customer").select(
-        c.alias("request_id"), F.lit("events").alias("dataset_id"), F.lit("s0").alias("array_name"), F.lit(0).alias("level"),
-        ((c * 7) % depth).alias("z"), ((c * 5) % 20).alias("y"), ((c * 3) % 25).alias("x"),
+    depth, c = T.event_depth(spark, sf), F.col("c_custkey")
+    return T.spread(T.table(spark, sf, "customer").select("c_custkey")).select(
+        c.alias("request_id"), F.concat(F.lit("e"), (c % 4).cast("string")).alias("dataset_id"), F.lit("s0").alias("array_name"),
+        F.lit(0).alias("level"), ((c * 7) % depth).alias("z"), ((c * 5) % 10).alias("y"), ((c * 3) % 25).alias("x"),
     )
 
 
 @register(
     f"""WITH {_VOX}, {_REQ} SELECT r.c_custkey AS request_id, count(*) AS voxels, sum(v.v) AS total,
                min(v.z) || ',' || min(v.y) || ',' || min(v.x) AS origin
-        FROM req r JOIN vox v ON v.z BETWEEN r.z AND r.z + 5 AND v.y BETWEEN r.y AND r.y + 5 AND v.x BETWEEN r.x AND r.x + 5
+        FROM req r JOIN vox v ON v.ds = r.ds AND v.z BETWEEN r.z AND r.z + 5 AND v.y BETWEEN r.y AND r.y + 5 AND v.x BETWEEN r.x AND r.x + 5
         GROUP BY r.c_custkey"""
 )
 def block_lookup(spark: SparkSession, sf: str) -> DataFrame:
@@ -214,7 +210,7 @@ def block_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 @register(
     f"""WITH {_VOX}, {_REQ} SELECT r.c_custkey AS request_id, v.z // 8 || ',' || v.y // 8 || ',' || v.x // 8 AS idx, count(*) AS voxels
-        FROM req r JOIN vox v ON v.z BETWEEN r.z AND r.z + 1 AND v.y BETWEEN r.y AND r.y + 8 AND v.x BETWEEN r.x AND r.x + 9 GROUP BY ALL"""
+        FROM req r JOIN vox v ON v.ds = r.ds AND v.z BETWEEN r.z AND r.z + 1 AND v.y BETWEEN r.y AND r.y + 8 AND v.x BETWEEN r.x AND r.x + 9 GROUP BY ALL"""
 )
 def crop_blocks(spark: SparkSession, sf: str) -> DataFrame:
     """The blocks each 2 x 9 x 10 crop touches, with the voxels it takes."""
@@ -306,13 +302,13 @@ def block_dataset_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register(
-    f"""WITH {_VOX}, b AS (SELECT DISTINCT z // 8 AS a, y // 8 AS b, x // 8 AS c FROM vox)
-        SELECT (a * 12 + b * 4 + c) // 5 AS batch, count(*) AS blocks, min(a * 12 + b * 4 + c) AS first FROM b GROUP BY 1"""
+    f"""WITH {_VOX}, b AS (SELECT DISTINCT ds, z // 8 AS a, y // 8 AS b, x // 8 AS c FROM vox)
+        SELECT ds AS dataset_id, (a * 8 + b * 4 + c) // 5 AS batch, count(*) AS blocks, min(a * 8 + b * 4 + c) AS first FROM b GROUP BY ALL"""
 )
 def batch_blocks(spark: SparkSession, sf: str) -> DataFrame:
     blocks = T.event_blocks(spark, sf)
     numbered = B.batch_number(B.inventory(blocks), blocks, 5)
-    return numbered.groupBy("batch").agg(F.count(F.lit(1)).alias("blocks"), F.min("position").alias("first"))
+    return numbered.groupBy("dataset_id", "batch").agg(F.count(F.lit(1)).alias("blocks"), F.min("position").alias("first"))
 
 
 @register(

@@ -8,6 +8,7 @@ box overlap, and strides are taken before anything is shuffled.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from itertools import groupby
 from itertools import product as cross
 
 import numpy as np
@@ -22,17 +23,9 @@ from voxledger.functions.arrays import floor_div, index_product, linear_index, p
 from voxledger.operators.joins import salted_join
 
 KEY = ["dataset_id", "array_name", "level"]
+KEY_DDL = "dataset_id string, array_name string, level int"
 BLOCKS = (
-    "dataset_id string, array_name string, level int, idx array<bigint>, origin array<bigint>, "
-    "shape array<bigint>, dtype string, payload binary"
-)
-
-_BOX = T.StructType(
-    [
-        T.StructField("origin", T.ArrayType(T.LongType())),
-        T.StructField("shape", T.ArrayType(T.LongType())),
-        T.StructField("payload", T.BinaryType()),
-    ]
+    f"{KEY_DDL}, idx array<bigint>, origin array<bigint>, shape array<bigint>, dtype string, payload binary"
 )
 
 
@@ -190,7 +183,7 @@ def _stats(row: dict):
     yield {
         **{k: row[k] for k in KEY},
         "n": a.size,
-        "total": float(a.sum(dtype="float64")),
+        "total": float(a.sum(dtype="float64" if a.dtype.kind == "f" else "int64")),
         "low": float(a.min()) if a.size else None,
         "high": float(a.max()) if a.size else None,
         "nbytes": len(row["payload"]),
@@ -300,35 +293,43 @@ def _pieces(row: dict, chunk: list[int]):
         }
 
 
-@F.pandas_udf(_BOX)
-def _assemble(parts: pd.Series, dtype: pd.Series) -> pd.DataFrame:
-    """Put non-overlapping pieces together into their bounding box."""
-    out = []
-    for pieces, name in zip(parts, dtype):
-        starts = np.array([list(p["origin"]) for p in pieces])
-        shapes = np.array([list(p["shape"]) for p in pieces])
-        low = starts.min(axis=0)
-        box = np.zeros((starts + shapes).max(axis=0) - low, _dtype(name))
-        for p, at, size in zip(pieces, starts - low, shapes):
-            where = tuple(slice(a, a + s) for a, s in zip(at, size))
-            box[where] = np.frombuffer(p["payload"], box.dtype).reshape(size)
-        out.append((low.tolist(), list(box.shape), box.tobytes()))
-    return pd.DataFrame(out, columns=["origin", "shape", "payload"])
+def _assemble(pieces: DataFrame, keys: list[str], key_ddl: str) -> DataFrame:
+    """Put the non-overlapping pieces of each key together into their bounding box.
+
+    Pieces arrive sorted by key, so a task holds one result at a time and the
+    sort may spill; no group is gathered into a single row.
+    """
+
+    def run(batches):
+        for _, group in groupby(_rows(batches), lambda row: [row[k] for k in keys]):
+            parts = list(group)
+            starts = np.array([p["origin"] for p in parts])
+            shapes = np.array([p["shape"] for p in parts])
+            low = starts.min(axis=0)
+            box = np.empty((starts + shapes).max(axis=0) - low, _dtype(parts[0]["dtype"]))
+            if sum(len(p["payload"]) for p in parts) < box.nbytes:
+                box[...] = 0
+            for part, at, size in zip(parts, starts - low, shapes):
+                box[tuple(slice(a, a + n) for a, n in zip(at, size))] = _array(part)
+            yield {
+                **{k: parts[0][k] for k in keys}, "origin": low.tolist(), "shape": list(box.shape),
+                "dtype": parts[0]["dtype"], "payload": box.tobytes(),
+            }
+
+    ddl = f"{key_ddl}, origin array<bigint>, shape array<bigint>, dtype string, payload binary"
+    schema = _arrow_schema(ddl)
+    near = pieces.select(*keys, "origin", "shape", "dtype", "payload").repartition(*keys).sortWithinPartitions(*keys)
+    return near.mapInArrow(lambda batches: _emit(run(batches), schema), ddl)
 
 
 def rechunk(blocks: DataFrame, chunk: list[int]) -> DataFrame:
     """The same voxels on another grid.
 
     Source blocks are cut where they lie; the pieces of one target block meet
-    by its index.  A group holds exactly one target block.
+    by its index, so what meets is never larger than a block.
     """
     pieces = _map(blocks, lambda row: _pieces(row, chunk), BLOCKS)
-    grouped = pieces.groupBy(*KEY, "idx").agg(
-        F.first("dtype").alias("dtype"), F.collect_list(F.struct("origin", "shape", "payload")).alias("parts")
-    )
-    return grouped.select(*KEY, "idx", "dtype", _assemble("parts", "dtype").alias("b")).select(
-        *KEY, "idx", "b.origin", "b.shape", "dtype", "b.payload"
-    )
+    return _assemble(pieces, [*KEY, "idx"], f"{KEY_DDL}, idx array<bigint>")
 
 
 # ---- crops ---------------------------------------------------------------------------
@@ -375,12 +376,8 @@ def assemble_crops(pieces: DataFrame, cap_bytes: int = 1 << 28) -> DataFrame:
     sizes = pieces.groupBy("request_id").agg(F.sum(F.octet_length("payload")).alias("nbytes"))
     sized = salted_join(pieces, sizes, ["request_id"], F.col("origin"))
     small = sized.where(F.col("nbytes") <= cap_bytes)
-    grouped = small.groupBy("request_id", *KEY).agg(
-        F.first("dtype").alias("dtype"), F.collect_list(F.struct("origin", "shape", "payload")).alias("parts")
-    )
-    whole = grouped.select("request_id", *KEY, "dtype", _assemble("parts", "dtype").alias("b")).select(
-        "request_id", *KEY, "b.origin", "b.shape", "dtype", "b.payload", F.lit(True).alias("assembled")
-    )
+    joined = _assemble(small, ["request_id", *KEY], f"request_id bigint, {KEY_DDL}")
+    whole = joined.withColumn("assembled", F.lit(True))
     large = sized.where(F.col("nbytes") > cap_bytes).select(
         "request_id", *KEY, "origin", "shape", "dtype", "payload", F.lit(False).alias("assembled")
     )
@@ -448,10 +445,7 @@ def volume_sha256(blocks: DataFrame, cap_bytes: int = 1 << 26) -> DataFrame:
     """
     sizes = blocks.groupBy(*KEY).agg(F.sum(F.octet_length("payload")).alias("nbytes"))
     small = salted_join(blocks, sizes.where(F.col("nbytes") <= cap_bytes), KEY, F.col("origin"))
-    grouped = small.groupBy(*KEY).agg(
-        F.first("dtype").alias("dtype"), F.collect_list(F.struct("origin", "shape", "payload")).alias("parts")
-    )
-    hashed = grouped.select(*KEY, F.sha2(_assemble("parts", "dtype")["payload"], 256).alias("sha256"))
+    hashed = _assemble(small, KEY, KEY_DDL).select(*KEY, F.sha2("payload", 256).alias("sha256"))
     return sizes.join(hashed, KEY, "left")
 
 

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # A record that repeats a key keeps the last value, as a JSON loader does.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Array work costs far more per byte than row work: keep small shuffles parallel.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     # Payload rows are up to several MB each, so Arrow batches are bounded in bytes.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),

@@ -45,7 +45,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield dict(zip(names, values))
 
 
-def _emit(rows: Iterator[dict], schema: pa.Schema, limit_bytes: int = 1 << 26, limit_rows: int = 8192):
+def _emit(rows: Iterator[dict], schema: pa.Schema, limit_bytes: int = 1 << 23, limit_rows: int = 8192):
     """Group output rows into record batches bounded by rows and payload bytes."""
     held = {name: [] for name in schema.names}
     count = size = 0
@@ -487,7 +487,7 @@ def byte_ranges(files: DataFrame, chunk_bytes: int) -> DataFrame:
     )
 
 
-def reassemble(chunks: DataFrame, key: str, cap_bytes: int = 1 << 28) -> DataFrame:
+def reassemble(chunks: DataFrame, key: str, cap_bytes: int = 1 << 26) -> DataFrame:
     """Join chunks in id order into one value per key.
 
     Keys above the cap keep ``payload`` NULL and stay available as chunks.

@@ -7,7 +7,7 @@ Error texts are never gathered into one list: they stay rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxledger import contract
@@ -79,22 +79,16 @@ def distinct_keys(records: DataFrame) -> DataFrame:
 def key_ratios(records: DataFrame) -> DataFrame:
     """Share of a source's records that have each key, to 4 places.
 
-    Totals ride along as a marker row per record, so one aggregate over one
-    scan gives both; the join below only meets (key, source) pairs.
+    A marker row per record counts the source's total in the same aggregate;
+    the window then runs over (source, key) counts, not over records.
     """
-    rows = records.where("load_error IS NULL").select(
-        "source", F.explode(F.concat(F.array(F.lit(None).cast("string")), F.col("keys"))).alias("key")
-    )
-    counted = rows.groupBy("source", "key").agg(F.count(F.lit(1)).alias("n"))
-    by_source = counted.groupBy("source").agg(
-        F.max(F.when(F.col("key").isNull(), F.col("n"))).alias("total"),
-        F.collect_list(F.when(F.col("key").isNotNull(), F.struct("key", "n"))).alias("pairs"),
-    )
-    return by_source.select("source", "total", F.explode("pairs").alias("p")).select(
-        F.col("p.key").alias("key"),
-        "source",
-        F.col("p.n").alias("n"),
-        F.round(F.col("p.n") / F.coalesce("total", F.lit(1)), 4).alias("ratio"),
+    marked = F.when(F.col("load_error").isNull(), F.concat(F.array(F.lit("")), F.transform("keys", lambda k: F.concat(F.lit("="), k))))
+    rows = records.select("source", F.explode_outer(marked).alias("mark"))
+    counted = rows.where("mark IS NOT NULL").groupBy("source", "mark").agg(F.count(F.lit(1)).alias("n"))
+    total = F.max(F.when(F.col("mark") == "", F.col("n"))).over(Window.partitionBy("source"))
+    with_total = counted.withColumn("total", F.coalesce(total, F.lit(1))).where("mark <> ''")
+    return with_total.select(
+        F.substring("mark", 2, 1 << 30).alias("key"), "source", "n", F.round(F.col("n") / F.col("total"), 4).alias("ratio")
     )
 
 

@@ -188,7 +188,7 @@ def log_hint(lines: DataFrame) -> DataFrame:
 
 
 def service_lists(outcomes: DataFrame) -> DataFrame:
-    """Failed and succeeded services per log (a log names few services)."""
+    """Failed and succeeded services per log; a log names a fixed, short list of services."""
     good = F.col("outcome").startswith("success")
     listed = lambda keep: F.array_join(F.array_sort(F.collect_set(F.when(keep, F.col("service")))), ",")
     return outcomes.groupBy("log_id").agg(

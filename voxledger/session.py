@@ -17,7 +17,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     # Payload rows are up to several MB each, so Arrow batches are bounded in bytes.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
 }
 
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from voxledger.operators import blocks as B
+from voxledger.operators import ingest as I
 from voxledger.operators import sinks as K
 from voxledger.plans import chunking as P
 
@@ -191,3 +192,23 @@ def test_grid_covers_each_array_once(spark):
         if r["array_name"] == "x":
             seen[tuple(slice(o, o + n) for o, n in zip(r["origin"], r["size"]))] += 1
     assert (seen == 1).all() and len(grid) == 3 * 3 * 3 + 1
+
+
+def test_store_job_keeps_or_reduces_by_size(spark, blocks, arrays, tmp_path):
+    plan = {r["dataset_id"]: r for r in I.store_arrays(blocks, str(tmp_path / "all"), 2000).collect()}
+    stored = whole(spark.read.schema(B.BLOCKS).parquet(str(tmp_path / "all")))
+    for name, a in arrays.items():
+        assert np.array_equal(stored[name, 0], a)
+        assert plan[name]["strategy"] == "direct" and plan[name]["mean"] == pytest.approx(a.mean(dtype="float64"))
+    limit = arrays["a"].nbytes / 1048576 - 1e-6
+    skipped = {r["dataset_id"]: r for r in I.store_arrays(blocks, str(tmp_path / "skip"), limit, "skip").collect()}
+    assert skipped["a"]["strategy"] == "skipped" and skipped["a"]["mean"] is None and skipped["c"]["mean"] is not None
+    kept = whole(spark.read.schema(B.BLOCKS).parquet(str(tmp_path / "skip")))
+    assert set(kept) == {(n, 0) for n in arrays if arrays[n].nbytes / 1048576 <= limit}
+
+
+def test_rechunk_per_array(blocks, arrays):
+    per_row = F.when(F.col("dataset_id") == "a", F.lit([2, 2, 2])).otherwise(F.lit([9, 9, 9]))
+    moved = B.rechunk(blocks, per_row)
+    assert all(np.array_equal(v, arrays[n]) for (n, _), v in whole(moved).items())
+    assert moved.where("dataset_id = 'a'").count() == 5 * 6 * 7

@@ -6,9 +6,10 @@ import pytest
 
 from tests.test_validate import GOOD, changed, files
 from voxledger.operators import catalog as C
+from voxledger.operators import ingest as I
 from voxledger.operators import migrate as M
 from voxledger.operators import sinks as K
-from voxledger.operators.validate import validate
+from voxledger.operators.validate import InvalidRecords, validate
 from voxledger.sources import files as S
 
 COUNTS = {"ebi": 16, "epfl": 1, "flyem": 1, "idr": 1, "openorganelle": 9}
@@ -136,3 +137,22 @@ def test_scan_of_real_folders(spark, tmp_path):
     assert S.read_record_files(spark, [f"{root}/absent"]).count() == 0
     sources = {r["fname"]: r["source"] for r in validate(found, [root]).collect()}
     assert sources == {"metadata_1.json": "ebi", "a b+c_metadata.json": "unknown", "x_metadata_2.json": "ebi", "metadata_5.json": "unknown"}
+
+
+def test_consolidate_job(spark, tmp_path):
+    for name, text in {"ebi/metadata_1.json": json.dumps(GOOD), "idr/metadata_2.json": "{}"}.items():
+        path = tmp_path / "in" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(text)
+    root, out = str(tmp_path / "in"), str(tmp_path / "out")
+    counters = I.consolidate(spark, [root], out, "now", exclude=["*.tmp"], strict=True)
+    assert (counters["total_files"], counters["valid_files"], counters["invalid_files"]) == (2, 1, 1)
+    doc = read_document(spark, f"{out}/catalog")
+    assert doc["metadata"]["configuration"] == {
+        "exclude_patterns": ["*.tmp"], "include_patterns": ["*metadata*.json"], "scan_directories": [root], "validation_enabled": True,
+    }
+    assert doc["legacy_compatibility"]["total_files_by_source"] == {"ebi": 1, "idr": 1}
+    assert spark.read.json(f"{out}/report").count() == 2
+    with pytest.raises(InvalidRecords):
+        I.consolidate(spark, [root], out, "now", strict=True, fail_on_invalid=True)
+    assert {r["key"] for r in I.key_presence(spark, root).collect()} == set(GOOD)

@@ -322,13 +322,15 @@ def _assemble(pieces: DataFrame, keys: list[str], key_ddl: str) -> DataFrame:
     return near.mapInArrow(lambda batches: _emit(run(batches), schema), ddl)
 
 
-def rechunk(blocks: DataFrame, chunk: list[int]) -> DataFrame:
-    """The same voxels on another grid.
+def rechunk(blocks: DataFrame, chunk: list[int] | Column) -> DataFrame:
+    """The same voxels on another grid, one for all arrays or one per row.
 
     Source blocks are cut where they lie; the pieces of one target block meet
     by its index, so what meets is never larger than a block.
     """
-    pieces = _map(blocks, lambda row: _pieces(row, chunk), BLOCKS)
+    target = chunk if isinstance(chunk, Column) else F.lit(chunk)
+    cut = blocks.withColumn("_chunk", target.cast("array<bigint>"))
+    pieces = _map(cut, lambda row: _pieces(row, row.pop("_chunk")), BLOCKS)
     return _assemble(pieces, [*KEY, "idx"], f"{KEY_DDL}, idx array<bigint>")
 
 

@@ -79,7 +79,15 @@ def _document(sections: list[DataFrame], layout: dict, constants: dict | None =
     return gathered.select(F.to_json(build(layout)).alias("value"))
 
 
-def catalog_document(results: DataFrame, generated_at: str, roots: list[str], strict: bool = False) -> DataFrame:
+def catalog_document(
+    results: DataFrame,
+    generated_at: str,
+    roots: list[str],
+    strict: bool = False,
+    include: list[str] | None = None,
+    exclude: list[str] | None = None,
+    required: list[str] | None = None,
+) -> DataFrame:
     """The catalogue as one row of JSON with keys in sorted order.
 
     Its size follows the number of sources and distinct keys, not of records;
@@ -88,7 +96,7 @@ def catalog_document(results: DataFrame, generated_at: str, roots: list[str], st
     ratios = C.key_ratios(results).groupBy("key").agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("source", "ratio")))).alias("by_source")
     )
-    missing = C.missing_fields(results).groupBy("source").agg(
+    missing = C.missing_fields(results, required).groupBy("source").agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("field", "files")))).alias("fields")
     )
     sample = C.valid_sample(results).select("file", F.to_json("v").alias("record"))
@@ -100,7 +108,7 @@ def catalog_document(results: DataFrame, generated_at: str, roots: list[str], st
         _section("sources", C.sources_found(results).agg(F.sort_array(F.collect_list("source")).alias("m")), F.col("m")),
         _section(
             "completeness",
-            _as_map(C.completeness(results), "source", F.struct("average_fields", "required_fields_present")),
+            _as_map(C.completeness(results, required), "source", F.struct("average_fields", "required_fields_present")),
             F.col("m"),
         ),
         _section("missing", _as_map(missing, "source", F.col("fields")), F.col("m")),
@@ -111,8 +119,8 @@ def catalog_document(results: DataFrame, generated_at: str, roots: list[str], st
         ),
     ]
     settings = {
-        "exclude_patterns": contract.EXCLUDE_PATTERNS,
-        "include_patterns": contract.INCLUDE_PATTERNS,
+        "exclude_patterns": contract.EXCLUDE_PATTERNS if exclude is None else exclude,
+        "include_patterns": include or contract.INCLUDE_PATTERNS,
         "scan_directories": roots,
         "validation_enabled": strict,
     }
@@ -152,13 +160,17 @@ def catalog_document(results: DataFrame, generated_at: str, roots: list[str], st
     return _document(sections, layout, constants)
 
 
-def write_catalog(results: DataFrame, path: str, generated_at: str, roots: list[str]) -> None:
+def kept_results(results: DataFrame) -> DataFrame:
+    """The columns the outputs need, kept while several outputs read them."""
+    wanted = ["file", "source", "mtime", "parsed", "load_error", "keys", "valid", "errors", "error_class", "v"]
+    return results.select(*wanted).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def write_catalog(results: DataFrame, path: str, generated_at: str, roots: list[str], **settings) -> None:
     """Write the catalogue document; the results are read once and kept meanwhile."""
-    kept = results.select(
-        "file", "source", "mtime", "parsed", "load_error", "keys", "valid", "errors", "error_class", "v"
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    kept = kept_results(results)
     try:
-        catalog_document(kept, generated_at, roots).coalesce(1).write.mode("overwrite").text(path)
+        catalog_document(kept, generated_at, roots, **settings).coalesce(1).write.mode("overwrite").text(path)
     finally:
         kept.unpersist()
 

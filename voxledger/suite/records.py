@@ -208,6 +208,11 @@ def error_details(spark: SparkSession, sf: str) -> DataFrame:
     return C.error_details(T.checked_records(spark, sf))
 
 
+@register(with_files("SELECT DISTINCT source FROM recs WHERE NOT load_failed"))
+def sources_found(spark: SparkSession, sf: str) -> DataFrame:
+    return C.sources_found(parse_records(T.candidate_files(spark, sf), T.ROOTS))
+
+
 @register(with_keys("SELECT DISTINCT key FROM keys"))
 def distinct_keys(spark: SparkSession, sf: str) -> DataFrame:
     return C.distinct_keys(parse_records(T.candidate_files(spark, sf), T.ROOTS))

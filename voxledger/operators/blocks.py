@@ -340,10 +340,11 @@ def crop_pieces(requests: DataFrame, blocks: DataFrame, arrays: DataFrame) -> Da
 
     ``requests``: request_id, key columns, ``start``, ``size``.  The box is
     turned into the list of block indices it touches, so the join is an
-    equality on array and block index.  Boxes are clipped to the array.
+    equality on array and block index.  Boxes are clipped to the array.  Where
+    many boxes want one block, adaptive execution splits the boxes' side.
     """
     grid = arrays.select(*KEY, F.col("chunks").alias("_c"), F.col("shape").alias("_dims"))
-    asked = requests.join(grid, KEY)
+    asked = salted_join(requests, grid, KEY, F.col("request_id"))
     stop = F.zip_with("start", "size", lambda a, n: a + n)
     low = F.transform("start", lambda a: F.greatest(a, F.lit(0).cast("bigint")))
     high = F.zip_with(stop, "_dims", lambda e, d: F.least(e, d))

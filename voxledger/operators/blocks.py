@@ -356,6 +356,9 @@ def crop_pieces(requests: DataFrame, blocks: DataFrame, arrays: DataFrame) -> Da
     wanted = asked.where(some).select(
         "request_id", *KEY, "lo", "hi", F.explode(index_product(axes)).alias("idx")
     )
+    # Index rows carry no payload: spreading them keeps many boxes on one array,
+    # or on one block, from being cut by a few tasks.
+    wanted = wanted.repartition(F.xxhash64("request_id", "idx"))
     met = wanted.join(blocks, [*KEY, "idx"])
 
     def trim(row: dict):

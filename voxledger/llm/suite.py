@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from voxledger.llm import (
     decontaminate,
     embedding_join,
+    langid,
     licenses,
+    mixing,
+    quality,
     secrets,
     simhash,
     token_counts,
@@ -31,6 +34,10 @@ def op3_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_join.embedding_table(documents(spark, sf_dir, "embeddings"))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_table(documents(spark, sf_dir))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -38,10 +45,18 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_table(documents(spark, sf_dir), vocabulary)
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_table(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_table(documents(spark, sf_dir))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_table(documents(spark, sf_dir))
+
+
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_table(documents(spark, sf_dir))
 
@@ -52,10 +67,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_decontamination,
         op2_simhash,
         op3_embedding_join,
+        op4_language,
         op5_token_counts,
+        op7_quality,
         op8_secrets,
+        op9_mixing,
         op10_licenses,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_mixing": mixing.MIX_SQL,
+}

@@ -16,6 +16,7 @@ from voxledger.llm import (
     secrets,
     simhash,
     token_counts,
+    warc_zip,
 )
 from voxledger.llm.common import documents
 
@@ -45,6 +46,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_table(documents(spark, sf_dir), vocabulary)
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_zip.archive_table(spark, documents(spark, sf_dir, "pages"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_table(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
 
@@ -69,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_embedding_join,
         op4_language,
         op5_token_counts,
+        op6_warc,
         op7_quality,
         op8_secrets,
         op9_mixing,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -209,5 +208,3 @@ def union_find(n: int, left, right):
             label = up
     return label
 
-
-_WHITE = re.compile(rb"[\x20\x09-\x0D]")

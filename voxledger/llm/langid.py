@@ -25,7 +25,7 @@ FILTERS = {2: 8, 3: 16, 4: 16}  # width: number of filters
 DOCS_PER_LANGUAGE = 1_000  # labelled documents that training takes of a language
 WINDOWS_PER_DOC = 2
 MOST_LANGUAGES = 500
-EPOCHS = 6
+STEPS = 750  # gradient steps, whatever the number of samples
 BATCH = 64
 BLOCK = 8  # windows whose filter answers are held at a time
 UNKNOWN = "und"
@@ -120,10 +120,10 @@ def train(samples: list[tuple[bytes, str]], seed: int = 7) -> ByteNetwork:
     first = {k: np.zeros_like(v) for k, v in params.items()}
     second = {k: np.zeros_like(v) for k, v in params.items()}
     step, size = 0, np.maximum((x != 0).sum(axis=1), 1)
-    for _ in range(EPOCHS):
+    while step < STEPS:
         short = np.where(rng.random(len(x)) < 0.5, rng.integers(6, WINDOW, len(x)), WINDOW)
         order = rng.permutation(len(x))
-        for at in range(0, len(x), BATCH):
+        for at in range(0, len(x), BATCH)[: STEPS - step]:
             rows = order[at : at + BATCH]
             xb = np.where(np.arange(WINDOW)[None, :] < np.minimum(short, size)[rows, None], x[rows], 0)
             grads = _gradients(xb, y[rows], params)

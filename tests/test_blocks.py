@@ -23,7 +23,7 @@ def blocks_of(spark, arrays, chunk=CHUNK, parts=3):
                     b = a[z : z + chunk[0], y : y + chunk[1], x : x + chunk[2]]
                     at = [z, y, x]
                     idx = [o // c for o, c in zip(at, chunk)]
-                    rows.append((name, "s0", 0, idx, at, list(b.shape), str(a.dtype), bytearray(np.ascontiguousarray(b).tobytes())))
+                    rows.append((name, "s0", 0, list(chunk), idx, at, list(b.shape), str(a.dtype), bytearray(np.ascontiguousarray(b).tobytes())))
     return spark.createDataFrame(rows, B.BLOCKS).repartition(parts)
 
 
@@ -62,7 +62,7 @@ def test_inventory(blocks, arrays):
     rows = {r["dataset_id"]: r for r in B.inventory(blocks).collect()}
     for name, a in arrays.items():
         assert rows[name]["shape"] == list(a.shape)
-        assert rows[name]["chunks"] == [min(n, c) for n, c in zip(a.shape, CHUNK)]
+        assert rows[name]["chunks"] == list(CHUNK)
         assert (rows[name]["dtype"], rows[name]["nbytes"]) == (str(a.dtype), a.nbytes)
     assert B.inventory_or_derive(blocks).count() == 3
     with pytest.raises(ValueError):
@@ -125,16 +125,55 @@ def test_crops_match_slices(spark, blocks, arrays):
         a = arrays[name][tuple(slice(max(s, 0), s + n) for s, n in zip(start, size))]
         assert crops[i]["shape"] == list(a.shape) and bytes(crops[i]["payload"]) == np.ascontiguousarray(a).tobytes()
     assert 5 not in crops  # the box lies outside the array
-    capped = B.assemble_crops(pieces, cap_bytes=30).collect()
-    assert sum(np.prod(r["shape"]) for r in capped if r["request_id"] == 1) == arrays["a"].size
-    assert {r["assembled"] for r in capped if r["request_id"] == 1} == {False}
-
-
-def test_volume_hash_is_of_the_c_order_bytes(blocks, arrays):
-    rows = {r["dataset_id"]: r for r in B.volume_sha256(blocks, cap_bytes=1000).collect()}
-    assert rows["a"]["sha256"] is None and rows["a"]["nbytes"] == arrays["a"].nbytes
-    for name in "bc":
-        assert rows[name]["sha256"] == hashlib.sha256(arrays[name].tobytes()).hexdigest()
+    parts = B.assemble_crops(pieces, edge=3)
+    assert parts.columns == B.assemble_crops(pieces).columns
+    got = np.zeros((2, 3, 4), "uint8")
+    for r in parts.where("request_id = 2").collect():
+        assert r["origin"] == [s + 3 * p for s, p in zip([3, 4, 5], r["part"])]
+        where = tuple(slice(o - s, o - s + n) for o, s, n in zip(r["origin"], [3, 4, 5], r["shape"]))
+        got[where] = np.frombuffer(bytes(r["payload"]), "uint8").reshape(r["shape"])
+    assert np.array_equal(got, arrays["a"][3:5, 4:7, 5:9])
+
+
+@pytest.mark.parametrize("factor", [2, 3, 5])
+def test_crops_of_strided_arrays_match_slices(spark, blocks, arrays, factor):
+    small = B.stride(blocks, factor)
+    requests = spark.createDataFrame(
+        [(1, "a", "s0", 0, [0, 0, 0], [9, 11, 13]), (2, "a", "s0", 0, [1, 1, 1], [2, 3, 4]), (3, "b", "s0", 0, [0, 0, 0], [9, 9, 9])],
+        "request_id bigint, dataset_id string, array_name string, level int, start array<bigint>, size array<bigint>",
+    )
+    crops = {r["request_id"]: r for r in B.assemble_crops(B.crop_pieces(requests, small, B.inventory(small))).collect()}
+    for i, name, start, size in [(1, "a", 0, (9, 11, 13)), (2, "a", 1, (2, 3, 4)), (3, "b", 0, (9, 9, 9))]:
+        want = arrays[name][::factor, ::factor, ::factor][tuple(slice(start, start + n) for n in size)]
+        assert crops[i]["shape"] == list(want.shape) and bytes(crops[i]["payload"]) == np.ascontiguousarray(want).tobytes()
+    for r in small.collect():
+        assert r["origin"] == [i * c for i, c in zip(r["idx"], r["chunk"])]
+    positions = B.batch_number(B.inventory(small), small, 4).groupBy("dataset_id").agg(F.count_distinct("position").alias("d"), F.count("*").alias("n"))
+    assert positions.where("d != n").count() == 0
+
+
+def test_any_number_of_axes_and_empty_arrays(spark):
+    rng = np.random.default_rng(2)
+    volumes = {"two": rng.integers(0, 9, (7, 5)).astype("uint8"), "four": rng.integers(0, 9, (3, 4, 2, 5)).astype("uint8"), "none": np.zeros((0, 3), "uint8")}
+    rows = [(n, "s", 0, list(a.shape), "uint8", bytearray(a.tobytes()), None) for n, a in volumes.items()]
+    decoded = spark.createDataFrame(rows, f"{B.KEY_DDL}, shape array<bigint>, dtype string, payload binary, error string")
+    blocks = B.raw_blocks(decoded.where("dataset_id != 'four'"), [3, 2]).unionByName(B.raw_blocks(decoded.where("dataset_id = 'four'"), [2, 2, 2, 2]))
+    found = {r["dataset_id"]: r for r in B.inventory(blocks).collect()}
+    assert {n: found[n]["shape"] for n in volumes} == {n: list(a.shape) for n, a in volumes.items()}
+    assert found["none"]["blocks"] == 2 and found["none"]["nbytes"] == 0
+    assert {r["dataset_id"] for r in B.tree_digest(blocks, 4).collect()} == set(volumes)
+    grid = {r["dataset_id"]: r["count"] for r in P.chunk_grid(B.inventory(blocks).where("dataset_id != 'none'")).groupBy("dataset_id").count().collect()}
+    assert grid == {"two": 9, "four": 12}
+    requests = spark.createDataFrame([(1, "two", "s", 0, [1, 1], [5, 3]), (2, "four", "s", 0, [0, 1, 0, 2], [3, 2, 2, 9])],
+        "request_id bigint, dataset_id string, array_name string, level int, start array<bigint>, size array<bigint>")
+    crops = {r["request_id"]: bytes(r["payload"]) for r in B.assemble_crops(B.crop_pieces(requests, blocks, B.inventory(blocks))).collect()}
+    assert crops == {1: volumes["two"][1:6, 1:4].tobytes(), 2: volumes["four"][0:3, 1:3, :, 2:].tobytes()}
+
+def test_value_hash_has_no_size_limit(spark):
+    values = spark.createDataFrame([(1, bytearray(b"x" * (9 << 20))), (2, bytearray(b"")), (3, None)], "k long, b binary")
+    rows = {r["k"]: (r["nbytes"], r["sha256"]) for r in B.value_sha256(values, "k", F.col("b")).collect()}
+    assert rows[1] == (9 << 20, hashlib.sha256(b"x" * (9 << 20)).hexdigest())
+    assert rows[2] == rows[3] == (0, hashlib.sha256(b"").hexdigest())
 
 
 def test_tree_digest_depends_on_content_only(spark, blocks, arrays):
@@ -150,8 +189,14 @@ def test_stored_blocks_read_back(spark, blocks, arrays, tmp_path):
     K.write_blocks(blocks, str(tmp_path / "t"))
     back = spark.read.schema(B.BLOCKS).parquet(str(tmp_path / "t"))
     assert all(np.array_equal(a, arrays[n]) for (n, _), a in whole(back).items())
-    plan = back.where("dataset_id = 'a' AND level = 0")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(dataset_id" in plan
+    other = blocks_of(spark, {"z": arrays["a"], "b": arrays["b"] + 1})
+    K.write_blocks(other, str(tmp_path / "t"))
+    back = whole(K.read_blocks(spark, str(tmp_path / "t")))
+    assert np.array_equal(back["a", 0], arrays["a"]) and np.array_equal(back["c", 0], arrays["c"])
+    assert np.array_equal(back["z", 0], arrays["a"]) and np.array_equal(back["b", 0], arrays["b"] + 1)
+    one = K.read_blocks(spark, str(tmp_path / "t"), "a")
+    assert set(whole(one)) == {("a", 0)}
+    assert "PartitionFilters: [isnotnull(bucket" in one._jdf.queryExecution().executedPlan().toString()
 
 
 def test_raw_decode_reports_wrong_sizes(spark):
@@ -201,10 +246,14 @@ def test_store_job_keeps_or_reduces_by_size(spark, blocks, arrays, tmp_path):
         assert np.array_equal(stored[name, 0], a)
         assert plan[name]["strategy"] == "direct" and plan[name]["mean"] == pytest.approx(a.mean(dtype="float64"))
     limit = arrays["a"].nbytes / 1048576 - 1e-6
-    skipped = {r["dataset_id"]: r for r in I.store_arrays(blocks, str(tmp_path / "skip"), limit, "skip").collect()}
-    assert skipped["a"]["strategy"] == "skipped" and skipped["a"]["mean"] is None and skipped["c"]["mean"] is not None
-    kept = whole(spark.read.schema(B.BLOCKS).parquet(str(tmp_path / "skip")))
-    assert set(kept) == {(n, 0) for n in arrays if arrays[n].nbytes / 1048576 <= limit}
+    for mode in ("skip", "downsample"):
+        labelled = {r["dataset_id"]: r for r in I.store_arrays(blocks, str(tmp_path / mode), limit, mode).collect()}
+        assert labelled["a"]["strategy"] != "direct" and labelled["a"]["mean"] == pytest.approx(arrays["a"].mean(dtype="float64"))
+        kept = whole(spark.read.schema(B.BLOCKS).parquet(str(tmp_path / mode)))
+        assert all(np.array_equal(kept[n, 0], arrays[n]) for n in arrays)
+    both = blocks.unionByName(blocks.withColumn("level", F.lit(1)))
+    rows = I.store_arrays(both, str(tmp_path / "levels"), 2000).collect()
+    assert sorted((r["dataset_id"], r["level"]) for r in rows) == [(n, k) for n in "abc" for k in (0, 1)]
 
 
 def test_rechunk_per_array(blocks, arrays):

@@ -16,7 +16,7 @@ from voxledger.operators import joins as J
 from voxledger.operators import records as R
 from voxledger.operators import runs as U
 from voxledger.operators import similarity as N
-from voxledger.operators.ordered import previous, running
+from voxledger.operators.ordered import previous, running, span_of
 from voxledger.streaming import jobs as X
 
 
@@ -83,8 +83,8 @@ def test_running_totals_with_a_hot_key(spark):
             before = seen.get(r["k"], 0)
             seen[r["k"]] = before + r["v"]
             want[r["o"]] = seen[r["k"]] if inclusive else before
-        for width in (1, 37, 5000, None):
-            got = running(df, ["k"], "o", {"s": F.col("v")}, width, inclusive)
+        for span in (1, 37, 5000):
+            got = running(df, ["k"], "o", {"s": F.col("v")}, inclusive, span)
             assert {r["o"]: r["s"] for r in got.collect()} == want
     last, before = {}, {}
     for r in rows:
@@ -93,14 +93,6 @@ def test_running_totals_with_a_hot_key(spark):
     assert {r["o"]: r["p"] for r in previous(df, ["k"], "o", {"p": "v"}).collect()} == before
 
 
-def test_retry_schedule_edges(spark):
-    rows = [(1, 0, True), (2, 0, False), (2, 1, True), (3, 0, False), (3, 1, False), (3, 2, False), (4, 0, False), (4, 1, False), (4, 2, True)]
-    got = U.retry_schedule(spark.createDataFrame(rows, "job bigint, attempt bigint, ok boolean"))
-    assert {r["job"]: (r["attempts"], r["succeeded"], r["wait_seconds"]) for r in got.collect()} == {
-        1: (1, True, 0), 2: (2, True, 1), 3: (3, False, 3), 4: (3, True, 3),
-    }
-
-
 def test_log_precedence(spark):
     logs = {
         "a": ["exited with code 0", "ERROR x"], "b": ["exited with code 2", "exited with code 137"], "c": ["SUCCESS: file Saved"],
@@ -113,13 +105,6 @@ def test_log_precedence(spark):
     }
 
 
-def test_salted_join_keeps_every_row(spark):
-    left = spark.range(500).select(F.when(F.col("id") < 400, 0).otherwise(F.col("id") % 5).alias("k"), "id")
-    right = spark.range(5).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
-    got = J.salted_join(left, right, ["k"], F.col("id"), 7)
-    assert got.count() == 500 and got.where("v <> k * 10").count() == 0
-
-
 def test_top_k_in_slices_equals_brute_force(spark, monkeypatch):
     import numpy as np
 
@@ -184,3 +169,19 @@ def test_entry_and_workers_from_another_folder(tmp_path):
     )
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300)
     assert done.returncode == 0, done.stderr[-2000:]
+
+
+def test_sparse_order_values_make_even_spans(spark):
+    df = spark.range(20_000).select(F.lit("hot").alias("k"), (F.col("id") * 137_000_000).alias("o"))
+    sizes = [r["count"] for r in df.groupBy(span_of(df, "o", 500)).count().collect()]
+    assert len(sizes) > 30 and max(sizes) < 1_500 and sum(sizes) == 20_000
+    got = running(df, ["k"], "o", {"n": F.lit(1).cast("bigint")}, True, 500)
+    assert got.where("n != o / 137000000 + 1").count() == 0
+
+
+def test_merging_keeps_going_after_a_bad_record(spark):
+    rows = [('{"a": {"b": 1}}', '{"a": {"c": 2}}'), (None, '{"x": 1}'), ('{"x": 1}', None), ("{broken", "{}"), ("{}", "nope")]
+    df = spark.createDataFrame(rows, "base string, extra string")
+    got = df.select(R.deep_merge("base", "extra").alias("m"), R.merge_error("base", "extra").alias("e")).collect()
+    assert [r["m"] for r in got] == ['{"a": {"b": 1, "c": 2}}', '{"x": 1}', '{"x": 1}', None, None]
+    assert [r["e"] for r in got] == [None, None, None, "base is not JSON", "extra is not JSON"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -47,12 +47,25 @@ def unravel(index: Column, shape: list[Column]) -> list[Column]:
     return out[::-1]
 
 
-def index_product(axes: Column) -> Column:
-    """All index tuples of per-axis index lists, first axis slowest."""
-    return F.aggregate(
-        axes,
-        F.array(F.array().cast("array<bigint>")),
-        lambda acc, axis: F.flatten(
-            F.transform(acc, lambda head: F.transform(axis, lambda i: F.concat(head, F.array(i.cast("bigint")))))
-        ),
-    )
+#: Axes that ``explode_axes`` can expand; records allow two to four.
+MOST_AXES = 8
+
+
+def explode_axes(df: DataFrame, first: str, last: str, name: str) -> DataFrame:
+    """One row per index tuple ``name`` between the arrays ``first`` and ``last`` (inclusive).
+
+    One axis is expanded at a time, and rows are spread over tasks after the first, so no value or task
+    holds all tuples. Rows may differ in their number of axes, up to ``MOST_AXES``.
+    """
+    none = F.array().cast("array<bigint>")
+    fits = F.assert_true(F.size(first) <= MOST_AXES, F.lit(f"more than {MOST_AXES} axes"))
+    out = df.withColumn(name, F.when(fits.isNull(), none))
+    for n in range(MOST_AXES):
+        steps = F.when(F.size(first) > n, F.sequence(F.get(first, F.lit(n)), F.get(last, F.lit(n)))).otherwise(
+            F.array(F.lit(None).cast("bigint"))
+        )
+        out = out.withColumn("_step", F.explode(steps))
+        out = out.withColumn(name, F.when(F.col("_step").isNull(), F.col(name)).otherwise(F.concat(name, F.array("_step"))))
+        if n == 0:
+            out = out.repartition(F.xxhash64(*[c for c in df.columns if c not in (first, last)], "_step"))
+    return out.drop("_step")

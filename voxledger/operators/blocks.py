@@ -1,8 +1,11 @@
 """The block table: dense arrays stored as one row per block.
 
-Payloads are C-order bytes, little-endian.  Operators that read payloads run
-as ``mapInArrow`` over small batches; blocks meet only by block index, never by
-box overlap, and strides are taken before anything is shuffled.
+Payloads are C-order bytes, little-endian.  Every row carries the edges of its
+grid (``chunk``), and ``idx = origin div chunk`` holds in every block table, so
+a lookup by index is right after any stride or rechunk.  Operators that read
+payloads run as ``mapInArrow`` over small batches; blocks meet only by block
+index, never by box overlap, and strides are taken before anything is shuffled.
+An array without voxels is one empty block.
 """
 
 from __future__ import annotations
@@ -19,14 +22,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from voxledger.functions.arrays import floor_div, index_product, linear_index, product
-from voxledger.operators.joins import salted_join
+from voxledger.functions.arrays import explode_axes, floor_div, linear_index, product
 
 KEY = ["dataset_id", "array_name", "level"]
 KEY_DDL = "dataset_id string, array_name string, level int"
 BLOCKS = (
-    f"{KEY_DDL}, idx array<bigint>, origin array<bigint>, shape array<bigint>, dtype string, payload binary"
+    f"{KEY_DDL}, chunk array<bigint>, idx array<bigint>, origin array<bigint>, shape array<bigint>, dtype string, payload binary"
 )
+SEGMENT_CHUNKS = 64  # byte ranges that are joined into one value
+CROP_EDGE = 128  # voxels per axis of a crop's pieces
 
 
 def _dtype(name: str) -> np.dtype:
@@ -74,16 +78,20 @@ def _arrow_schema(ddl: str) -> pa.Schema:
 
 # ---- building blocks -----------------------------------------------------------
 def byte_blocks(df: DataFrame, dataset_id: Column, payload: Column, block_bytes: int, array_name: str = "raw") -> DataFrame:
-    """Cut each binary value into uint8 blocks of one axis, without leaving the JVM."""
+    """Cut each binary value into uint8 blocks of one axis, without leaving the JVM.
+
+    An empty or NULL value is one empty block.
+    """
     size = F.octet_length("payload").cast("bigint")
-    whole = df.select(dataset_id.cast("string").alias("dataset_id"), payload.alias("payload")).where(size > 0)
-    starts = F.sequence(F.lit(0).cast("bigint"), floor_div(size - 1, F.lit(block_bytes)))
+    whole = df.select(dataset_id.cast("string").alias("dataset_id"), F.coalesce(payload, F.lit(b"")).alias("payload"))
+    starts = F.sequence(F.lit(0).cast("bigint"), floor_div(F.greatest(size - 1, F.lit(0)), F.lit(block_bytes)))
     rows = whole.select("dataset_id", "payload", size.alias("total"), F.explode(starts).alias("i"))
     start = F.col("i") * block_bytes
     return rows.select(
         "dataset_id",
         F.lit(array_name).alias("array_name"),
         F.lit(0).alias("level"),
+        F.array(F.lit(block_bytes).cast("bigint")).alias("chunk"),
         F.array("i").alias("idx"),
         F.array(start).alias("origin"),
         F.array(F.least(F.lit(block_bytes).cast("bigint"), F.col("total") - start)).alias("shape"),
@@ -107,6 +115,20 @@ def decode_raw(df: DataFrame) -> DataFrame:
     return df.withColumns({"error": F.when(wrong, text), "payload": F.when(~wrong, F.col("payload"))})
 
 
+def raw_blocks(decoded: DataFrame, chunk: list[int]) -> DataFrame:
+    """Block table from decoded raw volumes (key columns, ``shape``, ``dtype``, ``payload``).
+
+    Each value is cut where it lies; rows with an ``error`` give no block.
+    """
+    whole = decoded.where("error IS NULL").select(*KEY, "shape", "dtype", "payload")
+
+    def cut(row: dict):
+        at = [0] * len(row["shape"])
+        yield from _pieces({**row, "origin": at, "idx": at, "chunk": chunk})
+
+    return _map(whole, cut, BLOCKS)
+
+
 @F.pandas_udf(T.BinaryType())
 def pack_values(values: pd.Series, dtype: pd.Series) -> pd.Series:
     """Bytes of a value list."""
@@ -137,6 +159,7 @@ def blocks_from_voxels(voxels: DataFrame, shape: list[Column], chunk: list[int],
     offset = F.lit(0).cast("bigint")
     for i in range(n):
         offset = offset * size[i] + (c[i] - origin[i])
+    edges = F.array(*[F.lit(n).cast("bigint") for n in chunk])
     rows = voxels.select(
         *KEY, F.array(*idx).alias("idx"), F.array(*origin).alias("origin"), F.array(*size).alias("shape"),
         offset.cast("int").alias("offset"), "value",
@@ -145,28 +168,38 @@ def blocks_from_voxels(voxels: DataFrame, shape: list[Column], chunk: list[int],
         F.collect_list(F.struct("offset", "value")).alias("v")
     )
     return grouped.select(
-        *KEY, "idx", "origin", "shape", F.lit(dtype).alias("dtype"),
+        *KEY, edges.alias("chunk"), "idx", "origin", "shape", F.lit(dtype).alias("dtype"),
         _pack_sparse(F.col("v.offset"), F.col("v.value"), "shape", F.lit(dtype)).alias("payload"),
     )
 
 
 def inventory(blocks: DataFrame) -> DataFrame:
-    """Array inventory of a block table: shape, chunk shape, type, bytes."""
-    end = F.zip_with("origin", "shape", lambda o, s: o + s)
-    axes = range(4)
-    merged = blocks.groupBy(*KEY).agg(
-        *[F.max(F.get(end, F.lit(i))).alias(f"e{i}") for i in axes],
-        *[F.max(F.get("shape", F.lit(i))).alias(f"c{i}") for i in axes],
-        F.first("dtype").alias("dtype"),
-        F.count(F.lit(1)).alias("blocks"),
-        F.sum(F.octet_length("payload")).alias("nbytes"),
-    )
-    return merged.select(
-        *KEY,
-        F.array_compact(F.array(*[f"e{i}" for i in axes])).alias("shape"),
-        F.array_compact(F.array(*[f"c{i}" for i in axes])).alias("chunks"),
-        "dtype", "blocks", "nbytes",
+    """Array inventory of a block table: shape, chunk edges, type, blocks, bytes; any number of axes.
+
+    Payloads are only measured; what is aggregated is one small row per block and axis.
+    """
+    axis = F.posexplode(F.zip_with("origin", "shape", lambda o, s: o + s)).alias("axis", "end")
+    rows = blocks.select(*KEY, "chunk", "dtype", F.octet_length("payload").alias("bytes"), axis)
+    first = F.col("axis") == 0
+    per_axis = rows.groupBy(*KEY, "axis").agg(
+        F.max("end").alias("end"),
+        F.max("chunk").alias("chunk"),
+        F.max("dtype").alias("dtype"),
+        F.count_if(first).alias("blocks"),
+        F.sum(F.when(first, F.col("bytes")).otherwise(0)).alias("nbytes"),
     )
+    return per_axis.groupBy(*KEY).agg(
+        F.array_sort(F.collect_list(F.struct("axis", "end"))).alias("ends"),
+        F.max("chunk").alias("chunks"),
+        F.max("dtype").alias("dtype"),
+        F.sum("blocks").alias("blocks"),
+        F.sum("nbytes").alias("nbytes"),
+    ).select(*KEY, F.col("ends.end").alias("shape"), "chunks", "dtype", "blocks", "nbytes")
+
+
+def grid_of(shape: Column, chunks: Column) -> Column:
+    """Blocks per axis; an axis without voxels has one, empty block."""
+    return F.zip_with(shape, chunks, lambda d, c: F.greatest(F.lit(1).cast("bigint"), floor_div(d + c - 1, c)))
 
 
 def inventory_or_derive(blocks: DataFrame, stored: DataFrame | None = None) -> DataFrame:
@@ -207,11 +240,18 @@ def volume_stats(blocks: DataFrame) -> DataFrame:
 
 
 def histogram(blocks: DataFrame, low: float, high: float, bins: int) -> DataFrame:
-    """Voxels per equal-width bin; the last bin is closed on the right."""
+    """Voxels per equal-width bin; the last bin is closed on the right.
+
+    Voxels below ``low`` are in bin -1, those above ``high`` in bin ``bins``, NaN in bin NULL: every
+    voxel is counted.
+    """
 
     def count(row: dict):
-        found, _ = np.histogram(_array(row), bins, (low, high))
-        for b, n in enumerate(found):
+        a = _array(row)
+        found, _ = np.histogram(a[(a >= low) & (a <= high)], bins, (low, high))
+        missing = int(np.isnan(a).sum()) if a.dtype.kind in "fc" else 0
+        sides = [(-1, (a < low).sum()), *enumerate(found), (bins, (a > high).sum()), (None, missing)]
+        for b, n in sides:
             if n:
                 yield {**{k: row[k] for k in KEY}, "bin": b, "n": int(n)}
 
@@ -241,27 +281,30 @@ def voxels(blocks: DataFrame) -> DataFrame:
 
 # ---- stride, pyramid, rechunk --------------------------------------------------------
 def _strided(row: dict, f: int):
+    """The kept voxels of a block, cut along the grid of the smaller array."""
     skip = [(-o) % f for o in row["origin"]]
-    kept = _array(row)[tuple(slice(s, None, f) for s in skip)]
-    if kept.size:
-        yield {
+    a = _array(row)
+    kept = a[tuple(slice(s, None, f) for s in skip)]
+    if kept.size or not a.size:
+        small = {
             **row,
             "origin": [(o + s) // f for o, s in zip(row["origin"], skip)],
             "shape": list(kept.shape),
             "payload": kept.tobytes(),
         }
+        yield from _pieces(small)
 
 
 def stride(blocks: DataFrame, factor: int) -> DataFrame:
-    """Every ``factor``-th voxel per axis, block by block: no shuffle.
+    """Every ``factor``-th voxel per axis, on the same chunk edges.
 
-    Block indices stay those of the source grid; ``rechunk`` evens the grid.
+    Voxels are dropped where they lie; only what is left meets in the blocks of the new grid.
     """
-    return _map(blocks, lambda row: _strided(row, factor), BLOCKS)
+    return _gather(_map(blocks, lambda row: _strided(row, factor), BLOCKS))
 
 
 def pyramid(blocks: DataFrame, levels: Column | int, factor: int = 4, keep_all: bool = True) -> DataFrame:
-    """Levels 1..n of each array in one pass, since strides compose.
+    """Levels 1..n of each array in one pass, since strides compose; chunk edges stay.
 
     ``levels`` is the level count per row (a column, or one number for all).
     """
@@ -273,15 +316,20 @@ def pyramid(blocks: DataFrame, levels: Column | int, factor: int = 4, keep_all:
             for out in _strided(row, factor**level):
                 yield {**out, "level": row["level"] + level}
 
-    return _map(blocks.withColumn("_levels", count.cast("int")).where("_levels > 0"), run, BLOCKS)
+    counted = blocks.select(*[F.col(c) for c in _names(BLOCKS)], count.cast("int").alias("_levels"))
+    return _gather(_map(counted.where("_levels > 0"), run, BLOCKS))
+
 
+def _names(ddl: str) -> list[str]:
+    return T.StructType.fromDDL(ddl).names
 
-def _pieces(row: dict, chunk: list[int]):
-    """Cut a block along another grid."""
+
+def _pieces(row: dict):
+    """Cut a block along the grid of its ``chunk``."""
     a, origin = _array(row), row["origin"]
     spans = []
-    for o, n, c in zip(origin, a.shape, chunk):
-        spans.append([(i, max(o, i * c), min(o + n, (i + 1) * c)) for i in range(o // c, (o + n - 1) // c + 1)])
+    for o, n, c in zip(origin, a.shape, row["chunk"]):
+        spans.append([(i, max(o, i * c), min(o + n, (i + 1) * c)) for i in range(o // c, max(o + n - 1, o) // c + 1)])
     for cell in cross(*spans):
         part = a[tuple(slice(lo - o, hi - o) for (_, lo, hi), o in zip(cell, origin))]
         yield {
@@ -293,6 +341,12 @@ def _pieces(row: dict, chunk: list[int]):
         }
 
 
+def _gather(pieces: DataFrame) -> DataFrame:
+    """Whole blocks from pieces of a block table."""
+    joined = _assemble(pieces, [*KEY, "chunk", "idx"], f"{KEY_DDL}, chunk array<bigint>, idx array<bigint>")
+    return joined.select(*_names(BLOCKS))
+
+
 def _assemble(pieces: DataFrame, keys: list[str], key_ddl: str) -> DataFrame:
     """Put the non-overlapping pieces of each key together into their bounding box.
 
@@ -329,65 +383,74 @@ def rechunk(blocks: DataFrame, chunk: list[int] | Column) -> DataFrame:
     by its index, so what meets is never larger than a block.
     """
     target = chunk if isinstance(chunk, Column) else F.lit(chunk)
-    cut = blocks.withColumn("_chunk", target.cast("array<bigint>"))
-    pieces = _map(cut, lambda row: _pieces(row, row.pop("_chunk")), BLOCKS)
-    return _assemble(pieces, [*KEY, "idx"], f"{KEY_DDL}, idx array<bigint>")
+    cut = blocks.select(
+        *[F.col(c) if c != "chunk" else target.cast("array<bigint>").alias(c) for c in _names(BLOCKS)]
+    )
+    return _gather(_map(cut, _pieces, BLOCKS))
 
 
 # ---- crops ---------------------------------------------------------------------------
-def crop_pieces(requests: DataFrame, blocks: DataFrame, arrays: DataFrame) -> DataFrame:
-    """The parts of blocks that each requested box covers.
-
-    ``requests``: request_id, key columns, ``start``, ``size``.  The box is
-    turned into the list of block indices it touches, so the join is an
-    equality on array and block index.  Boxes are clipped to the array.  Where
-    many boxes want one block, adaptive execution splits the boxes' side.
+def crop_pieces(requests: DataFrame, blocks: DataFrame, arrays: DataFrame, groups: int = 256) -> DataFrame:
+    """The parts of blocks that each requested box covers, with the box's clipped start as ``lo``.
+
+    ``requests``: request_id, key columns, ``start``, ``size``.  The box is turned axis by axis into
+    rows of the block indices it touches, so the join is an equality on array and block index and no
+    value holds a whole box.  Boxes are clipped to the array.  The boxes of a block are gathered in
+    ``groups`` lists by a hash of their request, and each list meets the payload once: a block that
+    very many boxes want is cut by as many tasks as adaptive execution makes of its lists.
     """
     grid = arrays.select(*KEY, F.col("chunks").alias("_c"), F.col("shape").alias("_dims"))
-    asked = salted_join(requests, grid, KEY, F.col("request_id"))
+    asked = requests.select("request_id", *KEY, "start", "size").join(grid, KEY)
     stop = F.zip_with("start", "size", lambda a, n: a + n)
     low = F.transform("start", lambda a: F.greatest(a, F.lit(0).cast("bigint")))
     high = F.zip_with(stop, "_dims", lambda e, d: F.least(e, d))
     asked = asked.withColumns({"lo": low, "hi": high})
     some = F.forall(F.zip_with("lo", "hi", lambda a, b: a < b), lambda ok: ok)
-    first = F.zip_with("lo", "_c", floor_div)
-    last = F.zip_with("hi", "_c", lambda b, c: floor_div(b - 1, c))
-    axes = F.zip_with(first, last, lambda a, b: F.sequence(a, b))
-    wanted = asked.where(some).select(
-        "request_id", *KEY, "lo", "hi", F.explode(index_product(axes)).alias("idx")
+    boxes = asked.where(some).select(
+        "request_id", *KEY, "lo", "hi",
+        F.zip_with("lo", "_c", floor_div).alias("_first"),
+        F.zip_with("hi", "_c", lambda b, c: floor_div(b - 1, c)).alias("_last"),
     )
-    # Index rows carry no payload: spreading them keeps many boxes on one array,
-    # or on one block, from being cut by a few tasks.
-    wanted = wanted.repartition(F.xxhash64("request_id", "idx"))
-    met = wanted.join(blocks, [*KEY, "idx"])
+    group = F.pmod(F.xxhash64("request_id"), F.lit(groups)).alias("_group")
+    wanted = explode_axes(boxes, "_first", "_last", "idx").select("request_id", *KEY, "lo", "hi", "idx", group)
+    lists = wanted.groupBy(*KEY, "idx", "_group").agg(F.collect_list(F.struct("request_id", "lo", "hi")).alias("boxes"))
+    met = lists.drop("_group").join(blocks.drop("chunk"), [*KEY, "idx"])
 
     def trim(row: dict):
-        lo = [max(o, a) for o, a in zip(row["origin"], row["lo"])]
-        hi = [min(o + n, b) for o, n, b in zip(row["origin"], row["shape"], row["hi"])]
-        part = _array(row)[tuple(slice(a - o, b - o) for a, b, o in zip(lo, hi, row["origin"]))]
-        yield {
-            **{k: row[k] for k in ("request_id", *KEY, "idx", "dtype")},
-            "origin": lo, "shape": list(part.shape), "payload": part.tobytes(),
-        }
+        whole = _array(row)
+        for box in row["boxes"]:
+            lo = [max(o, a) for o, a in zip(row["origin"], box["lo"])]
+            hi = [min(o + n, b) for o, n, b in zip(row["origin"], row["shape"], box["hi"])]
+            part = whole[tuple(slice(a - o, b - o) for a, b, o in zip(lo, hi, row["origin"]))]
+            yield {
+                **{k: row[k] for k in (*KEY, "idx", "dtype")}, "request_id": box["request_id"], "lo": box["lo"],
+                "origin": lo, "shape": list(part.shape), "payload": part.tobytes(),
+            }
 
-    return _map(met, trim, f"request_id bigint, {BLOCKS}")
+    return _map(met, trim, CROP_PIECES)
 
 
-def assemble_crops(pieces: DataFrame, cap_bytes: int = 1 << 28) -> DataFrame:
-    """One array per request.
+CROP_PIECES = (
+    f"request_id bigint, {KEY_DDL}, lo array<bigint>, idx array<bigint>, origin array<bigint>, shape array<bigint>, "
+    "dtype string, payload binary"
+)
+
+
+def assemble_crops(pieces: DataFrame, edge: int = CROP_EDGE) -> DataFrame:
+    """Each crop as blocks of a grid of its own, ``edge`` voxels per axis from the crop's start.
 
-    Requests above ``cap_bytes`` would not fit a single value; they come back
-    as their pieces (``assembled`` false), so nothing is lost.
+    A crop within one edge is one row; a larger one has a row per ``part`` of its grid, of the same
+    columns.  ``origin`` is the place in the array.
     """
-    sizes = pieces.groupBy("request_id").agg(F.sum(F.octet_length("payload")).alias("nbytes"))
-    sized = salted_join(pieces, sizes, ["request_id"], F.col("origin"))
-    small = sized.where(F.col("nbytes") <= cap_bytes)
-    joined = _assemble(small, ["request_id", *KEY], f"request_id bigint, {KEY_DDL}")
-    whole = joined.withColumn("assembled", F.lit(True))
-    large = sized.where(F.col("nbytes") > cap_bytes).select(
-        "request_id", *KEY, "origin", "shape", "dtype", "payload", F.lit(False).alias("assembled")
-    )
-    return whole.unionByName(large)
+
+    def cut(row: dict):
+        local = {**row, "chunk": [edge] * len(row["lo"]), "origin": [o - a for o, a in zip(row["origin"], row["lo"])]}
+        for piece in _pieces(local):
+            yield {**piece, "part": piece["idx"], "origin": [o + a for o, a in zip(piece["origin"], row["lo"])]}
+
+    keys = f"request_id bigint, {KEY_DDL}, part array<bigint>"
+    cut_ddl = f"{keys}, origin array<bigint>, shape array<bigint>, dtype string, payload binary"
+    return _assemble(_map(pieces, cut, cut_ddl), ["request_id", *KEY, "part"], keys)
 
 
 def block_lookup(points: DataFrame, blocks: DataFrame, arrays: DataFrame, size: int = 128) -> DataFrame:
@@ -444,15 +507,14 @@ def block_digests(blocks: DataFrame) -> DataFrame:
     return blocks.select(*KEY, "idx", "origin", F.sha2("payload", 256).alias("sha256"))
 
 
-def volume_sha256(blocks: DataFrame, cap_bytes: int = 1 << 26) -> DataFrame:
-    """SHA-256 of the C-order bytes of each array up to ``cap_bytes``.
+def value_sha256(values: DataFrame, key: str, payload: Column) -> DataFrame:
+    """Size and SHA-256 of volumes that are one value each.
 
-    Larger arrays get a NULL hash here; ``tree_digest`` covers every size.
+    A plain SHA-256 reads its bytes in order and can't be split; a volume that is a block table has a
+    ``tree_digest`` instead, whatever its size.
     """
-    sizes = blocks.groupBy(*KEY).agg(F.sum(F.octet_length("payload")).alias("nbytes"))
-    small = salted_join(blocks, sizes.where(F.col("nbytes") <= cap_bytes), KEY, F.col("origin"))
-    hashed = _assemble(small, KEY, KEY_DDL).select(*KEY, F.sha2("payload", 256).alias("sha256"))
-    return sizes.join(hashed, KEY, "left")
+    whole = values.select(key, F.coalesce(payload, F.lit(b"")).alias("_whole"))
+    return whole.select(key, F.octet_length("_whole").cast("bigint").alias("nbytes"), F.sha2("_whole", 256).alias("sha256"))
 
 
 def tree_digest(blocks: DataFrame, fan_in: int = 1024) -> DataFrame:
@@ -462,10 +524,10 @@ def tree_digest(blocks: DataFrame, fan_in: int = 1024) -> DataFrame:
     with the array.  An array takes rounds until one hash is left (at least
     one), so its digest does not depend on the other arrays.
     """
-    arrays = inventory(blocks).select(*KEY, F.zip_with("shape", "chunks", lambda d, c: F.ceil(d / c)).alias("grid"))
-    arrays = arrays.withColumn("left", product(F.col("grid").cast("array<bigint>")))
+    arrays = inventory(blocks).select(*KEY, grid_of(F.col("shape"), F.col("chunks")).alias("grid"))
+    arrays = arrays.withColumn("left", product(F.col("grid")))
     most = arrays.agg(F.max("left")).first()[0] or 1
-    hashes = salted_join(block_digests(blocks), arrays, KEY, F.col("idx"))
+    hashes = block_digests(blocks).join(arrays, KEY)
     level = hashes.select(*KEY, "left", linear_index(F.col("idx"), F.col("grid")).alias("pos"), "sha256")
     step, reach = 0, 1
     while step == 0 or reach < most:
@@ -484,30 +546,34 @@ def tree_digest(blocks: DataFrame, fan_in: int = 1024) -> DataFrame:
 
 # ---- byte ranges ------------------------------------------------------------------------
 def byte_ranges(files: DataFrame, chunk_bytes: int) -> DataFrame:
-    """Fixed-size ranges (inclusive ends) that cover each file of ``total`` bytes."""
-    last = floor_div(F.col("total") - 1, F.lit(chunk_bytes))
-    rows = files.where("total > 0").select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("chunk_id"))
+    """Fixed-size ranges (inclusive ends) that cover each file of ``total`` bytes.
+
+    A file without bytes has one range that ends before it starts.
+    """
+    last = floor_div(F.greatest(F.col("total") - 1, F.lit(0)), F.lit(chunk_bytes))
+    rows = files.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("chunk_id"))
     start = F.col("chunk_id") * chunk_bytes
     return rows.withColumns(
         {"start_byte": start, "end_byte": F.least(start + chunk_bytes - 1, F.col("total") - 1)}
     )
 
 
-def reassemble(chunks: DataFrame, key: str, cap_bytes: int = 1 << 26) -> DataFrame:
-    """Join chunks in id order into one value per key.
+def reassemble(chunks: DataFrame, key: str, segment_chunks: int = SEGMENT_CHUNKS) -> DataFrame:
+    """Join neighbouring chunks in id order into segments of at most ``segment_chunks`` chunks.
 
-    Keys above the cap keep ``payload`` NULL and stay available as chunks.
+    Every key comes back whole, as one row per ``seq``; in the order of ``seq`` the payloads are the file.
     """
-    parts = chunks.groupBy(key).agg(F.sum(F.octet_length("payload")).alias("nbytes"), F.count(F.lit(1)).alias("chunks"))
-    small = salted_join(chunks, parts.where(F.col("nbytes") <= cap_bytes).select(key), [key], F.col("chunk_id"))
-    joined = small.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("chunk_id", "payload"))).alias("p"))
+    joined = chunks.groupBy(key, floor_div(F.col("chunk_id"), F.lit(segment_chunks)).alias("seq")).agg(
+        F.array_sort(F.collect_list(F.struct("chunk_id", "payload"))).alias("p"), F.count(F.lit(1)).alias("chunks")
+    )
     text = F.array_join(F.transform("p", lambda x: F.hex(x["payload"])), "")
-    return parts.join(joined.select(key, F.unhex(text).alias("payload")), key, "left")
+    out = joined.select(key, "seq", "chunks", F.unhex(text).alias("payload"))
+    return out.withColumn("nbytes", F.octet_length("payload").cast("bigint"))
 
 
 def batch_number(arrays: DataFrame, blocks: DataFrame, size: int) -> DataFrame:
     """Batches of ``size`` blocks in block order, from the index alone: no window."""
-    grid = arrays.select(*KEY, F.zip_with("shape", "chunks", lambda d, c: F.ceil(d / c)).alias("_g"))
+    grid = arrays.select(*KEY, grid_of(F.col("shape"), F.col("chunks")).alias("_g"))
     position = linear_index(F.col("idx"), F.col("_g"))
-    numbered = salted_join(blocks, grid, KEY, F.col("idx")).withColumn("position", position)
+    numbered = blocks.join(grid, KEY).withColumn("position", position)
     return numbered.withColumn("batch", floor_div(F.col("position"), F.lit(size))).drop("_g")

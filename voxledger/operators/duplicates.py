@@ -22,13 +22,11 @@ def duplicate_groups(rows: DataFrame, keys: list[str], member: str) -> DataFrame
 def duplicate_members(rows: DataFrame, keys: list[str], member: str) -> DataFrame:
     """Each copy linked to the first member of its group.
 
-    The group table is small next to the rows and is joined back salted, so a
-    group with a third of all rows is spread over tasks.
+    The group table has a row per group; a group with a third of all rows makes a hot key, whose
+    partition adaptive execution splits.
     """
-    from voxledger.operators.joins import salted_join
-
     groups = duplicate_groups(rows, keys, member).select(*keys, "first", "copies")
-    linked = salted_join(rows, groups, keys, F.col(member))
+    linked = rows.join(groups, keys)
     return linked.where(F.col(member) != F.col("first"))
 
 

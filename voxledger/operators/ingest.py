@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from voxledger.operators import blocks as B
 from voxledger.operators import catalog as C
 from voxledger.operators import sinks as K
-from voxledger.operators.joins import salted_join
 from voxledger.operators.validate import strict_gate, validate
 from voxledger.plans import chunking as P
 from voxledger.sources.files import read_record_files, scan
@@ -50,32 +49,33 @@ def key_presence(spark: SparkSession, root: str = "..") -> DataFrame:
 
 
 def plan_arrays(arrays: DataFrame, max_mb: float, mode: str = "stream", cpus: int = 8) -> DataFrame:
-    """Size, class, route, target chunks and pyramid levels of an inventory."""
+    """Size, class, route, target chunks and pyramid levels of an inventory.
+
+    Class and route are labels: they say what a single process would do. Every array has one planner.
+    """
     size = P.item_size(F.col("dtype"))
     mb = P.size_mb(F.col("shape"), size)
-    target = F.when(mb >= 200, P.stream_chunks(F.col("shape"), size, 8, cpus)).otherwise(
-        P.memory_chunks(F.col("shape"), F.col("chunks"), mb)
-    )
     return arrays.select(
         *B.KEY, mb.alias("mb"), P.size_class(mb).alias("size_class"), *P.route(mb, max_mb, mode),
-        target.alias("target"), P.pyramid_levels(F.col("shape"), size, 32).alias("levels"),
+        P.stream_chunks(F.col("shape"), size, 8, cpus).alias("target"),
+        P.pyramid_levels(F.col("shape"), size, 32).alias("levels"),
     )
 
 
 def store_arrays(blocks: DataFrame, path: str, max_mb: float, mode: str = "stream", cpus: int = 8) -> DataFrame:
-    """Store each array on the grid its size asks for; returns plan and statistics.
+    """Store every array in full on the grid its size asks for, with the levels of its pyramid beside it.
 
-    Every size class runs through the same job: the route is a label.  Arrays
-    over the limit are stored strided in ``downsample`` mode; in ``skip`` mode
-    they are only planned (their statistics are NULL).  Statistics come from
-    the stored table.
+    Returns plan and statistics of what is stored, per array and level. Arrays of any size and route
+    run through the same job. A made level has the name ``<array>/pyramid`` and the number of strides
+    above its source, so it never meets a level that came with the data. Statistics come from the
+    stored table.
     """
     plan = plan_arrays(B.inventory(blocks), max_mb, mode, cpus)
-    placed = salted_join(blocks, plan.select(*B.KEY, "strategy", "target", "levels"), B.KEY, F.col("idx"))
-    reduce = (F.col("strategy") == "downsample") & (F.col("levels") > 0)
-    whole = B.rechunk(placed.where(~reduce & (F.col("strategy") != "skipped")), F.col("target"))
-    small = B.pyramid(placed.where(reduce), F.col("levels"), keep_all=False)
-    K.write_blocks(whole.unionByName(small.select(*whole.columns)), path)
+    names = B._names(B.BLOCKS)
+    placed = blocks.drop("chunk").join(plan.select(*B.KEY, F.col("target").alias("chunk"), "levels"), B.KEY)
+    whole = B.rechunk(placed.select(*names), F.col("chunk"))
+    source = F.concat(F.col("array_name"), F.lit("/"), F.col("level").cast("string"), F.lit("/pyramid"))
+    made = B.pyramid(placed.withColumns({"array_name": source, "level": F.lit(0)}), F.col("levels"))
+    K.write_blocks(whole.unionByName(made), path)
     stored = blocks.sparkSession.read.schema(B.BLOCKS).parquet(path)
-    stats = B.volume_stats(stored).withColumnRenamed("level", "stored_level")
-    return plan.join(stats, ["dataset_id", "array_name"], "left")
+    return plan.join(B.volume_stats(stored), B.KEY, "full")

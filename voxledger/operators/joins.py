@@ -1,4 +1,8 @@
-"""Keyed lookups: directories, fallbacks, work lists, overlays, salted joins."""
+"""Keyed lookups: directories, fallbacks, work lists, overlays.
+
+A hot key is left to adaptive execution, which splits its partitions by their measured size; the session
+settings let it do so even where that costs one more shuffle.
+"""
 
 from __future__ import annotations
 
@@ -6,18 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread: Column, salts: int = 16, how: str = "inner") -> DataFrame:
-    """Join a large side with hot keys to a side that has one row per key.
-
-    Rows of a hot key go to ``salts`` partitions by the hash of ``spread``;
-    the other side is repeated once per salt.  Spark still broadcasts the
-    repeated side when its measured size allows.
-    """
-    many = left.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)))
-    one = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
-    return many.join(one, [*keys, "_salt"], how).drop("_salt")
-
-
 def lookup_or_error(rows: DataFrame, table: DataFrame, key: str, value: str, message: str) -> DataFrame:
     """Left lookup; a miss becomes an ``error`` text with the key, the row stays."""
     hit = table.select(key, value)

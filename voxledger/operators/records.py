@@ -248,12 +248,30 @@ def _merge(base, extra):
 
 @F.pandas_udf(T.StringType())
 def deep_merge(base: pd.Series, extra: pd.Series) -> pd.Series:
-    """Deep merge of two JSON objects given as text; keys come out sorted."""
-    merged = [
-        a if b is None else json.dumps(_merge(json.loads(a), json.loads(b)), sort_keys=True, ensure_ascii=False)
-        for a, b in zip(base, extra)
-    ]
-    return pd.Series(merged, dtype=object)
+    """Deep merge of two JSON objects given as text; keys come out sorted.
+
+    With one text NULL the other is the result. A text that is not JSON gives NULL, and
+    ``merge_error`` names it: one bad record never fails the run.
+    """
+    return pd.Series([_merged(a, b)[0] for a, b in zip(base, extra)], dtype=object)
+
+
+@F.pandas_udf(T.StringType())
+def merge_error(base: pd.Series, extra: pd.Series) -> pd.Series:
+    """Why two texts can't be merged; NULL if they can."""
+    return pd.Series([_merged(a, b)[1] for a, b in zip(base, extra)], dtype=object)
+
+
+def _merged(a: str | None, b: str | None) -> tuple[str | None, str | None]:
+    if a is None or b is None:
+        return (a if b is None else b), None
+    values = []
+    for side, text in (("base", a), ("extra", b)):
+        try:
+            values.append(json.loads(text))
+        except ValueError:
+            return None, f"{side} is not JSON"
+    return json.dumps(_merge(*values), sort_keys=True, ensure_ascii=False), None
 
 
 # ---- field mapping ------------------------------------------------------------

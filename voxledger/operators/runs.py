@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxledger.functions.text import duration_text, eta_text
-from voxledger.operators.joins import salted_join
 from voxledger.operators.ordered import running
 
 
@@ -65,46 +64,25 @@ def size_cliffs(steps: DataFrame) -> DataFrame:
     ).withColumn("cliff", F.coalesce(F.col("time_ratio") > F.col("size_ratio"), F.lit(False)))
 
 
-def running_progress(jobs: DataFrame, keys: list[str], order: str, width: int | None = None) -> DataFrame:
+def running_progress(jobs: DataFrame, keys: list[str], order: str) -> DataFrame:
     """Completed and elapsed before each job, the average so far and the ETA."""
     ok = (F.col("status") == "complete").cast("bigint")
     bad = (F.col("status") == "failed").cast("bigint")
     so_far = running(
         jobs, keys, order,
         {"completed": F.lit(1).cast("bigint"), "succeeded": ok, "failed_before": bad, "elapsed": F.col("seconds")},
-        width,
     )
     total = jobs.groupBy(*keys).agg(F.count(F.lit(1)).alias("total"))
     average = F.try_divide(F.col("elapsed"), F.col("completed"))
-    return salted_join(so_far, total, keys, F.col(order)).withColumns(
+    return so_far.join(total, keys).withColumns(
         {"average": average, "eta_seconds": (F.col("total") - F.col("completed")) * average}
     )
 
 
-def retry_count(events: DataFrame, width: int | None = None) -> DataFrame:
+def retry_count(events: DataFrame) -> DataFrame:
     """Failures so far per data set at each status event."""
     return running(
-        events, ["dataset_id"], "ord", {"retry_count": (F.col("status") == "failed").cast("bigint")}, width, True
-    )
-
-
-def retry_schedule(attempts: DataFrame, max_retries: int = 3) -> DataFrame:
-    """Attempts made, waits spent and outcome per job.
-
-    Attempt ``n`` (from 0) waits ``2^n`` seconds after a failure, except after
-    the last; attempts stop at the first success.
-    """
-    tried = attempts.where(F.col("attempt") < max_retries)
-    first = tried.groupBy("job").agg(
-        F.min(F.when(F.col("ok"), F.col("attempt"))).alias("won"), F.max("attempt").alias("last")
-    )
-    end = F.coalesce("won", "last")
-    fails = F.when(F.col("won").isNotNull(), F.col("won")).otherwise(F.least(end + 1, F.lit(max_retries - 1)))
-    return first.select(
-        "job",
-        (end + 1).alias("attempts"),
-        F.col("won").isNotNull().alias("succeeded"),
-        (F.pow(F.lit(2.0), fails) - 1).cast("bigint").alias("wait_seconds"),
+        events, ["dataset_id"], "ord", {"retry_count": (F.col("status") == "failed").cast("bigint")}, True
     )
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxledger import contract
-from voxledger.functions.arrays import ceil_div, cells, product
+from voxledger.functions.arrays import ceil_div, cells, explode_axes, product
 
 MIB = 1048576
 
@@ -55,12 +55,6 @@ def split_label(mb: Column, max_mb: float, mode: str) -> Column:
     return F.when(mb <= max_mb, "normal").otherwise("skipped" if mode == "skip" else "special")
 
 
-def memory_guard(rss_mb: Column, limit_gb: Column) -> Column:
-    """``skip`` above half of the limit, ``warn`` above 30 %, else ``ok``."""
-    limit = limit_gb * 1024
-    return F.when(rss_mb > limit * 0.5, "skip").when(rss_mb > limit * 0.3, "warn").otherwise("ok")
-
-
 @dataclass(frozen=True)
 class Step:
     """An axis longer than ``above`` is cut in ``parts``, no piece below ``least``."""
@@ -95,15 +89,6 @@ BALANCED = MemoryPlan(
     ),
     max_chunks=2000, fallback=Step(0, 32, 6),
 )
-CAUTIOUS = MemoryPlan(
-    whole_mb=4, small_mb=32, small_inclusive=True, small_chunk=32,
-    bands=(
-        (1000, False, (Step(512, 64, 6), Step(128, 32, 4))),
-        (200, False, (Step(256, 64, 8), Step(64, 32, 4))),
-        (0, True, (Step(128, 32, 8),)),
-    ),
-    max_chunks=1000, fallback=Step(0, 16, 8),
-)
 # -----------------------------------------------------------------------------
 
 
@@ -168,39 +153,38 @@ def axis_offsets(dim: Column, chunk: Column) -> Column:
 
 
 def chunk_grid(arrays: DataFrame, chunks: str = "chunks") -> DataFrame:
-    """One row per chunk of three-axis arrays: ``idx``, ``origin``, ``size``.
+    """One row per chunk of arrays of any number of axes: ``idx``, ``origin``, ``size``.
 
-    The first axis is expanded and then spread over tasks, so the grid of one
-    huge array is not produced by a single task.
+    Axes are expanded one by one and spread over tasks after the first, so the grid of one huge array
+    is not produced by a single task.
     """
     keep = list(arrays.columns)
-    dim = lambda n: F.col("shape")[n]
-    step = lambda n: F.col(chunks)[n]
-    axis = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), ceil_div(dim(n), step(n)) - 1)).alias(f"i{n}")
-    out = arrays.select(*keep, axis(0)).repartition(F.xxhash64("array_name", "i0"))
-    out = out.select(*keep, "i0", axis(1)).select(*keep, "i0", "i1", axis(2))
-    index = [F.col(f"i{n}") for n in range(3)]
-    origin = [index[n] * step(n) for n in range(3)]
-    size = [F.least(step(n), dim(n) - origin[n]) for n in range(3)]
-    return out.select(*keep, F.array(*index).alias("idx"), F.array(*origin).alias("origin"), F.array(*size).alias("size"))
-
-
-def pyramid_levels(shape: Column, itemsize: Column, chunk_mb: int, factor: int = 4, max_levels: int = 10) -> Column:
+    counts = F.zip_with("shape", chunks, lambda d, c: ceil_div(d, c) - 1)
+    bounds = arrays.select(*keep, F.transform("shape", lambda d: F.lit(0).cast("bigint")).alias("_first"), counts.cast("array<bigint>").alias("_last"))
+    out = explode_axes(bounds, "_first", "_last", "idx")
+    origin = F.zip_with("idx", chunks, lambda i, c: i * c)
+    left = F.zip_with("shape", origin, lambda d, o: d - o)
+    size = F.zip_with(left, chunks, lambda n, c: F.least(n, c))
+    return out.select(*keep, "idx", origin.alias("origin"), size.alias("size"))
+
+
+def pyramid_levels(shape: Column, itemsize: Column, chunk_mb: int, factor: int = 4) -> Column:
     """Levels needed until a strided copy is at most four chunks in size.
 
-    Level ``n`` has shape ``ceil(dim / factor^n)``; the shape is the real one,
-    not an estimate by exact division.
+    Level ``n`` has shape ``ceil(dim / factor^n)``; the shape is the real one, not an estimate by exact
+    division.  The largest axis bounds the count: once it is one voxel long, so are all others.
     """
     target = chunk_mb * 4
+    power = F.lit(float(factor))
 
-    def mb_at(level: int) -> Column:
-        reduced = F.transform(shape, lambda d: F.ceil(d / F.lit(factor**level)).cast("bigint"))
+    def mb_at(level: Column) -> Column:
+        reduced = F.transform(shape, lambda d: F.ceil(d / F.pow(power, level)).cast("bigint"))
         return size_mb(reduced, itemsize)
 
-    out = F.lit(max_levels)
-    for level in reversed(range(max_levels)):
-        out = F.when(mb_at(level) <= target, F.lit(level)).otherwise(out)
-    return out
+    longest = F.greatest(F.lit(1).cast("bigint"), F.array_max(shape))
+    last = (F.ceil(F.log(float(factor), longest.cast("double"))) + 1).cast("int")
+    fit = F.filter(F.sequence(F.lit(0), last), lambda n: mb_at(n) <= target)
+    return F.coalesce(F.array_min(fit), last)
 
 
 def level_shape(shape: Column, level: Column, factor: int = 4) -> Column:

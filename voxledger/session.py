@@ -7,12 +7,15 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # A record that repeats a key keeps the last value, as a JSON loader does.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # A hot key is split by measured size, also where a later aggregate has to be shuffled for it.
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Array work costs far more per byte than row work: keep small shuffles parallel.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     # Payload rows are up to several MB each, so Arrow batches are bounded in bytes.
@@ -62,6 +65,14 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
     return configure(spark)
 
 
+def shared_checkpoint(df: DataFrame) -> DataFrame:
+    """``df`` written to the cluster's shared checkpoint folder, so its lineage ends there."""
+    context = df.sparkSession.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        context.setCheckpointDir(shared_dir(df.sparkSession, "checkpoints"))
+    return df.checkpoint(eager=True)
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new path below the cluster's shared folder ``spark.checkpoint.dir``.
 

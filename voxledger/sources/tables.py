@@ -242,7 +242,7 @@ def embedding_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     three = lambda n: F.array(*[F.lit(n).cast("bigint")] * 3)
     return e.select(
         F.col("vec_id").cast("string").alias("dataset_id"), F.lit("v").alias("array_name"), F.lit(0).alias("level"),
-        three(0).alias("idx"), three(0).alias("origin"), three(4).alias("shape"), F.lit("float32").alias("dtype"),
+        three(4).alias("chunk"), three(0).alias("idx"), three(0).alias("origin"), three(4).alias("shape"), F.lit("float32").alias("dtype"),
         pack_values("embedding", F.lit("float32")).alias("payload"),
     )
 

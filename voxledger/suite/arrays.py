@@ -86,14 +86,6 @@ def _cut_sql(axis: int) -> str:
         ELSE CASE WHEN {d} > 512 THEN greatest(64, {d} // 6) WHEN {d} > 128 THEN greatest(32, {d} // 4) ELSE {d} END END)"""
 
 
-def _cautious_sql(axis: int) -> str:
-    d, c = f"s{axis}", f"c{axis}"
-    return f"""least({c}, CASE
-        WHEN mb > 1000 THEN CASE WHEN {d} > 512 THEN greatest(64, {d} // 6) WHEN {d} > 128 THEN greatest(32, {d} // 4) ELSE {d} END
-        WHEN mb > 200 THEN CASE WHEN {d} > 256 THEN greatest(64, {d} // 8) WHEN {d} > 64 THEN greatest(32, {d} // 4) ELSE {d} END
-        ELSE CASE WHEN {d} > 128 THEN greatest(32, {d} // 8) ELSE {d} END END)"""
-
-
 def _plan_sql(cut, small: str, edge: int, most: int, floor: int, parts: int) -> str:
     return f"""WITH {_ARRAYS}, cut AS (SELECT *, {cut(0)} AS t0, {cut(1)} AS t1, {cut(2)} AS t2 FROM arr),
       fit AS (SELECT *, (s0 + t0 - 1) // t0 * ((s1 + t1 - 1) // t1) * ((s2 + t2 - 1) // t2) AS n,
@@ -110,12 +102,6 @@ def chunk_plan_memory(spark: SparkSession, sf: str) -> DataFrame:
     return T.part_arrays(spark, sf).select("array_name", text_of(plan).alias("plan"))
 
 
-@register(_plan_sql(_cautious_sql, "mb <= 32", 32, 1000, 16, 8))
-def chunk_plan_cautious(spark: SparkSession, sf: str) -> DataFrame:
-    plan = P.memory_chunks(F.col("shape"), F.col("chunks"), F.col("mb"), P.CAUTIOUS)
-    return T.part_arrays(spark, sf).select("array_name", text_of(plan).alias("plan"))
-
-
 def _stream_sql(d: str) -> str:
     return f"least({d}, CASE WHEN {d} // base < 32 THEN greatest(16, {d} // 32) ELSE least({d}, base) END)"
 
@@ -191,10 +177,3 @@ def pyramid_plan(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@register(
-    """SELECT event_id, CASE WHEN value > 8 * 1024 * 0.5 / 16 THEN 'skip' WHEN value > 8 * 1024 * 0.3 / 16 THEN 'warn' ELSE 'ok' END AS guard
-       FROM events"""
-)
-def memory_guard(spark: SparkSession, sf: str) -> DataFrame:
-    e = T.table(spark, sf, "events")
-    return e.select("event_id", P.memory_guard(F.col("value") * 16, F.lit(8)).alias("guard"))

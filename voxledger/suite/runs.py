@@ -126,19 +126,6 @@ def previous_event(spark: SparkSession, sf: str) -> DataFrame:
     return p.select("event_id", "user_id", "before_id", F.round(gap, 3).alias("gap"))
 
 
-@register(
-    """SELECT event_id // 4 AS job, CAST(coalesce(min(a) FILTER (ok), max(a)) + 1 AS BIGINT) AS attempts, bool_or(ok) AS succeeded,
-              CAST(pow(2, CASE WHEN bool_or(ok) THEN min(a) FILTER (ok) ELSE least(max(a) + 1, 2) END) - 1 AS BIGINT) AS wait_seconds
-       FROM (SELECT event_id, event_id % 4 AS a, event_type = 'purchase' AS ok FROM events) WHERE a < 3 GROUP BY 1"""
-)
-def retry_schedule(spark: SparkSession, sf: str) -> DataFrame:
-    e = T.table(spark, sf, "events").select(
-        F.floor(F.col("event_id") / 4).cast("bigint").alias("job"), (F.col("event_id") % 4).alias("attempt"),
-        (F.col("event_type") == "purchase").alias("ok"),
-    )
-    return U.retry_schedule(e)
-
-
 @register(
     """, m AS (SELECT user_id, time_bucket(INTERVAL '6 hours', ts, TIMESTAMP '2024-01-01') AS w, sum(b) AS nbytes, max(ts) AS ts
               FROM (SELECT *, CAST(round(value * 100) AS BIGINT) AS b FROM events) GROUP BY ALL),

@@ -54,7 +54,7 @@ def raw_decode(spark: SparkSession, sf: str) -> DataFrame:
     f"""WITH {_VOX}, {_TEXT}
         SELECT ds AS dataset_id, (max(z) + 1) || ',10,25' AS shape, 'uint8' AS dtype,
                (max(z) // 8 + 1) * 8 AS blocks, (max(z) + 1) * 250 AS nbytes FROM vox GROUP BY ds
-        UNION ALL SELECT CAST(doc_id AS VARCHAR), CAST(n AS VARCHAR), 'uint8', (n + 1023) // 1024, n FROM t WHERE n > 0
+        UNION ALL SELECT CAST(doc_id AS VARCHAR), CAST(n AS VARCHAR), 'uint8', greatest(1, (n + 1023) // 1024), n FROM t
         UNION ALL SELECT 'v' || vec_id, '4,4,4', 'float32', 1, 256 FROM embeddings"""
 )
 def inventory(spark: SparkSession, sf: str) -> DataFrame:
@@ -82,19 +82,21 @@ def vol_stats(spark: SparkSession, sf: str) -> DataFrame:
     return stats.select("dataset_id", "voxels", *[F.round(c, 6).alias(c) for c in ("mean", "low", "high")], "nbytes")
 
 
-@register(f"WITH {_VOX} SELECT ds AS dataset_id, v // 16 AS bin, count(*) AS n FROM vox GROUP BY ALL")
+@register(f"WITH {_VOX} SELECT ds AS dataset_id, CASE WHEN v < 40 THEN -1 WHEN v > 200 THEN 10 ELSE least(9, (v - 40) // 16) END AS bin, count(*) AS n FROM vox GROUP BY ALL")
 def vol_hist(spark: SparkSession, sf: str) -> DataFrame:
-    return B.histogram(T.event_blocks(spark, sf), 0, 256, 16).select("dataset_id", "bin", "n")
+    """Ten bins from 40 to 200, and what lies below and above them."""
+    return B.histogram(T.event_blocks(spark, sf), 40, 200, 10).select("dataset_id", "bin", "n")
 
 
-@register(f"WITH {_TEXT} SELECT CAST(doc_id AS VARCHAR) AS dataset_id, n AS nbytes, sha256(b) AS sha256 FROM t WHERE n > 0")
+@register(f"WITH {_TEXT} SELECT CAST(doc_id AS VARCHAR) AS dataset_id, n AS nbytes, sha256(b) AS sha256 FROM t")
 def vol_bytes(spark: SparkSession, sf: str) -> DataFrame:
-    return B.volume_sha256(T.text_blocks(spark, sf)).select("dataset_id", "nbytes", "sha256")
+    d = T.table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("dataset_id"), "text")
+    return B.value_sha256(d, "dataset_id", F.encode("text", "UTF-8"))
 
 
 @register(
     f"""WITH {_TEXT}, h AS (SELECT doc_id, n, hex(b) AS hx FROM t),
-        p AS (SELECT doc_id, hx, unnest(range(0, n, 1024)) AS o FROM h)
+        p AS (SELECT doc_id, hx, unnest(range(0, greatest(n, 1), 1024)) AS o FROM h)
         SELECT CAST(doc_id AS VARCHAR) AS dataset_id, o // 1024 AS idx, sha256(unhex(substr(hx, 2 * o + 1, 2048))) AS sha256 FROM p"""
 )
 def block_sha(spark: SparkSession, sf: str) -> DataFrame:
@@ -104,7 +106,7 @@ def block_sha(spark: SparkSession, sf: str) -> DataFrame:
 
 @register(
     f"""WITH {_TEXT}, h AS (SELECT doc_id, n, hex(b) AS hx FROM t),
-        p AS (SELECT doc_id, hx, unnest(range(0, n, 1024)) AS o FROM h),
+        p AS (SELECT doc_id, hx, unnest(range(0, greatest(n, 1), 1024)) AS o FROM h),
         b AS (SELECT doc_id, o // 1024 AS o, sha256(unhex(substr(hx, 2 * o + 1, 2048))) AS s FROM p),
         g AS (SELECT doc_id, o // 8 AS o, sha256(string_agg(s, '' ORDER BY o)) AS s FROM b GROUP BY doc_id, o // 8),
         g2 AS (SELECT doc_id, o // 8 AS o, CASE WHEN max(n) = 1 THEN min(s) ELSE sha256(string_agg(s, '' ORDER BY o)) END AS s
@@ -200,12 +202,77 @@ def block_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """A 6-voxel box per customer, cut from the event volume and assembled."""
     blocks = T.event_blocks(spark, sf)
     pieces = B.block_lookup(_points(spark, sf), blocks, B.inventory(blocks), 6)
-    crops = B.assemble_crops(pieces)
-    sums = B._map(
-        crops, lambda r: [{"request_id": r["request_id"], "voxels": B._array(r).size, "total": int(B._array(r).sum()), "at": r["origin"]}],
-        "request_id bigint, voxels bigint, total bigint, at array<bigint>",
+    return _crop_sums(B.assemble_crops(pieces)).select("request_id", "voxels", "total", text_of(F.col("at")).alias("origin"))
+
+
+def _crop_sums(crops: DataFrame) -> DataFrame:
+    return B._map(
+        crops,
+        lambda r: [{"request_id": r["request_id"], "part": r["part"], "voxels": B._array(r).size, "total": int(B._array(r).sum()), "at": r["origin"]}],
+        "request_id bigint, part array<bigint>, voxels bigint, total bigint, at array<bigint>",
     )
-    return sums.select("request_id", "voxels", "total", text_of(F.col("at")).alias("origin"))
+
+
+@register(
+    f"""WITH {_VOX}, {_REQ} SELECT r.c_custkey AS request_id, (v.z - r.z) // 4 || ',' || (v.y - r.y) // 4 || ',' || (v.x - r.x) // 4 AS part,
+               count(*) AS voxels, sum(v.v) AS total, min(v.z) || ',' || min(v.y) || ',' || min(v.x) AS origin
+        FROM req r JOIN vox v ON v.ds = r.ds AND v.z BETWEEN r.z AND r.z + 5 AND v.y BETWEEN r.y AND r.y + 5 AND v.x BETWEEN r.x AND r.x + 5
+        GROUP BY ALL"""
+)
+def crop_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """The same boxes as blocks of a crop-local grid with edges of 4 voxels."""
+    blocks = T.event_blocks(spark, sf)
+    pieces = B.block_lookup(_points(spark, sf), blocks, B.inventory(blocks), 6)
+    sums = _crop_sums(B.assemble_crops(pieces, edge=4))
+    return sums.select("request_id", text_of(F.col("part")).alias("part"), "voxels", "total", text_of(F.col("at")).alias("origin"))
+
+
+@register(
+    f"""WITH {_VOX}, {_REQ}, s AS (SELECT ds, z // 3 AS z, y // 3 AS y, x // 3 AS x, v FROM vox WHERE z % 3 = 0 AND y % 3 = 0 AND x % 3 = 0),
+        q AS (SELECT c_custkey, ds, z % 30 AS z, 0 AS y, x % 8 AS x FROM req)
+        SELECT q.c_custkey AS request_id, count(*) AS voxels, sum(s.v) AS total,
+               min(s.z) || ',' || min(s.y) || ',' || min(s.x) AS origin
+        FROM q JOIN s ON s.ds = q.ds AND s.z BETWEEN q.z AND q.z + 5 AND s.y BETWEEN q.y AND q.y + 5 AND s.x BETWEEN q.x AND q.x + 5
+        GROUP BY q.c_custkey"""
+)
+def stride_crop(spark: SparkSession, sf: str) -> DataFrame:
+    """Boxes of 6 voxels from the volumes strided by 3."""
+    small = B.stride(T.event_blocks(spark, sf), 3)
+    points = _points(spark, sf).withColumns({"z": F.col("z") % 30, "y": F.lit(0), "x": F.col("x") % 8})
+    crops = B.assemble_crops(B.block_lookup(points, small, B.inventory(small), 6))
+    return _crop_sums(crops).select("request_id", "voxels", "total", text_of(F.col("at")).alias("origin"))
+
+
+@register(
+    f"""WITH {_VOX}, b AS (SELECT DISTINCT ds, z // 3 // 8 AS a, x // 3 // 8 AS c FROM vox WHERE z % 3 = 0 AND y % 3 = 0 AND x % 3 = 0)
+        SELECT ds AS dataset_id, (a * 2 + c) // 5 AS batch, count(*) AS blocks, min(a * 2 + c) AS first FROM b GROUP BY ALL"""
+)
+def stride_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches of five blocks of the volumes strided by 3: 4 x 9 planes make 1 x 2 blocks."""
+    small = B.stride(T.event_blocks(spark, sf), 3)
+    numbered = B.batch_number(B.inventory(small), small, 5)
+    return numbered.groupBy("dataset_id", "batch").agg(F.count(F.lit(1)).alias("blocks"), F.min("position").alias("first"))
+
+
+@register(
+    f"""WITH {_TEXT}, r AS (SELECT doc_id, n, b, hex(b) AS hx, doc_id % 3 = 0 OR n % 2 = 0 AS ok FROM t),
+        c AS (SELECT doc_id, n, hx, ok, CASE WHEN doc_id % 3 = 0 THEN n ELSE n // 2 END AS rows, CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 2 END AS width FROM r)
+        SELECT CAST(doc_id AS VARCHAR) AS dataset_id, o // 100 AS block, NULL AS error, sha256(unhex(substr(hx, 2 * o * width + 1, 200 * width))) AS sha256
+        FROM (SELECT *, unnest(range(0, greatest(rows, 1), 100)) AS o FROM c WHERE ok)
+        UNION ALL SELECT CAST(doc_id AS VARCHAR), NULL, '3D block has size ' || n || ' (expected ' || (n // 2 * 2) || ')', NULL FROM c WHERE NOT ok"""
+)
+def raw_volumes(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw bytes of every text as one or two columns of uint8, cut into blocks; sizes that do not fit are errors."""
+    d = T.table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("dataset_id"), "doc_id", F.encode("text", "UTF-8").alias("payload"))
+    n, one = F.octet_length("payload").cast("bigint"), F.lit(1).cast("bigint")
+    shape = F.when(F.col("doc_id") % 3 == 0, F.array(n, one)).otherwise(F.array(F.floor(n / 2).cast("bigint"), one + 1))
+    decoded = B.decode_raw(
+        d.select("dataset_id", F.lit("raw").alias("array_name"), F.lit(0).alias("level"), shape.alias("shape"), F.lit("uint8").alias("dtype"), "payload")
+    )
+    digests = B.block_digests(B.raw_blocks(decoded, [100, 2]))
+    good = digests.select("dataset_id", F.col("idx")[0].alias("block"), F.lit(None).cast("string").alias("error"), "sha256")
+    bad = decoded.where("error IS NOT NULL").select("dataset_id", F.lit(None).cast("bigint").alias("block"), "error", F.lit(None).cast("string").alias("sha256"))
+    return good.unionByName(bad)
 
 
 @register(
@@ -284,8 +351,8 @@ def _boxes(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- lookups on blocks ---------------------------------------------------------------------
 @register(
-    f"""WITH {_TEXT} SELECT d.source, count(*) AS datasets, sum((n + 1023) // 1024) AS blocks, sum(n) AS nbytes
-        FROM t JOIN documents d USING (doc_id) WHERE n > 0 GROUP BY d.source"""
+    f"""WITH {_TEXT} SELECT d.source, count(*) AS datasets, sum(greatest(1, (n + 1023) // 1024)) AS blocks, sum(n) AS nbytes
+        FROM t JOIN documents d USING (doc_id) GROUP BY d.source"""
 )
 def block_dataset_join(spark: SparkSession, sf: str) -> DataFrame:
     """Blocks joined to their data sets, counted per source.
@@ -335,7 +402,7 @@ def access_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- byte ranges -----------------------------------------------------------------------------
 @register(
-    f"""WITH {_TEXT}, p AS (SELECT doc_id, n, unnest(range(0, n, 700)) AS o FROM t)
+    f"""WITH {_TEXT}, p AS (SELECT doc_id, n, unnest(range(0, greatest(n, 1), 700)) AS o FROM t)
         SELECT doc_id, o // 700 AS chunk_id, o AS start_byte, least(o + 699, n - 1) AS end_byte FROM p"""
 )
 def byte_ranges(spark: SparkSession, sf: str) -> DataFrame:
@@ -343,11 +410,16 @@ def byte_ranges(spark: SparkSession, sf: str) -> DataFrame:
     return B.byte_ranges(d, 700).select("doc_id", "chunk_id", "start_byte", "end_byte")
 
 
-@register(f"WITH {_TEXT} SELECT doc_id, n AS nbytes, (n + 699) // 700 AS chunks, sha256(b) AS sha256 FROM t WHERE n > 0")
+@register(
+    f"""WITH {_TEXT}, s AS (SELECT doc_id, n, hex(b) AS hx, unnest(range(0, greatest(n, 1), 2800)) AS o FROM t)
+        SELECT doc_id, o // 2800 AS seq, least(2800, n - o) AS nbytes, greatest(1, (least(2800, n - o) + 699) // 700) AS chunks,
+               sha256(unhex(substr(hx, 2 * o + 1, 5600))) AS sha256 FROM s"""
+)
 def reassemble(spark: SparkSession, sf: str) -> DataFrame:
     d = T.table(spark, sf, "documents").select("doc_id", F.encode("text", "UTF-8").alias("payload"))
     sized = d.withColumn("total", F.octet_length("payload").cast("bigint"))
     ranges = B.byte_ranges(sized, 700)
     part = F.substring("payload", (F.col("start_byte") + 1).cast("int"), (F.col("end_byte") - F.col("start_byte") + 1).cast("int"))
     chunks = ranges.select("doc_id", "chunk_id", part.alias("payload"))
-    return B.reassemble(chunks, "doc_id").select("doc_id", "nbytes", "chunks", F.sha2("payload", 256).alias("sha256"))
+    whole = B.reassemble(chunks, "doc_id", segment_chunks=4)
+    return whole.select("doc_id", "seq", "nbytes", "chunks", F.sha2("payload", 256).alias("sha256"))

@@ -169,3 +169,21 @@ def test_strict_gate(spark):
     assert V.strict_gate(bad, fail_on_invalid=False) == 1
     with pytest.raises(V.InvalidRecords):
         V.strict_gate(bad)
+
+
+ALTERNATIVES = [
+    ({"x": -1, "y": 4}, "-1 is less than the minimum of 0"),
+    ({"x": 1, "z": "4"}, "'4' is not of type 'number'"),
+    ({"y": -2, "x": "a"}, "'a' is not of type 'number'"),
+    ([4, -3, "b"], "-3 is less than the minimum of 0"),
+    ([4, "b", -3], "'b' is not of type 'number'"),
+    ([4.5], "[4.5] is too short"),
+    ([1, 2, 3, 4, 5], "[1,2,3,4,5] is too long"),
+    ("4x4", "'4x4' is not valid under any of the given schemas"),
+]
+
+
+def test_a_failed_alternative_reports_the_best_error_inside(spark):
+    texts = [json.dumps(changed("metadata.core.voxel_size_nm", voxel)) for voxel, _ in ALTERNATIVES]
+    rows = {int(r["fname"][9:-5]): r["errors"] for r in V.validate(files(spark, texts)).collect()}
+    assert [rows[i] for i in range(len(texts))] == [[message] for _, message in ALTERNATIVES]

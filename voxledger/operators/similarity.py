@@ -1,8 +1,7 @@
 """Exact nearest block embeddings by cosine, in one pass over the index.
 
-A slice of query vectors, bounded in bytes, travels to the tasks; each task
-multiplies its rows with them and keeps only its own best ``k`` per query.
-More queries than one slice holds are answered slice by slice.
+The query side is an aggregate of bounded size (one vector per group); its size is checked. It travels
+to the tasks; each multiplies its rows with it and keeps only its own best ``k`` per query.
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 32 << 20
+MOST_QUERY_NUMBERS = 4 << 20  # numbers in all query vectors together: 32 MiB
 
 
 def _unit(m: np.ndarray) -> np.ndarray:
@@ -20,7 +19,8 @@ def _unit(m: np.ndarray) -> np.ndarray:
     return np.divide(m, norm, out=np.zeros_like(m), where=norm > 0)
 
 
-def _slice_top_k(index: DataFrame, ids: list, matrix: np.ndarray, k: int) -> DataFrame:
+def _best_rows(index: DataFrame, ids: list, matrix: np.ndarray, k: int) -> DataFrame:
+    """At most ``k`` rows per query and task."""
     shipped = index.sparkSession.sparkContext.broadcast((np.asarray(ids), _unit(matrix)))
 
     def best(batches):
@@ -51,29 +51,21 @@ def _slice_top_k(index: DataFrame, ids: list, matrix: np.ndarray, k: int) -> Dat
 
 
 def top_k(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """The ``k`` index vectors closest to each query vector.
+    """The ``k`` index vectors closest to each query vector, ties to the smaller id.
 
-    Queries are read slice by slice through an iterator, never as one list.
-    After the map step there are at most ``k`` rows per query and task, so the
-    final ranking window is small.
+    ``queries`` must be a small aggregate: more than ``MOST_QUERY_NUMBERS`` numbers are an error, as is
+    a query set that grows with the data. After the map step there are at most ``k`` rows per query and
+    task, so the final ranking window is small.
     """
-    found, ids, vectors, size = [], [], [], 0
-    for row in queries.select("query_id", "embedding").toLocalIterator(prefetchPartitions=False):
-        ids.append(row["query_id"])
-        vectors.append(row["embedding"])
-        size += 8 * len(row["embedding"])
-        if size >= SLICE_BYTES:
-            found.append(_slice_top_k(index, ids, np.asarray(vectors, "float64"), k))
-            ids, vectors, size = [], [], 0
-    if ids:
-        found.append(_slice_top_k(index, ids, np.asarray(vectors, "float64"), k))
-    if not found:
+    numbers = queries.agg(F.sum(F.size("embedding"))).first()[0] or 0
+    if numbers > MOST_QUERY_NUMBERS:
+        raise ValueError(f"{numbers} numbers in the query vectors, {MOST_QUERY_NUMBERS} at most")
+    rows = queries.select("query_id", "embedding").collect()
+    if not rows:
         return index.sparkSession.createDataFrame([], "query_id bigint, vec_id bigint, score double, place int")
-    rows = found[0]
-    for part in found[1:]:
-        rows = rows.unionByName(part)
+    found = _best_rows(index, [r["query_id"] for r in rows], np.asarray([r["embedding"] for r in rows], "float64"), k)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
+    return found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
 
 
 def centroids(index: DataFrame, group: str) -> DataFrame:

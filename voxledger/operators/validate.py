@@ -16,7 +16,7 @@ from voxledger.contract import Field
 from voxledger.functions import variants as V
 from voxledger.functions.stages import computed_once
 
-VIOLATION = "struct<depth:int,weak:int,pos:int,item:int,path:string,keyword:string,message:string>"
+VIOLATION = "struct<depth:int,weak:int,pos:int,item:int,path:string,keyword:string,message:string,inner:string>"
 
 
 # ---- parsing ---------------------------------------------------------------
@@ -173,10 +173,47 @@ def _scalar_fits(field: Field, value: str) -> str:
     return f"coalesce({' AND '.join([_has_kind(field.kind, value, kind), *rules])}, false)"
 
 
-def _violation(depth: int, weak: int, pos: int, path: str, keyword: str, message: str, item: str = "-1") -> str:
+def _inner_error(branches: tuple[Field, ...], value: str, kind: str) -> str:
+    """The best error inside the branches of a failed alternative; NULL if none is better than the rest.
+
+    Relevance inside a failed alternative is turned round: the deepest error tells which branch was
+    meant, of equally deep ones the first by path; then an error of the branch whose type the value has.
+    A value that fits the type of no branch has no better error than the alternative's own.
+    """
+    deep, shallow = [], []
+    for branch in branches:
+        right = _has_kind(branch.kind, value, kind)
+        if branch.kind == "array":
+            items = f"try_variant_get({value}, '$', 'array<variant>')"
+            found = f"try_element_at(array_compact(transform({items}, x -> {_scalar_error(branch.items, 'x')})), 1)"
+            deep.append(f"CASE WHEN {right} THEN {found} END")
+            for bound, text in (
+                (f"size({items}) < {branch.min_items}", " is too short"),
+                (f"size({items}) > {branch.max_items}", " is too long"),
+            ):
+                shallow.append(f"CASE WHEN {right} AND {bound} THEN concat({_shown(value, kind)}, {_quote(text)}) END")
+        else:
+            for child in sorted(branch.children, key=lambda c: c.name):
+                inner = f"try_variant_get({value}, '$.{child.name}', 'variant')"
+                deep.append(f"CASE WHEN {right} AND {inner} IS NOT NULL THEN {_scalar_error(child, inner)} END")
+    return f"coalesce({', '.join([*deep, *shallow])})"
+
+
+def _scalar_error(field: Field, value: str) -> str:
+    """The first error message of a scalar; NULL if it fits."""
+    kind = f"schema_of_variant({value})"
+    cases = [(f"NOT {_has_kind(field.kind, value, kind)}", f" is not of type '{field.kind}'")]
+    cases += [(failed, text) for _, failed, text in _value_rules(field, value, kind)]
+    whens = " ".join(f"WHEN {failed} THEN concat({_shown(value, kind)}, {_quote(text)})" for failed, text in cases)
+    return f"CASE {whens} END"
+
+
+def _violation(
+    depth: int, weak: int, pos: int, path: str, keyword: str, message: str, item: str = "-1", inner: str = "CAST(NULL AS STRING)"
+) -> str:
     return (
         f"named_struct('depth', {depth}, 'weak', {weak}, 'pos', {pos}, 'item', {item}, 'path', {path},"
-        f" 'keyword', {_quote(keyword)}, 'message', {message})"
+        f" 'keyword', {_quote(keyword)}, 'message', {message}, 'inner', {inner})"
     )
 
 
@@ -192,9 +229,11 @@ class _Rules:
         self.names: list[str] = []
         self.pos = 0
 
-    def hit(self, failed: str, depth: int, path: str, keyword: str, message: str, weak: int = 0) -> None:
+    def hit(
+        self, failed: str, depth: int, path: str, keyword: str, message: str, weak: int = 0, inner: str = "CAST(NULL AS STRING)"
+    ) -> None:
         self.pos += 1
-        row = _violation(depth, weak, self.pos, _quote(path), keyword, message)
+        row = _violation(depth, weak, self.pos, _quote(path), keyword, message, inner=inner)
         self.single.append(f"CASE WHEN {failed} THEN {row} END")
 
     def walk(self, field: Field, path: str, depth: int) -> None:
@@ -208,7 +247,7 @@ class _Rules:
             matches = " + ".join(f"CAST(coalesce({_fits(b, value, kind)}, false) AS INT)" for b in field.one_of)
             self.hit(
                 f"{value} IS NOT NULL AND ({matches}) <> 1", depth, path, "oneOf",
-                ending(" is not valid under any of the given schemas"), weak=1,
+                ending(" is not valid under any of the given schemas"), weak=1, inner=_inner_error(field.one_of, value, kind),
             )
             return
         right = _has_kind(field.kind, value, kind)
@@ -264,7 +303,10 @@ def add_violations(records: DataFrame, strict_formats: bool = False) -> DataFram
 
 
 def add_verdict(checked: DataFrame) -> DataFrame:
-    """Add ``valid``, ``error_class``, ``best`` and the one-error ``errors`` list."""
+    """Add ``valid``, ``error_class``, ``best`` and the one-error ``errors`` list.
+
+    A failed alternative is reported by the best error inside its branches, if there is one.
+    """
     best = F.array_min("violations")
     return (
         checked.withColumn("best", best)
@@ -279,7 +321,7 @@ def add_verdict(checked: DataFrame) -> DataFrame:
             {
                 "valid": F.col("error_class").isNull(),
                 "errors": F.when(F.col("load_error").isNotNull(), F.array("load_error"))
-                .when(F.col("best").isNotNull(), F.array(F.col("best.message")))
+                .when(F.col("best").isNotNull(), F.array(F.coalesce("best.inner", "best.message")))
                 .otherwise(F.array().cast("array<string>")),
             }
         )

@@ -144,13 +144,14 @@ def chunk_grid(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register(
-    f"""WITH {_ARRAYS}, g AS (SELECT array_name, s1, c1, unnest(range(0, s1, c1)) AS start FROM arr)
-        SELECT array_name, start, least(c1, s1 - start) AS size FROM g"""
+    f"""WITH {_ARRAYS}, g AS (SELECT array_name, 0 AS axis, s0 AS s, c0 AS c FROM arr UNION ALL SELECT array_name, 1, s1, c1 FROM arr UNION ALL SELECT array_name, 2, s2, c2 FROM arr)
+        SELECT array_name, axis, start, least(c, s - start) AS size FROM (SELECT *, unnest(range(0, s, c)) AS start FROM g)"""
 )
 def axis_offsets(spark: SparkSession, sf: str) -> DataFrame:
     arrays = T.part_arrays(spark, sf)
-    cut = arrays.select("array_name", F.explode(P.axis_offsets(F.col("shape")[1], F.col("chunks")[1])).alias("o"))
-    return cut.select("array_name", "o.start", "o.size")
+    axes = arrays.select("array_name", "chunks", F.posexplode("shape").alias("axis", "dim"))
+    cut = axes.select("array_name", "axis", F.explode(P.axis_offsets(F.col("dim"), F.element_at("chunks", F.col("axis") + 1))).alias("o"))
+    return cut.select("array_name", "axis", "o.start", "o.size")
 
 
 def _level_mb(n: int) -> str:

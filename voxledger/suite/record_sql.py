@@ -78,6 +78,7 @@ results AS (
          CASE WHEN r.kind = 0 THEN 'JSON parsing error'
               WHEN r.kind = 1 THEN 'Processing error: ''list'' object has no attribute ''get'''
               WHEN r.kind = 26 THEN 'Processing error: unhashable type: ''list'''
+              WHEN b.keyword = 'oneOf' AND r.kind = 13 THEN '-1 is less than the minimum of 0'
               ELSE b.message END AS error,
          NOT r.load_failed AND b.doc_id IS NULL AS valid
   FROM recs r LEFT JOIN best b ON b.doc_id = r.doc_id

@@ -2,15 +2,15 @@
 
 BENCH_SF_DIR   table folder (default /root/testdata/sf0.1)
 BENCH_CPUS     local cores (default 8)
-BENCH_VOLUME_MB  also time block operators on a made volume of this size and
-               report MB/s on stderr (default 0: off)
+BENCH_VOLUME_MB  size of a made volume whose block operators are timed too; their
+               MB/s are in the JSON line (default 256; 0: off)
+BENCH_STORE_DIR  where that volume is stored (default: a temporary folder)
 """
 
 from __future__ import annotations
 
 import json
 import os
-import sys
 import tempfile
 import time
 
@@ -42,20 +42,21 @@ def main() -> None:
         start = time.perf_counter()
         run(queries[name](spark, sf_dir))
         seconds[name] = round(time.perf_counter() - start, 3)
-    if int(os.environ.get("BENCH_VOLUME_MB", "0")):
-        time_volume(spark, int(os.environ["BENCH_VOLUME_MB"]))
+    megabytes = int(os.environ.get("BENCH_VOLUME_MB", "256"))
+    volume = time_volume(spark, megabytes) if megabytes else {}
+    seconds |= {name: round(took, 3) for name, took in volume.items()}
     print(
         json.dumps(
             {
                 "metric": "total_query_seconds", "value": round(sum(seconds.values()), 3), "unit": "sec",
-                "queries": seconds, "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1],
+                "queries": seconds, "volume_mb_per_second": {n: round(megabytes / t) for n, t in volume.items()}, "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1],
             }
         )
     )
 
 
-def time_volume(spark, megabytes: int) -> None:
-    """Throughput of the block operators on one uint8 volume of 128-edge blocks."""
+def time_volume(spark, megabytes: int) -> dict[str, float]:
+    """Seconds of the block operators on one uint8 volume of 128-edge blocks."""
     import numpy as np
     import pyarrow as pa
 
@@ -70,26 +71,27 @@ def time_volume(spark, megabytes: int) -> None:
                 idx = [i // 16, i // 4 % 4, i % 4]
                 payload = np.random.default_rng(i).integers(0, 255, 1 << 21, "uint8").tobytes()
                 row = {
-                    "dataset_id": "v", "array_name": "s0", "level": 0, "idx": idx, "origin": [n * 128 for n in idx],
+                    "dataset_id": "v", "array_name": "s0", "level": 0, "chunk": [128] * 3, "idx": idx, "origin": [n * 128 for n in idx],
                     "shape": [128] * 3, "dtype": "uint8", "payload": payload,
                 }
                 yield pa.RecordBatch.from_pylist([row], schema)
 
     blocks = spark.range(megabytes // 2, numPartitions=64).mapInArrow(fill, B.BLOCKS)
-    path = tempfile.mkdtemp(prefix="bench-volume-") + "/blocks"
+    path = (os.environ.get("BENCH_STORE_DIR") or tempfile.mkdtemp(prefix="bench-volume-")) + "/blocks"
+    took: dict[str, float] = {}
 
     def timed(label, work):
         start = time.perf_counter()
         work()
-        took = time.perf_counter() - start
-        print(f"{label}: {took:.2f} s, {megabytes / took:.0f} MB/s", file=sys.stderr)
-
-    timed("write", lambda: K.write_blocks(blocks, path))
-    stored = spark.read.schema(B.BLOCKS).parquet(path)
-    timed("stats", lambda: B.volume_stats(stored).collect())
-    timed("stride 4", lambda: run(B.stride(stored, 4)))
-    timed("sha256 per block", lambda: run(B.block_digests(stored)))
-    timed("rechunk 64", lambda: run(B.rechunk(stored, [64, 64, 64])))
+        took[f"volume_{label}"] = time.perf_counter() - start
+
+    timed("store", lambda: K.write_blocks(blocks, path, spread=False))
+    stored = K.read_blocks(spark, path)
+    timed("statistics", lambda: B.volume_stats(stored).collect())
+    timed("stride", lambda: run(B.stride(stored, 4)))
+    timed("sha256", lambda: run(B.block_digests(stored)))
+    timed("rechunk", lambda: run(B.rechunk(stored, [64, 64, 64])))
+    return took
 
 
 if __name__ == "__main__":

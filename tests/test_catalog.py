@@ -156,3 +156,13 @@ def test_consolidate_job(spark, tmp_path):
     with pytest.raises(InvalidRecords):
         I.consolidate(spark, [root], out, "now", strict=True, fail_on_invalid=True)
     assert {r["key"] for r in I.key_presence(spark, root).collect()} == set(GOOD)
+
+
+def test_catalog_tables_hold_what_the_document_holds(spark, published, tmp_path):
+    K.write_catalog_tables(published, str(tmp_path / "tables"))
+    sources = {r["source"]: json.loads(r["value"]) for r in spark.read.parquet(str(tmp_path / "tables/sources")).collect()}
+    assert {s: d["total"] for s, d in sources.items()} == COUNTS
+    assert all(d["invalid"] == 0 and set(d["missing"].values()) == {0} for d in sources.values())
+    ratios = spark.read.parquet(str(tmp_path / "tables/key_ratios")).where("ratio = 1").count()
+    assert ratios == sum(len(BASE) + len(EXTRA.get(s, [])) for s in COUNTS)
+    assert spark.read.parquet(str(tmp_path / "tables/sample")).count() == 5

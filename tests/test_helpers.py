@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from tests.test_validate import GOOD
 from voxledger.functions import text as TX
 from voxledger.functions.globs import glob_to_regex
-from voxledger.operators import joins as J
 from voxledger.operators import records as R
 from voxledger.operators import runs as U
 from voxledger.operators import similarity as N
@@ -105,7 +104,7 @@ def test_log_precedence(spark):
     }
 
 
-def test_top_k_in_slices_equals_brute_force(spark, monkeypatch):
+def test_top_k_equals_brute_force(spark, monkeypatch):
     import numpy as np
 
     rng = np.random.default_rng(3)
@@ -113,7 +112,6 @@ def test_top_k_in_slices_equals_brute_force(spark, monkeypatch):
     m[10:40] = m[5]  # copies tie and are ranked by id
     index = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)], "vec_id bigint, embedding array<double>").repartition(5)
     queries = index.where("vec_id < 7").withColumnRenamed("vec_id", "query_id")
-    monkeypatch.setattr(N, "SLICE_BYTES", 128)
     got = {(r["query_id"], r["place"]): r["vec_id"] for r in N.top_k(index, queries, 4).collect()}
     unit = m / np.linalg.norm(m, axis=1, keepdims=True)
     for q in range(7):
@@ -122,6 +120,9 @@ def test_top_k_in_slices_equals_brute_force(spark, monkeypatch):
             want = sorted(range(60), key=lambda i: (-score[i], i))[:4]
             assert [got[q, p] for p in range(1, 5)] == want
     assert {got[5, p] for p in range(1, 5)} <= {5, *range(10, 40)}
+    monkeypatch.setattr(N, "MOST_QUERY_NUMBERS", 55)
+    with pytest.raises(ValueError, match="56 numbers"):
+        N.top_k(index, queries, 4)
 
 
 def test_watched_folder(spark, tmp_path):

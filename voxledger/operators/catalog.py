@@ -124,6 +124,31 @@ def missing_fields(results: DataFrame, required: list[str] | None = None) -> Dat
     return rows.where("field IS NOT NULL").groupBy("source", "field").agg(F.count(F.lit(1)).alias("files"))
 
 
+def source_summaries(results: DataFrame, required: list[str] | None = None) -> DataFrame:
+    """What the catalogue says of each source, from one pass: counts, completeness, missing fields.
+
+    Only counters are gathered: one row per source, with one entry per required field.
+    """
+    fields = required or contract.REQUIRED_TOP
+    loaded, valid = F.col("load_error").isNull(), F.col("valid")
+    return results.groupBy("source").agg(
+        F.count_if(loaded).alias("total"),
+        F.count_if(valid).alias("valid"),
+        F.count_if(~valid).alias("invalid"),
+        F.sum(F.size("errors")).alias("errors"),
+        F.round(F.avg(F.when(valid, F.size("keys"))), 2).alias("average_fields"),
+        F.struct(
+            *[F.count_if(loaded & ~F.coalesce(F.array_contains("keys", F.lit(k)), F.lit(False))).alias(k) for k in fields]
+        ).alias("missing"),
+    )
+
+
+def source_documents(results: DataFrame, required: list[str] | None = None) -> DataFrame:
+    """The catalogue as one JSON document per source (``source``, ``value``); key ratios stay rows."""
+    found = source_summaries(results, required)
+    return found.select("source", F.to_json(F.struct(*[c for c in found.columns if c != "source"])).alias("value"))
+
+
 def valid_sample(results: DataFrame, n: int = 5) -> DataFrame:
     """The first ``n`` valid records by file name: a top-n, not a full sort."""
     return results.where("valid").orderBy("file").limit(n)

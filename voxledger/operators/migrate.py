@@ -52,9 +52,14 @@ def _created_at() -> Column:
 def migrate(records: DataFrame, new_id: Column | None = None) -> DataFrame:
     """Turn flat records into nested ones.
 
-    Adds ``outcome`` (``already_v2``, ``converted`` or ``failed``) and the
-    typed ``record`` of the converted rows.  ``record`` is NULL elsewhere.
+    Adds ``outcome`` (``already_v2``, ``repaired``, ``converted`` or ``failed``), the typed ``record`` of
+    the converted rows and the JSON text ``repaired`` of the repaired ones; both are NULL elsewhere.
+    A record that has its nested metadata and only lacks an id keeps everything and gets one.
     """
+    given = F.coalesce(new_id if new_id is not None else F.uuid(), F.uuid())
+    nested = V.is_object(F.col("v"), "metadata") & ~F.array_contains("keys", F.lit("id"))
+    # The id goes in front of the members that are there; a nested record has one at least.
+    with_id = F.concat(F.lit('{"id":"'), given, F.lit('",'), F.substring(F.to_json("v"), 2, (1 << 31) - 1))
     source = F.coalesce(V.as_text(F.col("v"), "source"), F.lit("unknown"))
     dims = V.leaf(F.col("v"), "dimensions_nm")
     axis = lambda name: F.coalesce(F.try_variant_get(dims, f"$.{name}", "double"), F.lit(0.0))
@@ -62,7 +67,7 @@ def migrate(records: DataFrame, new_id: Column | None = None) -> DataFrame:
         F.try_variant_get(dims, "$", "array<double>")
     )
     record = F.struct(
-        F.coalesce(new_id if new_id is not None else F.uuid(), F.uuid()).alias("id"),
+        given.alias("id"),
         source.alias("source"),
         F.coalesce(V.as_text(F.col("v"), "source_id"), F.lit("unknown")).alias("source_id"),
         F.coalesce(V.as_text(F.col("v"), "status"), F.lit("complete")).alias("status"),
@@ -100,23 +105,27 @@ def migrate(records: DataFrame, new_id: Column | None = None) -> DataFrame:
     outcome = (
         F.when(F.col("load_error").isNotNull(), "failed")
         .when(is_current_format(F.col("keys")), "already_v2")
+        .when(nested, "repaired")
         .otherwise("converted")
     )
-    return records.withColumn("outcome", outcome).withColumn(
-        "record", F.when(F.col("outcome") == "converted", record)
+    return records.withColumn("outcome", outcome).withColumns(
+        {
+            "record": F.when(F.col("outcome") == "converted", record),
+            "repaired": F.when(F.col("outcome") == "repaired", with_id),
+        }
     )
 
 
 def migrate_checked(records: DataFrame, new_id: Column | None = None) -> DataFrame:
-    """``migrate`` followed by validation: a converted row that breaks the contract fails."""
+    """``migrate`` followed by validation: a converted or repaired row that breaks the contract fails."""
     from voxledger.operators.validate import add_verdict, add_violations
 
     moved = migrate(records, new_id)
     text = F.to_json("record", {"ignoreNullFields": "true"})
-    moved = moved.withColumns({"old_v": F.col("v"), "v": F.when(F.col("outcome") == "converted", F.parse_json(text))})
+    moved = moved.withColumns({"old_v": F.col("v"), "v": F.when(F.col("outcome") == "converted", F.parse_json(text)).when(F.col("outcome") == "repaired", F.parse_json("repaired"))})
     moved = moved.withColumn("load_error", F.when(F.col("v").isNull(), F.coalesce("load_error", F.lit("not converted"))))
     judged = add_verdict(add_violations(moved))
-    failed = (F.col("outcome") == "converted") & ~F.col("valid")
+    failed = F.col("outcome").isin("converted", "repaired") & ~F.col("valid")
     return judged.withColumn("outcome", F.when(failed, "failed").otherwise(F.col("outcome")))
 
 

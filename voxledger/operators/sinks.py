@@ -161,6 +161,15 @@ def catalog_document(
     return _document(sections, layout, constants)
 
 
+def write_catalog_tables(results: DataFrame, path: str, required: list[str] | None = None) -> None:
+    """The catalogue as tables below ``path``, for catalogues of any size: ``sources`` (a JSON document
+    each), ``key_ratios`` and ``sample``. No table gathers keys or sources into one row."""
+    C.source_documents(results, required).write.mode("overwrite").parquet(f"{path}/sources")
+    C.key_ratios(results).write.mode("overwrite").parquet(f"{path}/key_ratios")
+    sample = C.valid_sample(results).select("file", F.to_json("v").alias("record"))
+    sample.write.mode("overwrite").parquet(f"{path}/sample")
+
+
 def kept_results(results: DataFrame) -> DataFrame:
     """The columns the outputs need, kept while several outputs read them."""
     wanted = ["file", "source", "mtime", "parsed", "load_error", "keys", "valid", "errors", "error_class", "v"]
@@ -178,15 +187,15 @@ def write_catalog(results: DataFrame, path: str, generated_at: str, roots: list[
 
 #: Folders of a block store. A data set is in one of them, so a new one touches its folder alone.
 STORE_BUCKETS = 256
-WRITER_BYTES = 256 << 20  # payload that a task writes
 
 
-def write_blocks(blocks: DataFrame, path: str, codec: str = "lz4_raw") -> None:
+def write_blocks(blocks: DataFrame, path: str, codec: str = "lz4_raw", spread: bool = True) -> None:
     """Store a block table in folders by a hash of the data set.
 
     Data sets that are already stored and not in ``blocks`` stay: of the folders that are written again,
     their rows are read and written with the new ones. Rows are dealt to tasks by measured bytes, so a
-    large volume has as many writers as its size asks for, and sorted by array and block.
+    large volume has as many writers as its size asks for, and sorted by array and block. With ``spread``
+    off every task writes the rows it has: right for blocks that were made in block order.
     """
     spark = blocks.sparkSession
     bucket = F.pmod(F.xxhash64("dataset_id"), F.lit(STORE_BUCKETS)).cast("int")
@@ -195,7 +204,7 @@ def write_blocks(blocks: DataFrame, path: str, codec: str = "lz4_raw") -> None:
     rows = new if kept is None else new.unionByName(kept)
     order = ["bucket", "dataset_id", "array_name", "level", "idx"]
     (
-        rows.hint("rebalance", "bucket")
+        (rows.hint("rebalance", "bucket") if spread else rows)
         .sortWithinPartitions(*order)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

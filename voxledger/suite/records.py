@@ -264,6 +264,31 @@ def missing_fields(spark: SparkSession, sf: str) -> DataFrame:
     return C.missing_fields(parse_records(T.candidate_files(spark, sf), T.ROOTS))
 
 
+@register(
+    with_keys(
+        """, has AS (SELECT r.doc_id, count(k.key) AS n, bool_or(k.key = 'id') AS id, bool_or(k.key = 'status') AS status, bool_or(k.key = 'metadata') AS metadata
+                   FROM recs r LEFT JOIN keys k ON k.doc_id = r.doc_id GROUP BY r.doc_id)
+           SELECT r.source, count(*) FILTER (NOT r.load_failed) AS total, count(*) FILTER (r.valid) AS valid, count(*) FILTER (NOT r.valid) AS invalid,
+                  count(r.error) AS errors, round(avg(h.n) FILTER (r.valid), 2) AS average_fields,
+                  count(*) FILTER (NOT r.load_failed AND NOT coalesce(h.id, false)) AS missing_id,
+                  count(*) FILTER (NOT r.load_failed AND NOT coalesce(h.status, false)) AS missing_status,
+                  count(*) FILTER (NOT r.load_failed AND NOT coalesce(h.metadata, false)) AS missing_metadata
+           FROM results r JOIN has h ON h.doc_id = r.doc_id GROUP BY r.source"""
+    )
+)
+def catalog_readback(spark: SparkSession, sf: str) -> DataFrame:
+    """The catalogue document of every source, parsed back from its JSON text."""
+    documents = C.source_documents(T.checked_records(spark, sf))
+    doc = F.parse_json("value")
+    number = lambda path: F.try_variant_get(doc, path, "bigint")
+    return documents.select(
+        "source",
+        *[number(f"$.{n}").alias(n) for n in ("total", "valid", "invalid", "errors")],
+        F.try_variant_get(doc, "$.average_fields", "double").alias("average_fields"),
+        *[number(f"$.missing.{n}").alias(f"missing_{n}") for n in ("id", "status", "metadata")],
+    )
+
+
 @register(with_results("SELECT file, source FROM results WHERE valid ORDER BY file LIMIT 5"))
 def catalog_sample(spark: SparkSession, sf: str) -> DataFrame:
     return C.valid_sample(T.checked_records(spark, sf)).select("file", "source")
@@ -361,8 +386,7 @@ def legacy_migrate(spark: SparkSession, sf: str) -> DataFrame:
     moved = M.migrate(records, F.concat(F.lit("rec-"), number)).where("outcome = 'converted'")
     r = F.col("record")
     listed = r["metadata"]["core"]["volume_shape"]
-    legacy = V.leaf(F.col("v"), "metadata").isNull() & V.leaf(F.col("v"), "dtype").isNotNull()
-    return moved.where(legacy).select(
+    return moved.select(
         "file",
         *[r[c].alias(c) for c in ("id", "source", "source_id", "status", "created_at")],
         r["metadata"]["core"]["description"].alias("description"),
@@ -375,11 +399,28 @@ def legacy_migrate(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@register(
+    with_keys(
+        """SELECT r.file, 'rec-' || r.doc_id AS id, count(*) + 1 AS members, bool_or(k.key = 'metadata') AS nested
+           FROM recs r JOIN keys k ON k.doc_id = r.doc_id WHERE r.kind = 2 GROUP BY r.file, r.doc_id"""
+    )
+)
+def legacy_repair(spark: SparkSession, sf: str) -> DataFrame:
+    """Nested records without an id: they get one and keep all their members."""
+    records = parse_records(T.candidate_files(spark, sf), T.ROOTS)
+    number = F.regexp_extract("fname", "metadata_([0-9]+)_", 1)
+    moved = M.migrate(records, F.concat(F.lit("rec-"), number)).where("outcome = 'repaired'")
+    doc = F.parse_json("repaired")
+    return moved.select(
+        "file", F.try_variant_get(doc, "$.id", "string").alias("id"), F.size(V.object_keys(doc)).alias("members"),
+        V.is_object(doc, "metadata").alias("nested"),
+    )
+
+
 @register(
     with_files(
         """, o AS (SELECT src, CASE WHEN kind IN (0, 1) THEN 'failed' WHEN kind = 26 THEN 'failed'
-                          WHEN kind = 2 OR kind = 22 THEN
-                            CASE WHEN src = 'empiar' THEN 'failed' ELSE 'converted' END
+                          WHEN src = 'empiar' AND kind IN (2, 22) THEN 'failed' WHEN kind = 2 THEN 'repaired' WHEN kind = 22 THEN 'converted'
                           ELSE 'already_v2' END AS outcome FROM recs)
            SELECT src AS source, outcome, count(*) AS files FROM o GROUP BY GROUPING SETS ((src, outcome), (outcome))"""
     )

@@ -357,7 +357,6 @@ def contamination_table(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.size(match["items"]).cast("long").alias("n_items"),
         F.sha2(F.array_join(match["items"], ","), 256).alias("items_sha256"),
         is_contaminated(match).alias("contaminated"),
-        match["longest"].alias("longest_match"),
     )
 
 

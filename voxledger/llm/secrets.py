@@ -29,12 +29,13 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 
 # Further shapes of credentials. They count as secrets only if their owner is alone.
 SHAPES = [
-    ("forge", re.compile(r"\bgh[pousr]_[A-Za-z0-9]{30,}"), "gh"),
-    ("service", re.compile(r"\b[sr]k[-_](?:live[-_])?[A-Za-z0-9]{20,}"), "k"),
-    ("chat", re.compile(r"\bxox[abprs]-[A-Za-z0-9-]{10,}"), "xox"),
-    ("signed", re.compile(r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"), "eyJ"),
-    ("private", re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s]+"), "-----BEGIN"),
-]
+    ("forge", r"\bgh[pousr]_[A-Za-z0-9]{30,}", "gh"),
+    ("service", r"\b[sr]k[-_](?:live[-_])?[A-Za-z0-9]{20,}", "k"),
+    ("chat", r"\bxox[abprs]-[A-Za-z0-9-]{10,}", "xox"),
+    ("signed", r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", "eyJ"),
+    ("private", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\t\n\r ]+", "-----BEGIN"),
+]
+_SHAPES = [(kind, re.compile(pattern, re.ASCII), hint) for kind, pattern, hint in SHAPES]
 
 # A text with any candidate fits this.
 MAY_HOLD = (
@@ -86,7 +87,7 @@ def find_base(raw: bytes) -> list[tuple[str, int, int, str]]:
 
 def find_shaped(raw: bytes) -> list[tuple[str, int, int, str]]:
     """(kind, start, end, value) of the further shapes in a whole text."""
-    live = [(kind, pattern) for kind, pattern, hint in SHAPES if hint.encode() in raw and (kind != "service" or b"sk" in raw or b"rk" in raw)]
+    live = [(kind, pattern) for kind, pattern, hint in _SHAPES if hint.encode() in raw and (kind != "service" or b"sk" in raw or b"rk" in raw)]
     if not live:
         return []
     text = raw.decode("utf-8", "replace")

@@ -1,4 +1,4 @@
-"""Registered queries of the training-data operators and their SQL twins."""
+"""Registered queries of the training-data operators; their SQL twins are in ``oracles``."""
 
 from __future__ import annotations
 
@@ -19,6 +19,7 @@ from voxledger.llm import (
     warc_zip,
 )
 from voxledger.llm.common import documents
+from voxledger.llm.oracles import ORACLES
 
 TOKENIZER = "piece_bpe_32k.model"
 
@@ -82,6 +83,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLES: dict[str, str] = {
-    "op9_mixing": mixing.MIX_SQL,
-}
+__all__ = ["ORACLES", "QUERIES"]

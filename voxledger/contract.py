@@ -34,6 +34,8 @@ CROP_TITLE = "Random crop at (%s) from FlyEM DVID"
 ARRAY_TITLE = "Array '%s' from OpenOrganelle Zarr S3 store"
 IMAGING_START = "2015-03-09"
 ARCHIVE_ROOT = "/empiar/world_availability/"
+# What a service log says when its configuration could not be imported.
+LOG_IMPORT_ERROR = "ModuleNotFoundError.*config_manager"
 RUN_FIELDS = {
     "commit_sha": "CI_COMMIT_SHA",
     "commit_ref": "CI_COMMIT_REF",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from voxledger import contract
 from voxledger.functions.text import duration_text, eta_text
 from voxledger.operators.ordered import running
 
@@ -132,7 +133,7 @@ def log_outcome(lines: DataFrame) -> DataFrame:
         F.max_by(F.when(exit_line, code), F.when(exit_line, F.col("line_no"))).alias("code"),
         F.bool_or(text.rlike("SUCCESS:.*Saved|completed successfully|SUCCESS")).alias("good_words"),
         F.bool_or(text.rlike("ERROR|Failed|Traceback")).alias("bad_words"),
-        F.bool_or(text.rlike("ModuleNotFoundError.*config_manager")).alias("import_error"),
+        F.bool_or(text.rlike(contract.LOG_IMPORT_ERROR)).alias("import_error"),
     )
     per_log = flags.groupBy("log_id").agg(F.bool_or("import_error").alias("log_import_error"))
     outcome = (
@@ -157,7 +158,7 @@ def log_hint(lines: DataFrame) -> DataFrame:
     """First matching cause of failure per service: config, network or auth."""
     text = F.col("line")
     flags = lines.groupBy("log_id", "service").agg(
-        F.bool_or(text.rlike("ModuleNotFoundError.*config_manager")).alias("config"),
+        F.bool_or(text.rlike(contract.LOG_IMPORT_ERROR)).alias("config"),
         F.bool_or(text.rlike("Connection refused|timeout|network")).alias("network"),
         F.bool_or(text.rlike("Permission denied|Authentication failed")).alias("auth"),
     )

@@ -312,7 +312,7 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_suppkey").alias("run"), "l_orderkey", "l_linenumber", status.alias("status"),
         F.col("l_quantity").alias("seconds"), (F.col("l_extendedprice") / F.lit(100.0)).alias("mb"),
         (F.col("l_quantity") > 45).alias("special"),
-        pick(["ebi", "epfl", "flyem", "idr", "openorganelle"], F.col("l_suppkey")).alias("loader"),
+        pick(SOURCES, F.col("l_suppkey")).alias("loader"),
     )
 
 

@@ -625,7 +625,7 @@ def policy_filter(spark: SparkSession, sf: str) -> DataFrame:
     d = T.table(spark, sf, "documents")
     i = F.col("doc_id")
     files = d.select(
-        T.pick(["ebi", "epfl", "flyem", "idr", "openorganelle", "other"], i).alias("source"),
+        T.pick([*contract.SOURCES, "other"], i).alias("source"),
         F.coalesce(S.file_format(F.concat(F.lit("f"), T.pick([".mrc", ".dm3", ".ser", ".xml"], i))), F.lit("none")).alias("format"),
         F.octet_length("text").cast("bigint").alias("nbytes"), F.when(i % 5 != 0, F.sha2("text", 256)).alias("sha256"),
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voxledger.session import shared_dir
 from voxledger.sources import files as S
 from voxledger.sources import tables as T
 from voxledger.streaming import jobs as X
@@ -104,3 +105,20 @@ def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """The event stream delivered twice, with repeats dropped."""
     events = _timed(spark, sf).select("event_id", "ts")
     return X.drain(X.without_repeats(events.unionByName(events), ["event_id"], "60 days"))
+
+
+@register(
+    """SELECT event_id, ts FROM events
+       WHERE event_id % 4 <> 3 OR ts > (SELECT max(ts) FROM events WHERE event_id % 2 = 0) - INTERVAL 3 DAY"""
+)
+def stream_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Three files arrive one after the other; rows of the third behind the watermark are dropped.
+
+    The watermark that the first file sets is in force for late rows from the third on.
+    """
+    events = T.table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    folder = shared_dir(spark, "late-input")
+    for part in ("event_id % 2 = 0", "event_id % 4 = 1", "event_id % 4 = 3"):
+        events.where(part).coalesce(1).write.mode("append").parquet(folder)
+    arriving = X.arriving_table(spark, folder, events.schema, files_per_batch=1)
+    return X.drain(X.without_repeats(arriving, ["event_id"], "3 days"))

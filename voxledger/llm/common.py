@@ -9,7 +9,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voxledger.session import configure, shared_dir
+from voxledger.session import configure
+from voxledger.session import shared_checkpoint as checkpoint
+
+__all__ = [
+    "annotate",
+    "blank_words",
+    "checkpoint",
+    "column",
+    "connected_components",
+    "documents",
+    "fold",
+    "free_name",
+    "held_out",
+    "quoted",
+    "union_find",
+    "words",
+]
 
 TextFunction = Callable[[list[bytes | None]], dict[str, list]]
 
@@ -114,19 +130,6 @@ def blank_words(text: bytes | None) -> list[bytes]:
     return text.translate(LOWER_BYTES).split() if text else []
 
 
-def shared_root(spark: SparkSession) -> None:
-    """Point Spark's checkpoints at the shared folder; a local session gets one of its own."""
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(shared_dir(spark, "checkpoints"))
-
-
-def checkpoint(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder, so that a lost executor costs no recomputation."""
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def fold(column_: Column) -> Column:
     """``crc32(id as text) mod 5``: 0 is the held-out fold. A null id falls in no fold: null."""
     return F.crc32(column_.cast("string").cast("binary")) % 5

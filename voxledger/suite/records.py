@@ -475,44 +475,53 @@ _BASE = "SELECT doc_id, text, lang, source, octet_length(encode(text)) AS bytes,
     f"""SELECT 'rec-' || doc_id AS id, 'ebi' AS source, source AS source_id, 'complete' AS status,
                CASE WHEN doc_id % 3 = 0 THEN lang ELSE 'EBI EMPIAR dataset ' || source END AS description, 'uint8' AS data_type,
                bytes AS file_size_bytes, sha AS sha256,
+               CAST(bytes AS VARCHAR) AS shape, NULL AS voxel_size, NULL AS dimensions, NULL AS crop_size,
                'ftp://host/empiar/world_availability/' || source || '/data/' || doc_id || '.dm3' AS url, '/data/' || doc_id || '.npy' AS volume
         FROM ({_BASE})
         UNION ALL
         SELECT 'rec-' || doc_id, 'idr', 'IDR-' || doc_id, 'complete',
-               CASE WHEN doc_id % 2 = 0 THEN lang ELSE 'IDR image ' || doc_id END, 'uint16', bytes, sha, 'ftp://host/' || doc_id, '/data/' || doc_id || '.npy' FROM ({_BASE})
+               CASE WHEN doc_id % 2 = 0 THEN lang ELSE 'IDR image ' || doc_id END, 'uint16', bytes, sha, CAST(bytes AS VARCHAR), NULL, NULL, NULL, 'ftp://host/' || doc_id, '/data/' || doc_id || '.npy' FROM ({_BASE})
         UNION ALL
-        SELECT 'rec-' || doc_id, 'epfl', source, 'complete', '5x5x5µm section from CA1 hippocampus region', 'uint16', bytes, NULL, 'ftp://host/' || doc_id, '/data/' || doc_id || '.npy' FROM ({_BASE})
+        SELECT 'rec-' || doc_id, 'epfl', source, 'complete', '5x5x5µm section from CA1 hippocampus region', 'uint16', bytes, NULL, CAST(bytes AS VARCHAR), '5.0,5.0,5.0', NULL, NULL, 'ftp://host/' || doc_id, '/data/' || doc_id || '.npy' FROM ({_BASE})
         UNION ALL
-        SELECT 'rec-' || doc_id, 'flyem', source, 'complete', 'Random crop at (' || doc_id || ', ' || (doc_id + 1) || ', ' || (doc_id + 2) || ') from FlyEM DVID', 'uint16', bytes, NULL, 'ftp://host/' || doc_id, '/data/' || doc_id || '.npy' FROM ({_BASE})
+        SELECT 'rec-' || doc_id, 'flyem', source, 'complete', 'Random crop at (' || doc_id || ', ' || (doc_id + 1) || ', ' || (doc_id + 2) || ') from FlyEM DVID', 'uint16', bytes, NULL, '8,8,8', NULL, NULL, '8,8,8', 'ftp://host/' || doc_id, '/data/' || doc_id || '.npy' FROM ({_BASE})
         UNION ALL
-        SELECT 'rec-' || doc_id, 'openorganelle', source, 'saving-data', 'Array ''fib/s' || doc_id || ''' from OpenOrganelle Zarr S3 store', NULL, NULL, NULL, 'ftp://host/' || doc_id, '/data/' || doc_id || '.npy' FROM ({_BASE})"""
+        SELECT 'rec-' || doc_id, 'openorganelle', source, 'saving-data', 'Array ''fib/s' || doc_id || ''' from OpenOrganelle Zarr S3 store', NULL, NULL, NULL, NULL, '5.0,5.0,5.0', CASE WHEN doc_id % 4 <> 0 THEN '10384.0,0.0,1669.44' END, NULL, 'ftp://host/' || doc_id, '/data/' || doc_id || '.npy' FROM ({_BASE})"""
 )
 def record_build(spark: SparkSession, sf: str) -> DataFrame:
+    """The records of five sources, built side by side in one scan and listed one after another."""
     listing, now = _listing(spark, sf), F.lit(_NOW)
-    built = [
-        R.slice_record(listing, "entry", "title", "raw_path", "host", now),
-        R.image_record(listing, now),
-        R.section_record(listing, now),
-        R.crop_record(listing, now),
-        R.array_record(listing, now),
+    builders = [
+        lambda df: R.slice_record(df, "entry", "title", "raw_path", "host", now),
+        lambda df: R.image_record(df, now),
+        lambda df: R.section_record(df, now),
+        lambda df: R.crop_record(df, now),
+        lambda df: R.array_record(df, now),
     ]
+    joined = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
     wanted = {
         "data_type": ("metadata.core.data_type", "string"),
         "file_size_bytes": ("metadata.technical.file_size_bytes", "bigint"),
         "sha256": ("metadata.technical.sha256", "string"),
     }
-    rows = [
-        b.select(
-            *[f"record.{c}" for c in ("id", "source", "source_id", "status", "metadata.core.description")],
-            *[R.current(b, path).cast(kind).alias(name) for name, (path, kind) in wanted.items()],
-            F.col("record.metadata.provenance.download_url").alias("url"), "record.files.volume",
+    lists = {
+        "shape": ("metadata.core.volume_shape", "array<bigint>"),
+        "voxel_size": ("metadata.core.voxel_size_nm", "array<double>"),
+        "dimensions": ("metadata.technical.dimensions_nm", "array<double>"),
+        "crop_size": ("additional_metadata.crop_size", "array<bigint>"),
+    }
+    out, made = listing, []
+    for i, build in enumerate(builders):
+        one = build(out)
+        row = F.struct(
+            *[F.col(f"record.{c}") for c in ("id", "source", "source_id", "status", "metadata.core.description")],
+            *[R.current(one, path).cast(kind).alias(name) for name, (path, kind) in wanted.items()],
+            *[joined(R.current(one, path).cast(kind)).alias(name) for name, (path, kind) in lists.items()],
+            F.col("record.metadata.provenance.download_url").alias("url"), F.col("record.files.volume"),
         )
-        for b in built
-    ]
-    out = rows[0]
-    for part in rows[1:]:
-        out = out.unionByName(part)
-    return out
+        made.append(f"_row{i}")
+        out = one.withColumn(made[-1], row).drop("record")
+    return out.select(F.inline(F.array(*made)))
 
 
 @register(

@@ -55,10 +55,20 @@ def test_keep_one_keeps_one_row_of_each_group(spark):
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
     found = simhash.near_duplicates(docs)
-    assert kept.count() == found.select(F.coalesce("component_id", "fingerprint")).distinct().count()
+    groups = found.select(F.coalesce("component_id", "fingerprint")).distinct().count()
+    assert kept.count() == groups + 1  # id 7 names two texts that are not alike: two groups
     assert kept.where("doc_id = 4").count() == 1 and kept.where("doc_id = 5").count() == 0
 
 
+def test_rows_without_ids_are_kept_apart(spark):
+    a, b = "red green blue " * 5, "one two three four " * 5
+    rows_ = [(None, a, "x"), (None, a, "y"), (None, b, "x"), (7, "else entirely here", "x"), (None, "else entirely here", "y"), (8, "nine ten", "x"), (8, "nine ten", "x")]
+    df = spark.createDataFrame(rows_, "doc_id long, text string, text_digest string")
+    kept = rows(simhash.keep_one(df))
+    assert [r[:2] for r in kept] == [(7, "else entirely here"), (8, "nine ten"), (None, b), (None, a)]
+    assert kept[0][2] == "x" and simhash.keep_one(df).columns == df.columns
+
+
 def test_trees_find_every_pair_across_shards(spark):
     rng = np.random.default_rng(1)
     values = [rng.integers(0, 2**63, 600).astype(np.uint64)]

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -259,11 +259,12 @@ def fingerprint_links(
 
 
 def simhash_components(prints: DataFrame, id_col: str, *, distance: int = DISTANCE) -> DataFrame:
-    """Rows of ``prints`` (``id_col``, ``fingerprint``) with ``component_id``.
+    """Rows of ``prints`` (with ``id_col`` and ``fingerprint``) with ``component_id`` and ``root``.
 
     ``component_id`` is the smallest id reachable by links of at most ``distance`` differing bits; of
-    a component whose ids are all null it is null. Equal fingerprints are one node, so copies make no
-    pairs. ``prints`` should be a stored table: it is read twice.
+    a component whose ids are all null it is null. ``root`` is the component's smallest fingerprint.
+    Equal fingerprints are one node, so copies make no pairs. ``prints`` should be a stored table: it is
+    read twice.
     """
     values = checkpoint(prints.groupBy("fingerprint").agg(F.min(id_col).alias("low")))
     roots = connected_components(fingerprint_links(values.select("fingerprint"), distance=distance))
@@ -271,10 +272,18 @@ def simhash_components(prints: DataFrame, id_col: str, *, distance: int = DISTAN
         "fingerprint", "low", F.coalesce("root", "fingerprint").alias("root")
     )
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    of = checkpoint(rooted.join(lowest, "root").select("fingerprint", "component_id"))
+    of = checkpoint(rooted.join(lowest, "root").select("fingerprint", "component_id", "root"))
     return prints.join(of, "fingerprint")
 
 
+def _stored_prints(docs: DataFrame, id_col: str, text: str, shingle: int, *more: Column) -> DataFrame:
+    """``id``, ``fingerprint`` and ``more`` columns of every row, at a checkpoint."""
+    source = docs.select(column(id_col).alias("id"), column(text).alias("text"), *more)
+    keep = [c for c in source.columns if c != "text"]
+    prints = with_fingerprint(source, shingle=shingle, keep=keep, result="p")
+    return checkpoint(prints.select(*keep, F.col("p.fingerprint").alias("fingerprint")))
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """One row per input row: ``id_col``, ``fingerprint`` (a long) and ``component_id``.
 
@@ -282,29 +291,29 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text: str = "tex
     their own in one component. An empty table gives an empty result. Texts are mapped once, and only
     ids and fingerprints move.
     """
-    prints = checkpoint(
-        with_fingerprint(docs.select(column(id_col).alias("id"), column(text).alias("text")), shingle=shingle, keep=["id"], result="p").select("id", F.col("p.fingerprint").alias("fingerprint"))
-    )
-    return simhash_components(prints, "id", distance=distance).select(F.col("id").alias(id_col), "fingerprint", "component_id")
+    found = simhash_components(_stored_prints(docs, id_col, text, shingle), "id", distance=distance)
+    return found.select(F.col("id").alias(id_col), "fingerprint", "component_id")
 
 
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """``docs`` with one row of each component: that with the smallest id.
+    """``docs`` with one row of each component: that with the smallest id, null ids last.
 
-    Of rows that repeat this id, the one with the smallest text digest stays; of rows with a null id,
-    one of each component without any id. Columns stay as they are. After the join rows already lie
-    by id, so the choice among repeats moves nothing.
+    Of rows of a component that repeat this id, the one with the smallest text digest stays, and one of
+    rows that repeat both; rows of one id whose texts are not alike are two components. Columns stay as they are. After the join rows already lie by id and digest, so the
+    choice among repeats moves nothing.
     """
-    found = near_duplicates(docs, id_col=id_col, text=text, shingle=shingle, distance=distance)
-    name, place = free_name(docs, "kept_id"), free_name(docs, "place")
-    kept = (
-        found.where(column(id_col).eqNullSafe(F.col("component_id")))
-        .select(column(id_col).alias(name))
-        .distinct()
-    )
-    rows = docs.join(kept, column(id_col).eqNullSafe(F.col(name)), "left_semi")
-    first = Window.partitionBy(column(id_col)).orderBy(F.sha2(column(text).cast("binary"), 256))
-    return rows.withColumn(place, F.row_number().over(first)).where(column(place) == 1).drop(place)
+    digest = lambda c: F.coalesce(F.sha2(c.cast("binary"), 256), F.lit(""))
+    prints = _stored_prints(docs, id_col, text, shingle, digest(column(text)).alias("digest"))
+    found = simhash_components(prints, "id", distance=distance)
+    name, key, place = (free_name(docs, n) for n in ("kept_id", "text_digest", "place"))
+    best = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "digest")).alias("b"))
+    kept = best.select(F.col("b.id").alias(name), F.col("b.digest").alias("kept_digest"))
+    keyed = docs.withColumn(key, digest(column(text)))
+    same = column(id_col).eqNullSafe(F.col(name)) & (column(key) == F.col("kept_digest"))
+    rows = keyed.join(kept, same, "left_semi")
+    first = Window.partitionBy(column(id_col), column(key)).orderBy(F.lit(1))
+    numbered = rows.withColumn(place, F.row_number().over(first)).where(column(place) == 1)
+    return numbered.select(*[column(c) for c in docs.columns])
 
 
 def simhash_table(docs: DataFrame) -> DataFrame:

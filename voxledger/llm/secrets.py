@@ -255,11 +255,13 @@ def mask_secrets(
     column to set to the new length. Texts without spans come back as they are, null texts too.
 
     A pattern that every candidate fits divides the rows: those without stay in their tasks. The
-    spans of the others are kept per distinct text and meet it by an equality join.
+    others are kept at a checkpoint; their spans are kept per distinct text and meet it by an equality
+    join.
     """
     may = F.coalesce(column(text).rlike(MAY_HOLD), F.lit(False))
     key, found = free_name(docs, "text_key"), free_name(docs, "text_spans")
-    rest, some = docs.where(~may), docs.where(may).withColumn(key, F.sha2(column(text).cast("binary"), 256))
+    rest = docs.where(~may)
+    some = checkpoint(docs.where(may).withColumn(key, F.sha2(column(text).cast("binary"), 256)))
     scanned = scan_secrets(some, id_col=key, text=text, repository=repository, owner=owner, max_owners=max_owners)
     spans = scanned.where(F.size("spans") > 0).groupBy(column(key)).agg(
         F.first(F.transform("spans", lambda s: F.struct(s["start"], s["end"], s["live"]))).alias(found)

@@ -295,20 +295,28 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text: str = "tex
     return found.select(F.col("id").alias(id_col), "fingerprint", "component_id")
 
 
+def text_digest(text: Column) -> Column:
+    return F.coalesce(F.sha2(text.cast("binary"), 256), F.lit(""))
+
+
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """``docs`` with one row of each component: that with the smallest id, null ids last.
+    """``docs`` with one row of each component: see ``keep_lowest``."""
+    prints = _stored_prints(docs, id_col, text, shingle, text_digest(column(text)).alias("digest"))
+    return keep_lowest(docs, simhash_components(prints, "id", distance=distance), id_col=id_col, text=text)
+
+
+def keep_lowest(docs: DataFrame, found: DataFrame, *, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each ``root`` of ``found`` (``id``, ``digest``, ``root`` of every row):
+    that with the smallest id, null ids last.
 
     Of rows of a component that repeat this id, the one with the smallest text digest stays, and one of
     rows that repeat both; rows of one id whose texts are not alike are two components. Columns stay as they are. After the join rows already lie by id and digest, so the
     choice among repeats moves nothing.
     """
-    digest = lambda c: F.coalesce(F.sha2(c.cast("binary"), 256), F.lit(""))
-    prints = _stored_prints(docs, id_col, text, shingle, digest(column(text)).alias("digest"))
-    found = simhash_components(prints, "id", distance=distance)
     name, key, place = (free_name(docs, n) for n in ("kept_id", "text_digest", "place"))
     best = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "digest")).alias("b"))
     kept = best.select(F.col("b.id").alias(name), F.col("b.digest").alias("kept_digest"))
-    keyed = docs.withColumn(key, digest(column(text)))
+    keyed = docs.withColumn(key, text_digest(column(text)))
     same = column(id_col).eqNullSafe(F.col(name)) & (column(key) == F.col("kept_digest"))
     rows = keyed.join(kept, same, "left_semi")
     first = Window.partitionBy(column(id_col), column(key)).orderBy(F.lit(1))

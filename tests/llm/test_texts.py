@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
@@ -205,6 +206,18 @@ def test_ownership_parts_copies_from_live_credentials(spark):
     assert masked[0] == 'é [SECRET]" end' and masked[4] is None and masked[5] == ""
 
 
+def test_pipeline_masks_copied_shapes_and_counts_documents(spark, sf_dir):
+    key = "-----BEGIN PRIVATE KEY-----" + "MIIEvQ" * 9
+    docs = [(i, f"see {key}", f"s{i}", 1) for i in range(4)] + [(10, "one ghp_" + "a1B2" * 9, "s0", 1)]
+    docs += [(100 + i, f"doc {i} ghp_" + "z9Y8" * 9, "hot", 1) for i in range(101)]
+    docs += [(300 + i, "token=ghp_" + "c3D4" * 9, f"s{i}", 1) for i in range(3)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string, n_chars long")
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.secret_stage(spark, df, sf_dir).collect()}
+    assert {got[i] for i in range(4)} == {"see [EXAMPLE]"}
+    assert got[10] == "one [SECRET]" and got[300] == "[EXAMPLE]"
+    assert all(got[100 + i] == f"doc {i} [EXAMPLE]" for i in range(101))
+
+
 def test_masks_follow_the_spans_in_python(spark):
     rng = random.Random(9)
     parts = ["token=abcdefgh12 ", "0123456789abcdef" * 2, "é ", "AKIA" + "B" * 16, "x ", "secret: q"]

@@ -155,13 +155,16 @@ def scan_secrets(
     repository: str = "doc_id",
     owner: str = "source",
     max_owners: int = 2,
+    max_repositories: int | None = None,
+    copied: bool = False,
 ) -> DataFrame:
     """One row per input row: ``row``, ``id_col``, and all ``spans`` with what the corpus says of them.
 
     A span has kind, start, end (code points, end exclusive), value_hash, base, n_repositories,
-    n_owners and live. ``live`` is true for a value that at most ``max_owners`` owners carry: a
-    widely copied example is not. Base spans always stay, whether live or not; spans of further
-    shapes are added only if live and not inside a base span of the same document. ``row`` numbers the
+    n_owners and live. ``live`` is true for a value that at most ``max_owners`` owners and, if given,
+    ``max_repositories`` repositories carry: a widely copied example is not. Base spans always stay,
+    whether live or not; spans of further shapes are added if live, or with ``copied`` also if not,
+    and not inside a base span of the same document. ``row`` numbers the
     input rows, so repeated rows and ids stay apart. Null and empty texts have no spans; a null
     owner is one owner. Extra columns are not looked at.
 
@@ -191,12 +194,12 @@ def scan_secrets(
         ).alias("s"),
     ).select("row", "repository", "owner", "s.*")
     counts = ownership(spans)
-    judged = (
-        spans.drop("repository", "owner")
-        .join(counts, "value_hash")
-        .withColumn("live", F.col("n_owners") <= max_owners)
-        .where(F.col("base") | F.col("live"))
-    )
+    live = F.col("n_owners") <= max_owners
+    if max_repositories is not None:
+        live = live & (F.col("n_repositories") <= max_repositories)
+    judged = spans.drop("repository", "owner").join(counts, "value_hash").withColumn("live", live)
+    if not copied:
+        judged = judged.where(F.col("base") | F.col("live"))
     gathered = judged.groupBy("row").agg(
         F.sort_array(
             F.collect_list(
@@ -247,11 +250,13 @@ def mask_secrets(
     repository: str = "doc_id",
     owner: str = "source",
     max_owners: int = 2,
+    max_repositories: int | None = None,
+    copied: bool = False,
 ) -> DataFrame:
     """Rows of ``docs`` with the secrets in ``text`` masked; all columns and rows stay.
 
     A live credential becomes ``[SECRET]``, a base span that is a widely copied example becomes
-    ``[EXAMPLE]``; overlapping spans become one mask, ``[SECRET]`` if any is live. ``n_chars`` names a
+    ``[EXAMPLE]``, with ``copied`` also a span of a further shape; overlapping spans become one mask, ``[SECRET]`` if any is live. ``n_chars`` names a
     column to set to the new length. Texts without spans come back as they are, null texts too.
 
     A pattern that every candidate fits divides the rows: those without stay in their tasks. The
@@ -262,7 +267,9 @@ def mask_secrets(
     key, found = free_name(docs, "text_key"), free_name(docs, "text_spans")
     rest = docs.where(~may)
     some = checkpoint(docs.where(may).withColumn(key, F.sha2(column(text).cast("binary"), 256)))
-    scanned = scan_secrets(some, id_col=key, text=text, repository=repository, owner=owner, max_owners=max_owners)
+    scanned = scan_secrets(
+        some, id_col=key, text=text, repository=repository, owner=owner, max_owners=max_owners, max_repositories=max_repositories, copied=copied
+    )
     spans = scanned.where(F.size("spans") > 0).groupBy(column(key)).agg(
         F.first(F.transform("spans", lambda s: F.struct(s["start"], s["end"], s["live"]))).alias(found)
     )

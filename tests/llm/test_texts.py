@@ -178,6 +178,24 @@ SECRET_TEXTS = [
 ]
 
 
+def whole_wording(label):
+    """The longest template of a label as a notice: marks of optional words go, names are filled in."""
+    markup = max((m for x, m in licenses.TEMPLATES if x == label), key=len)
+    return re.sub(r"\{\{\d+\}\}", "Ann Example", re.sub(r"\[\[|\]\]", "", markup))
+
+
+def test_licenses_need_the_whole_wording(spark):
+    gpl = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General
+    Public License as published by the Free Software Foundation; either version {} of the License, or (at your option)
+    any later version."""
+    mit = whole_wording("mit")
+    texts = [gpl.format(3), gpl.format(2), mit, whole_wording("bsd-2"), whole_wording("bsd-3"), whole_wording("isc")]
+    texts.append(mit.split(" the above")[0] + " you may not use the software for evil")
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["labels"] for r in licenses.license_table(df).collect()}
+    assert got == {0: "gpl-3", 1: "gpl-2", 2: "mit", 3: "bsd-2", 4: "bsd-3", 5: "isc", 6: ""}
+
+
 def secret_docs(spark):
     docs = [(i, t, f"s{i}") for i, t in enumerate(SECRET_TEXTS)] + [(20 + i, SECRET_TEXTS[8], f"o{i}") for i in range(3)]
     docs += [(30, SECRET_TEXTS[0], None), (30, SECRET_TEXTS[0], None)]

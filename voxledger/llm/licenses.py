@@ -25,6 +25,27 @@ PHRASES = [
     ("cc by nc", "cc-by-nc"),
 ]
 
+_BSD = (
+    "redistribution and use in source and binary forms with or without modification are permitted provided "
+    "that the following conditions are met [[1]] redistributions of source code must retain the above "
+    "copyright notice this list of conditions and the following disclaimer [[2]] redistributions in binary "
+    "form must reproduce the above copyright notice this list of conditions and the following disclaimer in "
+    "the documentation and or other materials provided with the distribution "
+)
+_BSD_NAMES = (
+    "[[3]] neither the name of {{12}} nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission "
+)
+_BSD_END = (
+    "this software is provided by {{12}} as is and any express or implied warranties including but not limited "
+    "to the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no "
+    "event shall {{12}} be liable for any direct indirect incidental special exemplary or consequential damages "
+    "including but not limited to procurement of substitute goods or services loss of use data or profits or "
+    "business interruption however caused and on any theory of liability whether in contract strict liability "
+    "or tort including negligence or otherwise arising in any way out of the use of this software even if "
+    "advised of the possibility of such damage"
+)
+
 # Wording of published licenses and their customary notices, with optional and
 # replaceable regions marked.
 TEMPLATES = [
@@ -34,7 +55,13 @@ TEMPLATES = [
         "software and associated documentation files the software to deal in the software without "
         "restriction including without limitation the rights to use copy modify merge publish "
         "distribute sublicense and or sell copies of the software and to permit persons to whom the "
-        "software is furnished to do so subject to the following conditions",
+        "software is furnished to do so subject to the following conditions the above copyright notice "
+        "and this permission notice [[including the next paragraph]] shall be included in all copies or "
+        "substantial portions of the software the software is provided as is without warranty of any "
+        "kind express or implied including but not limited to the warranties of merchantability fitness "
+        "for a particular purpose and noninfringement in no event shall {{12}} be liable for any claim "
+        "damages or other liability whether in an action of contract tort or otherwise arising from out "
+        "of or in connection with the software or the use or other dealings in the software",
     ),
     ("mit", "[[this {{4}} is]] [[released|licensed|distributed|available]] under the [[terms of the]] mit license"),
     (
@@ -48,15 +75,23 @@ TEMPLATES = [
     ("cc-by-nc", "creative commons attribution noncommercial [[{{2}} international]] [[public]] license"),
     ("gpl-3", "[[this {{6}} is]] licensed under the gnu general public license [[as published by {{6}}]] [[either]] version 3"),
     ("gpl-2", "[[this {{6}} is]] licensed under the gnu general public license [[as published by {{6}}]] [[either]] version 2"),
+    ("gpl-3", "under the terms of the gnu general public license [[as published by {{6}}]] [[either]] version 3 [[of the license]]"),
+    ("gpl-2", "under the terms of the gnu general public license [[as published by {{6}}]] [[either]] version 2 [[of the license]]"),
     ("gpl-3", "gnu general public license version 3 29 june 2007"),
     ("gpl-2", "gnu general public license version 2 june 1991"),
+    ("bsd-2", _BSD + _BSD_END),
+    ("bsd-3", _BSD + _BSD_NAMES + _BSD_END),
+    ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0"),
     (
-        "bsd",
-        "redistribution and use in source and binary forms with or without modification are "
-        "permitted provided that the following conditions are met",
+        "isc",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is "
+        "hereby granted provided that the above copyright notice and this permission notice appear in all copies "
+        "the software is provided as is and {{12}} disclaims all warranties with regard to this software including "
+        "all implied warranties of merchantability and fitness in no event shall {{12}} be liable for any special "
+        "direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or "
+        "profits whether in an action of contract negligence or other tortious action arising out of or in "
+        "connection with the use or performance of this software",
     ),
-    ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0"),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that"),
     ("spdx:{}", "spdx license identifier {{!}}"),
 ]
 

@@ -116,10 +116,41 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
 FROM d LEFT JOIN g ON g.doc_id = d.doc_id
 """
 
+# Phrases of two and three words by their places in a piece; all of them are counted.
+COLLOCATION_SQL = rf"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+f AS (
+  SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase, CAST(count(*) AS HUGEINT) AS f
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (VALUES (1), (2), (3)) ks(k) WHERE len(w) >= k)
+  GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10),
+cut AS (
+  SELECT c.lang, c.k, c.phrase, c.a, c.w, x.f AS l, y.f AS r, (1000000 * c.a * c.a) // (x.f * y.f) AS score, j
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1 : j], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[j + 1 :], ' ')),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inner_ AS (
+  SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a FROM c WHERE k = 3),
+longest AS (SELECT lang, phrase, max(a) AS longer FROM inner_ GROUP BY ALL),
+kept AS (
+  SELECT b.* FROM best b LEFT JOIN longest o ON o.lang = b.lang AND o.phrase = b.phrase
+  WHERE o.longer IS NULL OR 100 * o.longer < 50 * b.a)
+SELECT kept.lang, row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+       CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n, CAST(score AS BIGINT) AS score
+FROM kept JOIN n ON n.lang = kept.lang
+QUALIFY rank <= 2000
+"""
+
 ORACLES = {
     "op1_decontamination": CONTAMINATION_SQL,
     "op3_embedding_join": EMBEDDING_SQL,
     "op6_warc": ARCHIVE_SQL,
     "op8_secrets": SECRET_SQL,
     "op9_mixing": MIX_SQL,
+    "op11_collocations": COLLOCATION_SQL,
 }

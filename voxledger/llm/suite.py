@@ -7,14 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from voxledger.llm import (
+    collocations,
     decontaminate,
     embedding_join,
     langid,
     licenses,
     mixing,
     quality,
+    quartile_digest,
     secrets,
     simhash,
+    token_alignment,
     token_counts,
     warc_zip,
 )
@@ -22,6 +25,7 @@ from voxledger.llm.common import documents
 from voxledger.llm.oracles import ORACLES
 
 TOKENIZER = "piece_bpe_32k.model"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,6 +71,22 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_table(documents(spark, sf_dir))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocation_table(documents(spark, sf_dir))
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quartile_digest.fingerprint_table(documents(spark, sf_dir))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_alignment.alignment_table(
+        documents(spark, sf_dir), public_tokenizers.path(BYTE_TOKENIZER), public_tokenizers.path(TOKENIZER)
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -80,6 +100,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_secrets,
         op9_mixing,
         op10_licenses,
+        op11_collocations,
+        op12_fingerprints,
+        op13_alignment,
     )
 }
 

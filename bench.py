@@ -61,7 +61,7 @@ def time_volume(spark, megabytes: int) -> dict[str, float]:
     import pyarrow as pa
 
     from voxledger.operators import blocks as B
-    from voxledger.operators import sinks as K
+    from voxledger.operators import store as K
 
     schema = B._arrow_schema(B.BLOCKS)
 

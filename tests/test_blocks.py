@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from voxledger.operators import blocks as B
 from voxledger.operators import ingest as I
-from voxledger.operators import sinks as K
+from voxledger.operators import quantiles as Q
+from voxledger.operators import store as ST
 from voxledger.plans import chunking as P
+from voxledger.sources import raw as R
 
 CHUNK = (4, 5, 6)
 
@@ -186,17 +188,18 @@ def test_tree_digest_depends_on_content_only(spark, blocks, arrays):
 
 
 def test_stored_blocks_read_back(spark, blocks, arrays, tmp_path):
-    K.write_blocks(blocks, str(tmp_path / "t"))
-    back = spark.read.schema(B.BLOCKS).parquet(str(tmp_path / "t"))
+    ST.write_blocks(blocks, str(tmp_path / "t"))
+    back = ST.read_blocks(spark, str(tmp_path / "t"))
     assert all(np.array_equal(a, arrays[n]) for (n, _), a in whole(back).items())
     other = blocks_of(spark, {"z": arrays["a"], "b": arrays["b"] + 1})
-    K.write_blocks(other, str(tmp_path / "t"))
-    back = whole(K.read_blocks(spark, str(tmp_path / "t")))
+    ST.write_blocks(other, str(tmp_path / "t"))
+    back = whole(ST.read_blocks(spark, str(tmp_path / "t")))
     assert np.array_equal(back["a", 0], arrays["a"]) and np.array_equal(back["c", 0], arrays["c"])
     assert np.array_equal(back["z", 0], arrays["a"]) and np.array_equal(back["b", 0], arrays["b"] + 1)
-    one = K.read_blocks(spark, str(tmp_path / "t"), "a")
+    one = ST.read_blocks(spark, str(tmp_path / "t"), "a")
     assert set(whole(one)) == {("a", 0)}
-    assert "PartitionFilters: [isnotnull(bucket" in one._jdf.queryExecution().executedPlan().toString()
+    files = {r["file"] for r in ST.zones(spark, str(tmp_path / "t")).where("dataset_id = 'a'").collect()}
+    assert len(one.inputFiles()) == len(files)
 
 
 def test_raw_decode_reports_wrong_sizes(spark):
@@ -241,7 +244,7 @@ def test_grid_covers_each_array_once(spark):
 
 def test_store_job_keeps_or_reduces_by_size(spark, blocks, arrays, tmp_path):
     plan = {r["dataset_id"]: r for r in I.store_arrays(blocks, str(tmp_path / "all"), 2000).collect()}
-    stored = whole(spark.read.schema(B.BLOCKS).parquet(str(tmp_path / "all")))
+    stored = whole(ST.read_blocks(spark, str(tmp_path / "all")))
     for name, a in arrays.items():
         assert np.array_equal(stored[name, 0], a)
         assert plan[name]["strategy"] == "direct" and plan[name]["mean"] == pytest.approx(a.mean(dtype="float64"))
@@ -249,7 +252,7 @@ def test_store_job_keeps_or_reduces_by_size(spark, blocks, arrays, tmp_path):
     for mode in ("skip", "downsample"):
         labelled = {r["dataset_id"]: r for r in I.store_arrays(blocks, str(tmp_path / mode), limit, mode).collect()}
         assert labelled["a"]["strategy"] != "direct" and labelled["a"]["mean"] == pytest.approx(arrays["a"].mean(dtype="float64"))
-        kept = whole(spark.read.schema(B.BLOCKS).parquet(str(tmp_path / mode)))
+        kept = whole(ST.read_blocks(spark, str(tmp_path / mode)))
         assert all(np.array_equal(kept[n, 0], arrays[n]) for n in arrays)
     both = blocks.unionByName(blocks.withColumn("level", F.lit(1)))
     rows = I.store_arrays(both, str(tmp_path / "levels"), 2000).collect()
@@ -261,3 +264,111 @@ def test_rechunk_per_array(blocks, arrays):
     moved = B.rechunk(blocks, per_row)
     assert all(np.array_equal(v, arrays[n]) for (n, _), v in whole(moved).items())
     assert moved.where("dataset_id = 'a'").count() == 5 * 6 * 7
+
+
+def test_two_stores_give_two_results(spark, blocks, tmp_path):
+    path = str(tmp_path / "s")
+    one = I.store_arrays(blocks.where("dataset_id = 'a'"), path, 2000).collect()
+    two = I.store_arrays(blocks.where("dataset_id = 'b'"), path, 2000).collect()
+    assert {r["dataset_id"] for r in one} == {"a"} and {r["dataset_id"] for r in two} == {"b"}
+    assert {n for n, _ in whole(ST.read_blocks(spark, path))} == {"a", "b"}
+
+
+def test_curve_is_a_bijection_and_cells_are_stretches(spark):
+    df = spark.range(8 * 8 * 8).select(F.array(F.floor(F.col("id") / 64), F.floor(F.col("id") / 8) % 8, F.col("id") % 8).cast("array<bigint>").alias("idx"))
+    rows = df.select("idx", ST.curve_position(F.col("idx")).alias("c"), ST.cell_of(ST.curve_position(F.col("idx")), F.lit(1), F.lit(3)).alias("cell")).collect()
+    assert {r["c"] for r in rows} == set(range(512))
+    for r in rows:
+        z, y, x = r["idx"]
+        assert r["c"] == sum((n >> b & 1) << (3 * b + k) for k, n in enumerate((x, y, z)) for b in range(3))
+        assert r["cell"] == r["c"] >> 3
+    far = spark.sql("SELECT array(5000000000L, 3L, 1L) AS idx UNION ALL SELECT array(9000000000L, 3L, 1L)")
+    assert far.select(ST.curve_position(F.col("idx"))).distinct().count() == 1
+
+
+def test_lookups_read_few_files(spark, tmp_path):
+    """Boxes from a store equal slices, and files without a touched cell stay closed."""
+    rng = np.random.default_rng(1)
+    a = {"v": rng.integers(0, 255, (40, 44, 48)).astype("uint8"), "w": rng.integers(0, 255, (9, 9, 9)).astype("uint8")}
+    path = str(tmp_path / "s")
+    spark.conf.set("spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor", "0.01")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
+    try:
+        ST.write_blocks(blocks_of(spark, a, (4, 4, 4), 6), path, cell_bytes=8 * 64)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor")
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    zones = ST.zones(spark, path)
+    assert zones.select("file").distinct().count() > 5
+    boxes = [(1, "v", [0, 0, 0], [5, 6, 7]), (2, "v", [36, 40, 44], [9, 9, 9]), (3, "w", [-3, 2, 2], [5, 1, 1]), (4, "v", [99, 0, 0], [1, 1, 1])]
+    requests = spark.createDataFrame([(i, n, "s0", 0, s, z) for i, n, s, z in boxes], "request_id bigint, dataset_id string, array_name string, level int, start array<bigint>, size array<bigint>")
+    crops = {r["request_id"]: r for r in B.assemble_crops(ST.store_lookup(requests, path)).collect()}
+    assert set(crops) == {1, 2, 3}
+    for i, n, s, z in boxes[:3]:
+        want = a[n][tuple(slice(max(0, p), p + q) for p, q in zip(s, z))]
+        assert bytes(crops[i]["payload"]) == want.tobytes()
+    one = ST.matching_files(requests.where("request_id = 1"), zones)
+    assert 0 < one.count() < zones.select("file").distinct().count()
+    inventory = {r["dataset_id"]: r for r in ST.stored_inventory(zones).collect()}
+    assert inventory["v"]["shape"] == [40, 44, 48] and inventory["v"]["blocks"] == 10 * 11 * 12 and inventory["w"]["nbytes"] == 729
+    with pytest.raises(ValueError, match="no block store"):
+        ST.read_blocks(spark, str(tmp_path / "none"))
+
+
+def test_replacing_a_data_set_keeps_those_in_the_same_file(spark, tmp_path):
+    a = {n: np.full((4, 4, 4), i, "uint8") for i, n in enumerate("abc")}
+    path = str(tmp_path / "s")
+    ST.write_blocks(blocks_of(spark, a, (4, 4, 4), 1), path, spread=False)
+    ST.write_blocks(blocks_of(spark, {"b": a["b"] + 7}, (4, 4, 4), 1), path)
+    got = whole(ST.read_blocks(spark, path))
+    assert {n: int(v[0, 0, 0]) for (n, _), v in got.items()} == {"a": 0, "b": 8, "c": 2}
+    assert ST.read_blocks(spark, path).count() == 3
+
+
+def test_hot_blocks_are_cut_in_lists(spark, blocks, arrays):
+    n = 2_500
+    requests = spark.range(n).selectExpr(
+        "id AS request_id", "'a' AS dataset_id", "'s0' AS array_name", "0 AS level", "array(0L, 0L, id % 3) AS start", "array(2L, 2L, 2L) AS size"
+    )
+    pieces = B.crop_pieces(requests, blocks, B.inventory(blocks), list_boxes=100, axes=3)
+    assert pieces.count() == n
+    sums = {r["request_id"]: int(np.frombuffer(bytes(r["payload"]), "uint8").sum()) for r in pieces.collect()}
+    assert all(sums[i] == int(arrays["a"][:2, :2, i % 3 : i % 3 + 2].sum()) for i in range(n))
+
+
+def test_raw_files_by_ranges(spark, blocks, arrays, tmp_path):
+    """Three orders of axes, a slab per plane; a file is larger than a slab; wrong files are named."""
+    for axes in ("zyx", "xyz", "yxz"):
+        folder = str(tmp_path / axes)
+        written = R.write_raw_files(blocks, folder, axes)
+        sizes = {r["dataset_id"]: r["bytes"] for r in written.collect()}
+        assert sizes == {n: a.nbytes for n, a in arrays.items()}
+        a = next(r["path"] for r in written.collect() if r["dataset_id"] == "a")
+        order = tuple("zyx".index(c) for c in axes)
+        assert open(a, "rb").read() == np.ascontiguousarray(arrays["a"].transpose(order)).tobytes()
+        assert R.slabs(R.checked(written), 150).where("dataset_id = 'a'").count() > 3
+        back = whole(R.raw_file_blocks(written, [4, 5, 6], slab_bytes=150))
+        assert all(np.array_equal(back[n, 0], arrays[n]) for n in arrays)
+    wrong = written.withColumn("bytes", F.when(F.col("dataset_id") == "a", 3).when(F.col("dataset_id") == "b", None).otherwise(F.col("bytes")))
+    errors = {r["dataset_id"]: r["error"] for r in R.checked(wrong.withColumn("axes", F.when(F.col("dataset_id") == "c", F.lit("zzx")).otherwise(F.col("axes")))).collect()}
+    assert errors == {"a": "3D block has size 3 (expected 1287)", "b": "no such file", "c": "axes zzx do not fit the shape"}
+    assert {n for n, _ in whole(R.raw_file_blocks(wrong, [4, 5, 6]))} == {"c"}
+
+
+def test_quantiles_stay_within_their_error(spark):
+    rng = np.random.default_rng(4)
+    a = {"big": rng.normal(size=(40, 40, 40)).astype("float64"), "few": rng.integers(0, 9, (7, 8, 9)).astype("uint8")}
+    df = blocks_of(spark, a, (8, 8, 8), 5)
+    shares = [0.0, 0.1, 0.5, 0.9, 0.999, 1.0]
+    rows = Q.volume_quantiles(df, shares, size=64, fan_in=4).collect()
+    assert len(rows) == 2 * len(shares)
+    for r in rows:
+        flat = np.sort(a[r["dataset_id"]].ravel())
+        low, high = np.searchsorted(flat, r["value"], "left") / flat.size, np.searchsorted(flat, r["value"], "right") / flat.size
+        assert low - r["rank_error"] - 1e-9 <= r["q"] <= high + r["rank_error"] + 1e-9
+        assert r["rank_error"] < 0.1 and (r["dataset_id"] == "big" or r["rank_error"] == 0)
+    again = Q.volume_quantiles(df.repartition(11), shares, size=64, fan_in=4).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, rows))
+    assert Q.merge_summaries(Q.block_summaries(df, 64), 4, 64, 4).where("size(values) > 64").count() == 0
+    nan = blocks_of(spark, {"n": np.full((2, 2, 2), np.nan)}, (2, 2, 2), 1)
+    assert [r["value"] for r in Q.volume_quantiles(nan, [0.5]).collect()] == [None]

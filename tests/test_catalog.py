@@ -74,10 +74,11 @@ def test_completeness_with_other_required_fields(spark):
 
 def test_validated_write_and_report(spark, tmp_path):
     results = validate(files(spark, [json.dumps(GOOD), json.dumps(changed("status", "done")), "{bad"]))
-    good, bad, detail, summary = (str(tmp_path / n) for n in ("good", "bad", "detail", "summary"))
-    K.write_validated(results, good, bad)
-    assert json.loads(spark.read.parquet(good).first()["record"]) == GOOD
-    assert sorted(r["error_class"] for r in spark.read.parquet(bad).collect()) == ["parse", "schema"]
+    written, detail, summary = (str(tmp_path / n) for n in ("written", "detail", "summary"))
+    K.write_validated(results, written)
+    good = spark.read.parquet(written).where("outcome = 'valid'").collect()
+    assert [json.loads(r["record"]) for r in good] == [GOOD] and good[0]["errors"] == []
+    assert sorted(r["error_class"] for r in spark.read.parquet(f"{written}/outcome=quarantine").collect()) == ["parse", "schema"]
     K.write_report(results, detail, summary)
     assert spark.read.json(detail).count() == 3
     doc = read_document(spark, summary)["summary"]
@@ -145,9 +146,10 @@ def test_consolidate_job(spark, tmp_path):
         path.parent.mkdir(parents=True, exist_ok=True)
         path.write_text(text)
     root, out = str(tmp_path / "in"), str(tmp_path / "out")
-    counters = I.consolidate(spark, [root], out, "now", exclude=["*.tmp"], strict=True)
+    counters = I.consolidate(spark, [root], out, "now", exclude=["*.tmp"], strict=True, document=True)
     assert (counters["total_files"], counters["valid_files"], counters["invalid_files"]) == (2, 1, 1)
-    doc = read_document(spark, f"{out}/catalog")
+    assert {r["source"] for r in spark.read.parquet(f"{out}/catalog/sources").collect()} == {"ebi", "idr"}
+    doc = read_document(spark, f"{out}/catalog_document")
     assert doc["metadata"]["configuration"] == {
         "exclude_patterns": ["*.tmp"], "include_patterns": ["*metadata*.json"], "scan_directories": [root], "validation_enabled": True,
     }

@@ -125,6 +125,13 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
         N.top_k(index, queries, 4)
 
 
+def test_top_k_leaves_out_vectors_that_do_not_fit(spark):
+    rows = [(0, [1.0, 0.0, 0.0]), (1, [0.9, 0.1, 0.0]), (2, None), (3, [1.0]), (4, [1.0, None, 0.0]), (5, [0.0, 0.0, 1.0])]
+    index = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = N.top_k(index, index.where("vec_id IN (0, 2, 3)").withColumnRenamed("vec_id", "query_id"), 3).collect()
+    assert sorted((r["query_id"], r["place"], r["vec_id"]) for r in got) == [(0, 1, 0), (0, 2, 1), (0, 3, 5)]
+
+
 def test_watched_folder(spark, tmp_path):
     inbox = tmp_path / "in"
     inbox.mkdir()

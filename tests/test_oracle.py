@@ -16,4 +16,5 @@ def test_query_matches_sql(name, spark, sf_dir):
 
 
 def test_every_query_has_a_twin():
-    assert set(QUERIES) == set(ORACLES)
+    """All but the approximate search, whose recall is tested."""
+    assert set(QUERIES) - set(ORACLES) == {"emb_topk_ivf"} and set(ORACLES) <= set(QUERIES)

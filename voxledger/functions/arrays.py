@@ -51,16 +51,16 @@ def unravel(index: Column, shape: list[Column]) -> list[Column]:
 MOST_AXES = 8
 
 
-def explode_axes(df: DataFrame, first: str, last: str, name: str) -> DataFrame:
+def explode_axes(df: DataFrame, first: str, last: str, name: str, axes: int = MOST_AXES) -> DataFrame:
     """One row per index tuple ``name`` between the arrays ``first`` and ``last`` (inclusive).
 
     One axis is expanded at a time, and rows are spread over tasks after the first, so no value or task
-    holds all tuples. Rows may differ in their number of axes, up to ``MOST_AXES``.
+    holds all tuples. Rows may differ in their number of axes, up to ``axes``.
     """
     none = F.array().cast("array<bigint>")
-    fits = F.assert_true(F.size(first) <= MOST_AXES, F.lit(f"more than {MOST_AXES} axes"))
+    fits = F.assert_true(F.size(first) <= axes, F.lit(f"more than {axes} axes"))
     out = df.withColumn(name, F.when(fits.isNull(), none))
-    for n in range(MOST_AXES):
+    for n in range(axes):
         steps = F.when(F.size(first) > n, F.sequence(F.get(first, F.lit(n)), F.get(last, F.lit(n)))).otherwise(
             F.array(F.lit(None).cast("bigint"))
         )

@@ -22,15 +22,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from voxledger.functions.arrays import explode_axes, floor_div, linear_index, product
+from voxledger.functions.arrays import MOST_AXES, explode_axes, floor_div, linear_index, product
+from voxledger.session import shared_checkpoint
 
 KEY = ["dataset_id", "array_name", "level"]
 KEY_DDL = "dataset_id string, array_name string, level int"
 BLOCKS = (
     f"{KEY_DDL}, chunk array<bigint>, idx array<bigint>, origin array<bigint>, shape array<bigint>, dtype string, payload binary"
 )
-SEGMENT_CHUNKS = 64  # byte ranges that are joined into one value
+SEGMENT_BYTES = 16 << 20  # byte ranges that are joined into one value
 CROP_EDGE = 128  # voxels per axis of a crop's pieces
+LIST_BOXES = 1_000  # boxes that meet a block's payload together, about
 
 
 def _dtype(name: str) -> np.dtype:
@@ -390,30 +392,44 @@ def rechunk(blocks: DataFrame, chunk: list[int] | Column) -> DataFrame:
 
 
 # ---- crops ---------------------------------------------------------------------------
-def crop_pieces(requests: DataFrame, blocks: DataFrame, arrays: DataFrame, groups: int = 256) -> DataFrame:
-    """The parts of blocks that each requested box covers, with the box's clipped start as ``lo``.
+def clipped_boxes(requests: DataFrame, grid: DataFrame) -> DataFrame:
+    """Requested boxes, clipped to their array: ``lo``, ``hi`` and the block indices ``_first`` to ``_last``.
 
-    ``requests``: request_id, key columns, ``start``, ``size``.  The box is turned axis by axis into
-    rows of the block indices it touches, so the join is an equality on array and block index and no
-    value holds a whole box.  Boxes are clipped to the array.  The boxes of a block are gathered in
-    ``groups`` lists by a hash of their request, and each list meets the payload once: a block that
-    very many boxes want is cut by as many tasks as adaptive execution makes of its lists.
+    ``grid`` has the key columns, edges ``_c`` and extent ``_dims``. Boxes outside of the array go.
     """
-    grid = arrays.select(*KEY, F.col("chunks").alias("_c"), F.col("shape").alias("_dims"))
-    asked = requests.select("request_id", *KEY, "start", "size").join(grid, KEY)
+    asked = requests.join(grid, KEY)
     stop = F.zip_with("start", "size", lambda a, n: a + n)
     low = F.transform("start", lambda a: F.greatest(a, F.lit(0).cast("bigint")))
     high = F.zip_with(stop, "_dims", lambda e, d: F.least(e, d))
-    asked = asked.withColumns({"lo": low, "hi": high})
     some = F.forall(F.zip_with("lo", "hi", lambda a, b: a < b), lambda ok: ok)
-    boxes = asked.where(some).select(
-        "request_id", *KEY, "lo", "hi",
-        F.zip_with("lo", "_c", floor_div).alias("_first"),
-        F.zip_with("hi", "_c", lambda b, c: floor_div(b - 1, c)).alias("_last"),
+    return asked.withColumns({"lo": low, "hi": high}).where(some).withColumns(
+        {
+            "_first": F.zip_with("lo", "_c", floor_div),
+            "_last": F.zip_with("hi", "_c", lambda b, c: floor_div(b - 1, c)),
+        }
     )
-    group = F.pmod(F.xxhash64("request_id"), F.lit(groups)).alias("_group")
-    wanted = explode_axes(boxes, "_first", "_last", "idx").select("request_id", *KEY, "lo", "hi", "idx", group)
-    lists = wanted.groupBy(*KEY, "idx", "_group").agg(F.collect_list(F.struct("request_id", "lo", "hi")).alias("boxes"))
+
+
+def crop_pieces(
+    requests: DataFrame, blocks: DataFrame, arrays: DataFrame, list_boxes: int = LIST_BOXES, axes: int = MOST_AXES
+) -> DataFrame:
+    """The parts of blocks that each requested box covers, with the box's clipped start as ``lo``.
+
+    ``requests``: request_id, key columns, ``start``, ``size``.  The box is turned axis by axis into
+    rows of the block indices it touches (``axes``: the most axes an array has), so the join is an equality
+    on array and block index and no value holds a whole box.  Boxes are clipped to the array.  The boxes
+    of a block are counted and gathered in lists of about ``list_boxes``; each list meets the payload once,
+    so a block that few boxes want is joined once, and one that very many want is cut by many tasks.
+    """
+    grid = arrays.select(*KEY, F.col("chunks").alias("_c"), F.col("shape").alias("_dims"))
+    boxes = clipped_boxes(requests.select("request_id", *KEY, "start", "size"), grid)
+    boxes = boxes.select("request_id", *KEY, "lo", "hi", "_first", "_last")
+    wanted = explode_axes(boxes, "_first", "_last", "idx", axes).select("request_id", *KEY, "lo", "hi", "idx")
+    counts = wanted.groupBy(*KEY, "idx").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > list_boxes)
+    many = F.floor(F.coalesce("_n", F.lit(0)) / list_boxes).cast("bigint") + 1
+    group = F.pmod(F.xxhash64("request_id", F.lit(1)), many).alias("_group")
+    dealt = wanted.join(counts, [*KEY, "idx"], "left").select(*wanted.columns, group)
+    lists = dealt.groupBy(*KEY, "idx", "_group").agg(F.collect_list(F.struct("request_id", "lo", "hi")).alias("boxes"))
     met = lists.drop("_group").join(blocks.drop("chunk"), [*KEY, "idx"])
 
     def trim(row: dict):
@@ -460,7 +476,7 @@ def block_lookup(points: DataFrame, blocks: DataFrame, arrays: DataFrame, size:
         F.array(*[F.col(c).cast("bigint") for c in ("z", "y", "x")]).alias("start"),
         F.array(*[F.lit(size).cast("bigint")] * 3).alias("size"),
     )
-    return crop_pieces(requests, blocks, arrays)
+    return crop_pieces(requests, blocks, arrays, axes=3)
 
 
 def crop_fits(start: Column, stop: Column, size: Column) -> Column:
@@ -524,8 +540,11 @@ def tree_digest(blocks: DataFrame, fan_in: int = 1024) -> DataFrame:
     with the array.  An array takes rounds until one hash is left (at least
     one), so its digest does not depend on the other arrays.
     """
-    arrays = inventory(blocks).select(*KEY, grid_of(F.col("shape"), F.col("chunks")).alias("grid"))
-    arrays = arrays.withColumn("left", product(F.col("grid")))
+    axes = blocks.select(*KEY, F.posexplode("idx").alias("axis", "i"))
+    sides = axes.groupBy(*KEY, "axis").agg((F.max("i") + 1).alias("n")).groupBy(*KEY)
+    grid = sides.agg(F.array_sort(F.collect_list(F.struct("axis", "n"))).alias("g")).select(*KEY, F.col("g.n").alias("grid"))
+    # One small row per array, kept while the number of rounds is read from it.
+    arrays = shared_checkpoint(grid.withColumn("left", product(F.col("grid"))))
     most = arrays.agg(F.max("left")).first()[0] or 1
     hashes = block_digests(blocks).join(arrays, KEY)
     level = hashes.select(*KEY, "left", linear_index(F.col("idx"), F.col("grid")).alias("pos"), "sha256")
@@ -558,19 +577,24 @@ def byte_ranges(files: DataFrame, chunk_bytes: int) -> DataFrame:
     )
 
 
-def reassemble(chunks: DataFrame, key: str, segment_chunks: int = SEGMENT_CHUNKS) -> DataFrame:
-    """Join neighbouring chunks in id order into segments of at most ``segment_chunks`` chunks.
+def reassemble(chunks: DataFrame, key: str, chunk_bytes: int, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
+    """Join neighbouring chunks of ``chunk_bytes`` in id order into segments of at most ``segment_bytes``.
 
     Every key comes back whole, as one row per ``seq``; in the order of ``seq`` the payloads are the file.
     """
-    joined = chunks.groupBy(key, floor_div(F.col("chunk_id"), F.lit(segment_chunks)).alias("seq")).agg(
+    per = max(1, segment_bytes // chunk_bytes)
+    joined = chunks.groupBy(key, floor_div(F.col("chunk_id"), F.lit(per)).alias("seq")).agg(
         F.array_sort(F.collect_list(F.struct("chunk_id", "payload"))).alias("p"), F.count(F.lit(1)).alias("chunks")
     )
-    text = F.array_join(F.transform("p", lambda x: F.hex(x["payload"])), "")
-    out = joined.select(key, "seq", "chunks", F.unhex(text).alias("payload"))
+    out = joined.select(key, "seq", "chunks", _joined(F.col("p.payload")).alias("payload"))
     return out.withColumn("nbytes", F.octet_length("payload").cast("bigint"))
 
 
+@F.pandas_udf(T.BinaryType())
+def _joined(parts: pd.Series) -> pd.Series:
+    return pd.Series([b"".join(bytes(x) for x in p) for p in parts], dtype=object)
+
+
 def batch_number(arrays: DataFrame, blocks: DataFrame, size: int) -> DataFrame:
     """Batches of ``size`` blocks in block order, from the index alone: no window."""
     grid = arrays.select(*KEY, grid_of(F.col("shape"), F.col("chunks")).alias("_g"))

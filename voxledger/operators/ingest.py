@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from voxledger.operators import blocks as B
 from voxledger.operators import catalog as C
 from voxledger.operators import sinks as K
+from voxledger.operators import store as S
 from voxledger.operators.validate import strict_gate, validate
 from voxledger.plans import chunking as P
 from voxledger.sources.files import read_record_files, scan
@@ -23,17 +24,21 @@ def consolidate(
     required: list[str] | None = None,
     strict: bool = False,
     fail_on_invalid: bool = False,
+    document: bool = False,
 ) -> dict:
     """Scan, validate and catalogue record folders in one read.
 
-    Writes ``catalog``, ``report`` (one row per file) and ``report_summary``
-    below ``output`` and returns the run's counters.  In strict mode with
-    ``fail_on_invalid`` an invalid file raises after the outputs are written.
+    Writes ``catalog`` (tables, see ``sinks.write_catalog_tables``), ``report`` (one row per file) and
+    ``report_summary`` below ``output`` and returns the run's counters; with ``document`` also
+    ``catalog_document``, the catalogue as one row, which gathers all sources and keys. In strict mode
+    with ``fail_on_invalid`` an invalid file raises after the outputs are written.
     """
     results = K.kept_results(validate(scan(read_record_files(spark, roots), include, exclude), roots))
     try:
-        document = K.catalog_document(results, generated_at, roots, strict, include, exclude, required)
-        document.coalesce(1).write.mode("overwrite").text(f"{output}/catalog")
+        K.write_catalog_tables(results, f"{output}/catalog", required)
+        if document:
+            whole = K.catalog_document(results, generated_at, roots, strict, include, exclude, required)
+            whole.coalesce(1).write.mode("overwrite").text(f"{output}/catalog_document")
         K.write_report(results, f"{output}/report", f"{output}/report_summary")
         counters = C.run_counters(results).first().asDict()
         strict_gate(results, strict, fail_on_invalid)
@@ -76,6 +81,6 @@ def store_arrays(blocks: DataFrame, path: str, max_mb: float, mode: str = "strea
     whole = B.rechunk(placed.select(*names), F.col("chunk"))
     source = F.concat(F.col("array_name"), F.lit("/"), F.col("level").cast("string"), F.lit("/pyramid"))
     made = B.pyramid(placed.withColumns({"array_name": source, "level": F.lit(0)}), F.col("levels"))
-    K.write_blocks(whole.unionByName(made), path)
-    stored = blocks.sparkSession.read.schema(B.BLOCKS).parquet(path)
+    files = S.write_blocks(whole.unionByName(made), path)
+    stored = S.read_files(blocks.sparkSession, path, files)
     return plan.join(B.volume_stats(stored), B.KEY, "full")

@@ -166,11 +166,12 @@ def log_hint(lines: DataFrame) -> DataFrame:
     return flags.select("log_id", "service", F.coalesce(hint, F.lit("none")).alias("hint"))
 
 
-def service_lists(outcomes: DataFrame) -> DataFrame:
-    """Failed and succeeded services per log; a log names a fixed, short list of services."""
+def service_outcomes(outcomes: DataFrame) -> DataFrame:
+    """A row per log and service: its outcome and whether it succeeded."""
+    return outcomes.select("log_id", "service", "outcome", F.col("outcome").startswith("success").alias("succeeded"))
+
+
+def service_counts(outcomes: DataFrame) -> DataFrame:
+    """Failed and succeeded services per log."""
     good = F.col("outcome").startswith("success")
-    listed = lambda keep: F.array_join(F.array_sort(F.collect_set(F.when(keep, F.col("service")))), ",")
-    return outcomes.groupBy("log_id").agg(
-        listed(~good).alias("failed_services"), listed(good).alias("successful_services"),
-        F.count_if(~good).alias("failed"), F.count_if(good).alias("succeeded"),
-    )
+    return outcomes.groupBy("log_id").agg(F.count_if(~good).alias("failed"), F.count_if(good).alias("succeeded"))

@@ -55,8 +55,13 @@ def top_k(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 
     ``queries`` must be a small aggregate: more than ``MOST_QUERY_NUMBERS`` numbers are an error, as is
     a query set that grows with the data. After the map step there are at most ``k`` rows per query and
-    task, so the final ranking window is small.
+    task, so the final ranking window is small. The width is that of the longest query vector; vectors
+    and queries that are NULL, of another width, or hold NULLs take no part. For queries as a table of any
+    size see ``ivf``.
     """
+    width = queries.agg(F.max(F.size("embedding"))).first()[0] or 0
+    whole = lambda df: df.where(F.coalesce((F.size("embedding") == width) & ~F.exists("embedding", lambda x: x.isNull()), F.lit(False)))
+    index, queries = whole(index), whole(queries)
     numbers = queries.agg(F.sum(F.size("embedding"))).first()[0] or 0
     if numbers > MOST_QUERY_NUMBERS:
         raise ValueError(f"{numbers} numbers in the query vectors, {MOST_QUERY_NUMBERS} at most")

@@ -1,4 +1,4 @@
-"""Writes: validated records, catalogue, report, status and block tables."""
+"""Writes: validated records, catalogue, report and status tables. Block tables: see ``store``."""
 
 from __future__ import annotations
 
@@ -13,16 +13,14 @@ from voxledger.operators import catalog as C
 from voxledger.session import shared_checkpoint
 
 
-def write_validated(results: DataFrame, good_path: str, quarantine_path: str) -> None:
-    """Valid records as text rows; the rest, with their errors, to quarantine.
+def write_validated(results: DataFrame, path: str) -> None:
+    """Records as text rows below ``path``: ``outcome=valid`` and, with their errors, ``outcome=quarantine``.
 
-    The commit protocol makes each write all-or-nothing.
+    One job reads the results once and commits both parts together.
     """
-    record = F.to_json("v").alias("record")
-    results.where("valid").select("file", "source", record).write.mode("append").parquet(good_path)
-    results.where("NOT valid").select("file", "source", "error_class", "errors", record).write.mode("append").parquet(
-        quarantine_path
-    )
+    outcome = F.when(F.col("valid"), F.lit("valid")).otherwise(F.lit("quarantine")).alias("outcome")
+    rows = results.select("file", "source", "error_class", "errors", F.to_json("v").alias("record"), outcome)
+    rows.write.mode("append").partitionBy("outcome").parquet(path)
 
 
 def write_report(results: DataFrame, path: str, summary_path: str) -> None:
@@ -185,59 +183,6 @@ def write_catalog(results: DataFrame, path: str, generated_at: str, roots: list[
         kept.unpersist()
 
 
-#: Folders of a block store. A data set is in one of them, so a new one touches its folder alone.
-STORE_BUCKETS = 256
-
-
-def write_blocks(blocks: DataFrame, path: str, codec: str = "lz4_raw", spread: bool = True) -> None:
-    """Store a block table in folders by a hash of the data set.
-
-    Data sets that are already stored and not in ``blocks`` stay: of the folders that are written again,
-    their rows are read and written with the new ones. Rows are dealt to tasks by measured bytes, so a
-    large volume has as many writers as its size asks for, and sorted by array and block. With ``spread``
-    off every task writes the rows it has: right for blocks that were made in block order.
-    """
-    spark = blocks.sparkSession
-    bucket = F.pmod(F.xxhash64("dataset_id"), F.lit(STORE_BUCKETS)).cast("int")
-    new = blocks.withColumn("bucket", bucket)
-    kept = stored_beside(spark, new, path)
-    rows = new if kept is None else new.unionByName(kept)
-    order = ["bucket", "dataset_id", "array_name", "level", "idx"]
-    (
-        (rows.hint("rebalance", "bucket") if spread else rows)
-        .sortWithinPartitions(*order)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", 1_000_000)
-        .option("compression", codec)
-        .partitionBy("bucket")
-        .parquet(path)
-    )
-
-
-def read_blocks(spark: SparkSession, path: str, dataset_id: str | None = None) -> DataFrame:
-    """A stored block table, or one data set of it: only its folder is read then."""
-    stored = spark.read.parquet(path)
-    if dataset_id is not None:
-        folder = spark.range(1).select(F.pmod(F.xxhash64(F.lit(dataset_id)), F.lit(STORE_BUCKETS))).first()[0]
-        stored = stored.where((F.col("bucket") == folder) & (F.col("dataset_id") == dataset_id))
-    return stored.drop("bucket")
-
-
-def stored_beside(spark: SparkSession, new: DataFrame, path: str) -> DataFrame | None:
-    """Stored rows of other data sets in the folders that ``new`` writes; None for a new store.
-
-    They are kept at a checkpoint, as their folder is about to be overwritten.
-    """
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
-        return None
-    stored = spark.read.parquet(path)
-    touched = new.select("bucket").distinct()
-    rows = stored.join(touched, "bucket", "left_semi").join(new.select("dataset_id").distinct(), "dataset_id", "left_anti")
-    return shared_checkpoint(rows.select(*new.columns))
-
-
 def write_new_version(spark: SparkSession, records: DataFrame, removed: DataFrame, path: str) -> None:
     """A new table version without the removed files; nothing is deleted in place."""
     records.join(removed.select("file"), "file", "left_anti").write.mode("errorifexists").parquet(path)

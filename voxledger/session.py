@@ -50,7 +50,7 @@ def _ship_package(spark: SparkSession) -> None:
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
-    """A single-machine session for tests and the bench."""
+    """A single-machine session for tests and the bench; it has a work folder of its own if none is set."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("voxledger")
@@ -59,12 +59,24 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    if not _work_folder(spark):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="voxledger-work-"))
     return configure(spark)
 
 
+def _work_folder(spark: SparkSession) -> str | None:
+    """The folder that all executors reach: ``spark.checkpoint.dir``, else the context's checkpoint folder."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root.rstrip("/")
+    found = spark.sparkContext._jsc.sc().getCheckpointDir()
+    return None if found.isEmpty() else found.get()
+
+
 def shared_checkpoint(df: DataFrame) -> DataFrame:
     """``df`` written to the cluster's shared checkpoint folder, so its lineage ends there."""
     context = df.sparkSession.sparkContext
@@ -74,15 +86,14 @@ def shared_checkpoint(df: DataFrame) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A new path below the cluster's shared folder ``spark.checkpoint.dir``.
+    """A new path below the folder that all executors reach; it is an error if the session names none."""
+    root = _work_folder(spark)
+    if root is None:
+        raise RuntimeError("set spark.checkpoint.dir (or the context's checkpoint folder) to a folder all executors can reach")
+    return f"{root}/{purpose}-{uuid.uuid4().hex}"
 
-    Only a local master may fall back to a temporary folder: on a cluster the
-    executors could not see it.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="voxledger-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``shared_dir`` named, when what is in it is no longer needed."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

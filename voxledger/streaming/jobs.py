@@ -66,6 +66,21 @@ def drain(stream: DataFrame, mode: str = "append", keys: list[str] | None = None
     return kept.groupBy(*(keys or [])).agg(latest.alias("r")).select(*(keys or []), "r.*")
 
 
+def drain_in_turn(parts: list[DataFrame], change: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Rows that a stream with one state gives when ``parts`` arrive one after the other, each to its end.
+
+    Every part is written with all its files, then the query is started again where it stopped.
+    """
+    spark, schema = parts[0].sparkSession, parts[0].schema
+    inbox, out, state = (shared_dir(spark, f"stream-{n}") for n in ("inbox", "out", "state"))
+    for part in parts:
+        part.write.mode("append").parquet(inbox)
+        stream = change(arriving_table(spark, inbox, schema))
+        writer = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", state)
+        writer.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(change(arriving_table(spark, inbox, schema)).schema).parquet(out)
+
+
 def validate_each(files: DataFrame, roots: list[str]) -> DataFrame:
     """The batch rules on arriving files; nothing is kept between batches."""
     return validate(files, roots).select("file", "source", "valid", "error_class", F.get("errors", F.lit(0)).alias("error"))

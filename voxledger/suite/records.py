@@ -569,9 +569,12 @@ def dotted_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 @register(
     """SELECT event_id AS id,
-              CASE WHEN event_id % 2 = 0
+              CASE WHEN event_id % 14 = 6 THEN '{"event": {"k": ' || CAST(json_extract_string(props, '$.k') AS BIGINT) || '}, "user": {"id": ' || user_id || ', "kind": "' || event_type || '"}}'
+                   WHEN event_id % 14 = 8 THEN NULL
+                   WHEN event_id % 2 = 0
                    THEN '{"event": {"k": ' || CAST(json_extract_string(props, '$.k') AS BIGINT) || ', "n": ' || event_id || '}, "user": {"id": ' || user_id || ', "kind": "' || event_type || '"}}'
-                   ELSE '{"event": null, "extra": [' || event_id || '], "user": {"id": ' || user_id || ', "kind": "new"}}' END AS merged
+                   ELSE '{"event": null, "extra": [' || event_id || '], "user": {"id": ' || user_id || ', "kind": "new"}}' END AS merged,
+              CASE WHEN event_id % 14 = 8 THEN 'extra is not JSON' END AS error
        FROM events"""
 )
 def deep_merge(spark: SparkSession, sf: str) -> DataFrame:
@@ -579,7 +582,8 @@ def deep_merge(spark: SparkSession, sf: str) -> DataFrame:
     extra = F.when(F.col("id") % 2 == 0, F.concat(F.lit('{"event": {"n": '), number, F.lit("}}"))).otherwise(
         F.concat(F.lit('{"event": null, "user": {"kind": "new"}, "extra": ['), number, F.lit("]}"))
     )
-    return T.json_docs(spark, sf).select("id", R.deep_merge("doc", extra).alias("merged"))
+    extra = F.when(F.col("id") % 14 == 6, F.lit(None)).when(F.col("id") % 14 == 8, F.lit('{"event": ')).otherwise(extra)
+    return T.json_docs(spark, sf).select("id", R.deep_merge("doc", extra).alias("merged"), R.merge_error("doc", extra).alias("error"))
 
 
 # ---- declared quality rules ------------------------------------------------------------

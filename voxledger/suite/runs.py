@@ -130,14 +130,20 @@ def previous_event(spark: SparkSession, sf: str) -> DataFrame:
     """, m AS (SELECT user_id, time_bucket(INTERVAL '6 hours', ts, TIMESTAMP '2024-01-01') AS w, sum(b) AS nbytes, max(ts) AS ts
               FROM (SELECT *, CAST(round(value * 100) AS BIGINT) AS b FROM events) GROUP BY ALL),
          l AS (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY w) AS before, sum(nbytes) OVER (PARTITION BY user_id ORDER BY w) AS done FROM m)
-       SELECT user_id AS dataset_id, w AS start, nbytes, done, round(nbytes / (epoch_us(ts) / 1e6 - epoch_us(before) / 1e6), 3) AS speed FROM l""".replace(", m AS", "WITH m AS", 1)
+       , s AS (SELECT *, nbytes / nullif(epoch_us(ts) / 1e6 - epoch_us(before) / 1e6, 0) AS speed FROM l),
+         r AS (SELECT *, CASE WHEN speed > 0 THEN greatest(5000000 - done, 0) / speed ELSE 0.0 END AS eta FROM s)
+       SELECT user_id AS dataset_id, w AS start, nbytes, done, round(speed, 3) AS speed, round(eta, 1) AS eta_seconds,
+              CASE WHEN eta > 3600 THEN 'h' WHEN eta > 60 THEN 'm' ELSE 's' END AS eta_unit FROM r""".replace(", m AS", "WITH m AS", 1)
 )
 def interval_speed(spark: SparkSession, sf: str) -> DataFrame:
     e = T.table(spark, sf, "events").select(
         F.col("user_id").alias("dataset_id"), F.col("ts").cast("timestamp").alias("ts"), F.round(F.col("value") * 100).cast("bigint").alias("nbytes")
     )
     marks = U.interval_speed(e, "6 hours", F.lit(5_000_000))
-    return marks.select("dataset_id", F.col("w.start").alias("start"), "nbytes", "done", F.round("speed", 3).alias("speed"))
+    return marks.select(
+        "dataset_id", F.col("w.start").alias("start"), "nbytes", "done", F.round("speed", 3).alias("speed"),
+        F.round("eta_seconds", 1).alias("eta_seconds"), F.right("eta", F.lit(1)).alias("eta_unit"),
+    )
 
 
 # ---- run summaries ---------------------------------------------------------------------
@@ -207,14 +213,18 @@ def log_hint(spark: SparkSession, sf: str) -> DataFrame:
     return U.log_hint(T.log_lines(spark, sf))
 
 
+@register(f"""WITH {_LOG} SELECT log_id, service, outcome, starts_with(outcome, 'success') AS succeeded FROM o""")
+def service_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """Failed and succeeded services, a row each."""
+    return U.service_outcomes(U.log_outcome(T.log_lines(spark, sf)))
+
+
 @register(
-    f"""WITH {_LOG} SELECT log_id, coalesce(string_agg(service, ',' ORDER BY service) FILTER (NOT starts_with(outcome, 'success')), '') AS failed_services,
-          coalesce(string_agg(service, ',' ORDER BY service) FILTER (starts_with(outcome, 'success')), '') AS successful_services,
-          count(*) FILTER (NOT starts_with(outcome, 'success')) AS failed, count(*) FILTER (starts_with(outcome, 'success')) AS succeeded
-        FROM o GROUP BY log_id"""
+    f"""WITH {_LOG} SELECT log_id, count(*) FILTER (NOT starts_with(outcome, 'success')) AS failed,
+          count(*) FILTER (starts_with(outcome, 'success')) AS succeeded FROM o GROUP BY log_id"""
 )
-def service_lists(spark: SparkSession, sf: str) -> DataFrame:
-    return U.service_lists(U.log_outcome(T.log_lines(spark, sf)))
+def service_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return U.service_counts(U.log_outcome(T.log_lines(spark, sf)))
 
 
 # ---- keyed lookups ---------------------------------------------------------------------------

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxledger.session import shared_dir
 from voxledger.sources import files as S
 from voxledger.sources import tables as T
 from voxledger.streaming import jobs as X
@@ -108,17 +107,12 @@ def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register(
-    """SELECT event_id, ts FROM events
-       WHERE event_id % 4 <> 3 OR ts > (SELECT max(ts) FROM events WHERE event_id % 2 = 0) - INTERVAL 3 DAY"""
+    """WITH w AS (SELECT max(ts) FILTER (event_id % 2 = 0) - INTERVAL 3 DAY AS one, max(ts) FILTER (event_id % 4 <> 3) - INTERVAL 3 DAY AS two FROM events)
+       SELECT event_id, ts FROM events, w
+       WHERE event_id % 2 = 0 OR event_id % 4 = 1 AND ts > one OR event_id % 4 = 3 AND ts > two"""
 )
 def stream_late(spark: SparkSession, sf: str) -> DataFrame:
-    """Three files arrive one after the other; rows of the third behind the watermark are dropped.
-
-    The watermark that the first file sets is in force for late rows from the third on.
-    """
+    """Three parts of the events arrive one after the other; rows behind the watermark of the parts before are dropped."""
     events = T.table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
-    folder = shared_dir(spark, "late-input")
-    for part in ("event_id % 2 = 0", "event_id % 4 = 1", "event_id % 4 = 3"):
-        events.where(part).coalesce(1).write.mode("append").parquet(folder)
-    arriving = X.arriving_table(spark, folder, events.schema, files_per_batch=1)
-    return X.drain(X.without_repeats(arriving, ["event_id"], "3 days"))
+    parts = [events.where(p) for p in ("event_id % 2 = 0", "event_id % 4 = 1", "event_id % 4 = 3")]
+    return X.drain_in_turn(parts, lambda arriving: X.without_repeats(arriving, ["event_id"], "3 days"))

@@ -229,7 +229,7 @@ def crop_parts(spark: SparkSession, sf: str) -> DataFrame:
 
 @register(
     f"""WITH {_VOX}, {_REQ}, s AS (SELECT ds, z // 3 AS z, y // 3 AS y, x // 3 AS x, v FROM vox WHERE z % 3 = 0 AND y % 3 = 0 AND x % 3 = 0),
-        q AS (SELECT c_custkey, ds, z % 30 AS z, 0 AS y, x % 8 AS x FROM req)
+        q AS (SELECT c_custkey, ds, z % (SELECT max(z) + 1 FROM s) AS z, y % 4 AS y, x % 9 AS x FROM req)
         SELECT q.c_custkey AS request_id, count(*) AS voxels, sum(s.v) AS total,
                min(s.z) || ',' || min(s.y) || ',' || min(s.x) AS origin
         FROM q JOIN s ON s.ds = q.ds AND s.z BETWEEN q.z AND q.z + 5 AND s.y BETWEEN q.y AND q.y + 5 AND s.x BETWEEN q.x AND q.x + 5
@@ -238,7 +238,8 @@ def crop_parts(spark: SparkSession, sf: str) -> DataFrame:
 def stride_crop(spark: SparkSession, sf: str) -> DataFrame:
     """Boxes of 6 voxels from the volumes strided by 3."""
     small = B.stride(T.event_blocks(spark, sf), 3)
-    points = _points(spark, sf).withColumns({"z": F.col("z") % 30, "y": F.lit(0), "x": F.col("x") % 8})
+    deep = -(-T.event_depth(spark, sf) // 3)
+    points = _points(spark, sf).withColumns({"z": F.col("z") % deep, "y": F.col("y") % 4, "x": F.col("x") % 9})
     crops = B.assemble_crops(B.block_lookup(points, small, B.inventory(small), 6))
     return _crop_sums(crops).select("request_id", "voxels", "total", text_of(F.col("at")).alias("origin"))
 
@@ -421,5 +422,5 @@ def reassemble(spark: SparkSession, sf: str) -> DataFrame:
     ranges = B.byte_ranges(sized, 700)
     part = F.substring("payload", (F.col("start_byte") + 1).cast("int"), (F.col("end_byte") - F.col("start_byte") + 1).cast("int"))
     chunks = ranges.select("doc_id", "chunk_id", part.alias("payload"))
-    whole = B.reassemble(chunks, "doc_id", segment_chunks=4)
+    whole = B.reassemble(chunks, "doc_id", 700, segment_bytes=2800)
     return whole.select("doc_id", "seq", "nbytes", "chunks", F.sha2("payload", 256).alias("sha256"))

@@ -1,7 +1,6 @@
 """From raw documents to a training mix: five stages, each written and read again before the next.
 
-Language identification rejects documents of no language, shingle overlap keeps one of each near-duplicate
-group, decontamination removes documents that hold benchmark passages, the secret scan masks
+Language identification rejects documents of no language, SimHash keeps one of each near-duplicate group, decontamination removes documents that hold benchmark passages, the secret scan masks
 credentials, and mixing assigns what is left to a curriculum. The first four return the columns of
 ``documents``; the last returns the mix. Every stage gets all that the one before it kept.
 
@@ -13,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxledger.llm import decontaminate, langid, mixing, secrets, shingles
+from voxledger.llm import decontaminate, langid, mixing, secrets, simhash
 from voxledger.llm.common import documents
 from voxledger.session import configure, shared_dir
 
@@ -28,13 +27,20 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group, that with the smallest id; near copies share 0.8 of five-word shingles."""
+    """One document of each group, that with the smallest id: see ``simhash.keep_one``.
+
+    Groups are texts whose SimHash over three-word shingles differs in two bits at most. Null and empty
+    texts are one group, repeated rows too; clashing names stay; an empty table gives an empty one.
+    """
     configure(spark)
-    return shingles.keep_one(docs)
+    return simhash.keep_one(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of whose words less than a twentieth stand in a benchmark window."""
+    """Documents of whose words less than a twentieth stand in a benchmark window.
+
+    Null and empty texts have no words and stay, as do repeated rows; texts are searched whole.
+    """
     return decontaminate.remove_contaminated(docs, documents(spark, sf_dir, "benchmark"))
 
 
@@ -44,7 +50,7 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     Every found span is masked; a value in more than two sources or a hundred documents is an example.
     """
     configure(spark)
-    return secrets.mask_secrets(docs, n_chars="n_chars", max_repositories=100, copied=True)
+    return secrets.mask_secrets(docs, n_chars="n_chars", copied=True)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

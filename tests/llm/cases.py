@@ -3,12 +3,25 @@
 from __future__ import annotations
 
 import random
+import re
+from pathlib import Path
 
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
+def made_names() -> list[str]:
+    """The names that the operators give to columns, as their sources have them."""
+    found = set()
+    for path in (Path(__file__).parents[2] / "voxledger" / "llm").glob("*.py"):
+        code = path.read_text()
+        found.update(re.findall(r"""(?:alias|withColumn|withColumnRenamed|StructField)\("(\w+)\"""", code))
+        for call in re.findall(r"free_name\([^()]*\)", code):
+            found.update(re.findall(r'"(\w+)"', call))
+    return sorted(found - set(re.findall(r"(\w+) (?:long|string)", DOCS)))
+
+
 #: Columns whose names clash with what operators make.
-CLASHING = ["n_words", "license", "match", "tokens", "simhash", "language", "found", "id", "node", "key", "row", "spans", "bucket", "size", "target", "label", "place", "kept_id"]
+CLASHING = sorted({*made_names(), "kept_id", "kept_digest", "place", "node", "id", "key", "row", "spans", "bucket", "label"})
 
 
 def awkward_rows() -> list[tuple]:

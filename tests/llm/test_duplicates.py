@@ -3,14 +3,13 @@
 import math
 import random
 
-import corpus_pipeline
 import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from tests.llm.cases import awkward, blank_text_words, components, empty, rows
-from voxledger.llm import embedding_join, shingles, simhash
+from voxledger.llm import embedding_join, simhash
 from voxledger.llm.common import connected_components
 from voxledger.llm.suite import QUERIES
 
@@ -70,32 +69,6 @@ def test_rows_without_ids_are_kept_apart(spark):
     assert kept[0][2] == "x" and simhash.keep_one(df).columns == df.columns
 
 
-def test_pipeline_drops_near_copies_by_shingles(spark, sf_dir):
-    rng = random.Random(6)
-    docs = []
-    for base in range(12):
-        words = [f"w{rng.randrange(5000)}" for _ in range(150)]
-        for copy in range(6):
-            changed = list(words)
-            for at in rng.sample(range(150), copy):
-                changed[at] = f"v{rng.randrange(5000)}"
-            docs.append((len(docs), " ".join(changed)))
-    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (blank_text_words(t) for _, t in docs)]
-    links = [(a, b) for a in range(len(docs)) for b in range(a) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
-    want = set(components(range(len(docs)), links).values())
-    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
-    got = [r["doc_id"] for r in corpus_pipeline.near_duplicate_stage(spark, df, sf_dir).collect()]
-    assert sorted(got) == sorted(want) and len(want) < simhash.keep_one(df).count()
-
-
-def test_buckets_of_several_components_are_compared_in_full(spark):
-    chain = [set(range(i, i + 40)) for i in range(0, 120, 4)] + [set(range(1000 + 3 * i, 1040 + 3 * i)) for i in range(9)]
-    df = spark.createDataFrame([(i, sorted(s)) for i, s in enumerate(chain)], "node long, hashes array<long>")
-    links = shingles.similar_links(df.select(F.lit(1).cast("long").alias("bucket"), "node"), df)
-    got = components(range(len(chain)), [tuple(r) for r in links.collect()])
-    assert got == {i: 0 if i < 30 else 30 for i in range(39)}
-
-
 def test_trees_find_every_pair_across_shards(spark):
     rng = np.random.default_rng(1)
     values = [rng.integers(0, 2**63, 600).astype(np.uint64)]
@@ -193,3 +166,21 @@ def test_embedding_query_and_edge_tables(spark, sf_dir):
     assert sorted(r["n_links"] for r in embedding_join.embedding_table(ties).collect()) == [2, 2, 2]
     only = spark.createDataFrame([(1, None, 1, "x", 1)], schema)
     assert rows(embedding_join.embedding_table(only)) == [(1, 0, 1, True)]
+
+
+def test_vectors_of_many_widths(spark):
+    """More than 64 widths, few vectors each: one plan links within each width only."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for width in range(1, 90):
+        base = rng.normal(size=width)
+        rows += [(3 * width, base.tolist()), (3 * width + 1, (base * 2).tolist()), (3 * width + 2, (-base).tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_join.embedding_table(df).collect()}
+    for width in range(1, 90):
+        assert [got[3 * width + i] for i in range(3)] == [(1, 3 * width), (1, 3 * width), (0, 3 * width + 2)]
+
+
+def test_keep_one_with_names_that_operators_make(spark):
+    df = spark.createDataFrame([(1, "a b c d", "x"), (2, "a b c d", "y")], "doc_id long, text string, kept_digest string")
+    assert simhash.keep_one(df).columns == df.columns and [r["kept_digest"] for r in simhash.keep_one(df).collect()] == ["x"]

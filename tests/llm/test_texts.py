@@ -5,6 +5,7 @@ import random
 import re
 
 import corpus_pipeline
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,6 +62,40 @@ def test_decontamination_in_slices_and_with_locations(spark):
     assert [r["doc_id"] for r in decontaminate.remove_contaminated(docs, bench).orderBy("doc_id").collect()] == [2, 3]
 
 
+def test_a_slice_of_millions_of_distinct_words(spark):
+    """More words than 21 bits number; texts cut verbatim from the item are hit in full."""
+    words = [f"{i:x}" for i in range(2_300_000)]
+    rng = random.Random(9)
+    cuts = [rng.randrange(len(words) - 60) for _ in range(60)] + [len(words) - 40]
+    docs = [(i, " ".join(words[at : at + 40])) for i, at in enumerate(cuts)]
+    docs += [(100 + i, " ".join(rng.sample(words, 40))) for i in range(20)]
+    items = decontaminate.Items([("7", " ".join(words).encode())])
+    found = decontaminate.search_shard([t.encode() for _, t in docs], items)
+    hits = [sum(e - s for s, e in zip(a, b)) for a, b in zip(found["starts"], found["ends"])]
+    assert hits == [40] * 61 + [0] * 20
+    assert found["longest"][:61] == [40] * 61 and found["items"][0] == ["7"]
+
+
+def test_words_and_windows_of_random_items():
+    """Arrays of windows, leads and ranks against plain loops."""
+    rng = random.Random(10)
+    for _ in range(30):
+        items = [(str(i), " ".join(rng.choice("abc") for _ in range(rng.randint(0, 9))).encode()) for i in range(rng.randint(0, 6))]
+        made, window = decontaminate.Items(items, 4), 4
+        want = {}
+        for name, text in items:
+            tokens = text.split()
+            k = min(window, len(tokens))
+            for i in range(len(tokens) - k + 1 if k else 0):
+                want.setdefault(tuple(tokens[i : i + k]), set()).add(name)
+        back = {n: w for w, n in made.number.items()}
+        got = {
+            tuple(back[n] for n in made.tokens[at : at + size].tolist()): set(made.members(np.array([w])))
+            for w, (at, size) in enumerate(zip(made.at.tolist(), made.size.tolist()))
+        }
+        assert got == want and len(made.at) == len(want)
+
+
 def test_tokens_equal_the_library(spark):
     import sentencepiece
 
@@ -91,6 +126,29 @@ def test_language_on_held_out_documents(spark, sf_dir):
     assert found.where("score < 0 or score > 1").count() == 0
 
 
+def test_network_equals_plain_convolution():
+    """Filter tables, pooling and the mean over windows against loops over embedded bytes."""
+    rng = np.random.default_rng(3)
+    samples = [(bytes(rng.integers(97 + 9 * k, 106 + 9 * k, 300, np.uint8)), lang) for k, lang in enumerate(["xx", "yy"]) for _ in range(20)]
+    net = langid.train(samples)
+    texts = [samples[0][0], samples[25][0] * 2, b"abc", bytes(range(1, 256)) * 3]
+    best, score = langid.predict(texts, net, net.tables())
+    for text, b, s in zip(texts, best, score):
+        total, weight = np.zeros(2), 0
+        for at in range(0, max(1, len(text)), langid.WINDOW):
+            part = text[at : at + langid.WINDOW]
+            e = net.embedding[np.frombuffer(part.ljust(langid.WINDOW, b"\0"), np.uint8)]
+            pooled = []
+            for width, filters in net.filters.items():
+                answers = np.stack([e[i : i + width].ravel() @ filters for i in range(langid.WINDOW - width + 1)])
+                pooled.append(np.maximum(answers.max(axis=0) + net.bias[width], 0))
+            z = np.concatenate(pooled) @ net.dense + net.offset
+            p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+            held = max(1, sum(c != 0 for c in part))
+            total, weight = total + p * held, weight + held
+        assert b == total.argmax() and s == pytest.approx(total.max() / weight, abs=1e-4)
+
+
 def test_language_of_awkward_texts(spark):
     got = {(r["doc_id"], r["lang_pred"] == "und") for r in langid.language_table(awkward(spark)).collect()}
     assert {k for k, und in got if und} == {1, 2, 3, 9, None}
@@ -274,6 +332,55 @@ def test_awkward_and_empty_tables(spark, name):
     assert make(empty(spark)).count() == 0
 
 
+def test_secrets_of_one_long_text_take_linear_work(spark):
+    """Thirty thousand spans in one megabyte: one sweep, cut once."""
+    import time
+
+    parts = [f"token=abcdefgh{i:06d} gh" + f"p_{'a' * 30}{i:06d} " for i in range(15_000)]
+    text = "".join(parts)
+    df = spark.createDataFrame([(1, text, "a")], "doc_id long, text string, source string")
+    start = time.time()
+    row = secrets.mask_secrets(df).collect()[0]
+    assert row["text"] == "[SECRET] [SECRET] " * 15_000
+    assert secrets.secret_table(df).select("n_assign").first()[0] == 15_000
+    assert time.time() - start < 60
+
+
+def test_spans_inside_base_spans_by_definition():
+    rng = random.Random(2)
+    for _ in range(200):
+        some = lambda n: sorted(("k", a := rng.randrange(30), a + rng.randrange(1, 9), "v") for _ in range(rng.randrange(n)))
+        base, spans = (sorted(x, key=lambda s: s[1]) for x in (some(8), some(8)))
+        want = [any(b[1] <= s[1] and b[2] >= s[2] for b in base) for s in spans]
+        assert secrets.inside(spans, base) == want
+
+
+def test_a_value_in_many_repositories_of_one_owner_is_an_example(spark):
+    key = "gh" + "p_" + "Z" * 36
+    docs = [(i, f"use {key} here", "one") for i in range(101)] + [(500, f"mine gh" + f"p_{'Y' * 36}", "one")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    got = {r["doc_id"]: r for r in secrets.secret_table(df).collect()}
+    assert got[0]["spans"] == "" and got[0]["n_live"] == 0 and got[500]["n_live"] == 1
+    texts = {r["doc_id"]: r["text"] for r in secrets.mask_secrets(df, copied=True).collect()}
+    assert texts[3] == "use [EXAMPLE] here" and texts[500] == "mine [SECRET]"
+    wide = secrets.secret_table(spark.createDataFrame(docs[:100], "doc_id long, text string, source string"))
+    assert wide.where("n_live = 1").count() == 100
+
+
+def test_language_without_labels_keeps_texts_with_letters(spark):
+    docs = awkward(spark).withColumn("lang", F.lit(None).cast("string"))
+    kept = {r["doc_id"] for r in langid.keep_identified(docs).collect()}
+    assert kept == {r["doc_id"] for r in docs.where("text rlike '\\\\p{L}'").collect()} and 4 in kept and 9 not in kept
+
+
+def test_languages_beyond_the_bound_are_not_learned(spark):
+    docs = spark.createDataFrame(
+        [(i, f"word{i % 3} text number", ["aa", "bb", "cc"][i % 3 if i < 30 else 0]) for i in range(60)], "doc_id long, text string, lang string"
+    )
+    net = langid.fit(docs, most_languages=2)
+    assert net.languages[0] == "aa" and len(net.languages) == 2
+
+
 def test_filters_keep_columns_and_clean_rows(spark):
     docs = awkward(spark, clashing=True)
     nothing = spark.createDataFrame([], "item_id long, text string")

@@ -7,14 +7,16 @@ match; where it reaches the length of a window, a second pair of searches gives
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voxledger.llm.common import annotate, column, free_name, words
+from voxledger.llm.common import annotate, checkpoint, column, free_name, words
 
 WINDOW = 13
 SLICE_BYTES = 16 << 20  # benchmark text that a task holds at a time
@@ -37,53 +39,101 @@ class Items:
     """A bounded slice of benchmark items as one array of word numbers, with its windows.
 
     Equal windows are one window with a list of items. ``tokens`` has a 0 after each item; 0 is also
-    the number of every word that no item has.
+    the number of every word that no item has. Everything but the table of words is in arrays, and
+    runs of words are compared by ranks, so any number of distinct words keeps its place.
     """
 
     def __init__(self, items: list[tuple[str, bytes | None]], window: int = WINDOW):
         self.number: dict[bytes, int] = {}
-        tokens: list[int] = []
-        start, left = [], []
-        windows: dict[tuple, int] = {}
-        members: list[set[str]] = []
-        at, size, named = [], [], []
+        names, parts = [], []
         for name, text in sorted(items, key=lambda x: (x[0], x[1] or b"")):
-            ids = [self.number.setdefault(w, len(self.number) + 1) for w in words(text)]
-            if not ids:
-                continue
-            first, n = len(tokens), len(ids)
-            width = min(window, n)
-            for i in range(n):
-                start.append(first + i)
-                left.append(n - i)
-            for i in range(n - width + 1):
-                key = tuple(ids[i : i + width])
-                if key not in windows:
-                    windows[key] = len(members)
-                    members.append(set())
-                    at.append(first + i)
-                    size.append(width)
-                    named.append(name)
-                members[windows[key]].add(name)
-            tokens += [*ids, 0]
-        self.tokens = np.array([*tokens, *[0] * (LEAD + 1)], np.int64)
-        self.start, self.left = np.array(start, np.int64), np.array(left, np.int64)
-        self.named = named  # the first item with each window
-        self.at, self.size = np.array(at, np.int64), np.array(size, np.int64)
-        self.members = [sorted(m) for m in members]
-        self.lead = int(min([LEAD, *size])) if size else LEAD
-        self.longest = int(self.left.max()) if start else 0
-        self.leads = np.unique(lead_key(self.tokens, self.start, self.lead)) if start else np.zeros(0, np.int64)
-
-
-def lead_key(tokens: np.ndarray, at: np.ndarray, lead: int) -> np.ndarray:
-    """The first ``lead`` words from each place as one number; 0 if one of them is in no item."""
-    key, known = tokens[at], tokens[at] > 0
-    for k in range(1, lead):
-        word = tokens[at + k]
-        known &= word > 0
-        key = (key << 21) | word
-    return np.where(known, key, 0)
+            tokens = words(text)
+            if tokens:
+                for w in tokens:
+                    self.number.setdefault(w, len(self.number) + 1)
+                parts.append(np.fromiter(map(self.number.__getitem__, tokens), np.int64, len(tokens)))
+                names.append(name)
+        sizes = np.array([len(p) for p in parts], np.int64)
+        first = np.cumsum(sizes + 1) - sizes - 1
+        self.names = names
+        gap = np.zeros(1, np.int64)
+        self.tokens = np.concatenate([*(x for p in parts for x in (p, gap)), np.zeros(LEAD + 1, np.int64)])
+        self.start = ranges(first, sizes)
+        self.left = np.repeat(first + sizes, sizes) - self.start
+        width = np.minimum(window, sizes)
+        self.lead = int(min([LEAD, *width.tolist()]))
+        self.longest = int(sizes.max(initial=0))
+        self.leads = Leads(self.tokens, self.start, self.lead)
+        # Windows of one width are equal if their ranks are; a window is named after its first item.
+        at = ranges(first, sizes - width + 1)
+        item, size = (np.repeat(x, sizes - width + 1) for x in (np.arange(len(names)), width))
+        rank = np.zeros(len(at), np.int64)
+        for k in np.unique(width):
+            mine = size == k
+            rank[mine] = run_ranks(self.tokens, int(k))[at[mine]]
+        by = np.lexsort((at, rank, size))
+        new = np.ones(len(by), bool)
+        new[1:] = (np.diff(rank[by]) != 0) | (np.diff(size[by]) != 0)
+        self.at, self.size = at[by][new], size[by][new]
+        pairs = np.unique(np.stack([np.cumsum(new) - 1, item[by]], 1), axis=0) if len(by) else np.zeros((0, 2), np.int64)
+        self.member = pairs[:, 1]  # items of window w: from place edge[w] to edge[w + 1]
+        self.edge = np.searchsorted(pairs[:, 0], np.arange(len(self.at) + 1))
+
+    def named(self, window: int) -> str:
+        """The first item with the window."""
+        return self.names[self.member[self.edge[window]]]
+
+    def members(self, windows: np.ndarray) -> list[str]:
+        """Sorted names of the items with any of the windows."""
+        places = ranges(self.edge[windows], self.edge[windows + 1] - self.edge[windows])
+        return sorted({self.names[i] for i in np.unique(self.member[places])})
+
+
+def ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """``count`` numbers from each of ``first`` on, one list after the other."""
+    before = np.cumsum(count) - count
+    return np.arange(int(count.sum())) + np.repeat(first - before, count)
+
+
+def run_ranks(tokens: np.ndarray, k: int) -> np.ndarray:
+    """For each place a number that is equal for equal runs of ``k`` words (runs over the end: of zeros).
+
+    Ranks of runs of doubled length come from pairs of ranks, so numbers stay below the places' squared.
+    """
+    rank, size = tokens, 1
+    while size < k:
+        step = min(size, k - size)
+        ahead = np.concatenate([rank[step:], np.zeros(step, np.int64)])
+        rank = np.unique(rank * np.int64(int(ahead.max(initial=0)) + 1) + ahead, return_inverse=True)[1].reshape(-1) + 1
+        size += step
+    return rank
+
+
+class Leads:
+    """The distinct first ``lead`` words of item suffixes, looked up by one sorted table per word."""
+
+    def __init__(self, tokens: np.ndarray, at: np.ndarray, lead: int):
+        self.wide = np.int64(int(tokens.max(initial=0)) + 1)
+        self.tables: list[np.ndarray] = []
+        place = tokens[at]
+        for k in range(1, lead):
+            word = tokens[at + k]
+            at, place, word = at[word > 0], place[word > 0], word[word > 0]
+            table, place = np.unique(place * self.wide + word, return_inverse=True)
+            self.tables.append(table)
+            place = place.reshape(-1)
+
+    def held(self, tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Those of ``at`` whose first words begin an item suffix."""
+        at = at[tokens[at] > 0]
+        place = tokens[at]
+        for k, table in enumerate(self.tables, 1):
+            word = tokens[at + k]
+            code = place * self.wide + word
+            place = np.minimum(np.searchsorted(table, code), max(0, len(table) - 1))
+            found = (word > 0) & (table[place] == code) if len(table) else np.zeros(len(at), bool)
+            at, place = at[found], place[found]
+        return at
 
 
 def suffix_array(tokens: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
@@ -93,20 +143,22 @@ def suffix_array(tokens: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
     """
     order = np.sort(at)
     padded = np.concatenate([tokens, np.zeros(depth + LEAD + 1, np.int64)])
-    groups = [(0, len(order))]
+    groups = np.array([[0, len(order)]], np.int64)
     for offset in range(0, depth, LEAD):
-        if not groups:
+        if not len(groups):
             break
-        place = np.concatenate([np.arange(a, b) for a, b in groups])
-        group = np.concatenate([np.full(b - a, g) for g, (a, b) in enumerate(groups)])
+        sizes = groups[:, 1] - groups[:, 0]
+        place, group = ranges(groups[:, 0], sizes), np.repeat(np.arange(len(groups)), sizes)
         here = order[place] + offset
-        key = (padded[here] << 42) | (padded[here + 1] << 21) | padded[here + 2]
-        by = np.lexsort((key, group))
+        key = [padded[here + k] for k in range(LEAD)]
+        by = np.lexsort((*key[::-1], group))
         order[place] = order[place][by]
-        key, group = key[by], group[by]
-        same = (key[1:] == key[:-1]) & (group[1:] == group[:-1])
+        group = group[by]
+        same = group[1:] == group[:-1]
+        for k in key:
+            same &= k[by][1:] == k[by][:-1]
         edges = np.flatnonzero(np.diff(np.concatenate([[0], same.astype(np.int8), [0]])))
-        groups = [(int(place[a]), int(place[b]) + 1) for a, b in zip(edges[::2], edges[1::2])]
+        groups = np.stack([place[edges[::2]], place[edges[1::2]] + 1], 1)
     return order
 
 
@@ -167,11 +219,7 @@ def search_shard(texts: list[bytes | None], items: Items) -> dict[str, list]:
         return out
     tokens = np.array([*flat, *[0] * (max(items.longest, LEAD) + 1)], np.int64)
     # Suffixes whose first words begin no item suffix have no match and stay out of the array.
-    at = np.flatnonzero(tokens[: len(flat)] > 0)
-    key = lead_key(tokens, at, items.lead)
-    place = np.searchsorted(items.leads, key)
-    place[place == len(items.leads)] = 0
-    at = at[(items.leads[place] == key) & (key > 0)]
+    at = items.leads.held(tokens, np.arange(len(flat)))
     if not len(at):
         return out
     array = suffix_array(tokens, at, items.longest)
@@ -206,12 +254,9 @@ def search_shard(texts: list[bytes | None], items: Items) -> dict[str, list]:
         most = int(np.argmax(length[rows]))
         out["longest"][d] = int(length[rows[most]])
         out["longest_start"][d] = int(s[most])
-        out["longest_item"][d] = items.named[window[rows[most]]]
+        out["longest_item"][d] = items.named(int(window[rows[most]]))
         out["starts"][d], out["ends"][d] = merge_spans(s, s + items.size[window[rows]])
-        names: set[str] = set()
-        for w in np.unique(window[rows]):
-            names.update(items.members[w])
-        out["items"][d] = sorted(names)
+        out["items"][d] = items.members(np.unique(window[rows]))
     return out
 
 
@@ -227,10 +272,7 @@ def merge_spans(starts: np.ndarray, ends: np.ndarray) -> tuple[list[int], list[i
 def item_slices(
     benchmark: DataFrame, item_id: str, text: str, slice_bytes: int
 ) -> Iterator[list[tuple[str, bytes | None]]]:
-    """Items in lists of at most ``slice_bytes`` of text (or one item), read from Spark one by one.
-
-    The total is asked for first: a benchmark that fits one slice, the usual case, is one query.
-    """
+    """Items in lists that end with the item that fills ``slice_bytes`` of text, read from Spark one by one."""
     held, size = [], 0
     rows = benchmark.select(
         F.coalesce(column(item_id).cast("string"), F.lit("")).alias("id"),
@@ -267,61 +309,73 @@ def find_matches(
     items with an occurring window. Null and empty texts have no words and no matches; items without
     words are no items; a null item id counts as the empty string; equal item ids are one item.
 
-    A map over the texts: they are never shuffled. A benchmark larger than ``slice_bytes`` makes one
-    map after another, each with one slice, so what a task holds is bounded.
+    Clashing column names are kept and ``result`` renamed; repeated rows stay rows; an empty table
+    gives an empty result. Texts and items of any length and number of distinct words are compared whole.
+
+    A map over the texts: they are never shuffled. A worker builds the arrays of a slice once. A
+    benchmark of several slices (``slice_bytes`` of text each) is searched slice by slice: rows are
+    numbered and stored, each slice's matches are stored before the next slice is read, and matches are
+    gathered by row. So the driver and a task hold one slice.
     """
     keep = docs.columns if keep is None else keep
     name = free_name(docs, result)
     carried = [*keep, *([] if text in keep else [text])]
     out = docs.select(*[column(c) for c in carried])
-    made: list[str] = []
-    for part in item_slices(benchmark, item_id, item_text, slice_bytes):
-        mine = free_name(out, f"{name}_{len(made)}")
-        out = annotate(out, text, _searcher(part, window), RESULT, mine)
-        made.append(mine)
-    if not made:
-        made = [free_name(out, f"{name}_0")]
-        out = annotate(out, text, _searcher([], window), RESULT, made[0])
-    merged = column(made[0])
-    if len(made) > 1:
-        merged = _merge([column(m) for m in made])
-    return out.select(*[column(c) for c in keep], merged.alias(name))
-
-
-def _searcher(part, window):
+    slices = item_slices(benchmark, item_id, item_text, slice_bytes)
+    part, following = next(slices, []), next(slices, None)
+    if following is None:
+        return annotate(out, text, _searcher(out.sparkSession, part, window), RESULT, name, keep)
+    row, found = free_name(out, "row"), None
+    stored = checkpoint(out.withColumn(row, F.monotonically_increasing_id()))
+    while part is not None:
+        mine = annotate(stored, text, _searcher(out.sparkSession, part, window), RESULT, name, [row])
+        if found is not None:  # the first slice tells the number of words of every row
+            mine = mine.where(F.size(column(name)["starts"]) > 0)
+        mine = checkpoint(mine)
+        found = mine if found is None else found.unionByName(mine)
+        part, following = following, next(slices, None)
+    merged = _merged(found, row, name)
+    return stored.join(merged, row).select(*[column(c) for c in keep], column(name))
+
+
+_BUILT: dict[str, Items] = {}  # the slice that this worker last searched
+
+
+def _searcher(spark: SparkSession, part: list[tuple[str, bytes | None]], window: int):
+    """Searches batches for one slice; it reaches a worker once, as a broadcast of bounded size."""
+    sent, key = spark.sparkContext.broadcast(part), uuid.uuid4().hex
+
     def make():
-        items = Items(part, window)
+        if key not in _BUILT:
+            _BUILT.clear()
+            _BUILT[key] = Items(sent.value, window)
+        items = _BUILT[key]
         return lambda texts: search_shard(texts, items)
 
     return make
 
 
-def _merge(parts):
-    """One result from those of several benchmark slices."""
-    spans = F.array_sort(F.flatten(F.array(*[F.arrays_zip(p["starts"].alias("s"), p["ends"].alias("e")) for p in parts])))
-    spans = F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))
-    kind = "array<struct<s:bigint,e:bigint>>"
-    united = F.aggregate(
-        spans,
-        F.array().cast(kind),
-        lambda acc, x: F.when(
-            (F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["e"] >= x["s"]),
-            F.concat(
-                F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))),
-                F.array(F.struct(F.try_element_at(acc, F.lit(-1))["s"].alias("s"), F.greatest(F.try_element_at(acc, F.lit(-1))["e"], x["e"]).alias("e"))),
-            ),
-        ).otherwise(F.concat(acc, F.array(x))),
-    )
-    best = F.array_max(F.array(*[F.struct(p["longest"].alias("n"), (-p["longest_start"]).alias("s"), p["longest_item"].alias("i")) for p in parts]))
-    return F.struct(
-        parts[0]["n_words"].alias("n_words"),
-        best["n"].alias("longest"),
-        (-best["s"]).alias("longest_start"),
-        best["i"].alias("longest_item"),
-        F.transform(united, lambda x: x["s"]).alias("starts"),
-        F.transform(united, lambda x: x["e"]).alias("ends"),
-        F.array_sort(F.array_distinct(F.flatten(F.array(*[p["items"] for p in parts])))).alias("items"),
-    )
+def _merged(found: DataFrame, row: str, name: str) -> DataFrame:
+    """One result per row from those of several benchmark slices (at most one of each)."""
+    gathered = found.groupBy(column(row)).agg(F.collect_list(column(name)).alias(name))
+    schema = T.StructType([gathered.schema[row], T.StructField(name, RESULT)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [merge_matches(parts) for parts in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(made, batch.schema.field(1).type.value_type)], names=[row, name]
+            )
+
+    return gathered.mapInArrow(run, schema)
+
+
+def merge_matches(parts: list[dict]) -> dict:
+    """One match from those of several slices: spans united, the longest, then leftmost match kept."""
+    best = max(parts, key=lambda p: (p["longest"], -(p["longest_start"] or 0), p["longest_item"] or ""))
+    starts, ends = (np.array([x for p in parts for x in p[c]], np.int64) for c in ("starts", "ends"))
+    united = merge_spans(starts, ends) if len(starts) else ([], [])
+    return best | {"starts": united[0], "ends": united[1], "items": sorted({i for p in parts for i in p["items"]})}
 
 
 def hit_words(match):

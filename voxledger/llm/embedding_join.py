@@ -2,7 +2,8 @@
 
 Vectors are scaled to length 1, so that a cosine of at least ``c`` is a distance of at most
 ``sqrt(2 - 2c)``, the epsilon. They are projected on their leading principal dimensions and sorted by
-grid cells of one epsilon, first dimension first. The sorted sequence is cut into intervals; two
+grid cells of one epsilon, first dimension first; the length of what the projection leaves out is one more
+coordinate of every bound. The sorted sequence is cut into intervals; two
 intervals are joined unless their boxes are provably further apart than epsilon, and a join cuts its
 intervals in halves and skips provably distant halves again. Where two intervals lie provably within
 epsilon, all their pairs are counted without being compared.
@@ -21,7 +22,9 @@ from voxledger.llm.common import checkpoint, column, connected_components, union
 
 COSINE = 0.95
 DIMENSIONS = 16  # leading principal dimensions of the grid
-INTERVAL_ROWS = 2_048  # vectors of a sequence interval
+INTERVAL_ROWS = 2_048  # vectors that a sequence interval has at least, if there are as many
+INTERVAL_BYTES = 8 << 20  # of its vectors, at most
+FEW_INTERVALS = 16  # a table of fewer full intervals is cut in so many, for the sake of its tasks
 MOST_INTERVALS = 16_384  # beyond it intervals grow
 LEAF = 512  # vectors compared directly
 ROUGH = 1e-4  # the same for projections in single precision
@@ -76,6 +79,16 @@ def matrix(lists: pa.Array, width: int) -> np.ndarray:
     return lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
+def projections(x: np.ndarray, axes: np.ndarray) -> np.ndarray:
+    """Projections on the axes, and the length of the rest of each vector.
+
+    Two vectors are at least as far apart as these rows are: the rests differ by no less than their lengths.
+    """
+    p = x @ axes
+    rest = np.sqrt(np.maximum(0, (x**2).sum(1) - (p**2).sum(1)))
+    return np.hstack([p, rest[:, None]])
+
+
 class Interval:
     """A run of vectors with what bounds its distances: a box of projections and a ball."""
 
@@ -187,7 +200,7 @@ def grid_links(
     *,
     cosine: float = COSINE,
     dimensions: int = DIMENSIONS,
-    interval_rows: int = INTERVAL_ROWS,
+    interval_rows: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(links, partners) of distinct unit vectors of one width: ``nodes`` has ``node``, ``n``, ``unit``.
 
@@ -204,8 +217,8 @@ def grid_links(
     def project(batches):
         for batch in batches:
             x = matrix(batch.column(2), width)
-            p = x @ axes
-            cells = np.floor(p / epsilon).astype(np.int64)
+            p = projections(x, axes)
+            cells = np.floor(p[:, :k] / epsilon).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, as_lists(p), as_lists(cells)], names=["node", "n", "unit", "p", "cell"]
             )
@@ -216,7 +229,8 @@ def grid_links(
         )
     )
     total = placed.count()
-    rows = max(interval_rows, -(-total // MOST_INTERVALS))
+    full = min(max(1, INTERVAL_BYTES // (8 * width)), max(INTERVAL_ROWS, -(-total // FEW_INTERVALS)))
+    rows = max(interval_rows or full, -(-total // MOST_INTERVALS))
     parts = max(1, -(-total // rows))
     # The grid order: cells dimension by dimension, then the first projection within a cell.
     order = [*[F.col("cell")[i] for i in range(k)], *[F.col("p")[i] for i in range(k)], F.col("node")]
@@ -245,13 +259,12 @@ def grid_links(
     numbered = ordered.mapInArrow(number, "node bigint, n bigint, unit array<double>, interval int, p array<double>")
     boxes = (
         numbered.groupBy("interval")
-        .agg(*[F.min(F.col("p")[i]).alias(f"l{i}") for i in range(k)], *[F.max(F.col("p")[i]).alias(f"h{i}") for i in range(k)])
+        .agg(*[F.min(F.col("p")[i]).alias(f"l{i}") for i in range(k + 1)], *[F.max(F.col("p")[i]).alias(f"h{i}") for i in range(k + 1)])
         .orderBy("interval")
         .collect()
     )
     ids = np.array([b["interval"] for b in boxes], np.int64)
-    low = np.array([[b[f"l{i}"] for i in range(k)] for b in boxes]).reshape(-1, k)
-    high = np.array([[b[f"h{i}"] for i in range(k)] for b in boxes]).reshape(-1, k)
+    low, high = (np.array([[b[f"{side}{i}"] for i in range(k + 1)] for b in boxes]).reshape(-1, k + 1) for side in "lh")
 
     def partners_of(place: int) -> np.ndarray:
         gap = np.maximum(0, np.maximum(low[place] - high, low - high[place]))
@@ -283,7 +296,7 @@ def grid_links(
         interval = table.column("interval").to_numpy()
         table = table.combine_chunks()
         x = matrix(_one(table.column("unit")), width)
-        p = matrix(_one(table.column("p")), k)
+        p = matrix(_one(table.column("p")), k + 1)
         node = table.column("node").to_numpy()
         weight = table.column("n").to_numpy().astype(np.int64)
         links = np.zeros(len(node), np.int64)
@@ -307,6 +320,30 @@ def grid_links(
     return links, partners
 
 
+def narrow_links(nodes: DataFrame, *, cosine: float = COSINE, dimensions: int = DIMENSIONS) -> tuple[DataFrame, DataFrame]:
+    """(links, partners) as of ``grid_links`` for widths of few vectors: each width is one interval of its own.
+
+    The first components stand in for principal dimensions.
+    """
+
+    def join(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        node, weight = (table.column(c).to_numpy().astype(np.int64) for c in ("node", "n"))
+        x = matrix(_one(table.column("unit")), len(table.column("unit")[0]))
+        order = np.lexsort((node, *x.T[:dimensions][::-1]))
+        x, node, weight = x[order], node[order], weight[order]
+        links, forest = np.zeros(len(node), np.int64), Forest(len(node))
+        p = projections(x, np.eye(x.shape[1])[:, :dimensions])
+        join_intervals(Interval(x, p, np.arange(len(node))), None, cosine, links, weight, forest)
+        label, some = forest.fold(), np.flatnonzero(links > 0)
+        return pa.table({"node": node[some], "weight": links[some], "to": node[label[some]]})
+
+    grouped = nodes.select("node", "n", "unit", F.size("unit").alias("width")).groupBy("width")
+    found = checkpoint(grouped.applyInArrow(join, "node bigint, weight bigint, to bigint"))
+    links = found.where("node <> to").select(F.col("node").alias("u"), F.col("to").alias("v"))
+    return links, found.groupBy("node").agg(F.sum("weight").alias("weight"))
+
+
 def _one(chunked: pa.ChunkedArray) -> pa.Array:
     return chunked.chunk(0) if chunked.num_chunks == 1 else pa.concat_arrays(chunked.chunks)
 
@@ -323,14 +360,15 @@ def embedding_near_duplicates(
     vector: str = "embedding",
     cosine: float = COSINE,
     dimensions: int = DIMENSIONS,
-    interval_rows: int = INTERVAL_ROWS,
+    interval_rows: int | None = None,
 ) -> DataFrame:
     """One row per input row: ``id``, ``n_links`` and ``component_id``.
 
     ``n_links`` counts the other rows whose cosine is at least ``cosine`` (positive), in double
     precision; ``component_id`` is the smallest id reachable by links, itself included. Equal
     directions are one node with a number of rows, so copies make no pairs. Vectors of different
-    widths are not linked. A vector that is null, empty, zero, or has null or non-finite components
+    widths are not linked: widths with many vectors have a grid each, all others share one plan, in which
+    a width is one interval. A vector that is null, empty, zero, or has null or non-finite components
     links with nothing and is its own component. Repeated ids are rows of their own. A null id takes
     part in links; a component of null ids only has a null ``component_id``. An empty table gives an
     empty result.
@@ -342,18 +380,15 @@ def embedding_near_duplicates(
         .agg(F.count("*").alias("n"), F.min("id").alias("low"), F.first("unit").alias("unit"))
         .withColumn("node", F.monotonically_increasing_id())
     )
-    widths = [r[0] for r in nodes.select(F.size("unit")).distinct().orderBy(F.size("unit")).limit(65).collect()]
-    if len(widths) > 64:
-        raise ValueError("vectors of more than 64 widths")
-    links, partners = None, None
-    for width in widths:
+    counts = nodes.groupBy(F.size("unit").alias("width")).count()
+    # Fewer widths than intervals: each holds more than one interval's least number of vectors.
+    wide = [r["width"] for r in counts.where(F.col("count") > (interval_rows or INTERVAL_ROWS)).orderBy("width").collect()]
+    links, partners = narrow_links(nodes.where(~F.size("unit").isin(wide)), cosine=cosine, dimensions=dimensions)
+    for width in wide:
         own = nodes.where(F.size("unit") == width)
         a, b = grid_links(own, width, cosine=cosine, dimensions=dimensions, interval_rows=interval_rows)
-        links = a if links is None else links.unionByName(a)
-        partners = b if partners is None else partners.unionByName(b)
+        links, partners = links.unionByName(a), partners.unionByName(b)
     alone = units.select("id", "key", "unit")
-    if links is None:
-        return alone.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     roots = connected_components(links)
     rooted = (
         nodes.select("key", "node", "n", "low")

@@ -177,22 +177,21 @@ def _gradients(x: np.ndarray, y: np.ndarray, params: dict) -> dict:
     return grads
 
 
-def labelled_windows(docs: DataFrame, id_col: str, text: str, lang: str, per_language: int) -> list[tuple[bytes, str]]:
+def labelled_windows(docs: DataFrame, id_col: str, text: str, lang: str, per_language: int, most_languages: int = MOST_LANGUAGES) -> list[tuple[bytes, str]]:
     """A bounded sample of labelled windows of documents outside the held-out fold.
 
     Of each language, about ``per_language`` documents are drawn by a hash of their text; of each, two
-    windows at places the hash names. At most ``MOST_LANGUAGES`` languages.
+    windows at places the hash names. Of more than ``most_languages`` languages, those with the most
+    documents are learned.
     """
     known = docs.where(column(lang).isNotNull() & column(text).isNotNull() & ~held_out(column(id_col)))
     known = known.select(column(text).alias("text"), column(lang).cast("string").alias("lang"), F.xxhash64(column(text)).alias("h"))
     known = known.where(F.col("text").rlike(r"\p{L}"))
-    counts = known.groupBy("lang").count().orderBy("lang").limit(MOST_LANGUAGES + 1).collect()
-    if len(counts) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()
     if not counts:
         return []
     rate = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, per_language / r["count"])))])
-    drawn = known.where(F.pmod("h", F.lit(1_000_003)) < rate[F.col("lang")] * 1_000_003)
+    drawn = known.where(F.pmod("h", F.lit(1_000_003)) < F.coalesce(rate[F.col("lang")], F.lit(0.0)) * 1_000_003)
     room = F.greatest(F.lit(1), F.char_length("text") - WINDOW // 2)
     piece = lambda k: F.substring("text", (F.pmod(F.xxhash64("h", F.lit(k)), room) + 1).cast("int"), F.lit(WINDOW))
     rows = (
@@ -204,9 +203,9 @@ def labelled_windows(docs: DataFrame, id_col: str, text: str, lang: str, per_lan
     return [(r["piece"].encode(), r["lang"]) for r in rows]
 
 
-def fit(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = DOCS_PER_LANGUAGE) -> ByteNetwork | None:
-    """A network trained on ``docs``; None if no row has a label."""
-    samples = labelled_windows(docs, id_col, text, lang, per_language)
+def fit(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = DOCS_PER_LANGUAGE, most_languages: int = MOST_LANGUAGES) -> ByteNetwork | None:
+    """A network trained on a sample of ``docs`` (see ``labelled_windows``); None if no row has a label."""
+    samples = labelled_windows(docs, id_col, text, lang, per_language, most_languages)
     return train(samples) if samples else None
 
 
@@ -246,7 +245,12 @@ def has_letter(text: bytes) -> bool:
 
 
 def language_table(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> DataFrame:
-    """doc_id, held_out, lang_pred, score of every document."""
+    """doc_id, held_out, lang_pred, score of every document.
+
+    Null texts and texts without a letter are ``und`` with score 0; a row with a null id is not learned
+    from. Very long texts are scored whole, window by window; repeated rows get equal results; clashing
+    columns are not read; an empty table gives an empty result. Without any label all texts are ``und``.
+    """
     net = fit(docs, per_language=per_language)
     found = identify(docs.select("doc_id", "text"), net, keep=["doc_id"], result="language")
     return found.select(
@@ -261,10 +265,14 @@ def keep_identified(docs: DataFrame, *, id_col: str = "doc_id", text: str = "tex
     """Rows whose language is told with a score of at least ``least``; columns stay.
 
     Rejected are texts that are null or without a letter, and texts whose likeliest language has a
-    smaller mean probability.
+    smaller mean probability. If no row has a label there is nothing to tell languages by: then all
+    texts with a letter stay. Long texts are scored whole, repeated rows are kept or rejected together,
+    clashing names stay as they are, an empty table gives an empty result.
     """
     name = free_name(docs, "language")
     net = fit(docs, id_col=id_col, text=text, lang=lang)
+    if net is None:
+        return docs.where(F.coalesce(column(text).rlike(r"\p{L}"), F.lit(False)))
     found = identify(docs, net, text=text, result=name)
     language = column(name)
     return found.where((language["lang_pred"] != UNKNOWN) & (language["score"] >= least)).drop(name)

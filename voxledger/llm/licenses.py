@@ -69,6 +69,15 @@ TEMPLATES = [
         "licensed under the apache license version 2 [[0]] [[the license]] [[you may not use {{4}} "
         "except in compliance with the license]]",
     ),
+    (
+        "apache-2",
+        "licensed under the apache license version 2 0 the license you may not use {{4}} except in compliance "
+        "with the license you may obtain a copy of the license at [[https|http]] [[www]] apache org licenses "
+        "license 2 0 [[txt|html]] unless required by applicable law or agreed to in writing software distributed "
+        "under the license is distributed on an as is basis without warranties or conditions of any kind either "
+        "express or implied see the license for the specific language governing permissions and limitations "
+        "under the license",
+    ),
     ("apache-2", "apache license version 2 0 january 2004"),
     ("cc-by-nc", "[[licensed|released]] under [[the]] [[a]] cc by nc [[4 0]] [[international]] [[license]]"),
     ("cc-by-nc", "creative commons attribution non commercial [[{{2}} international]] [[public]] license"),
@@ -77,11 +86,44 @@ TEMPLATES = [
     ("gpl-2", "[[this {{6}} is]] licensed under the gnu general public license [[as published by {{6}}]] [[either]] version 2"),
     ("gpl-3", "under the terms of the gnu general public license [[as published by {{6}}]] [[either]] version 3 [[of the license]]"),
     ("gpl-2", "under the terms of the gnu general public license [[as published by {{6}}]] [[either]] version 2 [[of the license]]"),
+    (
+        "gpl-3",
+        "free software you can redistribute it and or modify it under the terms of the gnu general public "
+        "license as published by the free software foundation either version 3 of the license or at your option "
+        "any later version {{6}} is distributed in the hope that it will be useful but without any warranty "
+        "without even the implied warranty of merchantability or fitness for a particular purpose see the gnu "
+        "general public license for more details",
+    ),
+    (
+        "gpl-2",
+        "free software you can redistribute it and or modify it under the terms of the gnu general public "
+        "license as published by the free software foundation either version 2 of the license or at your option "
+        "any later version {{6}} is distributed in the hope that it will be useful but without any warranty "
+        "without even the implied warranty of merchantability or fitness for a particular purpose see the gnu "
+        "general public license for more details",
+    ),
+    ("lgpl-3", "under the terms of the gnu lesser general public license [[as published by {{6}}]] [[either]] version 3 [[0]] [[of the license]]"),
+    ("lgpl-2", "under the terms of the gnu lesser general public license [[as published by {{6}}]] [[either]] version 2 [[1]] [[of the license]]"),
+    ("agpl-3", "under the terms of the gnu affero general public license [[as published by {{6}}]] [[either]] version 3 [[of the license]]"),
+    ("lgpl-3", "gnu lesser general public license version 3 29 june 2007"),
+    ("lgpl-2", "gnu lesser general public license version 2 1 february 1999"),
+    ("agpl-3", "gnu affero general public license version 3 19 november 2007"),
     ("gpl-3", "gnu general public license version 3 29 june 2007"),
     ("gpl-2", "gnu general public license version 2 june 1991"),
     ("bsd-2", _BSD + _BSD_END),
     ("bsd-3", _BSD + _BSD_NAMES + _BSD_END),
-    ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    (
+        "mpl-2",
+        "this source code form is subject to the terms of the mozilla public license v 2 0 [[if a copy of the mpl "
+        "was not distributed with this file you can obtain one at {{6}}]]",
+    ),
+    ("cc-by", "creative commons attribution [[{{2}} international]] [[public]] license"),
+    (
+        "unlicense",
+        "this is free and unencumbered software released into the public domain anyone is free to copy modify "
+        "publish use compile sell or distribute this software either in source code form or as a compiled binary "
+        "for any purpose commercial or non commercial and by any means",
+    ),
     (
         "isc",
         "permission to use copy modify and or distribute this software for any purpose with or without fee is "

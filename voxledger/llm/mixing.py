@@ -25,13 +25,15 @@ SIZE = r"[^\x20\x09-\x0D]+"
 
 
 def sized(docs: DataFrame, id_col: str, text: str, source: str) -> DataFrame:
-    """``id``, ``source``, ``size`` and ``ordinal`` (an order within the source by digest)."""
-    out = docs.select(
+    """``id``, ``source``, ``size`` and ``ordinal``: an order within the source by a digest of id and text,
+    so rows without ids, or with one repeated id, are spread as well."""
+    key = F.concat(F.coalesce(column(id_col).cast("string"), F.lit("")), F.lit(" "), F.md5(F.coalesce(column(text), F.lit("")).cast("binary")))
+    return docs.select(
         column(id_col).alias("id"),
         column(source).cast("string").alias("source"),
         F.coalesce(F.regexp_count(column(text), F.lit(SIZE)), F.lit(0)).cast("long").alias("size"),
+        F.md5(key.cast("binary")).alias("ordinal"),
     )
-    return out.withColumn("ordinal", F.md5(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary")))
 
 
 def source_targets(
@@ -102,10 +104,11 @@ def mix_sources(
 
     ``passes`` lists what the mix takes of the document: one struct (``epoch``, ``taken``,
     ``position``) per time its source's demand reaches it, at most ``most``. A source is gone through
-    in the order of a digest of ids, again and again until its target is met; the last document is
-    taken in part, so a source's words are its target, rounded down. Equal ids and sizes share an
-    order; which of them comes first does not show in the result. Null texts have size 0, a null
-    source is a source, an empty table gives an empty result.
+    in the order of a digest of id and text, again and again until its target is met; the last document is
+    taken in part, so a source's words are its target, rounded down. Rows that repeat id and text share
+    an order; which of them comes first does not show in the result. Null texts have size 0, a null
+    source is a source, an empty table gives an empty result. Texts are counted whole; other columns,
+    clashing ones too, are not read.
 
     A running sum within a source is cut into buckets of about ``bucket_rows`` documents: each sums its
     own, and a table of bucket totals carries the sums over, so a large source is many tasks.
@@ -151,8 +154,11 @@ def mix_sources(
 
 
 def mix_table(docs: DataFrame) -> DataFrame:
-    """doc_id, size, source_size, target, taken, and the position at which it is first taken."""
-    return mix_sources(docs).select(
+    """doc_id, size, source_size, target, taken, and the position at which it is first taken.
+
+    Range-sorted by this position; documents that are never taken (null) come last.
+    """
+    mixed = mix_sources(docs).select(
         F.col("id").alias("doc_id"),
         "size",
         "source_size",
@@ -160,6 +166,8 @@ def mix_table(docs: DataFrame) -> DataFrame:
         F.aggregate("passes", F.lit(0).cast("long"), lambda a, p: a + p["taken"]).alias("taken"),
         F.array_min(F.transform("passes", lambda p: p["position"])).alias("first_position"),
     )
+    by = (F.col("first_position").asc_nulls_last(), F.col("doc_id").asc_nulls_last())
+    return mixed.repartitionByRange(*by).sortWithinPartitions(*by)
 
 
 def curriculum(docs: DataFrame, **how) -> DataFrame:
@@ -173,7 +181,7 @@ def curriculum(docs: DataFrame, **how) -> DataFrame:
 MIX_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-         md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS ordinal
+         md5(coalesce(CAST(doc_id AS VARCHAR), '') || ' ' || md5(coalesce(text, ''))) AS ordinal
   FROM documents),
 per_source AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS rank

@@ -100,8 +100,11 @@ _FOUND = " UNION ALL ".join(
 SECRET_SQL = f"""
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
 found AS ({_FOUND}),
-owners AS (SELECT value, count(DISTINCT source) + max(CAST(source IS NULL AS BIGINT)) AS n FROM found GROUP BY value),
-judged AS (SELECT f.*, rank < 3 AS base, o.n <= 2 AS live FROM found f JOIN owners o USING (value)),
+owners AS (
+  SELECT value, count(DISTINCT source) + max(CAST(source IS NULL AS BIGINT)) AS n,
+         count(DISTINCT doc_id) + max(CAST(doc_id IS NULL AS BIGINT)) AS n_docs
+  FROM found GROUP BY value),
+judged AS (SELECT f.*, rank < 3 AS base, o.n <= 2 AND o.n_docs <= 100 AS live FROM found f JOIN owners o USING (value)),
 kept AS (
   SELECT j.* FROM judged j WHERE base OR live AND NOT EXISTS (
     SELECT 1 FROM judged b WHERE b.doc_id = j.doc_id AND b.base AND b.start <= j.start AND b.stop >= j.stop)),

@@ -2,15 +2,17 @@
 
 Candidates are found by pattern in each text. Every candidate value is hashed, and the hashes are
 counted over the whole corpus by distinct repositories and distinct owners. A value that many owners
-carry is a copied example; one that a single owner carries is a credential of that owner.
+carry is a copied example, and so is one in very many repositories of one owner; the others are
+credentials of their owner.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +39,9 @@ SHAPES = [
 ]
 _SHAPES = [(kind, re.compile(pattern, re.ASCII), hint) for kind, pattern, hint in SHAPES]
 
+MAX_OWNERS, MAX_REPOSITORIES = 2, 100  # beyond either, a value is a copied example
+SECRET, EXAMPLE = "[SECRET]", "[EXAMPLE]"
+
 # A text with any candidate fits this.
 MAY_HOLD = (
     r"AKIA[A-Z0-9]{12}|[0-9a-f]{32}|(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]"
@@ -53,6 +58,7 @@ SPAN = T.StructType(
         T.StructField("start", T.LongType()),
         T.StructField("end", T.LongType()),
         T.StructField("value_hash", T.StringType()),
+        T.StructField("inside", T.BooleanType()),
     ]
 )
 RESULT = T.StructType(
@@ -100,27 +106,44 @@ def find_shaped(raw: bytes) -> list[tuple[str, int, int, str]]:
 def find_candidates(
     docs: DataFrame, *, text: str = "text", keep: list[str] | None = None, result: str = "found"
 ) -> DataFrame:
-    """Rows with a struct ``result`` of ``base`` and ``shaped`` spans; a map over whole texts."""
+    """Rows with a struct ``result`` of ``base`` and ``shaped`` spans; a map over whole texts.
+
+    A shaped span that a base span covers is marked ``inside``.
+    """
     name = free_name(docs, result)
 
     def make() -> Callable:
-        def spans(found):
+        def spans(found, base):
+            hidden = inside(found, base)
             return [
-                {"kind": k, "start": s, "end": e, "value_hash": hashlib.sha256(v.encode()).hexdigest()}
-                for k, s, e, v in found
+                {"kind": k, "start": s, "end": e, "value_hash": hashlib.sha256(v.encode()).hexdigest(), "inside": h}
+                for (k, s, e, v), h in zip(found, hidden)
             ]
 
         def compute(texts):
-            return {
-                "base": [spans(find_base(t)) if t else [] for t in texts],
-                "shaped": [spans(find_shaped(t)) if t else [] for t in texts],
-            }
+            out = {"base": [], "shaped": []}
+            for t in texts:
+                base, shaped = (find_base(t), find_shaped(t)) if t else ([], [])
+                out["base"].append(spans(base, []))
+                out["shaped"].append(spans(shaped, base))
+            return out
 
         return compute
 
     return annotate(docs, text, make, RESULT, name, keep)
 
 
+def inside(spans: list[tuple], base: list[tuple]) -> list[bool]:
+    """For each span whether a base span covers it; both are sorted by start, so one sweep tells."""
+    out, reach, at = [], -1, 0
+    for _, start, end, _ in spans:
+        while at < len(base) and base[at][1] <= start:
+            reach = max(reach, base[at][2])
+            at += 1
+        out.append(reach >= end)
+    return out
+
+
 def ownership(spans: DataFrame, repository: str = "repository", owner: str = "owner") -> DataFrame:
     """Distinct repositories and owners per ``value_hash``.
 
@@ -154,15 +177,16 @@ def scan_secrets(
     text: str = "text",
     repository: str = "doc_id",
     owner: str = "source",
-    max_owners: int = 2,
-    max_repositories: int | None = None,
+    max_owners: int = MAX_OWNERS,
+    max_repositories: int | None = MAX_REPOSITORIES,
     copied: bool = False,
 ) -> DataFrame:
     """One row per input row: ``row``, ``id_col``, and all ``spans`` with what the corpus says of them.
 
     A span has kind, start, end (code points, end exclusive), value_hash, base, n_repositories,
-    n_owners and live. ``live`` is true for a value that at most ``max_owners`` owners and, if given,
-    ``max_repositories`` repositories carry: a widely copied example is not. Base spans always stay,
+    n_owners and live. ``live`` is true for a value that at most ``max_owners`` owners and (if not None)
+    ``max_repositories`` repositories carry: a widely copied example is not, though one owner may hold
+    all its copies. Base spans always stay,
     whether live or not; spans of further shapes are added if live, or with ``copied`` also if not,
     and not inside a base span of the same document. ``row`` numbers the
     input rows, so repeated rows and ids stay apart. Null and empty texts have no spans; a null
@@ -197,7 +221,8 @@ def scan_secrets(
     live = F.col("n_owners") <= max_owners
     if max_repositories is not None:
         live = live & (F.col("n_repositories") <= max_repositories)
-    judged = spans.drop("repository", "owner").join(counts, "value_hash").withColumn("live", live)
+    judged = spans.where(~F.col("inside")).drop("repository", "owner", "inside")
+    judged = judged.join(counts, "value_hash").withColumn("live", live)
     if not copied:
         judged = judged.where(F.col("base") | F.col("live"))
     gathered = judged.groupBy("row").agg(
@@ -207,19 +232,15 @@ def scan_secrets(
             )
         ).alias("spans")
     )
-    inside = lambda s, all_: F.exists(all_, lambda b: b["base"] & (b["start"] <= s["start"]) & (b["end"] >= s["end"]))
-    cleaned = gathered.withColumn(
-        "spans", F.filter("spans", lambda s: s["base"] | ~inside(s, F.col("spans")))
-    )
     return (
         found.select("row", F.col("id").alias(id_col))
-        .join(cleaned, "row", "left")
-        .withColumn("spans", F.coalesce("spans", F.array().cast(cleaned.schema["spans"].dataType)))
+        .join(gathered, "row", "left")
+        .withColumn("spans", F.coalesce("spans", F.array().cast(gathered.schema["spans"].dataType)))
     )
 
 
 def _fields(s):
-    return [s[f].alias(f) for f in ("kind", "start", "end", "value_hash")]
+    return [s[f].alias(f) for f in ("kind", "start", "end", "value_hash", "inside")]
 
 
 def _rank(kind):
@@ -249,8 +270,8 @@ def mask_secrets(
     n_chars: str | None = None,
     repository: str = "doc_id",
     owner: str = "source",
-    max_owners: int = 2,
-    max_repositories: int | None = None,
+    max_owners: int = MAX_OWNERS,
+    max_repositories: int | None = MAX_REPOSITORIES,
     copied: bool = False,
 ) -> DataFrame:
     """Rows of ``docs`` with the secrets in ``text`` masked; all columns and rows stay.
@@ -274,43 +295,48 @@ def mask_secrets(
         F.first(F.transform("spans", lambda s: F.struct(s["start"], s["end"], s["live"]))).alias(found)
     )
     joined = some.join(spans, key, "left")
-    hit = column(found).isNotNull()
-    out = joined.withColumn(text, F.when(hit, _mask_expression(column(text), column(found))).otherwise(column(text)))
+    out = _masked(joined, text, found)
     if n_chars:
+        hit = column(found).isNotNull()
         out = out.withColumn(n_chars, F.when(hit, F.char_length(column(text)).cast("long")).otherwise(column(n_chars)))
     return rest.unionByName(out.select(*[column(c) for c in docs.columns]))
 
 
-def _mask_expression(text, spans):
-    """``text`` with spans (sorted by start) replaced; touching or overlapping ones are one mask."""
-    merged = F.aggregate(
-        spans,
-        F.array().cast("array<struct<start:bigint,end:bigint,live:boolean>>"),
-        lambda acc, s: F.when(
-            (F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["end"] > s["start"]),
-            F.concat(
-                F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))),
-                F.array(
-                    F.struct(
-                        F.try_element_at(acc, F.lit(-1))["start"].alias("start"),
-                        F.greatest(F.try_element_at(acc, F.lit(-1))["end"], s["end"]).alias("end"),
-                        (F.try_element_at(acc, F.lit(-1))["live"] | s["live"]).alias("live"),
-                    )
-                ),
-            ),
-        ).otherwise(F.concat(acc, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"), s["live"].alias("live"))))),
-    )
-    pieces = F.aggregate(
-        merged,
-        F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")),
-        lambda acc, s: F.struct(
-            F.concat(
-                acc["out"],
-                F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")),
-                F.when(s["live"], F.lit("[SECRET]")).otherwise(F.lit("[EXAMPLE]")),
-            ).alias("out"),
-            s["end"].alias("at"),
-        ),
-        lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.char_length(text))),
-    )
-    return pieces
+def _masked(rows: DataFrame, text: str, found: str) -> DataFrame:
+    """``rows`` with ``text`` masked at the spans in ``found``; a map over the rows that can hold secrets."""
+    at, spans_at = rows.columns.index(text), rows.columns.index(found)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, spans = batch.column(at).to_pylist(), batch.column(spans_at).to_pylist()
+            made = [mask_text(t, [tuple(s.values()) for s in found_]) if found_ else t for t, found_ in zip(texts, spans)]
+            columns = list(batch.columns)
+            columns[at] = pa.array(made, batch.schema.field(at).type)
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+    return rows.mapInArrow(run, rows.schema)
+
+
+def mask_text(text: str, spans: list[tuple[int, int, bool]]) -> str:
+    """``text`` with spans (start, end, live; sorted by start) replaced; overlapping ones are one mask.
+
+    One sweep: the text is cut at each mask once and joined once.
+    """
+    pieces, at = [], 0
+    for start, end, live in _united(spans):
+        pieces += [text[at:start], SECRET if live else EXAMPLE]
+        at = end
+    return "".join([*pieces, text[at:]])
+
+
+def _united(spans: list[tuple[int, int, bool]]) -> Iterator[tuple[int, int, bool]]:
+    held = None
+    for start, end, live in spans:
+        if held is not None and held[1] > start:
+            held = (held[0], max(held[1], end), held[2] or live)
+            continue
+        if held is not None:
+            yield held
+        held = (start, end, live)
+    if held is not None:
+        yield held

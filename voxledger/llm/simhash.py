@@ -313,11 +313,11 @@ def keep_lowest(docs: DataFrame, found: DataFrame, *, id_col: str = "doc_id", te
     rows that repeat both; rows of one id whose texts are not alike are two components. Columns stay as they are. After the join rows already lie by id and digest, so the
     choice among repeats moves nothing.
     """
-    name, key, place = (free_name(docs, n) for n in ("kept_id", "text_digest", "place"))
+    name, mark, key, place = (free_name(docs, n) for n in ("kept_id", "kept_digest", "text_digest", "place"))
     best = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "digest")).alias("b"))
-    kept = best.select(F.col("b.id").alias(name), F.col("b.digest").alias("kept_digest"))
+    kept = best.select(F.col("b.id").alias(name), F.col("b.digest").alias(mark))
     keyed = docs.withColumn(key, text_digest(column(text)))
-    same = column(id_col).eqNullSafe(F.col(name)) & (column(key) == F.col("kept_digest"))
+    same = column(id_col).eqNullSafe(F.col(name)) & (column(key) == F.col(mark))
     rows = keyed.join(kept, same, "left_semi")
     first = Window.partitionBy(column(id_col), column(key)).orderBy(F.lit(1))
     numbered = rows.withColumn(place, F.row_number().over(first)).where(column(place) == 1)

@@ -66,12 +66,11 @@ def brute(table):
                 while j < len(ids_b) and start_b[j] < ends_a[i]:
                     links.append((x, ids_b[j]))
                     j += 1
-            low = 0
+            i = j = 0
             for cut in sorted(set(ends_a) & set(ends_b)):
-                of_a = [str(x) for x, e in zip(ids_a, ends_a) if low < e <= cut]
-                of_b = [str(x) for x, e in zip(ids_b, ends_b) if low < e <= cut]
-                groups.append(",".join(of_a) + "|" + ",".join(of_b))
-                low = cut
+                k, m = ends_a.index(cut, i) + 1, ends_b.index(cut, j) + 1
+                groups.append(",".join(map(str, ids_a[i:k])) + "|" + ",".join(map(str, ids_b[j:m])))
+                i, j = k, m
         else:
             ids_a, ids_b = [], []
         held.update(set(links))

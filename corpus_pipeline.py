@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from voxledger.llm import decontaminate, langid, mixing, secrets, simhash
 from voxledger.llm.common import documents
-from voxledger.session import configure, shared_dir
+from voxledger.session import configure, remove_dir, shared_dir
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -74,10 +74,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what a stage returns is stored in the shared folder."""
-    docs = documents(spark, sf_dir)
+    """All stages over ``documents``; what a stage returns is stored in the shared folder.
+
+    A stage's folder goes when the next one's is complete; the last one's stays, as the result reads it.
+    """
+    docs, before = documents(spark, sf_dir), None
     for name, stage in STAGES:
         path = shared_dir(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            remove_dir(spark, before)
+        before = path
     return docs

@@ -1,7 +1,7 @@
 """Runs as keyed state: events in order, steps that are not allowed, and runs that are stuck now.
 
 Events of a run may arrive in any order. They wait in the run's state until the watermark has passed
-them, then take part in the order of their time. A timer stands at the last event of an open run plus the
+them (a timer stands at the first that waits), then take part in the order of their time. A timer stands at the last event of an open run plus the
 patience; when the watermark passes it, the run is reported stuck, while it is still open. A run's state
 goes when it is finished and nothing waits.
 """
@@ -43,14 +43,14 @@ class RunState(StatefulProcessor):
         self.last = handle.getValueState("last", T.StructType([*event, T.StructField("told", T.BooleanType())]))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        """New events wait; a timer stands at each one's time."""
-        times = set()
+        """New events wait; a timer stands at the time of the first of them."""
+        first = None
         for part in rows:
             for at, ord_, status in zip(part["at_ms"].tolist(), part["ord"].tolist(), part["status"].tolist()):
                 self.waiting.appendValue((int(at), int(ord_), status))
-                times.add(int(at))
-        for at in sorted(times):
-            self.handle.registerTimer(at)
+                first = int(at) if first is None else min(first, int(at))
+        if first is not None:
+            self.handle.registerTimer(first)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -78,6 +78,7 @@ class RunState(StatefulProcessor):
             rest = held[len(ready) :]
             if rest:
                 self.waiting.put(rest)
+                self.handle.registerTimer(rest[0][0])
             else:
                 self.waiting.clear()
         if last and last[2] in FINAL:

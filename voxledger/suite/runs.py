@@ -132,7 +132,7 @@ def previous_event(spark: SparkSession, sf: str) -> DataFrame:
          l AS (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY w) AS before, sum(nbytes) OVER (PARTITION BY user_id ORDER BY w) AS done FROM m)
        , s AS (SELECT *, nbytes / nullif(epoch_us(ts) / 1e6 - epoch_us(before) / 1e6, 0) AS speed FROM l),
          r AS (SELECT *, CASE WHEN speed > 0 THEN greatest(5000000 - done, 0) / speed ELSE 0.0 END AS eta FROM s)
-       SELECT user_id AS dataset_id, w AS start, nbytes, done, round(speed, 3) AS speed, round(eta, 1) AS eta_seconds,
+       SELECT user_id AS dataset_id, w AS start, nbytes, done, round(speed, 3) AS speed, round(eta / 3600, 2) AS eta_hours,
               CASE WHEN eta > 3600 THEN 'h' WHEN eta > 60 THEN 'm' ELSE 's' END AS eta_unit FROM r""".replace(", m AS", "WITH m AS", 1)
 )
 def interval_speed(spark: SparkSession, sf: str) -> DataFrame:
@@ -142,7 +142,7 @@ def interval_speed(spark: SparkSession, sf: str) -> DataFrame:
     marks = U.interval_speed(e, "6 hours", F.lit(5_000_000))
     return marks.select(
         "dataset_id", F.col("w.start").alias("start"), "nbytes", "done", F.round("speed", 3).alias("speed"),
-        F.round("eta_seconds", 1).alias("eta_seconds"), F.right("eta", F.lit(1)).alias("eta_unit"),
+        F.round(F.col("eta_seconds") / 3600, 2).alias("eta_hours"), F.right("eta", F.lit(1)).alias("eta_unit"),
     )
 
 

@@ -8,7 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
-AREAS = ["records", "arrays", "volumes", "runs", "streams", "lookups", "matching"]
+AREAS = ["records", "arrays", "volumes", "runs", "streams", "lookups", "matching", "written"]
 
 
 def all_queries() -> dict[str, Query]:

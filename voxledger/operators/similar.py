@@ -1,9 +1,9 @@
 """Records with similar metadata: sets of ``path=value`` tokens with a Jaccard similarity of 0.8 or more.
 
 Equal sets are one node. A node's sketch is a row of minima of hashed tokens, cut into bands; nodes that
-share a band are candidates, and their whole sets decide. A bucket of a few nodes is compared pair by
-pair; a larger one is split by the sizes of its sets, and these parts by measured numbers of nodes into
-blocks, which meet block by block and give only a spanning forest of what they find.
+share a band are candidates, and their whole sets decide. Nodes are first compared with a few pivots of their
+buckets. A small bucket that is then of several components is compared pair by pair; a larger one is split
+by measured numbers of nodes into blocks, which meet block by block and give only a spanning forest.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from voxledger.session import shared_checkpoint
 # Fixed value: the similarity, as a fraction.
 LEAST = (4, 5)
 BANDS, BAND_ROWS = 25, 5  # a pair at 0.8 shares a band with a probability of 0.99995
+PIVOTS = 4  # nodes of a bucket that all others are compared with first
 SMALL = 32  # nodes of a bucket that are compared pair by pair
 BLOCK = 1_024  # nodes of a block
 COLUMNS = 4_096  # tokens that are compared at a time
@@ -74,11 +75,23 @@ def sketched(nodes: DataFrame) -> DataFrame:
 def similar_links(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (``u``, ``v``) that join all nodes of a bucket whose similarity is ``LEAST`` or more.
 
-    ``members``: ``bucket``, ``node``, ``n``; ``sets``: ``node``, ``tokens``, ``hashes``; both stored.
+    ``members``: ``bucket``, ``node``, ``n``; ``sets``: ``node``, ``tokens``, ``hashes``; both stored. Every node is
+    first compared with a few pivots of its bucket. Only buckets that are then still of several components
+    are compared in full, and in large ones the members of the greatest component not with each other.
     """
     crowd = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
     met = shared_checkpoint(members.join(crowd, "bucket"))
-    return _pair_links(met.where(F.col("rows") <= SMALL), sets).unionByName(_block_links(met.where(F.col("rows") > SMALL), sets))
+    picked = [F.min_by(F.struct("node", "n"), F.xxhash64("node", F.lit(k))) for k in range(PIVOTS)]
+    pivots = met.groupBy("bucket").agg(F.array_distinct(F.array(*picked)).alias("p"))
+    asked = met.join(pivots, "bucket").select("node", "n", F.explode("p").alias("p"))
+    asked = asked.where((F.col("node") != F.col("p.node")) & _fits(F.col("n"), F.col("p.n")))
+    first = shared_checkpoint(_similar(asked.select(F.least("node", "p.node").alias("u"), F.greatest("node", "p.node").alias("v")).distinct(), sets))
+    rooted = met.join(components(first), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    several = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    open_ = shared_checkpoint(rooted.join(several.select("bucket"), "bucket"))
+    return first.unionByName(_pair_links(open_.where(F.col("rows") <= SMALL), sets)).unionByName(
+        _block_links(open_.where(F.col("rows") > SMALL), sets)
+    )
 
 
 def _fits(a, b):
@@ -86,10 +99,8 @@ def _fits(a, b):
     return F.least(a, b) * LEAST[1] >= F.greatest(a, b) * LEAST[0]
 
 
-def _pair_links(members: DataFrame, sets: DataFrame) -> DataFrame:
-    a, b = members.alias("a"), members.alias("b")
-    pairs = a.join(b, (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.node") < F.col("b.node")) & _fits(F.col("a.n"), F.col("b.n")))
-    pairs = pairs.select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
+def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (``u``, ``v``) whose whole sets are similar enough, told in whole numbers."""
     left = sets.select(F.col("node").alias("u"), F.col("tokens").alias("tu"))
     right = sets.select(F.col("node").alias("v"), F.col("tokens").alias("tv"))
     both = F.size(F.array_intersect("tu", "tv"))
@@ -97,28 +108,38 @@ def _pair_links(members: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "u").join(right, "v").where(enough).select("u", "v")
 
 
+def _pair_links(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between components in small buckets, pair by pair."""
+    a, b = members.alias("a"), members.alias("b")
+    apart = (F.col("a.node") < F.col("b.node")) & (F.col("a.root") != F.col("b.root"))
+    pairs = a.join(b, (F.col("a.bucket") == F.col("b.bucket")) & apart & _fits(F.col("a.n"), F.col("b.n")))
+    return _similar(pairs.select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct(), sets)
+
+
 def _block_links(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links in large buckets. Sets whose sizes lie in one step of ratio 1.25, or in neighbouring ones, can be similar."""
-    stepped = members.withColumn("step", F.floor(F.log(F.col("n")) / F.log(F.lit(LEAST[1] / LEAST[0]))))
-    shape = stepped.groupBy("bucket", "step").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    above = shape.select("bucket", (F.col("step") - 1).alias("step"), F.col("blocks").alias("blocks_above"))
-    below = shape.select("bucket", (F.col("step") + 1).alias("step"), F.col("blocks").alias("blocks_below"))
-    dealt = stepped.join(shape, ["bucket", "step"]).join(above, ["bucket", "step"], "left").join(below, ["bucket", "step"], "left")
-    own = F.pmod(F.xxhash64("node", F.lit(9)), F.col("blocks"))
-    each = lambda n: F.when(F.coalesce(n, F.lit(0)) > 0, F.sequence(F.lit(0).cast("bigint"), n.cast("bigint") - 1)).otherwise(F.array().cast("array<bigint>"))
-    meet = lambda step, low, high, kind: F.struct(step.alias("step"), low.alias("low"), high.alias("high"), F.lit(kind).alias("kind"))
-    here = F.col("step")
-    groups = F.concat(
-        F.transform(each(F.col("blocks")), lambda o: meet(here, F.least(own, o), F.greatest(own, o), 0)),
-        F.transform(each(F.col("blocks_above")), lambda o: meet(here, own, o, 1)),
-        F.transform(each(F.col("blocks_below")), lambda o: meet(here - 1, o, own, 1)),
-    )
-    met = dealt.select("bucket", "node", here.alias("side"), own.alias("block"), F.explode(groups).alias("g")).select("bucket", "node", "side", "block", "g.*")
+    """Links between components in large buckets: blocks of the rest meet each other and those of the greatest component."""
+    sizes = members.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("c"))
+    shape = sizes.groupBy("bucket").agg(F.max_by("root", F.struct("c", "root")).alias("major"), F.max("c").alias("most"), F.sum("c").alias("all"))
+    blocks = lambda c: F.ceil(c / BLOCK).cast("bigint")
+    dealt = members.join(
+        shape.select("bucket", "major", blocks(F.col("most")).alias("majors"), blocks(F.col("all") - F.col("most")).alias("minors")), "bucket"
+    ).withColumn("minor", F.col("root") != F.col("major"))
+    own = F.pmod(F.xxhash64("node", F.lit(9)), F.when(F.col("minor"), F.col("minors")).otherwise(F.col("majors")))
+    each = lambda n: F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1)
+    meet = lambda kind, low, high: F.struct(F.lit(kind).alias("kind"), low.alias("low"), high.alias("high"))
+    groups = F.when(
+        F.col("minor"),
+        F.concat(
+            F.transform(each("minors"), lambda o: meet(0, F.least(own, o), F.greatest(own, o))),
+            F.transform(each("majors"), lambda o: meet(1, own, o)),
+        ),
+    ).otherwise(F.transform(each("minors"), lambda o: meet(1, o, own)))
+    met = dealt.select("bucket", "node", "minor", own.alias("block"), F.explode(groups).alias("g")).select("bucket", "node", "minor", "block", "g.*")
     # Where a block meets itself every member is on both sides.
-    left = ((F.col("kind") == 0) & (F.col("block") == F.col("low"))) | ((F.col("kind") == 1) & (F.col("side") == F.col("step")))
-    right = ((F.col("kind") == 0) & (F.col("block") == F.col("high"))) | ((F.col("kind") == 1) & (F.col("side") != F.col("step")))
-    sided = met.select("bucket", "step", "low", "high", "kind", "node", left.alias("is_left"), right.alias("is_right"))
-    return sided.join(sets.select("node", "hashes"), "node").groupBy("bucket", "step", "low", "high", "kind").applyInArrow(
+    left = ((F.col("kind") == 0) & (F.col("block") == F.col("low"))) | ((F.col("kind") == 1) & F.col("minor"))
+    right = ((F.col("kind") == 0) & (F.col("block") == F.col("high"))) | ((F.col("kind") == 1) & ~F.col("minor"))
+    sided = met.select("bucket", "kind", "low", "high", "node", left.alias("is_left"), right.alias("is_right"))
+    return sided.join(sets.select("node", "hashes"), "node").groupBy("bucket", "kind", "low", "high").applyInArrow(
         _compare, "u bigint, v bigint"
     )
 

@@ -30,7 +30,7 @@ LEAST = 10  # occurrences of a candidate
 INSIDE_PERCENT = 50  # of its occurrences inside a longer candidate drop a phrase
 SCALE = 1_000_000
 BITS = 25  # log2 of the bits of a filter: 4 MB
-FLUSH_WORDS = 4_000_000  # words (and distinct words) that a task holds before it passes counts on
+FLUSH_WORDS = 2_500_000  # words (and distinct words) that a task holds before it passes counts on
 SLICE = 4 << 20  # bytes of a text that are split at a time
 WIDEN = 4  # how much further down the ranks of pairs the next round's cutoff goes
 UNKNOWN = "und"

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxledger.operators.components import components
-from voxledger.session import shared_checkpoint
+from voxledger.session import shared_checkpoint, shared_dir
 
 # Fixed value: the similarity, as a fraction.
 LEAST = (4, 5)
@@ -75,8 +75,8 @@ def sketched(nodes: DataFrame) -> DataFrame:
 def similar_links(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (``u``, ``v``) that join all nodes of a bucket whose similarity is ``LEAST`` or more.
 
-    ``members``: ``bucket``, ``node``, ``n``; ``sets``: ``node``, ``tokens``, ``hashes``; both stored. Every node is
-    first compared with a few pivots of its bucket. Only buckets that are then still of several components
+    ``members``: ``bucket``, ``node``, ``n``; ``sets``: ``node``, ``hashes``; both stored. Every node is first
+    compared with a few pivots of its bucket. Only buckets that are then still of several components
     are compared in full, and in large ones the members of the greatest component not with each other.
     """
     crowd = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
@@ -101,8 +101,8 @@ def _fits(a, b):
 
 def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (``u``, ``v``) whose whole sets are similar enough, told in whole numbers."""
-    left = sets.select(F.col("node").alias("u"), F.col("tokens").alias("tu"))
-    right = sets.select(F.col("node").alias("v"), F.col("tokens").alias("tv"))
+    left = sets.select(F.col("node").alias("u"), F.col("hashes").alias("tu"))
+    right = sets.select(F.col("node").alias("v"), F.col("hashes").alias("tv"))
     both = F.size(F.array_intersect("tu", "tv"))
     enough = both * LEAST[1] >= (F.size("tu") + F.size("tv") - both) * LEAST[0]
     return pairs.join(left, "u").join(right, "v").where(enough).select("u", "v")
@@ -198,18 +198,21 @@ def similar_classes(records: DataFrame, member: str, tokens: str) -> DataFrame:
 
     ``records`` has a ``member`` column of an ordered type and a column of sorted, distinct ``tokens``.
     Two records are linked if the Jaccard similarity of their tokens is ``LEAST`` or more; a class is what
-    links reach. Records without tokens (NULL or empty) are one class. The sets' 64-bit hashes choose
-    candidates; tokens, or in large buckets their hashes, decide.
+    links reach. Records without tokens (NULL or empty) are one class. Equal sets are told by a SHA-256,
+    similar ones by the 64-bit hashes of their tokens: only these move, and they are stored once.
     """
-    rows = records.select(F.col(member).alias("member"), F.coalesce(F.col(tokens), F.array().cast("array<string>")).alias("tokens"))
-    keyed = rows.withColumn("set", F.sha2(F.array_join("tokens", "\u0001").cast("binary"), 256))
-    kept = shared_checkpoint(
-        keyed.groupBy("set").agg(F.min("member").alias("first"), F.count(F.lit(1)).alias("copies"), F.any_value("tokens").alias("tokens"))
-        .withColumn("node", F.monotonically_increasing_id())
-        .withColumn("hashes", F.array_sort(F.transform("tokens", lambda t: F.xxhash64(t))))
+    spark = records.sparkSession
+    held = F.coalesce(F.col(tokens), F.array().cast("array<string>"))
+    keyed = records.select(
+        F.col(member).alias("member"), F.sha2(F.array_join(held, "\u0001").cast("binary"), 256).alias("set"),
+        F.array_sort(F.transform(held, lambda t: F.xxhash64(t))).alias("hashes"),
     )
+    path = shared_dir(spark, "similar-sets")
+    once = keyed.groupBy("set").agg(F.min("member").alias("first"), F.count(F.lit(1)).alias("copies"), F.any_value("hashes").alias("hashes"))
+    once.select(F.monotonically_increasing_id().alias("node"), "first", "copies", "hashes").write.parquet(path)
+    kept = spark.read.parquet(path)
     members = shared_checkpoint(sketched(kept.select("node", "hashes")))
-    links = similar_links(members, kept.select("node", "tokens", "hashes"))
+    links = similar_links(members, kept.select("node", "hashes"))
     root = components(links)
     classes = kept.select("node", "first", "copies").join(root, "node", "left").groupBy(F.coalesce("root", "node").alias("root"))
     return (

@@ -1,8 +1,8 @@
 """Records with similar metadata: sets of ``path=value`` tokens with a Jaccard similarity of 0.8 or more.
 
 Equal sets are one node. A node's sketch is a row of minima of hashed tokens, cut into bands; nodes that
-share a band are candidates, and their whole sets decide. Nodes are first compared with a few pivots of their
-buckets. A small bucket that is then of several components is compared pair by pair; a larger one is split
+share a band are candidates, and their whole sets decide. Nodes are first compared with one lead of their
+buckets each. A small bucket that is then of several components is compared pair by pair; a larger one is split
 by measured numbers of nodes into blocks, which meet block by block and give only a spanning forest.
 """
 
@@ -21,7 +21,6 @@ from voxledger.session import shared_checkpoint, shared_dir
 # Fixed value: the similarity, as a fraction.
 LEAST = (4, 5)
 BANDS, BAND_ROWS = 25, 5  # a pair at 0.8 shares a band with a probability of 0.99995
-PIVOTS = 4  # nodes of a bucket that all others are compared with first
 SMALL = 32  # nodes of a bucket that are compared pair by pair
 BLOCK = 1_024  # nodes of a block
 COLUMNS = 4_096  # tokens that are compared at a time
@@ -75,17 +74,19 @@ def sketched(nodes: DataFrame) -> DataFrame:
 def similar_links(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (``u``, ``v``) that join all nodes of a bucket whose similarity is ``LEAST`` or more.
 
-    ``members``: ``bucket``, ``node``, ``n``; ``sets``: ``node``, ``hashes``; both stored. Every node is first
-    compared with a few pivots of its bucket. Only buckets that are then still of several components
-    are compared in full, and in large ones the members of the greatest component not with each other.
+    ``members``: ``bucket``, ``node``, ``n``; ``sets``: ``node``, ``hashes``; both stored. Every bucket has a
+    lead, and every node is first compared with the lead it shares most bands with. Only buckets that are
+    then still of several components are compared in full, and in large ones the members of the greatest
+    component not with each other.
     """
     crowd = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
     met = shared_checkpoint(members.join(crowd, "bucket"))
-    picked = [F.min_by(F.struct("node", "n"), F.xxhash64("node", F.lit(k))) for k in range(PIVOTS)]
-    pivots = met.groupBy("bucket").agg(F.array_distinct(F.array(*picked)).alias("p"))
-    asked = met.join(pivots, "bucket").select("node", "n", F.explode("p").alias("p"))
-    asked = asked.where((F.col("node") != F.col("p.node")) & _fits(F.col("n"), F.col("p.n")))
-    first = shared_checkpoint(_similar(asked.select(F.least("node", "p.node").alias("u"), F.greatest("node", "p.node").alias("v")).distinct(), sets))
+    leads = met.groupBy("bucket").agg(F.min_by(F.struct("node", "n"), F.xxhash64("node")).alias("p"))
+    asked = met.join(leads, "bucket").where((F.col("node") != F.col("p.node")) & _fits(F.col("n"), F.col("p.n")))
+    shared = asked.groupBy("node", F.col("p.node").alias("lead")).agg(F.count(F.lit(1)).alias("bands"))
+    best = shared.groupBy("node").agg(F.max_by("lead", F.struct("bands", "lead")).alias("lead"))
+    pairs = best.select(F.least("node", "lead").alias("u"), F.greatest("node", "lead").alias("v")).distinct()
+    first = shared_checkpoint(_similar(pairs, sets))
     rooted = met.join(components(first), "node", "left").withColumn("root", F.coalesce("root", "node"))
     several = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
     open_ = shared_checkpoint(rooted.join(several.select("bucket"), "bucket"))

@@ -1,8 +1,10 @@
 """Block operators against whole numpy arrays."""
 
 import hashlib
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -372,3 +374,20 @@ def test_quantiles_stay_within_their_error(spark):
     assert Q.merge_summaries(Q.block_summaries(df, 64), 4, 64, 4).where("size(values) > 64").count() == 0
     nan = blocks_of(spark, {"n": np.full((2, 2, 2), np.nan)}, (2, 2, 2), 1)
     assert [r["value"] for r in Q.volume_quantiles(nan, [0.5]).collect()] == [None]
+
+
+def test_few_rows_of_a_batch_are_objects_at_a_time():
+    """Lists of boxes and payloads: a batch of 8 MB never lies in Python whole, and all of its rows come."""
+    boxes = [{"request_id": i, "lo": [i, 0, 0], "hi": [i, 6, 6]} for i in range(250)]
+    kind = pa.list_(pa.struct([("request_id", pa.int64()), ("lo", pa.list_(pa.int64())), ("hi", pa.list_(pa.int64()))]))
+    one = pa.array([boxes], kind)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(400)), pa.concat_arrays([one] * 400)], ["n", "boxes"])
+    assert batch.nbytes > 6 << 20
+    tracemalloc.start()
+    seen = [(row["n"], len(row["boxes"]), row["boxes"][249]["lo"][0]) for row in B._rows(iter([batch, batch.slice(0, 0)]))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert seen == [(n, 250, 249) for n in range(400)]
+    assert peak < 16 << 20
+    wide = pa.RecordBatch.from_arrays([pa.array([bytes(1 << 20)] * 3, pa.binary())], ["payload"])
+    assert [len(row["payload"]) for row in B._rows(iter([wide]))] == [1 << 20] * 3

@@ -33,6 +33,7 @@ BLOCKS = (
 SEGMENT_BYTES = 16 << 20  # byte ranges that are joined into one value
 CROP_EDGE = 128  # voxels per axis of a crop's pieces
 LIST_BOXES = 1_000  # boxes that meet a block's payload together, about
+SLICE_BYTES = 1 << 18  # Arrow bytes that are Python objects at a time, about
 
 
 def _dtype(name: str) -> np.dtype:
@@ -44,11 +45,17 @@ def _array(row: dict) -> np.ndarray:
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    """Rows as dicts.  Batches are bounded in rows and bytes by the session settings."""
+    """Rows as dicts.  Batches are bounded in rows and bytes by the session settings.
+
+    Small numbers and lists take many times their Arrow bytes as Python objects, so a batch becomes objects
+    in slices of about ``SLICE_BYTES`` (one row at least).
+    """
     for batch in batches:
         names = batch.schema.names
-        for values in zip(*(column.to_pylist() for column in batch.columns)):
-            yield dict(zip(names, values))
+        step = max(1, batch.num_rows * SLICE_BYTES // max(batch.nbytes, 1))
+        for start in range(0, batch.num_rows, step):
+            for values in zip(*(column.to_pylist() for column in batch.slice(start, step).columns)):
+                yield dict(zip(names, values))
 
 
 def _emit(rows: Iterator[dict], schema: pa.Schema, limit_bytes: int = 1 << 23, limit_rows: int = 8192):

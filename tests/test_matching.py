@@ -5,6 +5,7 @@ import json
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -246,3 +247,84 @@ def test_run_state_in_three_arrivals_equals_batch(spark):
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
     kinds = {(r["dataset_id"], r["kind"]) for r in got.collect()}
     assert {(2, "illegal"), (2, "stuck"), (3, "stuck"), (4, "stuck"), (5, "stuck")} <= kinds and not any(d in (1, 9, 99) for d, _ in kinds)
+
+
+class _Entries:
+    """A list or value of the state store that counts calls."""
+
+    def __init__(self):
+        self.held, self.calls = [], 0
+
+    def _call(self, held=None):
+        self.calls += 1
+        if held is not None:
+            self.held = list(held)
+        return iter(self.held)
+
+    def get(self):
+        self._call()
+        return iter(self.held) if isinstance(self, _List) else self.held[0]
+
+    def exists(self):
+        self._call()
+        return bool(self.held)
+
+    def clear(self):
+        self._call([])
+
+
+class _List(_Entries):
+    def appendValue(self, value):
+        self._call([*self.held, value])
+
+    def appendList(self, values):
+        self._call([*self.held, *values])
+
+    def put(self, values):
+        self._call(values)
+
+
+class _Value(_Entries):
+    def update(self, value):
+        self._call([value])
+
+
+class _Handle:
+    def __init__(self):
+        self.timers = []
+
+    def getListState(self, name, schema):
+        return _List()
+
+    def getValueState(self, name, schema):
+        return _Value()
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+
+def test_waiting_events_cost_calls_by_the_list(monkeypatch):
+    """Thousands of events of a run, out of order, in a few calls to the state store; what waits on stays in lists."""
+    monkeypatch.setattr(U, "CHUNK", 700, raising=False)
+    n, run, handle = 5_000, U.RunState(10_800_000), _Handle()
+    run.init(handle)
+    at = [int(a) for a in np.random.default_rng(6).permutation(n) * 1_000 + 7]
+    status = [U.STEPS[a // 1_000 % 3] for a in at]
+    parts = [pd.DataFrame({"at_ms": at[i : i + 2_000], "ord": range(i, min(i + 2_000, n)), "status": status[i : i + 2_000]}) for i in range(0, n, 2_000)]
+    list(run.handleInputRows((1,), iter([*parts, parts[0].head(0)]), None))
+    assert run.waiting.calls <= 3 and handle.timers == [7]
+    assert all(len(c) <= 700 for entry in run.waiting.held for c in entry)
+
+    class Now:
+        def __init__(self, at):
+            self.at = at
+
+        def getCurrentWatermarkInMs(self):
+            return self.at
+
+    found = [r for frame in run.handleExpiredTimer((1,), Now(3_000_000), None) for r in frame.itertuples(index=False)]
+    assert [r.at_ms for r in found] == [a * 1_000 + 7 for a in range(3, 3_000, 3)] and {r.kind for r in found} == {"illegal"}
+    assert sum(len(entry[0]) for entry in run.waiting.held) == 2_000 and handle.timers[1] == 3_000_007
+    assert run.waiting.calls <= 6
+    run.handle.timers.clear()
+    assert list(run.handleExpiredTimer((1,), Now(3_000_000), None)) == []

@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 # States of a record, in the order a run goes through them, and those that end it.
 STEPS = ["pending", "processing", "saving-data", "complete"]
 FINAL = ["complete", "failed"]
+CHUNK = 1_000  # events that wait in one entry of the state
 
 FOUND = "dataset_id bigint, kind string, at_ms bigint, ord bigint, status string, before string"
 
@@ -30,6 +31,11 @@ def allowed(before: str | None, status: str) -> bool:
     return STEPS.index(status) == STEPS.index(before) + 1
 
 
+def _chunks(columns: list) -> list[tuple[list, list, list]]:
+    """Columns of events as state entries of at most ``CHUNK`` events."""
+    return [tuple(list(c[i : i + CHUNK]) for c in columns) for i in range(0, len(columns[0]), CHUNK)]
+
+
 class RunState(StatefulProcessor):
     """One run: the events that wait, the last step, and the time it was reported stuck for."""
 
@@ -39,16 +45,18 @@ class RunState(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         event = [T.StructField("at_ms", T.LongType()), T.StructField("ord", T.LongType()), T.StructField("status", T.StringType())]
-        self.waiting = handle.getListState("waiting", T.StructType(event))
+        # An entry is a list of events: each entry costs a call to the store, whatever it holds.
+        self.waiting = handle.getListState("waiting", T.StructType([T.StructField(f.name, T.ArrayType(f.dataType)) for f in event]))
         self.last = handle.getValueState("last", T.StructType([*event, T.StructField("told", T.BooleanType())]))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         """New events wait; a timer stands at the time of the first of them."""
         first = None
         for part in rows:
-            for at, ord_, status in zip(part["at_ms"].tolist(), part["ord"].tolist(), part["status"].tolist()):
-                self.waiting.appendValue((int(at), int(ord_), status))
-                first = int(at) if first is None else min(first, int(at))
+            columns = [[int(n) for n in part["at_ms"].tolist()], [int(n) for n in part["ord"].tolist()], part["status"].tolist()]
+            if columns[0]:
+                self.waiting.appendList(_chunks(columns))
+                first = min(columns[0]) if first is None else min(first, *columns[0])
         if first is not None:
             self.handle.registerTimer(first)
         return iter([])
@@ -56,7 +64,7 @@ class RunState(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         """Release what the watermark has passed, in order, and tell of a run that was or is stuck by then."""
         now = timerValues.getCurrentWatermarkInMs()
-        held = sorted((int(w[0]), int(w[1]), w[2]) for w in self.waiting.get())
+        held = sorted(event for entry in self.waiting.get() for event in zip(*entry))
         last = tuple(self.last.get()) if self.last.exists() else None
         found = []
 
@@ -77,7 +85,7 @@ class RunState(StatefulProcessor):
         if ready:
             rest = held[len(ready) :]
             if rest:
-                self.waiting.put(rest)
+                self.waiting.put(_chunks(list(zip(*rest))))
                 self.handle.registerTimer(rest[0][0])
             else:
                 self.waiting.clear()
@@ -87,7 +95,8 @@ class RunState(StatefulProcessor):
             self.last.update(last)
             if not last[3] and ready:
                 self.handle.registerTimer(last[0] + self.patience_ms)
-        yield pd.DataFrame([(key[0], *f) for f in found], columns=["dataset_id", "kind", "at_ms", "ord", "status", "before"])
+        if found:
+            yield pd.DataFrame([(key[0], *f) for f in found], columns=["dataset_id", "kind", "at_ms", "ord", "status", "before"])
 
     def close(self) -> None:
         pass

@@ -104,6 +104,14 @@ def test_log_precedence(spark):
     }
 
 
+def test_service_lists_name_and_count_every_service(spark):
+    rows = [(1, "b", "success"), (1, "a", "failed:2"), (1, "c", "success_words"), (1, "d", "in_progress"), (2, "a", "success"), (3, "z", "config_error")]
+    rows += [(4, f"svc{i}", "success" if i % 2 else "error_words") for i in range(3_000)]
+    got = {r["log_id"]: tuple(r)[1:] for r in U.service_lists(spark.createDataFrame(rows, "log_id bigint, service string, outcome string").repartition(5)).collect()}
+    odd, even = (",".join(sorted(f"svc{i}" for i in range(k, 3_000, 2))) for k in (1, 0))
+    assert got == {1: ("a,d", "b,c", 2, 2), 2: ("", "a", 0, 1), 3: ("z", "", 1, 0), 4: (even, odd, 1_500, 1_500)}
+
+
 def test_top_k_equals_brute_force(spark, monkeypatch):
     import numpy as np
 

@@ -171,6 +171,16 @@ def service_outcomes(outcomes: DataFrame) -> DataFrame:
     return outcomes.select("log_id", "service", "outcome", F.col("outcome").startswith("success").alias("succeeded"))
 
 
+def service_lists(outcomes: DataFrame) -> DataFrame:
+    """Failed and succeeded services per log, in order and joined by commas, with their counts."""
+    good = F.col("outcome").startswith("success")
+    listed = lambda keep: F.array_join(F.array_sort(F.collect_list(F.when(keep, F.col("service")))), ",")
+    return outcomes.groupBy("log_id").agg(
+        listed(~good).alias("failed_services"), listed(good).alias("successful_services"),
+        F.count_if(~good).alias("failed"), F.count_if(good).alias("succeeded"),
+    )
+
+
 def service_counts(outcomes: DataFrame) -> DataFrame:
     """Failed and succeeded services per log."""
     good = F.col("outcome").startswith("success")

@@ -213,8 +213,19 @@ def log_hint(spark: SparkSession, sf: str) -> DataFrame:
     return U.log_hint(T.log_lines(spark, sf))
 
 
-@register(f"""WITH {_LOG} SELECT log_id, service, outcome, starts_with(outcome, 'success') AS succeeded FROM o""")
+@register(
+    f"""WITH {_LOG} SELECT log_id, coalesce(string_agg(service, ',' ORDER BY service) FILTER (NOT starts_with(outcome, 'success')), '') AS failed_services,
+          coalesce(string_agg(service, ',' ORDER BY service) FILTER (starts_with(outcome, 'success')), '') AS successful_services,
+          count(*) FILTER (NOT starts_with(outcome, 'success')) AS failed, count(*) FILTER (starts_with(outcome, 'success')) AS succeeded
+        FROM o GROUP BY log_id"""
+)
 def service_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """Failed and succeeded services of every log, with their counts."""
+    return U.service_lists(U.log_outcome(T.log_lines(spark, sf)))
+
+
+@register(f"""WITH {_LOG} SELECT log_id, service, outcome, starts_with(outcome, 'success') AS succeeded FROM o""")
+def service_outcomes(spark: SparkSession, sf: str) -> DataFrame:
     """Failed and succeeded services, a row each."""
     return U.service_outcomes(U.log_outcome(T.log_lines(spark, sf)))
 

@@ -3,6 +3,7 @@
 import fnmatch
 import json
 import random
+import re
 
 import numpy as np
 import pandas as pd
@@ -148,6 +149,29 @@ def test_a_thousand_patterns_match_like_the_shell(spark):
     assert P.match_patterns(df, "name", table.where("k < 0")).count() == 0
 
 
+def test_patterns_are_verified_on_few_names_and_once_a_text(spark, monkeypatch):
+    """A thousand numbered patterns and 400 rows of one pattern: 41,000 pairs, few of which take a regular expression."""
+    monkeypatch.setattr(P, "LIST", 30, raising=False)
+    names = spark.createDataFrame([(i, f"/data/metadata_{i}_20240101.json") for i in range(1_000)], "i long, name string")
+    rows = [(k, f"*_{k}_2024*", {"kind": k}) for k in range(1_000)] + [(1_000 + k, "*7_20240101.json", {}) for k in range(400)]
+    table = spark.createDataFrame(rows, "k long, pattern string, more map<string,long>")
+    verified = spark.sparkContext.accumulator(0)
+
+    def counted(_, name, regex):
+        def fits(a, b):
+            verified.add(1)
+            return re.search(b, a) is not None
+
+        return F.udf(fits, "boolean")(name, regex)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(P.F, "call_function", counted)
+        found = P.match_patterns(names, "name", table)
+    got = sorted((r["k"], r["i"]) for r in found.collect())
+    assert got == [(k, k) for k in range(1_000)] + [(1_000 + k, i) for k in range(400) for i in range(7, 1_000, 10)]
+    assert verified.value <= 5_000
+
+
 # ---- ranges -------------------------------------------------------------------------------
 def brute_gaps(total, ranges):
     missing = set(range(total))

@@ -113,6 +113,19 @@ def test_documents(spark, sf_dir):
     assert got(docs, shard_bytes=50_000) == brute(table)
 
 
+def test_a_row_is_a_document_or_a_pair_and_never_a_shard(spark):
+    """600 documents fill one shard of a task: no row or batch that leaves it grows with the shard."""
+    rng = np.random.default_rng(6)
+    words = [f"w{i}x" for i in range(3000)]
+    table = [(i, " ".join(rng.choice(words, 60)), None, None, None) for i in range(600)]
+    docs = spark.createDataFrame(table, DOCS).repartition(1)
+    shards = t.pack(docs.select("doc_id", "text").withColumnRenamed("doc_id", "id"), lambda: (t.byte_level_tokenizer(A), t.piece_tokenizer(B)))
+    rows = [r.asDict(recursive=True) for r in shards.collect()]
+    assert len({r["shard"] for r in rows}) == 1 and sum(r["n_links"] or 0 for r in rows) > 100_000
+    assert max(len(repr(r)) for r in rows) < 20_000
+    assert got(docs) == brute(table)
+
+
 def test_fast_encoder_gives_the_library_ids():
     """Every character below U+0240 in several places, and mixtures of them."""
     library, _ = libraries()

@@ -4,7 +4,8 @@ Tokens of A and B are byte intervals. Sorted by start, with the running maximum
 into groups: a group begins where a start reaches the maximum before it. Within a group, the pairs
 whose intervals overlap are the links. How many documents hold an id pair linked is counted over all
 documents: documents are packed into shards of bounded size, each shard names every id pair once, the
-pairs are counted as rows, and the counts come back to the shard as one list.
+pairs are counted as rows, and the counts come back to the shard as rows before those of its documents.
+A row is a pair of a shard or one document, never a whole shard.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +28,9 @@ from voxledger.llm.common import checkpoint, column
 from voxledger.session import shared_dir
 
 SHARD_BYTES = 4 << 20  # text of a shard; one longer text is a shard of its own
+SLICE_CHARS = 256 << 10  # text that is encoded at once
+BATCH_BYTES = 1 << 20  # what leaves Python at once, about
+GROUP_BYTES = 16 << 20  # row group of a stored shard, about
 SPACE = "▁"  # stands for U+0020 in the pieces of B
 #: Fixed value: the published pattern that parts the words of the byte-level vocabulary.
 WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -208,89 +214,89 @@ class Packer:
             self.rows.append(row | {"times": times})
             self.pairs.append(codes)
 
-    def shard(self) -> dict:
-        """The shard as one row: its distinct pairs, with the documents that hold each, and its documents."""
+    def shard(self) -> tuple[np.ndarray, np.ndarray, list[dict]]:
+        """The shard's distinct pairs, the number of documents that hold each, and its documents."""
         held = np.concatenate(self.pairs) if self.pairs else np.zeros(0, np.int64)
         pairs, place, n_docs = np.unique(held, return_inverse=True, return_counts=True)
         ends = np.cumsum([len(p) for p in self.pairs])
-        out = {"pairs": pairs, "n_docs": n_docs, "docs": []}
-        for row, places in zip(self.rows, np.split(place.reshape(-1).astype(np.int32), ends[:-1])):
-            out["docs"].append(row | {"places": places, "times": row["times"].astype(np.int32)})
+        docs = []
+        for row, places in zip(self.rows, np.split(place.reshape(-1), ends[:-1])):
+            docs.append(row | {"places": places.astype(INT).tobytes(), "times": row["times"].astype(INT).tobytes()})
         self.clear()
-        return out
+        return pairs, n_docs, docs
 
 
-#: A document in a shard: places (in the shard's pairs) and times of its links.
+INT = np.dtype("<i4")  # places and times are stored as bytes
 NUMBERS = ["n_a", "n_b", "n_groups", "n_links"]
 
 
 def _packed_type(id_type: T.DataType) -> T.StructType:
-    doc = T.StructType(
+    """A pair of a shard has a place there; a document has none, but places (in the shard's pairs) and times of its links."""
+    return T.StructType(
         [
+            T.StructField("shard", T.LongType()),
+            T.StructField("place", T.IntegerType()),
+            T.StructField("pair", T.LongType()),
+            T.StructField("n_docs", T.LongType()),
             T.StructField("id", id_type),
             *[T.StructField(n, T.LongType()) for n in NUMBERS],
             T.StructField("groups_sha256", T.StringType()),
-            T.StructField("places", T.ArrayType(T.IntegerType())),
-            T.StructField("times", T.ArrayType(T.IntegerType())),
-        ]
-    )
-    return T.StructType(
-        [
-            T.StructField("shard", T.StringType()),
-            T.StructField("pairs", T.ArrayType(T.LongType())),
-            T.StructField("n_docs", T.ArrayType(T.LongType())),
-            T.StructField("docs", T.ArrayType(doc)),
+            T.StructField("places", T.BinaryType()),
+            T.StructField("times", T.BinaryType()),
         ]
     )
 
 
 def pack(docs: DataFrame, make: Callable[[], tuple[Tokenizer, Tokenizer]], shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """Shards of ``docs`` (``id``, ``text``) of about ``shard_bytes`` characters, named by their content; a map.
+    """Rows of shards of ``docs`` (``id``, ``text``) of about ``shard_bytes`` characters; a map.
 
-    A task packs its rows as they come. A shard's name is a digest of its rows and a random number, so
-    shards of equal rows stay apart; the table must be stored before it is read twice.
+    A task packs its rows as they come and numbers its shards, so the table must be stored before it is
+    read twice.
     """
     fields = _packed_type(docs.schema["id"].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import uuid
-
         packer = Packer(*make())
-        arrow = None
-
-        def flush() -> pa.RecordBatch:
-            row = packer.shard() | {"shard": uuid.uuid4().hex}
-            docs_ = row["docs"]
-            kinds = {f.name: f.type for f in arrow.field("docs").type.value_type}
-            made = pa.StructArray.from_arrays(
-                [_column([d[name] for d in docs_], kind) for name, kind in kinds.items()], names=list(kinds)
-            )
+        schema = None
+        shard = TaskContext.get().partitionId() << 32
+
+        def made(n: int, columns: dict) -> pa.RecordBatch:
+            columns["shard"] = np.full(n, shard)
             return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([row["shard"]]),
-                    _column([row["pairs"]], pa.list_(pa.int64())),
-                    _column([row["n_docs"]], pa.list_(pa.int64())),
-                    pa.ListArray.from_arrays(pa.array([0, len(docs_)], pa.int32()), made),
-                ],
-                schema=arrow,
+                [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema
             )
 
+        def flush() -> Iterator[pa.RecordBatch]:
+            pairs, n_docs, docs_ = packer.shard()
+            step = BATCH_BYTES // 64  # bytes of a pair, with the columns that it lacks
+            for at in range(0, len(pairs), step):
+                some = slice(at, at + step)
+                columns = {"place": np.arange(len(pairs))[some].astype(np.int32), "pair": pairs[some], "n_docs": n_docs[some]}
+                yield made(len(pairs[some]), columns)
+            at = size = 0
+            for stop, doc in enumerate(docs_, 1):
+                size += len(doc["places"]) + len(doc["times"])
+                if size >= BATCH_BYTES or stop == len(docs_):
+                    yield made(stop - at, {name: [d[name] for d in docs_[at:stop]] for name in docs_[at]})
+                    at, size = stop, 0
+
         for batch in batches:
-            if arrow is None:
-                arrow = _arrow(fields, batch.schema.field(0).type)
+            if schema is None:
+                schema = _arrow(fields, batch.schema.field(0).type)
             ids, texts = batch.column(0).to_pylist(), batch.column(1)
             at = 0
             while at < len(ids):
-                stop, size = at, packer.size
-                while stop < len(ids) and (size < shard_bytes or stop == at):
+                stop, size, room = at, 0, min(shard_bytes - packer.size, SLICE_CHARS)
+                while stop < len(ids) and (size < room or stop == at):
                     size += len(texts[stop].as_py() or "")
                     stop += 1
                 packer.add(ids[at:stop], texts[at:stop].to_pylist())
                 at = stop
                 if packer.size >= shard_bytes:
-                    yield flush()
+                    yield from flush()
+                    shard += 1
         if packer.rows:
-            yield flush()
+            yield from flush()
 
     return docs.mapInArrow(run, fields)
 
@@ -298,30 +304,12 @@ def pack(docs: DataFrame, make: Callable[[], tuple[Tokenizer, Tokenizer]], shard
 def _arrow(fields: T.StructType, id_type: pa.DataType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_type
 
-    def kind(t: T.DataType, name: str) -> pa.DataType:
-        if name == "id":
-            return id_type
-        if isinstance(t, T.ArrayType):
-            return pa.list_(kind(t.elementType, ""))
-        if isinstance(t, T.StructType):
-            return pa.struct([pa.field(f.name, kind(f.dataType, f.name)) for f in t])
-        return to_arrow_type(t)
-
-    return pa.schema([pa.field(f.name, kind(f.dataType, f.name)) for f in fields])
-
+    return pa.schema([pa.field(f.name, id_type if f.name == "id" else to_arrow_type(f.dataType)) for f in fields])
 
-def _column(values: list, kind: pa.DataType) -> pa.Array:
-    if pa.types.is_list(kind):
-        ends = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
-        flat = np.concatenate(values) if values else np.zeros(0, np.int64)
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, kind.value_type))
-    return pa.array(values, kind)
 
-
-def pair_counts(shards: DataFrame) -> DataFrame:
+def pair_counts(listed: DataFrame) -> DataFrame:
     """``pair`` (A id times 2^32 plus B id), ``n`` (documents that hold it) and ``best`` (the highest of its A id)."""
-    rows = shards.select(F.explode(F.arrays_zip("pairs", "n_docs")).alias("p"))
-    counts = checkpoint(rows.groupBy(F.col("p.pairs").alias("pair")).agg(F.sum("p.n_docs").alias("n")))
+    counts = checkpoint(listed.groupBy("pair").agg(F.sum("n_docs").alias("n")))
     best = counts.groupBy(F.shiftright("pair", 32).alias("a")).agg(F.max("n").alias("most"))
     return counts.join(best, F.shiftright("pair", 32) == F.col("a")).select(
         "pair", "n", (F.col("n") == F.col("most")).alias("best")
@@ -345,44 +333,52 @@ def align_documents(
     table gives an empty result. A very long text is a shard of its own.
 
     Texts are read once and never moved. Shards are stored; what moves is each shard's distinct pairs
-    with their counts, and back: a pair in every document is one row per shard, added up before it
-    moves, and a list of a shard is bounded by its text.
+    with their counts, and its documents' links to meet them: a pair in every document is one row per
+    shard, added up before it moves. Rows are sorted by shard, so a task holds the counts of one.
     """
     source = docs.select(column(id_col).alias("id"), column(text).cast("string").alias("text"))
     path = shared_dir(docs.sparkSession, "token-shards")
-    pack(source, make, shard_bytes).write.parquet(path)
+    pack(source, make, shard_bytes).write.option("parquet.block.size", GROUP_BYTES).parquet(path)
     shards = docs.sparkSession.read.parquet(path)
-    counts = checkpoint(pair_counts(shards.select("pairs", "n_docs")))
-    named = shards.select("shard", F.posexplode("pairs").alias("place", "pair"))
-    held = named.join(counts, "pair").groupBy("shard").agg(
-        F.sort_array(F.collect_list(F.struct("place", "n", "best"))).alias("found")
-    )
-    looked_up = shards.select("shard", "docs").join(
-        held.select("shard", F.col("found.n").alias("n"), F.col("found.best").alias("best")), "shard", "left"
-    )
+    listed = shards.where("place IS NOT NULL")
+    counts = checkpoint(pair_counts(listed))
+    found = listed.select("shard", "place", "pair").join(counts, "pair").drop("pair")
+    packed = shards.where("place IS NULL").drop("place", "pair", "n_docs")
+    met = found.unionByName(packed, allowMissingColumns=True)
+    ordered = met.repartition("shard").sortWithinPartitions("shard", F.col("place").asc_nulls_last())
     id_type = source.schema["id"].dataType
     names = ["id", *NUMBERS, "n_best", "count_sum", "groups_sha256"]
     kinds = [id_type, *[T.LongType()] * 6, T.StringType()]
     out = T.StructType([T.StructField(n, k) for n, k in zip(names, kinds)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, counts_, best_ = None, [], []
         for batch in batches:
-            for i in range(batch.num_rows):
-                rows = batch.column("docs").slice(i, 1).flatten()
-                counts_, best_ = (batch.column(c).slice(i, 1).flatten().to_numpy(zero_copy_only=False) for c in ("n", "best"))
-                places, times = rows.field("places"), rows.field("times")
-                place = places.flatten().to_numpy(zero_copy_only=False)
-                time = times.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                ends = np.cumsum(np.concatenate([[0], places.value_lengths().to_numpy(zero_copy_only=False)]))
+            shard = batch.column("shard").to_numpy()
+            is_doc = batch.column("place").is_null().to_numpy(zero_copy_only=False)
+            ends = np.flatnonzero((shard[1:] != shard[:-1]) | (is_doc[1:] != is_doc[:-1])) + 1
+            for low, high in zip([0, *ends.tolist()], [*ends.tolist(), len(shard)]):
+                rows = batch.slice(low, high - low)
+                if shard[low] != last:
+                    last, counts_, best_ = shard[low], [], []
+                if not is_doc[low]:
+                    counts_.append(rows.column("n").to_numpy())
+                    best_.append(rows.column("best").to_numpy(zero_copy_only=False))
+                    continue
+                if len(counts_) > 1:
+                    counts_, best_ = [np.concatenate(counts_)], [np.concatenate(best_)]
+                place, time = (np.frombuffer(b"".join(rows.column(c).to_pylist()), INT) for c in ("places", "times"))
+                links = pc.binary_length(rows.column("places")).to_numpy() // INT.itemsize
+                ends_ = np.cumsum(np.concatenate([[0], links]))
                 sums = []
-                for value in (best_.astype(np.int64), counts_.astype(np.int64)):
-                    total = np.concatenate([[0], np.cumsum(value[place] * time)]) if len(place) else np.zeros(1, np.int64)
-                    sums.append(pa.array(total[ends[1:]] - total[ends[:-1]], pa.int64()))
+                for value in (best_, counts_):
+                    total = np.concatenate([[0], np.cumsum(value[0][place] * time.astype(np.int64))]) if len(place) else np.zeros(1, np.int64)
+                    sums.append(pa.array(total[ends_[1:]] - total[ends_[:-1]], pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [*[rows.field(n) for n in ["id", *NUMBERS]], *sums, rows.field("groups_sha256")], names=names
+                    [*[rows.column(n) for n in ["id", *NUMBERS]], *sums, rows.column("groups_sha256")], names=names
                 )
 
-    return looked_up.mapInArrow(run, out).withColumnRenamed("id", id_col)
+    return ordered.mapInArrow(run, out).withColumnRenamed("id", id_col)
 
 
 def alignment_table(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:

@@ -172,6 +172,21 @@ def test_patterns_are_verified_on_few_names_and_once_a_text(spark, monkeypatch):
     assert verified.value <= 5_000
 
 
+def test_pairs_are_made_of_slices_and_common_pieces_stay(spark, monkeypatch):
+    """Lists become slices before pairs, so a task keeps few of them; pieces that all names have do not travel unless one is filed under."""
+    monkeypatch.setattr(P, "LIST", 30)
+    monkeypatch.setattr(P, "SLICE", 7, raising=False)
+    texts = [f"/data/metadata_{i}_20240101_{i:06d}.json" for i in range(100)] + ["", None, "json", "/data/metadata_5_20240101_000005.json"]
+    names = spark.createDataFrame(list(enumerate(texts)), "i long, name string").repartition(3)
+    patterns = ["/data/*"] * 70 + ["*_5_*", "*[0-9]5_*.json", "*json", "*no such piece*metadata*", "*", "", "?son", None]
+    table = spark.createDataFrame(list(enumerate(patterns)), "k long, pattern string")
+    found = P.match_patterns(names, "name", table)
+    want = [(k, i) for k, p in enumerate(patterns) for i, n in enumerate(texts) if None not in (p, n) and fnmatch.fnmatchcase(n, p)]
+    assert sorted((r["k"], r["i"]) for r in found.collect()) == want and len(want) > 7_000
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "slice(" in plan and ("INSET" in plan or " IN (" in plan)
+
+
 # ---- ranges -------------------------------------------------------------------------------
 def brute_gaps(total, ranges):
     missing = set(range(total))
